@@ -346,3 +346,227 @@ ORACLE_SQL: dict[str, str] = {
     "val_split_rows": _split_rows_sql("val"),
     "test_split_rows": _split_rows_sql("test"),
 }
+
+
+# =========================================================================== sources, sinks, datasets
+from chronoframe.operators.grid import narrow_types  # noqa: E402
+from chronoframe.operators.metrics import auroc, average_precision, binary_error_logloss  # noqa: E402
+from chronoframe.functions import sanitize_columns  # noqa: E402
+from chronoframe.session import read_table, scratch_path  # noqa: E402
+from chronoframe.sources import (  # noqa: E402
+    copy_dataset, merge_datasets, read_csv_table, read_domains, read_features, read_split_ids, repack, scan,
+    select_domains, unique_values, write_csv_table, write_domains, write_features, write_partitioned,
+    write_split_ids,
+)
+
+COHORT_SCHEMA = (
+    "SUBJECT_ID long, HADM_ID long, ICUSTAY_ID long, INTIME timestamp_ntz, OUTTIME timestamp_ntz, "
+    "partition string, DOB timestamp_ntz, DEATHTIME timestamp_ntz, HOSPITAL_EXPIRE_FLAG int, "
+    "AGE double, HOUR_OF_DEATH double"
+)
+
+
+def _lineitem_dataset(spark, sf, files_per_task: int = 1) -> str:
+    """Write the whole lineitem table as a dataset partitioned by return flag."""
+    path = scratch_path(spark, "lineitem")
+    li = read_table(spark, sf, "lineitem")
+    if files_per_task > 1:
+        li = li.repartition(files_per_task)
+    write_partitioned(li, path, ["l_returnflag"], mode="overwrite")
+    return path
+
+
+def q_csv_round_trip(spark, sf):
+    path = scratch_path(spark, "deathtime-csv")
+    write_csv_table(pipeline.cohort(spark, sf), path)
+    return round_doubles(read_csv_table(spark, path, COHORT_SCHEMA))
+
+
+def q_domain_round_trip(spark, sf):
+    path = scratch_path(spark, "domains")
+    write_domains(pipeline.filtered_domains(spark, sf), path)
+    back = read_domains(spark, path)
+    dynamic = [d for d in back if d not in pipeline.DYNAMIC_EXCLUDED]
+    parts = [back[d].withColumn("domain", F.lit(d)) for d in dynamic]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return round_doubles(out.select("domain", "ID", "t", "variable_name", "variable_value"))
+
+
+def q_feature_round_trip(spark, sf):
+    path = scratch_path(spark, "LABEVENTS_base")
+    base = pipeline.base_features(spark, sf, "LABEVENTS")
+    write_features(base.withColumn("chunk", F.pmod(F.xxhash64("ID"), F.lit(4))), path, partition_by=["chunk"])
+    picked = select_domains([path.rsplit("/", 1)[-1]], include="base", exclude="INPUT", suffix="_base")
+    assert list(picked) == ["LABEVENTS"], picked
+    return round_doubles(read_features(spark, path))
+
+
+def q_write_partitioned(spark, sf):
+    path = scratch_path(spark, "lineitem-append")
+    li = read_table(spark, sf, "lineitem")
+    write_partitioned(li, path, ["l_returnflag"])
+    write_partitioned(li, path, ["l_returnflag"])
+    return round_doubles(scan(spark, path))
+
+
+def q_scan_projected_filtered(spark, sf):
+    path = _lineitem_dataset(spark, sf)
+    where = (F.col("l_returnflag") == "R") & (F.col("l_quantity") > 25)
+    cols = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"]
+    return round_doubles(scan(spark, path, cols, where))
+
+
+def q_copy_dataset(spark, sf):
+    src = _lineitem_dataset(spark, sf)
+    dst = scratch_path(spark, "lineitem-copy")
+    where = F.col("l_shipdate") >= F.lit("1995-01-01 00:00:00").cast("timestamp_ntz")
+    return round_doubles(copy_dataset(spark, src, dst, ["l_orderkey", "l_linenumber", "l_shipdate", "l_discount"],
+                                      where, ["l_linestatus"]))
+
+
+def q_repack_partitions(spark, sf):
+    src = _lineitem_dataset(spark, sf, files_per_task=16)
+    dst = scratch_path(spark, "lineitem-repacked")
+    return round_doubles(repack(spark, src, dst, ["l_returnflag"], files_per_partition=2,
+                                sort_by=["l_orderkey", "l_linenumber"]))
+
+
+def q_unique_values(spark, sf):
+    return unique_values(read_table(spark, sf, "lineitem"), "l_partkey")
+
+
+def q_merge_datasets(spark, sf):
+    li = read_table(spark, sf, "lineitem")
+    od = read_table(spark, sf, "orders")
+    merged = merge_datasets(li, od, "left", left_on="l_orderkey", right_on="o_orderkey")
+    path = scratch_path(spark, "lineitem-orders")
+    write_partitioned(merged, path, ["l_returnflag"], mode="overwrite")
+    return round_doubles(scan(spark, path))
+
+
+def q_split_ids_round_trip(spark, sf):
+    path = scratch_path(spark, "split-ids")
+    write_split_ids(_splits(spark, sf), path)
+    return read_split_ids(spark, path)
+
+
+def q_narrow_types(spark, sf):
+    return narrow_types(pipeline.static_table(spark, sf))
+
+
+def q_sanitize_columns(spark, sf):
+    return round_doubles(sanitize_columns(pipeline.static_table(spark, sf)))
+
+
+def q_auroc(spark, sf):
+    return round_doubles(auroc(fixtures.scored_rows(spark, sf)))
+
+
+def q_average_precision(spark, sf):
+    return round_doubles(average_precision(fixtures.scored_rows(spark, sf)))
+
+
+def q_binary_error_logloss(spark, sf):
+    return round_doubles(binary_error_logloss(fixtures.scored_rows(spark, sf)))
+
+
+def _split_tables(spark, sf):
+    m = pipeline.labelled_matrix(spark, sf)
+    splits = _splits(spark, sf)
+    return [split_rows(m, splits, w) for w in ("train", "val", "test")]
+
+
+def q_train_and_score(spark, sf):
+    from chronoframe.operators.model import score, train_classifier
+
+    train, val, test = _split_tables(spark, sf)
+    model = train_classifier(train, val, LABEL, {"num_iteration": 10, "max_depth": 4, "learning_rate": 0.1,
+                                                 "min_data_in_leaf": 10, "feature_fraction": 1.0})
+    return score(model, test, LABEL)
+
+
+def q_search_params(spark, sf):
+    from chronoframe.operators.model import sample_params, search_params
+
+    train, val, test = _split_tables(spark, sf)
+    trials = sample_params(1, seed=1234, depths=(2, 4))
+    return search_params(train, val, test, trials, LABEL, max_iter=5)
+
+
+SPARK_QUERIES.update({
+    "csv_round_trip": q_csv_round_trip,
+    "domain_round_trip": q_domain_round_trip,
+    "feature_round_trip": q_feature_round_trip,
+    "write_partitioned": q_write_partitioned,
+    "scan_projected_filtered": q_scan_projected_filtered,
+    "copy_dataset": q_copy_dataset,
+    "repack_partitions": q_repack_partitions,
+    "unique_values": q_unique_values,
+    "merge_datasets": q_merge_datasets,
+    "split_ids_round_trip": q_split_ids_round_trip,
+    "narrow_types": q_narrow_types,
+    "sanitize_columns": q_sanitize_columns,
+    "auroc": q_auroc,
+    "average_precision": q_average_precision,
+    "binary_error_logloss": q_binary_error_logloss,
+    "train_and_score": q_train_and_score,
+    "search_params": q_search_params,
+})
+
+_SCORED = (
+    "scored AS (SELECT l.doc_id, CAST(l.quality AS INTEGER) AS label, "
+    "least(d.n_chars / CAST(20000.0 AS DOUBLE), CAST(1.0 AS DOUBLE)) AS prediction "
+    "FROM labels l JOIN documents d ON l.doc_id = d.doc_id), "
+    "sc AS (SELECT prediction AS score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos, "
+    "sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg FROM scored "
+    "WHERE label IS NOT NULL AND prediction IS NOT NULL GROUP BY prediction) "
+)
+_LI = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, round(l_quantity, 6) AS l_quantity, "
+       "round(l_extendedprice, 6) AS l_extendedprice, round(l_discount, 6) AS l_discount, "
+       "round(l_tax, 6) AS l_tax, l_returnflag, l_linestatus, l_shipdate")
+
+ORACLE_SQL.update({
+    "csv_round_trip": ORACLE_SQL["exclude_unrecorded_deaths"],
+    "domain_round_trip": ORACLE_SQL["filter_prevalent_from_origin"],
+    "feature_round_trip": ORACLE_SQL["pivot_hourly_grid"],
+    "write_partitioned": f"SELECT {_LI} FROM lineitem UNION ALL SELECT {_LI} FROM lineitem",
+    "scan_projected_filtered": (
+        "SELECT l_orderkey, l_linenumber, round(l_quantity, 6) AS l_quantity, "
+        "round(l_extendedprice, 6) AS l_extendedprice, l_returnflag FROM lineitem "
+        "WHERE l_returnflag = 'R' AND l_quantity > 25"
+    ),
+    "copy_dataset": (
+        "SELECT l_orderkey, l_linenumber, l_shipdate, round(l_discount, 6) AS l_discount, l_linestatus "
+        "FROM lineitem WHERE l_shipdate >= TIMESTAMP '1995-01-01 00:00:00'"
+    ),
+    "repack_partitions": f"SELECT {_LI} FROM lineitem",
+    "unique_values": "SELECT DISTINCT l_partkey FROM lineitem",
+    "merge_datasets": (
+        f"SELECT {_LI}, o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice, "
+        "o_orderdate, o_orderpriority FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey"
+    ),
+    "split_ids_round_trip": ORACLE_SQL["split_entities"],
+    "narrow_types": q("SELECT * REPLACE (CAST(AGE AS INTEGER) AS AGE) FROM static"),
+    "sanitize_columns": q("SELECT COLUMNS('^[^ ]*$'), COLUMNS('^([^ ]*) ([^ ]*)$') AS '\\1_\\2' FROM static"),
+    "auroc": (
+        "WITH " + _SCORED + ", c AS (SELECT *, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING "
+        "AND CURRENT ROW) AS cneg FROM sc) "
+        "SELECT round(CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * (cneg - 0.5 * neg)) / "
+        "(CAST(sum(pos) AS DOUBLE) * sum(neg)) END, 6) AS auroc FROM c"
+    ),
+    "average_precision": (
+        "WITH " + _SCORED + ", c AS (SELECT *, sum(pos) OVER w AS cpos, sum(neg) OVER w AS cneg FROM sc "
+        "WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) "
+        "SELECT round(CASE WHEN sum(pos) > 0 THEN sum(pos * cpos / (cpos + cneg)) / sum(pos) END, 6) "
+        "AS average_precision FROM c"
+    ),
+    "binary_error_logloss": (
+        "WITH " + _SCORED.split(", sc AS")[0] + " SELECT "
+        "round(avg(CASE WHEN CAST(prediction > 0.5 AS INTEGER) <> label THEN 1.0 ELSE 0.0 END), 6) AS binary_error, "
+        "round(avg(-(label * ln(least(greatest(prediction, 1e-15), 1 - 1e-15)) + (1 - label) * "
+        "ln(1 - least(greatest(prediction, 1e-15), 1 - 1e-15)))), 6) AS binary_logloss "
+        "FROM scored WHERE label IS NOT NULL AND prediction IS NOT NULL"
+    ),
+})

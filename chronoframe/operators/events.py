@@ -78,23 +78,53 @@ def filter_from_origin(df: DataFrame) -> DataFrame:
     return df.where(F.col(time_column(df)) >= 0)
 
 
+def prevalence_stats(domains: dict[str, DataFrame], names: list[str], id_col: str = ID
+                     ) -> tuple[dict[str, int], dict[str, dict[str, int]]]:
+    """Distinct entities per domain and entities per (domain, variable), for
+    many domains in one job.
+
+    The distinct (domain, id, variable) triples are shuffled on the triple, so
+    neither a hot variable nor a hot entity lands in one task; both small
+    aggregates reuse that one exchange. Returns ``(totals, counts)``; the
+    collected rows are one per variable (bounded by the pivot width).
+    """
+    parts = [domains[n].select(F.lit(n).alias("domain"), F.col(id_col).alias("_id"), VAR) for n in names]
+    trip = parts[0]
+    for p in parts[1:]:
+        trip = trip.unionByName(p)
+    trip = trip.distinct()
+    per_var = trip.where(F.col(VAR).isNotNull()).groupBy("domain", VAR).agg(F.count(F.lit(1)).alias("n"))
+    per_dom = trip.groupBy("domain").agg(F.countDistinct("_id").alias("n")).select(
+        "domain", F.lit(None).cast("string").alias(VAR), "n")
+    totals: dict[str, int] = {n: 0 for n in names}
+    counts: dict[str, dict[str, int]] = {n: {} for n in names}
+    for r in per_var.withColumn("_lvl", F.lit(1)).unionByName(per_dom.withColumn("_lvl", F.lit(0))).collect():
+        if r["_lvl"] == 0:
+            totals[r["domain"]] = r["n"]
+        else:
+            counts[r["domain"]][r[VAR]] = r["n"]
+    return totals, counts
+
+
 def filter_prevalent(domains: dict[str, DataFrame], denominator_domain: str = "LABEVENTS",
                      threshold: float = 0.05, domains_to_filter: list[str] | None = None,
                      id_col: str = ID) -> dict[str, DataFrame]:
     """Stage 2: keep frequent variables, then rows from the origin on.
 
     Prevalence uses the distinct entities of ``denominator_domain`` for every
-    domain and is computed before the time filter. Domains not listed in
-    ``domains_to_filter`` (default: all but ``TIME_INVARIANT``) pass through.
+    domain and is computed before the time filter (one job for all domains).
+    Domains not listed in ``domains_to_filter`` (default: all but
+    ``TIME_INVARIANT``) pass through.
     """
-    total = distinct_entities(domains[denominator_domain], id_col)
     if domains_to_filter is None:
         domains_to_filter = [d for d in domains if d != "TIME_INVARIANT"]
+    names = list(dict.fromkeys(list(domains_to_filter) + [denominator_domain]))
+    totals, counts = prevalence_stats(domains, names, id_col)
+    total = totals[denominator_domain]
     out = dict(domains)
     for name in domains_to_filter:
-        df = domains[name]
-        keep = prevalent_variables(df, total, threshold, id_col)
-        out[name] = filter_from_origin(keep_variables(df, keep))
+        keep = sorted(v for v, n in counts[name].items() if total and n / total >= threshold)
+        out[name] = filter_from_origin(keep_variables(domains[name], keep))
     return out
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,46 @@ MAX_GRID_HOURS = 1_000_000
 PIVOT_BATCH = 400
 
 
+@dataclass
+class HourlyStats:
+    """What the driver must know about a domain's hourly means to plan it:
+    variable names (one output column each), their binary / non-binary kind,
+    and the distinct hours (one grid row per entity each)."""
+
+    names: list
+    binary: list
+    other: list
+    hours: list
+
+
+def hourly_stats(hourly: DataFrame, max_hours: int = MAX_GRID_HOURS, max_columns: int = 100_000) -> HourlyStats:
+    """All of :class:`HourlyStats` in one job (two small aggregates, unioned).
+
+    Binary = sorted distinct non-null values are exactly [0, 1] (P14), which
+    per variable equals classifying the wide base table's column.
+    """
+    v = F.col(VAL)
+    per_var = hourly.where(v.isNotNull() & F.col(VAR).isNotNull()).groupBy(VAR).agg(
+        F.min(v).alias("mn"), F.max(v).alias("mx"), F.max(F.when(~v.isin(0, 1), 1).otherwise(0)).alias("ot"),
+    ).limit(max_columns + 1).select(F.lit(1).alias("_k"), VAR, "mn", "mx", "ot", F.lit(None).cast("double").alias("t"))
+    per_hour = hourly.select("t").where(F.col("t").isNotNull()).distinct().limit(max_hours + 1).select(
+        F.lit(0).alias("_k"), F.lit(None).cast("string").alias(VAR), F.lit(None).cast("double").alias("mn"),
+        F.lit(None).cast("double").alias("mx"), F.lit(None).cast("int").alias("ot"), F.col("t").cast("double").alias("t"))
+    rows = per_var.unionByName(per_hour).collect()
+    t_type = dict(hourly.dtypes)["t"]
+    cast = int if t_type in ("bigint", "int") else float
+    hours = sorted(cast(r["t"]) for r in rows if r["_k"] == 0)
+    stats = [r for r in rows if r["_k"] == 1]
+    if len(hours) > max_hours:
+        raise ValueError(f"more than {max_hours} distinct hours; grid too large")
+    if len(stats) > max_columns:
+        raise ValueError(f"more than {max_columns} variables; pivot would be too wide")
+    names = sorted(r[VAR] for r in stats)
+    binary = sorted(r[VAR] for r in stats if r["mn"] == 0 and r["mx"] == 1 and r["ot"] == 0)
+    other = [n for n in names if n not in binary]
+    return HourlyStats(names, binary, other, hours)
+
+
 def variable_names(df: DataFrame, max_columns: int = 100_000) -> list[str]:
     """Sorted distinct variable names; one per output column (bounded by width)."""
     names = [r[VAR] for r in df.select(VAR).where(F.col(VAR).isNotNull()).distinct().limit(max_columns + 1).collect()]
@@ -32,18 +74,20 @@ def distinct_hours(df: DataFrame, max_hours: int = MAX_GRID_HOURS) -> list:
     return sorted(hours)
 
 
-def reference_grid(hourly: DataFrame, id_col: str = ID, max_hours: int = MAX_GRID_HOURS) -> DataFrame:
+def reference_grid(hourly: DataFrame, id_col: str = ID, max_hours: int = MAX_GRID_HOURS,
+                   hours: list | None = None) -> DataFrame:
     """Every entity of the domain × every distinct hour of the domain.
 
     Built by exploding the (size-checked) hour list per entity, so each entity
     yields exactly |hours| rows and no entity is heavier than another.
     """
-    hours = distinct_hours(hourly, max_hours)
+    if hours is None:
+        hours = distinct_hours(hourly, max_hours)
     if not hours:
         return hourly.select(id_col, "t").limit(0)
     ids = hourly.select(id_col).distinct()
     t_type = dict(hourly.dtypes)["t"]
-    arr = F.array(*[F.lit(h).cast(t_type) for h in hours])
+    arr = F.lit(list(hours)).cast(f"array<{t_type}>")
     return ids.select(id_col, F.explode(arr).alias("t"))
 
 
@@ -70,7 +114,7 @@ def pivot_observed(hourly: DataFrame, names: list[str] | None = None, id_col: st
 
 
 def pivot_hourly(hourly: DataFrame, names: list[str] | None = None, grid: str | DataFrame = "reference",
-                 id_col: str = ID) -> DataFrame:
+                 id_col: str = ID, hours: list | None = None) -> DataFrame:
     """Hourly long means → wide table, one double column per variable.
 
     ``grid="reference"`` reproduces the reference's dense entity × distinct
@@ -83,7 +127,7 @@ def pivot_hourly(hourly: DataFrame, names: list[str] | None = None, grid: str |
     if isinstance(grid, DataFrame):
         keys = grid
     elif grid == "reference":
-        keys = reference_grid(hourly, id_col)
+        keys = reference_grid(hourly, id_col, hours=hours)
     elif grid == "observed":
         return wide
     else:

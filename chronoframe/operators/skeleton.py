@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chronoframe.functions import floor_hour, hours_between, quote
 from chronoframe.operators.events import ID, VAL, VAR
-from chronoframe.operators.grid import distinct_hours, pivot_observed
+from chronoframe.operators.grid import HourlyStats, hourly_stats, pivot_observed
 from chronoframe.operators.windows import rolling_features_explode
 
 
@@ -77,26 +77,28 @@ def classify_variables(hourly: DataFrame) -> tuple[list[str], list[str]]:
     return binary, other
 
 
-def domain_features_at(hourly: DataFrame, keys: DataFrame, period: int = 12, id_col: str = ID) -> DataFrame:
+def domain_features_at(hourly: DataFrame, keys: DataFrame, period: int = 12, id_col: str = ID,
+                       stats: HourlyStats | None = None) -> DataFrame:
     """A domain's window features at the given (id, t) keys, never building
     the dense grid (rewrite of J4 over the reference grid).
 
     A domain has a row at (id, t) only when id is one of its entities and t
     one of its distinct hours; elsewhere every column is null. Rolling
     statistics come from the explode route; binary features from one window
-    pass over observed ∪ key rows.
+    pass over observed ∪ key rows. The hour list (size-checked) is an in-list
+    filter; the entity restriction is a semi join, which AQE broadcasts only
+    when the runtime size of the entity list allows.
     """
-    hours = distinct_hours(hourly)
+    stats = hourly_stats(hourly) if stats is None else stats
     ids = hourly.select(id_col).distinct()
-    k = keys.select(id_col, F.col("t").cast("bigint").alias("t")).where(F.col("t").isin(hours))
+    k = keys.select(id_col, F.col("t").cast("bigint").alias("t")).where(F.col("t").isin(list(stats.hours)))
     k = k.join(ids, id_col, "left_semi")
-    binary, other = classify_variables(hourly)
-    if binary:
-        feats = binary_features_at(hourly, k, binary, id_col)
+    if stats.binary:
+        feats = binary_features_at(hourly, k, stats.binary, id_col)
     else:
         feats = k
-    if other:
-        roll = rolling_features_explode(hourly, other, period, id_col)
+    if stats.other:
+        roll = rolling_features_explode(hourly, stats.other, period, id_col)
         feats = feats.join(roll, [id_col, "t"], "left")
     return feats
 

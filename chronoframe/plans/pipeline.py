@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from chronoframe.operators.cohort import attach_patient_admission, add_age_and_death_hour, build_cohort
 from chronoframe.operators.events import filter_prevalent, prepare_hourly
-from chronoframe.operators.grid import pivot_hourly
+from chronoframe.operators.grid import HourlyStats, hourly_stats, pivot_hourly
 from chronoframe.operators.labels import add_lookahead_label
 from chronoframe.operators.skeleton import build_outcome, build_skeleton, domain_features_at, model_matrix
 from chronoframe.operators.static import static_features
@@ -48,14 +48,26 @@ def hourly_domains(spark: SparkSession, sf_dir: str, excluded=DYNAMIC_EXCLUDED)
     return {name: prepare_hourly(df) for name, df in doms.items() if name not in excluded}
 
 
+def hourly_with_stats(spark: SparkSession, sf_dir: str, domains: list[str]) -> dict[str, tuple[DataFrame, HourlyStats]]:
+    """Hourly means and their planning facts (one job per domain)."""
+    hourly = hourly_domains(spark, sf_dir)
+    return {d: (hourly[d], hourly_stats(hourly[d])) for d in domains if d in hourly}
+
+
+def base_from(hourly: DataFrame, stats: HourlyStats) -> DataFrame:
+    return pivot_hourly(hourly, stats.names, grid="reference", hours=stats.hours)
+
+
 def base_features(spark: SparkSession, sf_dir: str, domain: str) -> DataFrame:
     """The reference's ``{domain}_base`` table: dense entity × hour grid."""
-    return pivot_hourly(hourly_domains(spark, sf_dir)[domain], grid="reference")
+    hourly, stats = hourly_with_stats(spark, sf_dir, [domain])[domain]
+    return base_from(hourly, stats)
 
 
 def domain_window_table(spark: SparkSession, sf_dir: str, domain: str) -> DataFrame:
     """The reference's ``{domain}_window`` table over its base grid."""
-    return window_features(base_features(spark, sf_dir, domain))
+    hourly, stats = hourly_with_stats(spark, sf_dir, [domain])[domain]
+    return window_features(base_from(hourly, stats), stats.binary, stats.other)
 
 
 def static_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,8 +86,8 @@ def matrix(spark: SparkSession, sf_dir: str, with_hod: bool = False) -> DataFram
     """Skeleton + static + every present matrix domain's window features."""
     sk = skeleton(spark, sf_dir, keep=("HOUR_OF_DEATH",) if with_hod else ())
     keys = sk.select("ID", "t")
-    hourly = hourly_domains(spark, sf_dir)
-    feats = {d: domain_features_at(hourly[d], keys) for d in MATRIX_DOMAINS if d in hourly}
+    hs = hourly_with_stats(spark, sf_dir, MATRIX_DOMAINS)
+    feats = {d: domain_features_at(h, keys, stats=st) for d, (h, st) in hs.items()}
     return model_matrix(sk, static_table(spark, sf_dir), feats)
 
 

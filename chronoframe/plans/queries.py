@@ -120,9 +120,8 @@ def q_classify_columns(spark, sf):
 
 
 def _out_binary(spark, sf):
-    base = pipeline.base_features(spark, sf, "OUTPUTEVENTS")
-    binary, _ = classify_columns(base)
-    return base, binary
+    hourly, stats = pipeline.hourly_with_stats(spark, sf, ["OUTPUTEVENTS"])["OUTPUTEVENTS"]
+    return pipeline.base_from(hourly, stats), stats.binary
 
 
 def q_cumulative_count(spark, sf):
@@ -136,16 +135,14 @@ def q_time_since(spark, sf):
 
 
 def q_rolling_12h_window(spark, sf):
-    base = pipeline.base_features(spark, sf, "LABEVENTS")
-    _, other = classify_columns(base)
-    return round_doubles(rolling_features(base, other))
+    hourly, stats = pipeline.hourly_with_stats(spark, sf, ["LABEVENTS"])["LABEVENTS"]
+    return round_doubles(rolling_features(pipeline.base_from(hourly, stats), stats.other))
 
 
 def q_rolling_12h_explode(spark, sf):
-    hourly = pipeline.hourly_domains(spark, sf)["LABEVENTS"]
-    _, other = classify_variables(hourly)
-    grid = reference_grid(hourly)
-    roll = rolling_features_explode(hourly, other)
+    hourly, stats = pipeline.hourly_with_stats(spark, sf, ["LABEVENTS"])["LABEVENTS"]
+    grid = reference_grid(hourly, hours=stats.hours)
+    roll = rolling_features_explode(hourly, stats.other)
     return round_doubles(grid.join(roll, ["ID", "t"], "left"))
 
 

@@ -42,6 +42,7 @@ def nan_to_null(c) -> Column:
 # fraction, optional exponent; or an infinity word. Everything else is null.
 NUMERIC_TEXT_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 INFINITY_TEXT_PATTERN = r"^[+-]?([iI][nN][fF]|[iI][nN][fF][iI][nN][iI][tT][yY])$"
+NUMBER_PATTERN = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$"
 
 
 def parse_numeric(c) -> Column:
@@ -50,12 +51,11 @@ def parse_numeric(c) -> Column:
     Accepts surrounding blanks, decimal and exponent forms and ``inf``;
     rejects ``nan``, hex, digit separators and the ``1d``/``1f`` suffixes that
     Spark's own cast would accept. Numeric input columns pass through (NaN →
-    null).
+    null). One regex test per value.
     """
     c = _col(c)
     text = F.trim(c.cast("string"))
-    ok = text.rlike(NUMERIC_TEXT_PATTERN) | text.rlike(INFINITY_TEXT_PATTERN)
-    return nan_to_null(F.when(ok, text.try_cast("double")))
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
 def floor_hour(c) -> Column:

@@ -5,6 +5,7 @@ tables: every event becomes a measurement, every user a stay. Nothing is
 sampled or dropped except where a domain is defined by a subset of event
 types. Each builder has a twin SQL fragment in
 :mod:`chronoframe.plans.oracle` so Spark and DuckDB share one definition.
+Projections are written as SQL expressions (one JVM call each).
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoframe.functions import hours_between
 from chronoframe.session import read_table
 
 # Fixed values of the fixture mapping (labels for the static attributes).
@@ -26,14 +26,12 @@ STATIC_ATTRIBUTES = [
 
 HADM_OFFSET = 100000
 STAY_OFFSET = 200000
+_US_PER_HOUR = "3.6e9"
 
 
-def _ts(text: str):
-    return F.lit(text).cast("timestamp_ntz")
-
-
-def _hours(n):
-    return F.make_dt_interval(F.lit(0), n.cast("int"))
+def _pick(key: str, values: list[str], mod: int) -> str:
+    arms = " ".join(f"WHEN {key} % {mod} = {i} THEN '{v}'" for i, v in enumerate(values))
+    return f"CASE {arms} END"
 
 
 def _first_event(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,133 +41,106 @@ def _first_event(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stay per user: INTIME = first event + 6 h, OUTTIME = first + 48..167 h."""
-    u = F.col("user_id")
-    return _first_event(spark, sf_dir).select(
-        u.alias("SUBJECT_ID"),
-        (u + HADM_OFFSET).alias("HADM_ID"),
-        (u + STAY_OFFSET).alias("ICUSTAY_ID"),
-        (F.col("m") + _hours(F.lit(6))).alias("INTIME"),
-        (F.col("m") + _hours(48 + u % 120)).alias("OUTTIME"),
-        F.lit("train").alias("partition"),
+    return _first_event(spark, sf_dir).selectExpr(
+        "user_id AS SUBJECT_ID",
+        f"user_id + {HADM_OFFSET} AS HADM_ID",
+        f"user_id + {STAY_OFFSET} AS ICUSTAY_ID",
+        "m + make_dt_interval(0, 6) AS INTIME",
+        "m + make_dt_interval(0, CAST(48 + user_id % 120 AS INT)) AS OUTTIME",
+        "'train' AS partition",
     )
 
 
 def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    dob = F.when(k % 50 == 0, _ts("1700-01-01 00:00:00")).otherwise(
-        _ts("1950-01-01 00:00:00") + F.make_dt_interval((k % 10000).cast("int"))
-    )
-    dod = (
-        F.when(k % 10 == 0, _ts("2024-01-03 00:00:00"))
-        .when(k % 10 == 1, _ts("2024-03-01 00:00:00"))
-        .otherwise(F.lit(None).cast("timestamp_ntz"))
-    )
-    return read_table(spark, sf_dir, "customer").select(
-        k.alias("SUBJECT_ID"), dob.alias("DOB"), dod.alias("DOD")
+    return read_table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS SUBJECT_ID",
+        "CASE WHEN c_custkey % 50 = 0 THEN TIMESTAMP_NTZ '1700-01-01 00:00:00' "
+        "ELSE TIMESTAMP_NTZ '1950-01-01 00:00:00' + make_dt_interval(CAST(c_custkey % 10000 AS INT)) END AS DOB",
+        "CASE WHEN c_custkey % 10 = 0 THEN TIMESTAMP_NTZ '2024-01-03 00:00:00' "
+        "WHEN c_custkey % 10 = 1 THEN TIMESTAMP_NTZ '2024-03-01 00:00:00' END AS DOD",
     )
 
 
 def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    u = F.col("user_id")
-    died = u % 4 == 0
-    death = F.when(
-        died, F.col("m") + _hours(u % 90) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(30))
-    )
-    return _first_event(spark, sf_dir).select(
-        u.alias("SUBJECT_ID"),
-        (u + HADM_OFFSET).alias("HADM_ID"),
-        death.alias("DEATHTIME"),
-        F.when(died, 1).otherwise(0).cast("int").alias("HOSPITAL_EXPIRE_FLAG"),
+    return _first_event(spark, sf_dir).selectExpr(
+        "user_id AS SUBJECT_ID",
+        f"user_id + {HADM_OFFSET} AS HADM_ID",
+        "CASE WHEN user_id % 4 = 0 THEN m + make_dt_interval(0, CAST(user_id % 90 AS INT), 30) END AS DEATHTIME",
+        "CAST(CASE WHEN user_id % 4 = 0 THEN 1 ELSE 0 END AS INT) AS HOSPITAL_EXPIRE_FLAG",
     )
 
 
-def labevents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labevents(spark: SparkSession, sf_dir: str, stays_df: DataFrame | None = None) -> DataFrame:
     """Point-form domain: ID, t (hours since INTIME), variable_name, variable_value."""
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    st = stays(spark, sf_dir).select(F.col("SUBJECT_ID").alias("user_id"), "ICUSTAY_ID", "INTIME")
-    e = F.col("event_id")
-    return ev.join(st, "user_id").select(
-        F.col("ICUSTAY_ID").alias("ID"),
-        hours_between("INTIME", "ts").alias("t"),
-        F.when(e % 2003 == 0, F.lit("rare_test")).otherwise(F.col("event_type")).alias("variable_name"),
-        F.when(e % 29 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("variable_value"),
+    st = (stays_df if stays_df is not None else stays(spark, sf_dir)).selectExpr(
+        "SUBJECT_ID AS user_id", "ICUSTAY_ID", "INTIME")
+    return ev.join(st, "user_id").selectExpr(
+        "ICUSTAY_ID AS ID",
+        f"timestampdiff(MICROSECOND, INTIME, ts) / {_US_PER_HOUR} AS t",
+        "CASE WHEN event_id % 2003 = 0 THEN 'rare_test' ELSE event_type END AS variable_name",
+        "CASE WHEN event_id % 29 = 0 THEN 'n/a' ELSE CAST(value AS STRING) END AS variable_value",
     )
 
 
-def outputevents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def outputevents(spark: SparkSession, sf_dir: str, lab: DataFrame | None = None) -> DataFrame:
     """Two binary flags (parity of the hour) and one continuous volume."""
-    lab = labevents(spark, sf_dir).where(F.col("variable_name").isin("purchase", "signup", "view"))
-    name = F.col("variable_name")
-    flag = name.isin("purchase", "signup")
-    return lab.select(
+    lab = lab if lab is not None else labevents(spark, sf_dir)
+    return lab.where(F.col("variable_name").isin("purchase", "signup", "view")).selectExpr(
         "ID",
         "t",
-        F.when(flag, F.concat(F.lit("flag_"), name)).otherwise(F.lit("vol_view")).alias("variable_name"),
-        F.when(flag, (F.ceil("t").cast("bigint") % 2).cast("string"))
-        .otherwise(F.col("variable_value"))
-        .alias("variable_value"),
+        "CASE WHEN variable_name IN ('purchase', 'signup') THEN concat('flag_', variable_name) "
+        "ELSE 'vol_view' END AS variable_name",
+        "CASE WHEN variable_name IN ('purchase', 'signup') THEN CAST(CAST(ceil(t) AS BIGINT) % 2 AS STRING) "
+        "ELSE variable_value END AS variable_value",
     )
 
 
-def inputevents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def inputevents(spark: SparkSession, sf_dir: str, lab: DataFrame | None = None) -> DataFrame:
     """Interval-form domain: t_start, t_end instead of t."""
-    lab = labevents(spark, sf_dir).where(F.col("variable_name") == "error")
-    return lab.select(
-        "ID",
-        F.col("t").alias("t_start"),
-        (F.col("t") + 0.5).alias("t_end"),
-        F.lit("drug_error").alias("variable_name"),
-        "variable_value",
-    )
+    lab = lab if lab is not None else labevents(spark, sf_dir)
+    return lab.where(F.col("variable_name") == "error").selectExpr(
+        "ID", "t AS t_start", "t + 0.5D AS t_end", "'drug_error' AS variable_name", "variable_value")
 
 
-def time_invariant(spark: SparkSession, sf_dir: str) -> DataFrame:
+def time_invariant(spark: SparkSession, sf_dir: str, stays_df: DataFrame | None = None) -> DataFrame:
     """Long static attributes for every stay's subject (nine names)."""
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    users = stays(spark, sf_dir).select(F.col("SUBJECT_ID").alias("c_custkey"))
-    k = F.col("c_custkey")
-
-    def pick(values, mod):
-        expr = None
-        for i, v in enumerate(values):
-            expr = (F.when(k % mod == i, F.lit(v)) if expr is None else expr.when(k % mod == i, F.lit(v)))
-        return expr
-
+    users = (stays_df if stays_df is not None else stays(spark, sf_dir)).selectExpr("SUBJECT_ID AS c_custkey")
+    k = "c_custkey"
     wide = (
         cust.join(users, "c_custkey", "left_semi")
         .join(nation, cust.c_nationkey == nation.n_nationkey, "left")
         .join(region, nation.n_regionkey == region.r_regionkey, "left")
-        .select(
-            (k + STAY_OFFSET).alias("ID"),
-            F.col("n_name").alias("ADMISSION_LOCATION"),
-            F.col("c_mktsegment").alias("ADMISSION_TYPE"),
-            (20 + k % 70).cast("string").alias("AGE"),
-            F.col("r_name").alias("ETHNICITY"),
-            F.when(k % 2 == 0, F.lit("M")).otherwise(F.lit("F")).alias("GENDER"),
-            pick(INSURANCE_VALUES, 3).alias("INSURANCE"),
-            F.when(k % 7 == 0, F.lit(None).cast("string"))
-            .when(k % 2 == 0, F.lit("ENGL"))
-            .otherwise(F.lit("SPAN"))
-            .alias("LANGUAGE"),
-            pick(MARITAL_VALUES, 4).alias("MARITAL_STATUS"),
-            pick(RELIGION_VALUES, 5).alias("RELIGION"),
+        .selectExpr(
+            f"{k} + {STAY_OFFSET} AS ID",
+            "n_name AS ADMISSION_LOCATION",
+            "c_mktsegment AS ADMISSION_TYPE",
+            f"CAST(20 + {k} % 70 AS STRING) AS AGE",
+            "r_name AS ETHNICITY",
+            f"CASE WHEN {k} % 2 = 0 THEN 'M' ELSE 'F' END AS GENDER",
+            f"{_pick(k, INSURANCE_VALUES, 3)} AS INSURANCE",
+            f"CASE WHEN {k} % 7 = 0 THEN NULL WHEN {k} % 2 = 0 THEN 'ENGL' ELSE 'SPAN' END AS LANGUAGE",
+            f"{_pick(k, MARITAL_VALUES, 4)} AS MARITAL_STATUS",
+            f"{_pick(k, RELIGION_VALUES, 5)} AS RELIGION",
         )
     )
     long = wide.unpivot("ID", STATIC_ATTRIBUTES, "variable_name", "variable_value")
-    return long.where(F.col("variable_value").isNotNull()).select(
-        "ID", F.lit(None).cast("double").alias("t"), "variable_name", "variable_value"
-    )
+    return long.where(F.col("variable_value").isNotNull()).selectExpr(
+        "ID", "CAST(NULL AS DOUBLE) AS t", "variable_name", "variable_value")
 
 
 def domains(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The event-domain dict the pipeline consumes (lazy DataFrames)."""
+    st = stays(spark, sf_dir)
+    lab = labevents(spark, sf_dir, st)
     return {
-        "LABEVENTS": labevents(spark, sf_dir),
-        "OUTPUTEVENTS": outputevents(spark, sf_dir),
-        "INPUTEVENTS_MV": inputevents(spark, sf_dir),
-        "TIME_INVARIANT": time_invariant(spark, sf_dir),
+        "LABEVENTS": lab,
+        "OUTPUTEVENTS": outputevents(spark, sf_dir, lab),
+        "INPUTEVENTS_MV": inputevents(spark, sf_dir, lab),
+        "TIME_INVARIANT": time_invariant(spark, sf_dir, st),
     }
 
 
@@ -177,8 +148,5 @@ def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, label, prediction) with naturally tied predictions."""
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "n_chars")
-    return labels.join(docs, "doc_id").select(
-        "doc_id",
-        F.col("quality").cast("int").alias("label"),
-        F.least(F.col("n_chars") / F.lit(20000.0), F.lit(1.0)).alias("prediction"),
-    )
+    return labels.join(docs, "doc_id").selectExpr(
+        "doc_id", "CAST(quality AS INT) AS label", "least(n_chars / 20000.0D, 1.0D) AS prediction")

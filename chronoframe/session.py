@@ -74,6 +74,19 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table, ``{sf_dir}/{name}.parquet``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table, ``{sf_dir}/{name}.parquet``.
+
+    The scan DataFrame (file listing and footer schema) is reused within a
+    session; DataFrames are immutable, so sharing one is safe.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df

@@ -128,6 +128,56 @@ def filter_prevalent(domains: dict[str, DataFrame], denominator_domain: str = "L
     return out
 
 
+def hourly_cube(domains: dict[str, DataFrame], names: list[str], id_col: str = ID) -> DataFrame:
+    """One pass over the raw rows of many domains (A1-A4 fused).
+
+    Groups by (domain, id, variable, hour, t ≥ 0) with the sum and count of
+    the parseable values. Prevalence (every row, any time, any value) and the
+    hourly means (rows from the origin with a number) both come from this
+    small table, so the raw events are scanned and shuffled once; map-side
+    partial aggregation shrinks the shuffle. Hours are stored as double
+    (exact for whole hours) so point and interval domains share a schema.
+    """
+    parts = []
+    for n in names:
+        df = domains[n]
+        tcol = time_column(df)
+        hour = ceil_hour(tcol) if tcol == "t" else F.col(tcol)
+        parts.append(df.select(
+            F.lit(n).alias("domain"), F.col(id_col).alias(ID), VAR, hour.cast("double").alias("t"),
+            (F.col(tcol) >= 0).alias("ok"), parse_numeric(VAL).alias("v")))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.groupBy("domain", ID, VAR, "t", "ok").agg(F.sum("v").alias("s"), F.count("v").alias("n"))
+
+
+def cube_prevalence(cube: DataFrame, names: list[str]) -> tuple[dict[str, int], dict[str, dict[str, int]]]:
+    """:func:`prevalence_stats` read off the hourly cube (one small job)."""
+    per_var = (cube.where(F.col(VAR).isNotNull()).select("domain", ID, VAR).distinct()
+               .groupBy("domain", VAR).agg(F.count(F.lit(1)).alias("n")).withColumn("_lvl", F.lit(1)))
+    per_dom = cube.groupBy("domain").agg(F.countDistinct(ID).alias("n")).select(
+        "domain", F.lit(None).cast("string").alias(VAR), "n", F.lit(0).alias("_lvl"))
+    totals: dict[str, int] = {n: 0 for n in names}
+    counts: dict[str, dict[str, int]] = {n: {} for n in names}
+    for r in per_var.unionByName(per_dom).collect():
+        if r["_lvl"] == 0:
+            totals[r["domain"]] = r["n"]
+        else:
+            counts[r["domain"]][r[VAR]] = r["n"]
+    return totals, counts
+
+
+def hourly_from_cube(cube: DataFrame, domain: str, keep: list[str], point: bool = True,
+                     id_col: str = ID) -> DataFrame:
+    """Hourly means of one domain: rows from the origin, kept variables, with
+    a value; mean = sum / count (exactly Spark's ``avg``)."""
+    c = cube.where((F.col("domain") == domain) & F.col("ok") & (F.col("n") > 0) & F.col(ID).isNotNull()
+                   & F.col("t").isNotNull() & F.col(VAR).isin(list(keep)))
+    t = F.col("t").cast("bigint") if point else F.col("t")
+    return c.select(F.col(ID).alias(id_col), VAR, t.alias("t"), (F.col("s") / F.col("n")).alias(VAL))
+
+
 def coerce_numeric(df: DataFrame, column: str = VAL) -> DataFrame:
     """Value text → double, unparseable → null."""
     return df.withColumn(column, parse_numeric(column))

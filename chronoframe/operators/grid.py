@@ -58,6 +58,101 @@ def hourly_stats(hourly: DataFrame, max_hours: int = MAX_GRID_HOURS, max_columns
     return HourlyStats(names, binary, other, hours)
 
 
+def hourly_stats_many(hourly: dict[str, DataFrame], max_hours: int = MAX_GRID_HOURS,
+                      max_columns: int = 100_000) -> dict[str, HourlyStats]:
+    """:func:`hourly_stats` for several domains in one job."""
+    parts = []
+    v = F.col(VAL)
+    for d, h in hourly.items():
+        per_var = h.where(v.isNotNull() & F.col(VAR).isNotNull()).groupBy(VAR).agg(
+            F.min(v).alias("mn"), F.max(v).alias("mx"), F.max(F.when(~v.isin(0, 1), 1).otherwise(0)).alias("ot"),
+        ).limit(max_columns + 1).select(F.lit(d).alias("_d"), F.lit(1).alias("_k"), VAR, "mn", "mx", "ot",
+                                        F.lit(None).cast("double").alias("t"))
+        per_hour = h.select("t").where(F.col("t").isNotNull()).distinct().limit(max_hours + 1).select(
+            F.lit(d).alias("_d"), F.lit(0).alias("_k"), F.lit(None).cast("string").alias(VAR),
+            F.lit(None).cast("double").alias("mn"), F.lit(None).cast("double").alias("mx"),
+            F.lit(None).cast("int").alias("ot"), F.col("t").cast("double").alias("t"))
+        parts += [per_var, per_hour]
+    if not parts:
+        return {}
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    rows = u.collect()
+    out = {}
+    for d, h in hourly.items():
+        t_type = dict(h.dtypes)["t"]
+        cast = int if t_type in ("bigint", "int") else float
+        hours = sorted(cast(r["t"]) for r in rows if r["_d"] == d and r["_k"] == 0)
+        stats = [r for r in rows if r["_d"] == d and r["_k"] == 1]
+        if len(hours) > max_hours:
+            raise ValueError(f"{d}: more than {max_hours} distinct hours; grid too large")
+        if len(stats) > max_columns:
+            raise ValueError(f"{d}: more than {max_columns} variables; pivot would be too wide")
+        names = sorted(r[VAR] for r in stats)
+        binary = sorted(r[VAR] for r in stats if r["mn"] == 0 and r["mx"] == 1 and r["ot"] == 0)
+        out[d] = HourlyStats(names, binary, [n for n in names if n not in binary], hours)
+    return out
+
+
+def plan_from_cube(cube: DataFrame, names: list[str], denominator: str = "LABEVENTS", threshold: float = 0.05,
+                   max_hours: int = MAX_GRID_HOURS, max_columns: int = 100_000
+                   ) -> tuple[dict[str, list[str]], dict[str, HourlyStats]]:
+    """Prevalence filter and planning facts of every domain in one job.
+
+    From the hourly cube: entities per (domain, variable) over all rows; the
+    value range per (domain, variable) over rows from the origin; distinct
+    entities per domain; and per (domain, hour) the largest entity count of
+    any variable observed in that hour — an hour survives the prevalence
+    filter exactly when that maximum passes the threshold, so the kept hours
+    are known without collecting (hour, variable) pairs. Collected rows are
+    one per variable and one per hour (both bounded and checked).
+    """
+    from chronoframe.operators.events import ID as _ID
+
+    usable = (F.col("ok") & (F.col("n") > 0) & F.col(_ID).isNotNull() & F.col("t").isNotNull()
+              & F.col(VAR).isNotNull())
+    mean = F.col("s") / F.col("n")
+    var_ids = (cube.where(F.col(VAR).isNotNull()).select("domain", _ID, VAR).distinct()
+               .groupBy("domain", VAR).agg(F.count(F.lit(1)).alias("n_ids")))
+    var_vals = cube.where(usable).groupBy("domain", VAR).agg(
+        F.min(mean).alias("mn"), F.max(mean).alias("mx"),
+        F.max(F.when(~mean.isin(0, 1), 1).otherwise(0)).alias("ot"))
+    per_var = var_ids.join(var_vals, ["domain", VAR], "left").select(
+        F.lit(1).alias("_k"), "domain", VAR, "n_ids", "mn", "mx", "ot", F.lit(None).cast("double").alias("t"))
+    hour_max = (cube.where(usable).select("domain", "t", VAR).distinct().join(var_ids, ["domain", VAR])
+                .groupBy("domain", "t").agg(F.max("n_ids").alias("n_ids"))).select(
+        F.lit(2).alias("_k"), "domain", F.lit(None).cast("string").alias(VAR), "n_ids",
+        F.lit(None).cast("double").alias("mn"), F.lit(None).cast("double").alias("mx"),
+        F.lit(None).cast("int").alias("ot"), "t")
+    totals = cube.groupBy("domain").agg(F.countDistinct(_ID).alias("n_ids")).select(
+        F.lit(0).alias("_k"), "domain", F.lit(None).cast("string").alias(VAR), "n_ids",
+        F.lit(None).cast("double").alias("mn"), F.lit(None).cast("double").alias("mx"),
+        F.lit(None).cast("int").alias("ot"), F.lit(None).cast("double").alias("t"))
+    limit = len(names) * (max_hours + max_columns) + len(names) + 1
+    rows = per_var.unionByName(hour_max).unionByName(totals).limit(limit).collect()
+    total = next((r["n_ids"] for r in rows if r["_k"] == 0 and r["domain"] == denominator), 0)
+
+    def passes(n):
+        return bool(total) and n / total >= threshold
+
+    keep, stats = {}, {}
+    for d in names:
+        vars_d = [r for r in rows if r["_k"] == 1 and r["domain"] == d]
+        kept = sorted(r[VAR] for r in vars_d if passes(r["n_ids"]))
+        present = [r for r in vars_d if passes(r["n_ids"]) and r["mn"] is not None]
+        hours = sorted(r["t"] for r in rows if r["_k"] == 2 and r["domain"] == d and passes(r["n_ids"]))
+        if len(hours) > max_hours:
+            raise ValueError(f"{d}: more than {max_hours} distinct hours; grid too large")
+        if len(present) > max_columns:
+            raise ValueError(f"{d}: more than {max_columns} variables; pivot would be too wide")
+        names_d = sorted(r[VAR] for r in present)
+        binary = sorted(r[VAR] for r in present if r["mn"] == 0 and r["mx"] == 1 and r["ot"] == 0)
+        keep[d] = kept
+        stats[d] = HourlyStats(names_d, binary, [n for n in names_d if n not in binary], hours)
+    return keep, stats
+
+
 def variable_names(df: DataFrame, max_columns: int = 100_000) -> list[str]:
     """Sorted distinct variable names; one per output column (bounded by width)."""
     names = [r[VAR] for r in df.select(VAR).where(F.col(VAR).isNotNull()).distinct().limit(max_columns + 1).collect()]

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoframe.operators.cohort import attach_patient_admission, add_age_and_death_hour, build_cohort
-from chronoframe.operators.events import filter_prevalent, prepare_hourly
-from chronoframe.operators.grid import HourlyStats, hourly_stats, pivot_hourly
+from chronoframe.operators.events import filter_prevalent, hourly_cube, hourly_from_cube, time_column
+from chronoframe.operators.grid import HourlyStats, pivot_hourly, plan_from_cube
+from chronoframe.session import materialize
 from chronoframe.operators.labels import add_lookahead_label
 from chronoframe.operators.skeleton import build_outcome, build_skeleton, domain_features_at, model_matrix
 from chronoframe.operators.static import static_features
@@ -43,15 +44,40 @@ def filtered_domains(spark: SparkSession, sf_dir: str, threshold: float = 0.05)
     return filter_prevalent(fixtures.domains(spark, sf_dir), "LABEVENTS", threshold)
 
 
-def hourly_domains(spark: SparkSession, sf_dir: str, excluded=DYNAMIC_EXCLUDED) -> dict[str, DataFrame]:
-    doms = filtered_domains(spark, sf_dir)
-    return {name: prepare_hourly(df) for name, df in doms.items() if name not in excluded}
-
-
-def hourly_with_stats(spark: SparkSession, sf_dir: str, domains: list[str]) -> dict[str, tuple[DataFrame, HourlyStats]]:
-    """Hourly means and their planning facts (one job per domain)."""
-    hourly = hourly_domains(spark, sf_dir)
-    return {d: (hourly[d], hourly_stats(hourly[d])) for d in domains if d in hourly}
+def _hourly_plan(spark: SparkSession, sf_dir: str, excluded, threshold: float, denominator: str):
+    """Stage 2 + the hourly means of stage 3 for every dynamic domain.
+
+    The raw rows are read once into the hourly cube (written to the shared
+    checkpoint folder); prevalence, kept hours and variable kinds are read off
+    the cube in one job, and the filter is applied to the cube, which equals
+    filtering rows first and averaging after.
+    """
+    doms = fixtures.domains(spark, sf_dir)
+    filtered = [d for d in doms if d != "TIME_INVARIANT"]
+    cube = materialize(hourly_cube(doms, filtered), "hourly-cube")
+    keep, stats = plan_from_cube(cube, filtered, denominator, threshold)
+    out = {}
+    for d in filtered:
+        if d in excluded:
+            continue
+        point = time_column(doms[d]) == "t"
+        if point:
+            stats[d].hours = [int(h) for h in stats[d].hours]
+        out[d] = (hourly_from_cube(cube, d, keep[d], point=point), stats[d])
+    return out
+
+
+def hourly_domains(spark: SparkSession, sf_dir: str, excluded=DYNAMIC_EXCLUDED, threshold: float = 0.05,
+                   denominator: str = "LABEVENTS") -> dict[str, DataFrame]:
+    return {d: h for d, (h, _) in _hourly_plan(spark, sf_dir, excluded, threshold, denominator).items()}
+
+
+def hourly_with_stats(spark: SparkSession, sf_dir: str, domains: list[str], excluded=DYNAMIC_EXCLUDED,
+                      threshold: float = 0.05, denominator: str = "LABEVENTS"
+                      ) -> dict[str, tuple[DataFrame, HourlyStats]]:
+    """Hourly means and their planning facts (one planning job for all domains)."""
+    plan = _hourly_plan(spark, sf_dir, excluded, threshold, denominator)
+    return {d: plan[d] for d in domains if d in plan}
 
 
 def base_from(hourly: DataFrame, stats: HourlyStats) -> DataFrame:

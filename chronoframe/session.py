@@ -74,6 +74,18 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Cut lineage by writing a table to the shared checkpoint folder and
+    reading it back: computed once, survives executor loss, and later jobs
+    scan the (small) written result instead of recomputing it."""
+    path = scratch_path(df.sparkSession, name)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 _TABLES: dict[tuple[str, str], DataFrame] = {}
 
 

@@ -567,3 +567,22 @@ ORACLE_SQL.update({
         "FROM scored WHERE label IS NOT NULL AND prediction IS NOT NULL"
     ),
 })
+
+
+# =========================================================================== streaming
+def q_stream_copy_dataset(spark, sf):
+    from chronoframe.streaming import stream_copy
+
+    src = _lineitem_dataset(spark, sf, files_per_task=4)
+    dst = scratch_path(spark, "lineitem-stream-copy")
+    where = F.col("l_discount") >= 0.05
+    out = stream_copy(spark, src, dst, ["l_orderkey", "l_linenumber", "l_discount", "l_tax"], where,
+                      ["l_returnflag"], max_files_per_trigger=2)
+    return round_doubles(out)
+
+
+SPARK_QUERIES["stream_copy_dataset"] = q_stream_copy_dataset
+ORACLE_SQL["stream_copy_dataset"] = (
+    "SELECT l_orderkey, l_linenumber, round(l_discount, 6) AS l_discount, round(l_tax, 6) AS l_tax, l_returnflag "
+    "FROM lineitem WHERE l_discount >= 0.05"
+)

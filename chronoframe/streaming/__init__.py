@@ -1 +1,3 @@
+from chronoframe.streaming.copy import stream_copy
 
+__all__ = ["stream_copy"]

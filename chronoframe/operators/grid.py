@@ -12,7 +12,7 @@ from chronoframe.operators.events import ID, VAL, VAR
 # The reference grid has one row per (entity, distinct hour). The hour list is
 # collected once to build it; this bound keeps that list (and each entity's
 # slice of the grid) a checked size.
-MAX_GRID_HOURS = 1_000_000
+MAX_GRID_HOURS = 100_000
 # Pivot column ceiling: wider tables are pivoted in groups and joined on keys
 # so generated code stays under the codegen field limits.
 PIVOT_BATCH = 400

@@ -28,6 +28,7 @@ class HourlyStats:
     binary: list
     other: list
     hours: list
+    n_ids: int | None = None  # upper bound on the domain's entities (sizes the grid)
 
 
 def hourly_stats(hourly: DataFrame, max_hours: int = MAX_GRID_HOURS, max_columns: int = 100_000) -> HourlyStats:
@@ -149,7 +150,8 @@ def plan_from_cube(cube: DataFrame, names: list[str], denominator: str = "LABEVE
         names_d = sorted(r[VAR] for r in present)
         binary = sorted(r[VAR] for r in present if r["mn"] == 0 and r["mx"] == 1 and r["ot"] == 0)
         keep[d] = kept
-        stats[d] = HourlyStats(names_d, binary, [n for n in names_d if n not in binary], hours)
+        n_ids = next((r["n_ids"] for r in rows if r["_k"] == 0 and r["domain"] == d), 0)
+        stats[d] = HourlyStats(names_d, binary, [n for n in names_d if n not in binary], hours, n_ids)
     return keep, stats
 
 
@@ -169,21 +171,36 @@ def distinct_hours(df: DataFrame, max_hours: int = MAX_GRID_HOURS) -> list:
     return sorted(hours)
 
 
+# Target rows per grid partition when the dense grid is generated.
+GRID_ROWS_PER_PARTITION = 1_000_000
+
+
 def reference_grid(hourly: DataFrame, id_col: str = ID, max_hours: int = MAX_GRID_HOURS,
-                   hours: list | None = None) -> DataFrame:
+                   hours: list | None = None, n_ids: int | None = None) -> DataFrame:
     """Every entity of the domain × every distinct hour of the domain.
 
     Built by exploding the (size-checked) hour list per entity, so each entity
-    yields exactly |hours| rows and no entity is heavier than another.
+    yields exactly |hours| rows and no entity is heavier than another. The
+    entity list is small while the grid is |entities| × |hours| rows, so the
+    entities are first spread over an explicit number of partitions sized
+    from the grid (AQE keeps an explicit count; left alone it would coalesce
+    the tiny entity list into one task that then emits the whole grid).
     """
     if hours is None:
         hours = distinct_hours(hourly, max_hours)
     if not hours:
         return hourly.select(id_col, "t").limit(0)
+    spark = hourly.sparkSession
     ids = hourly.select(id_col).distinct()
+    if n_ids is None:
+        n_ids = ids.count()
+    parts = max(spark.sparkContext.defaultParallelism,
+                -(-n_ids * len(hours) // GRID_ROWS_PER_PARTITION))
     t_type = dict(hourly.dtypes)["t"]
     arr = F.lit(list(hours)).cast(f"array<{t_type}>")
-    return ids.select(id_col, F.explode(arr).alias("t"))
+    # round-robin: a hash repartition on the id would be merged into the
+    # distinct's own exchange and then coalesced
+    return ids.repartition(parts).select(id_col, F.explode(arr).alias("t"))
 
 
 def _pivot(hourly: DataFrame, names: list[str], id_col: str) -> DataFrame:
@@ -209,7 +226,7 @@ def pivot_observed(hourly: DataFrame, names: list[str] | None = None, id_col: st
 
 
 def pivot_hourly(hourly: DataFrame, names: list[str] | None = None, grid: str | DataFrame = "reference",
-                 id_col: str = ID, hours: list | None = None) -> DataFrame:
+                 id_col: str = ID, hours: list | None = None, n_ids: int | None = None) -> DataFrame:
     """Hourly long means → wide table, one double column per variable.
 
     ``grid="reference"`` reproduces the reference's dense entity × distinct
@@ -222,7 +239,7 @@ def pivot_hourly(hourly: DataFrame, names: list[str] | None = None, grid: str |
     if isinstance(grid, DataFrame):
         keys = grid
     elif grid == "reference":
-        keys = reference_grid(hourly, id_col, hours=hours)
+        keys = reference_grid(hourly, id_col, hours=hours, n_ids=n_ids)
     elif grid == "observed":
         return wide
     else:

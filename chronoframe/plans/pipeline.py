@@ -81,7 +81,7 @@ def hourly_with_stats(spark: SparkSession, sf_dir: str, domains: list[str], excl
 
 
 def base_from(hourly: DataFrame, stats: HourlyStats) -> DataFrame:
-    return pivot_hourly(hourly, stats.names, grid="reference", hours=stats.hours)
+    return pivot_hourly(hourly, stats.names, grid="reference", hours=stats.hours, n_ids=stats.n_ids)
 
 
 def base_features(spark: SparkSession, sf_dir: str, domain: str) -> DataFrame:

@@ -141,7 +141,7 @@ def q_rolling_12h_window(spark, sf):
 
 def q_rolling_12h_explode(spark, sf):
     hourly, stats = pipeline.hourly_with_stats(spark, sf, ["LABEVENTS"])["LABEVENTS"]
-    grid = reference_grid(hourly, hours=stats.hours)
+    grid = reference_grid(hourly, hours=stats.hours, n_ids=stats.n_ids)
     roll = rolling_features_explode(hourly, stats.other)
     return round_doubles(grid.join(roll, ["ID", "t"], "left"))
 

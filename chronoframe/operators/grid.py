@@ -132,17 +132,20 @@ def plan_from_cube(cube: DataFrame, names: list[str], denominator: str = "LABEVE
         F.lit(None).cast("int").alias("ot"), F.lit(None).cast("double").alias("t"))
     limit = len(names) * (max_hours + max_columns) + len(names) + 1
     rows = per_var.unionByName(hour_max).unionByName(totals).limit(limit).collect()
-    total = next((r["n_ids"] for r in rows if r["_k"] == 0 and r["domain"] == denominator), 0)
+    total = next((r["n_ids"] for r in rows if r["_k"] == 0 and r["domain"] == denominator), 0)  # ≤ a few rows
 
     def passes(n):
         return bool(total) and n / total >= threshold
 
+    by_kind: dict[tuple[int, str], list] = {}
+    for r in rows:
+        by_kind.setdefault((r["_k"], r["domain"]), []).append(r.asDict())
     keep, stats = {}, {}
     for d in names:
-        vars_d = [r for r in rows if r["_k"] == 1 and r["domain"] == d]
+        vars_d = by_kind.get((1, d), [])
         kept = sorted(r[VAR] for r in vars_d if passes(r["n_ids"]))
         present = [r for r in vars_d if passes(r["n_ids"]) and r["mn"] is not None]
-        hours = sorted(r["t"] for r in rows if r["_k"] == 2 and r["domain"] == d and passes(r["n_ids"]))
+        hours = sorted(r["t"] for r in by_kind.get((2, d), []) if passes(r["n_ids"]))
         if len(hours) > max_hours:
             raise ValueError(f"{d}: more than {max_hours} distinct hours; grid too large")
         if len(present) > max_columns:
@@ -150,7 +153,7 @@ def plan_from_cube(cube: DataFrame, names: list[str], denominator: str = "LABEVE
         names_d = sorted(r[VAR] for r in present)
         binary = sorted(r[VAR] for r in present if r["mn"] == 0 and r["mx"] == 1 and r["ot"] == 0)
         keep[d] = kept
-        n_ids = next((r["n_ids"] for r in rows if r["_k"] == 0 and r["domain"] == d), 0)
+        n_ids = (by_kind.get((0, d)) or [{"n_ids": 0}])[0]["n_ids"]
         stats[d] = HourlyStats(names_d, binary, [n for n in names_d if n not in binary], hours, n_ids)
     return keep, stats
 
@@ -171,6 +174,18 @@ def distinct_hours(df: DataFrame, max_hours: int = MAX_GRID_HOURS) -> list:
     return sorted(hours)
 
 
+def hours_literal(hours: list, t_type: str = "bigint") -> str:
+    """SQL text of a typed array literal of hours: one expression parsed on the
+    JVM instead of one client call per element."""
+    body = ",".join(repr(float(h)) + "D" if t_type == "double" else str(int(h)) for h in hours)
+    return f"CAST(array({body}) AS array<{t_type}>)"
+
+
+def hour_in(col: str, hours: list, t_type: str = "bigint"):
+    """``col`` is one of ``hours`` (an InSet after optimisation)."""
+    return F.expr(f"array_contains({hours_literal(hours, t_type)}, {col})") if hours else F.lit(False)
+
+
 # Target rows per grid partition when the dense grid is generated.
 GRID_ROWS_PER_PARTITION = 1_000_000
 
@@ -197,7 +212,7 @@ def reference_grid(hourly: DataFrame, id_col: str = ID, max_hours: int = MAX_GRI
     parts = max(spark.sparkContext.defaultParallelism,
                 -(-n_ids * len(hours) // GRID_ROWS_PER_PARTITION))
     t_type = dict(hourly.dtypes)["t"]
-    arr = F.lit(list(hours)).cast(f"array<{t_type}>")
+    arr = F.expr(hours_literal(hours, t_type))
     # round-robin: a hash repartition on the id would be merged into the
     # distinct's own exchange and then coalesced
     return ids.repartition(parts).select(id_col, F.explode(arr).alias("t"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chronoframe.functions import floor_hour, hours_between, quote
 from chronoframe.operators.events import ID, VAL, VAR
-from chronoframe.operators.grid import HourlyStats, hourly_stats, pivot_observed
+from chronoframe.operators.grid import HourlyStats, hour_in, hourly_stats, pivot_observed
 from chronoframe.operators.windows import rolling_features_explode
 
 
@@ -91,7 +91,7 @@ def domain_features_at(hourly: DataFrame, keys: DataFrame, period: int = 12, id_
     """
     stats = hourly_stats(hourly) if stats is None else stats
     ids = hourly.select(id_col).distinct()
-    k = keys.select(id_col, F.col("t").cast("bigint").alias("t")).where(F.col("t").isin(list(stats.hours)))
+    k = keys.select(id_col, F.col("t").cast("bigint").alias("t")).where(hour_in("t", [int(h) for h in stats.hours]))
     k = k.join(ids, id_col, "left_semi")
     if stats.binary:
         feats = binary_features_at(hourly, k, stats.binary, id_col)

@@ -26,7 +26,7 @@ from chronoframe.operators.windows import (
     classify_columns, cumulative_count, forward_fill, rolling_features, rolling_features_explode,
     time_since, window_features,
 )
-from chronoframe.plans import fixtures, pipeline
+from chronoframe.plans import fixtures, stages
 from chronoframe.plans.oracle import q
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,13 +41,13 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
 
 # --------------------------------------------------------------------------- stage 1
 def q_cohort_deathtime(spark, sf):
-    df = pipeline.cohort_joined(spark, sf)
+    df = stages.cohort_joined(spark, sf)
     return round_doubles(df.select("SUBJECT_ID", "HADM_ID", "ICUSTAY_ID", "INTIME", "OUTTIME", "partition",
                                    "DOB", "DOD", "DEATHTIME", "HOSPITAL_EXPIRE_FLAG", "AGE", "HOUR_OF_DEATH"))
 
 
 def q_exclude_unrecorded_deaths(spark, sf):
-    return round_doubles(pipeline.cohort(spark, sf))
+    return round_doubles(stages.cohort(spark, sf))
 
 
 # --------------------------------------------------------------------------- stage 2
@@ -71,35 +71,35 @@ def q_variable_prevalence_own_domain(spark, sf):
 
 
 def q_filter_prevalent_from_origin(spark, sf):
-    doms = pipeline.filtered_domains(spark, sf)
+    doms = stages.filtered_domains(spark, sf)
     parts = [doms[d].withColumn("domain", F.lit(d)) for d in ("LABEVENTS", "OUTPUTEVENTS")]
     return round_doubles(parts[0].unionByName(parts[1]).select("domain", "ID", "t", "variable_name", "variable_value"))
 
 
 def q_interval_to_point(spark, sf):
-    doms = pipeline.filtered_domains(spark, sf)
+    doms = stages.filtered_domains(spark, sf)
     return round_doubles(to_point_events(doms["INPUTEVENTS_MV"]))
 
 
 def q_coerce_numeric(spark, sf):
-    doms = pipeline.filtered_domains(spark, sf)
+    doms = stages.filtered_domains(spark, sf)
     df = coerce_numeric(to_point_events(doms["LABEVENTS"])).na.drop("any")
     return round_doubles(df.select("ID", "t", "variable_name", "variable_value"))
 
 
 def q_hourly_mean(spark, sf):
-    h = pipeline.hourly_domains(spark, sf)
+    h = stages.hourly_domains(spark, sf)
     parts = [h[d].withColumn("domain", F.lit(d)) for d in ("LABEVENTS", "OUTPUTEVENTS")]
     return round_doubles(parts[0].unionByName(parts[1]))
 
 
 # --------------------------------------------------------------------------- stage 3
 def q_pivot_hourly_grid(spark, sf):
-    return round_doubles(pipeline.base_features(spark, sf, "LABEVENTS"))
+    return round_doubles(stages.base_features(spark, sf, "LABEVENTS"))
 
 
 def q_forward_fill(spark, sf):
-    return round_doubles(forward_fill(pipeline.base_features(spark, sf, "LABEVENTS")))
+    return round_doubles(forward_fill(stages.base_features(spark, sf, "LABEVENTS")))
 
 
 def q_static_pivot(spark, sf):
@@ -107,21 +107,21 @@ def q_static_pivot(spark, sf):
 
 
 def q_static_one_hot(spark, sf):
-    return round_doubles(pipeline.static_table(spark, sf))
+    return round_doubles(stages.static_table(spark, sf))
 
 
 # --------------------------------------------------------------------------- stage 4
 def q_classify_columns(spark, sf):
     rows = []
     for d in ("LABEVENTS", "OUTPUTEVENTS"):
-        binary, other = classify_columns(pipeline.base_features(spark, sf, d))
+        binary, other = classify_columns(stages.base_features(spark, sf, d))
         rows += [(d, c, 1) for c in binary] + [(d, c, 0) for c in other]
     return spark.createDataFrame(rows, "domain string, column_name string, is_binary int")
 
 
 def _out_binary(spark, sf):
-    hourly, stats = pipeline.hourly_with_stats(spark, sf, ["OUTPUTEVENTS"])["OUTPUTEVENTS"]
-    return pipeline.base_from(hourly, stats), stats.binary
+    hourly, stats = stages.hourly_with_stats(spark, sf, ["OUTPUTEVENTS"])["OUTPUTEVENTS"]
+    return stages.base_from(hourly, stats), stats.binary
 
 
 def q_cumulative_count(spark, sf):
@@ -135,42 +135,42 @@ def q_time_since(spark, sf):
 
 
 def q_rolling_12h_window(spark, sf):
-    hourly, stats = pipeline.hourly_with_stats(spark, sf, ["LABEVENTS"])["LABEVENTS"]
-    return round_doubles(rolling_features(pipeline.base_from(hourly, stats), stats.other))
+    hourly, stats = stages.hourly_with_stats(spark, sf, ["LABEVENTS"])["LABEVENTS"]
+    return round_doubles(rolling_features(stages.base_from(hourly, stats), stats.other))
 
 
 def q_rolling_12h_explode(spark, sf):
-    hourly, stats = pipeline.hourly_with_stats(spark, sf, ["LABEVENTS"])["LABEVENTS"]
+    hourly, stats = stages.hourly_with_stats(spark, sf, ["LABEVENTS"])["LABEVENTS"]
     grid = reference_grid(hourly, hours=stats.hours, n_ids=stats.n_ids)
     roll = rolling_features_explode(hourly, stats.other)
     return round_doubles(grid.join(roll, ["ID", "t"], "left"))
 
 
 def q_domain_window_features(spark, sf):
-    return round_doubles(pipeline.domain_window_table(spark, sf, "OUTPUTEVENTS"))
+    return round_doubles(stages.domain_window_table(spark, sf, "OUTPUTEVENTS"))
 
 
 # --------------------------------------------------------------------------- stage 5
 def q_outcome_table(spark, sf):
-    return round_doubles(pipeline.outcome(spark, sf))
+    return round_doubles(stages.outcome(spark, sf))
 
 
 def q_hourly_skeleton(spark, sf):
-    return pipeline.skeleton(spark, sf)
+    return stages.skeleton(spark, sf)
 
 
 def q_model_matrix(spark, sf):
-    return round_doubles(pipeline.matrix(spark, sf))
+    return round_doubles(stages.matrix(spark, sf))
 
 
 # --------------------------------------------------------------------------- stage 6
 def q_lookahead_label(spark, sf):
-    m = pipeline.labelled_matrix(spark, sf)
+    m = stages.labelled_matrix(spark, sf)
     return round_doubles(m.select("ID", "t", "HOUR_OF_DEATH", LABEL))
 
 
 def _splits(spark, sf):
-    return split_entities(pipeline.skeleton(spark, sf).select("ID"))
+    return split_entities(stages.skeleton(spark, sf).select("ID"))
 
 
 def q_split_entities(spark, sf):
@@ -183,7 +183,7 @@ def q_split_sizes(spark, sf):
 
 def _split_rows(which):
     def run(spark, sf):
-        m = pipeline.labelled_matrix(spark, sf)
+        m = stages.labelled_matrix(spark, sf)
         return round_doubles(split_rows(m, _splits(spark, sf), which))
     return run
 
@@ -375,15 +375,15 @@ def _lineitem_dataset(spark, sf, files_per_task: int = 1) -> str:
 
 def q_csv_round_trip(spark, sf):
     path = scratch_path(spark, "deathtime-csv")
-    write_csv_table(pipeline.cohort(spark, sf), path)
+    write_csv_table(stages.cohort(spark, sf), path)
     return round_doubles(read_csv_table(spark, path, COHORT_SCHEMA))
 
 
 def q_domain_round_trip(spark, sf):
     path = scratch_path(spark, "domains")
-    write_domains(pipeline.filtered_domains(spark, sf), path)
+    write_domains(stages.filtered_domains(spark, sf), path)
     back = read_domains(spark, path)
-    dynamic = [d for d in back if d not in pipeline.DYNAMIC_EXCLUDED]
+    dynamic = [d for d in back if d not in stages.DYNAMIC_EXCLUDED]
     parts = [back[d].withColumn("domain", F.lit(d)) for d in dynamic]
     out = parts[0]
     for p in parts[1:]:
@@ -393,7 +393,7 @@ def q_domain_round_trip(spark, sf):
 
 def q_feature_round_trip(spark, sf):
     path = scratch_path(spark, "LABEVENTS_base")
-    base = pipeline.base_features(spark, sf, "LABEVENTS")
+    base = stages.base_features(spark, sf, "LABEVENTS")
     write_features(base.withColumn("chunk", F.pmod(F.xxhash64("ID"), F.lit(4))), path, partition_by=["chunk"])
     picked = select_domains([path.rsplit("/", 1)[-1]], include="base", exclude="INPUT", suffix="_base")
     assert list(picked) == ["LABEVENTS"], picked
@@ -450,11 +450,11 @@ def q_split_ids_round_trip(spark, sf):
 
 
 def q_narrow_types(spark, sf):
-    return narrow_types(pipeline.static_table(spark, sf))
+    return narrow_types(stages.static_table(spark, sf))
 
 
 def q_sanitize_columns(spark, sf):
-    return round_doubles(sanitize_columns(pipeline.static_table(spark, sf)))
+    return round_doubles(sanitize_columns(stages.static_table(spark, sf)))
 
 
 def q_auroc(spark, sf):
@@ -470,7 +470,7 @@ def q_binary_error_logloss(spark, sf):
 
 
 def _split_tables(spark, sf):
-    m = pipeline.labelled_matrix(spark, sf)
+    m = stages.labelled_matrix(spark, sf)
     splits = _splits(spark, sf)
     return [split_rows(m, splits, w) for w in ("train", "val", "test")]
 

@@ -19,6 +19,8 @@ VAL = "variable_value"
 # Up to this many kept variables the membership filter is an in-list
 # predicate (a hash set in generated code); beyond it, a semi join.
 MAX_INLIST_VARIABLES = 20000
+# Variables per domain the driver accepts (each may become an output column).
+MAX_VARIABLES = 100_000
 
 
 def time_column(df: DataFrame) -> str:
@@ -98,7 +100,11 @@ def prevalence_stats(domains: dict[str, DataFrame], names: list[str], id_col: st
         "domain", F.lit(None).cast("string").alias(VAR), "n")
     totals: dict[str, int] = {n: 0 for n in names}
     counts: dict[str, dict[str, int]] = {n: {} for n in names}
-    for r in per_var.withColumn("_lvl", F.lit(1)).unionByName(per_dom.withColumn("_lvl", F.lit(0))).collect():
+    limit = len(names) * (MAX_VARIABLES + 1)
+    rows = per_var.withColumn("_lvl", F.lit(1)).unionByName(per_dom.withColumn("_lvl", F.lit(0))).limit(limit).collect()
+    if len(rows) >= limit:
+        raise ValueError(f"more than {MAX_VARIABLES} variables in a domain")
+    for r in rows:
         if r["_lvl"] == 0:
             totals[r["domain"]] = r["n"]
         else:

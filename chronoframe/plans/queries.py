@@ -349,7 +349,7 @@ ORACLE_SQL: dict[str, str] = {
 from chronoframe.operators.grid import narrow_types  # noqa: E402
 from chronoframe.operators.metrics import auroc, average_precision, binary_error_logloss  # noqa: E402
 from chronoframe.functions import sanitize_columns  # noqa: E402
-from chronoframe.session import read_table, scratch_path  # noqa: E402
+from chronoframe.session import materialize, read_table, scratch_path  # noqa: E402
 from chronoframe.sources import (  # noqa: E402
     copy_dataset, merge_datasets, read_csv_table, read_domains, read_features, read_split_ids, repack, scan,
     select_domains, unique_values, write_csv_table, write_domains, write_features, write_partitioned,
@@ -470,8 +470,10 @@ def q_binary_error_logloss(spark, sf):
 
 
 def _split_tables(spark, sf):
-    m = stages.labelled_matrix(spark, sf)
-    splits = _splits(spark, sf)
+    # model fitting makes many passes: cut the matrix lineage once (written
+    # table in the shared checkpoint folder) instead of recomputing it per pass
+    m = materialize(stages.labelled_matrix(spark, sf), "labelled-matrix")
+    splits = materialize(_splits(spark, sf), "splits")
     return [split_rows(m, splits, w) for w in ("train", "val", "test")]
 
 

@@ -13,18 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoframe.functions import quote
-from chronoframe.operators.events import (
-    coerce_numeric, distinct_entities, filter_from_origin, keep_variables, prepare_hourly,
-    prevalent_variables, to_point_events, variable_prevalence,
-)
-from chronoframe.operators.grid import pivot_hourly, reference_grid, variable_names
+from chronoframe.operators.events import coerce_numeric, distinct_entities, to_point_events, variable_prevalence
+from chronoframe.operators.grid import reference_grid
 from chronoframe.operators.labels import LABEL
-from chronoframe.operators.skeleton import classify_variables
 from chronoframe.operators.split import split_entities, split_rows
 from chronoframe.operators.static import pivot_static
 from chronoframe.operators.windows import (
-    classify_columns, cumulative_count, forward_fill, rolling_features, rolling_features_explode,
-    time_since, window_features,
+    classify_columns, cumulative_count, forward_fill, rolling_features, rolling_features_explode, time_since,
 )
 from chronoframe.plans import fixtures, stages
 from chronoframe.plans.oracle import q

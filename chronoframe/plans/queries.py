@@ -160,7 +160,7 @@ def q_model_matrix(spark, sf):
 
 # --------------------------------------------------------------------------- stage 6
 def q_lookahead_label(spark, sf):
-    m = stages.labelled_matrix(spark, sf)
+    m = stages.labelled_matrix(spark, sf, via_join=True)
     return round_doubles(m.select("ID", "t", "HOUR_OF_DEATH", LABEL))
 
 

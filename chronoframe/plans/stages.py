@@ -117,9 +117,17 @@ def matrix(spark: SparkSession, sf_dir: str, with_hod: bool = False) -> DataFram
     return model_matrix(sk, static_table(spark, sf_dir), feats)
 
 
-def labelled_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Matrix with HOUR_OF_DEATH (distinct per stay, joined) and the label."""
-    return add_lookahead_label(matrix(spark, sf_dir), outcome(spark, sf_dir))
+def labelled_matrix(spark: SparkSession, sf_dir: str, via_join: bool = False) -> DataFrame:
+    """Matrix with HOUR_OF_DEATH and the label.
+
+    Default: HOUR_OF_DEATH rides along from the skeleton (one row per stay),
+    so the wide matrix is not reshuffled by ID for a join. ``via_join=True``
+    is the reference's form (J5: left join of the distinct (ID, HOUR_OF_DEATH)
+    pairs); both agree when stays are unique, which the skeleton requires.
+    """
+    if via_join:
+        return add_lookahead_label(matrix(spark, sf_dir), outcome(spark, sf_dir))
+    return add_lookahead_label(matrix(spark, sf_dir, with_hod=True))
 
 
 def key_columns(df: DataFrame) -> list[str]:

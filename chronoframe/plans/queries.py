@@ -108,8 +108,10 @@ def q_static_one_hot(spark, sf):
 # --------------------------------------------------------------------------- stage 4
 def q_classify_columns(spark, sf):
     rows = []
+    plan = stages.hourly_with_stats(spark, sf, ["LABEVENTS", "OUTPUTEVENTS"])
     for d in ("LABEVENTS", "OUTPUTEVENTS"):
-        binary, other = classify_columns(stages.base_features(spark, sf, d))
+        hourly, st = plan[d]
+        binary, other = classify_columns(stages.base_from(hourly, st))  # P14 on the wide base table
         rows += [(d, c, 1) for c in binary] + [(d, c, 0) for c in other]
     return spark.createDataFrame(rows, "domain string, column_name string, is_binary int")
 

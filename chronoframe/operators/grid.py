@@ -183,7 +183,10 @@ def hours_literal(hours: list, t_type: str = "bigint") -> str:
 
 def hour_in(col: str, hours: list, t_type: str = "bigint"):
     """``col`` is one of ``hours`` (an InSet after optimisation)."""
-    return F.expr(f"array_contains({hours_literal(hours, t_type)}, {col})") if hours else F.lit(False)
+    if not hours:
+        return F.lit(False)
+    body = ",".join(repr(float(h)) + "D" if t_type == "double" else str(int(h)) for h in hours)
+    return F.expr(f"{col} IN ({body})")
 
 
 # Target rows per grid partition when the dense grid is generated.

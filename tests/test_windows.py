@@ -98,3 +98,24 @@ def test_explode_route_equals_window_route(spark):
 def test_window_features_empty_domain_returns_keys(spark):
     df = spark.createDataFrame([(1, 0)], "ID long, t bigint")
     assert window_features(df).columns == ["ID", "t"]
+
+
+def test_reference_grid_is_spread_over_sized_partitions(spark, monkeypatch):
+    """The entity list is tiny but the grid is |entities| x |hours| rows: the
+    plan must spread the entities over an explicit, grid-sized partition count
+    (a hash repartition on the id would merge into the distinct's exchange)."""
+    import io
+    import contextlib
+
+    from chronoframe.operators import grid as grid_mod
+
+    monkeypatch.setattr(grid_mod, "GRID_ROWS_PER_PARTITION", 10)
+    hourly = spark.createDataFrame([(i, "a", t, 1.0) for i in range(40) for t in (0, 5, 9, 20, 30)],
+                                   "ID long, variable_name string, t bigint, variable_value double")
+    g = grid_mod.reference_grid(hourly, hours=[0, 5, 9, 20, 30], n_ids=40)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        g.explain()
+    want = max(spark.sparkContext.defaultParallelism, 40 * 5 // 10)  # 20: sized by the grid
+    assert f"RoundRobinPartitioning({want})" in buf.getvalue()
+    assert g.count() == 200

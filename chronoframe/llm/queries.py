@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoframe.llm import grammar_tokens, packing, token_counts
+from chronoframe.llm import decontaminate, fingerprints, grammar_tokens, jaccard_join, line_dedup, packing, token_counts
 from chronoframe.llm.common import table
 from chronoframe.session import scratch_path
 
@@ -14,6 +14,16 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    gone = F.coalesce(F.size("deleted_lines"), F.lit(0))
+    return kept.select(
+        "doc_id", F.size(F.split("text", "\n")).alias("n_kept"), gone.alias("n_deleted"),
+        F.coalesce(F.array_join(F.col("deleted_lines").cast("array<string>"), ","), F.lit("")).alias("deleted_lines"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
 def op2_grammar_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "llm-token-files")
     grammar_tokens.write_tokens(table(spark, sf_dir, "documents"), WORD_BPE, out)
@@ -21,6 +31,22 @@ def op2_grammar_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -30,7 +56,11 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_grammar_tokens": op2_grammar_tokens,
+    "op3_fingerprints": op3_fingerprints,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_jaccard_join": op5_jaccard_join,
     "op7_token_counts": op7_token_counts,
     "op9_best_fit_packing": op9_best_fit_packing,
 }

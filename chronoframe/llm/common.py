@@ -28,6 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def texts(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` alone (null text: empty), so that extra or
     clashing columns of the input never meet an operator's own names."""
+    ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 

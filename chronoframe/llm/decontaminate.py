@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoframe.llm.common import ascii_lower, texts, written
+from chronoframe.llm.common import LOWER, UPPER, ascii_lower, texts, written
 
 #: What stands between words.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -122,3 +122,25 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
         "doc_id", "h", "n_words", "n_hit", F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+def oracle_sql(width: int = 10) -> str:
+    """The same in DuckDB, from every window of the documents."""
+    words = "regexp_extract_all(translate(coalesce(text, ''), '{}', '{}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')".format(UPPER, LOWER)
+    return f"""
+WITH items AS (SELECT item_id, {words} AS ws FROM benchmark),
+wins AS (
+  SELECT DISTINCT item_id, ws[i:i + {width} - 1] AS win
+  FROM (SELECT *, unnest(range(1, greatest(len(ws) - {width} + 1, 1) + 1)) AS i FROM items WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT len(win) AS size FROM wins),
+docs AS (SELECT doc_id, {words} AS ws FROM documents),
+places AS (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM docs CROSS JOIN sizes WHERE len(ws) >= size),
+found AS (SELECT p.doc_id, p.i, p.size, w.item_id FROM places p JOIN wins w ON w.win = p.ws[p.i:p.i + p.size - 1]),
+hit AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS pos FROM found) GROUP BY doc_id),
+item AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(t.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(t.names, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN item t ON d.doc_id = t.doc_id
+"""

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoframe.llm.common import texts, written
+from chronoframe.llm.common import LOWER, UPPER, texts, written
 from chronoframe.llm.encoding import blocks
 
 #: Words of an n-gram.
@@ -302,3 +302,23 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
+
+
+def oracle_sql() -> str:
+    """The same in DuckDB, from all pairs that share an n-gram."""
+    words = "regexp_extract_all(translate(coalesce(text, ''), '{}', '{}'), '[^\\x20\\x09-\\x0D]+')".format(UPPER, LOWER)
+    return f"""
+WITH RECURSIVE docs AS (SELECT doc_id, {words} AS ws FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {SIZE} THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - {SIZE} + 2), lambda i: array_to_string(ws[i:i + {SIZE} - 1], ' '))) END AS grams
+  FROM docs),
+flat AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM sets),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS n
+  FROM flat x JOIN flat y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared WHERE 100 * n >= 85 * (na + nb - n)),
+reach AS (SELECT doc_id, doc_id AS top FROM docs UNION SELECT l.b, r.top FROM reach r JOIN links l ON l.a = r.doc_id)
+SELECT s.doc_id, len(s.grams)::BIGINT AS n_shingles, min(r.top) AS component_id
+FROM sets s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.grams
+"""

@@ -124,7 +124,8 @@ def copies(docs: DataFrame, min_words: int = 50) -> DataFrame:
     named = written(reduce(DataFrame.unionByName, named).distinct(), "named")
     name = ["m", "r1", "r2"]
     first = named.groupBy(*name).agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "seq")).alias("first")).filter("n > 1")
-    later = named.join(first, name).filter(
+    # written, so that the join can split a run that stands in very many places
+    later = named.join(written(first, "first"), name).filter(
         ~F.struct(*KEY, "seq").eqNullSafe(F.struct("first.doc_id", "first.h", "first.seq"))
     )
     gone = later.select(*KEY, F.explode(F.sequence("seq", F.col("seq") + F.col("m") - 1)).alias("seq")).distinct()
@@ -147,3 +148,30 @@ def dedup_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
     return joined.select(
         *[cleaned if c == "text" else F.col(f"`{c}`") for c in docs.columns], F.col("__positions").alias("deleted_lines")
     )
+
+
+def oracle_sql(min_words: int = 50) -> str:
+    """The rule in DuckDB, from every run of lines."""
+    return f"""
+WITH docs AS (SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents),
+cut AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM docs),
+every_line AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) - 1 AS pos FROM cut),
+wordy AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS seq,
+    len(regexp_extract_all(line, '[^ \t\n\x0B\f\r]+')) AS words
+  FROM every_line WHERE regexp_matches(line, '[^ \t\n\x0B\f\r]')),
+per_doc AS (SELECT doc_id, list(line ORDER BY seq) AS lines, list(pos ORDER BY seq) AS places, list(words ORDER BY seq) AS words FROM wordy GROUP BY doc_id),
+starts AS (SELECT *, unnest(range(1, len(lines) + 1)) AS a FROM per_doc),
+runs AS (
+  SELECT doc_id, a, b, md5(array_to_string(lines[a:b], chr(10))) AS content, places[a:b] AS places
+  FROM (SELECT *, unnest(range(a, len(lines) + 1)) AS b FROM starts) WHERE list_sum(words[a:b]) >= {min_words}),
+copies AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, a) AS nth FROM runs) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(places) AS pos FROM copies),
+kept AS (
+  SELECT e.doc_id, count(g.pos) AS n_deleted, count(*) - count(g.pos) AS n_left,
+    coalesce(string_agg(g.pos::VARCHAR, ',' ORDER BY g.pos), '') AS deleted_lines,
+    coalesce(string_agg(CASE WHEN g.pos IS NULL THEN e.line END, chr(10) ORDER BY e.pos), '') AS cleaned
+  FROM every_line e LEFT JOIN gone g USING (doc_id, pos) GROUP BY e.doc_id)
+SELECT d.doc_id, greatest(n_left, 1)::INTEGER AS n_kept, n_deleted::INTEGER AS n_deleted, deleted_lines, sha256(cleaned) AS text_sha256
+FROM documents d JOIN kept USING (doc_id)
+"""

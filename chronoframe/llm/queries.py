@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoframe.llm import decontaminate, fingerprints, grammar_tokens, jaccard_join, line_dedup, packing, token_counts
+from chronoframe.llm import (
+    decontaminate,
+    fingerprints,
+    grammar_tokens,
+    jaccard_join,
+    licenses,
+    line_dedup,
+    lm_scoring,
+    packing,
+    quality,
+    token_counts,
+)
 from chronoframe.llm.common import table
 from chronoframe.session import scratch_path
 
@@ -16,11 +27,12 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
-    gone = F.coalesce(F.size("deleted_lines"), F.lit(0))
+    text = F.coalesce("text", F.lit(""))
     return kept.select(
-        "doc_id", F.size(F.split("text", "\n")).alias("n_kept"), gone.alias("n_deleted"),
+        "doc_id", F.size(F.split(text, "\n")).alias("n_kept"),
+        F.coalesce(F.array_size("deleted_lines"), F.lit(0)).alias("n_deleted"),
         F.coalesce(F.array_join(F.col("deleted_lines").cast("array<string>"), ","), F.lit("")).alias("deleted_lines"),
-        F.sha2("text", 256).alias("text_sha256"),
+        F.sha2(text, 256).alias("text_sha256"),
     )
 
 
@@ -47,22 +59,43 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_grammar_tokens": op2_grammar_tokens,
     "op3_fingerprints": op3_fingerprints,
     "op4_decontaminate": op4_decontaminate,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_quality": op6_quality,
     "op7_token_counts": op7_token_counts,
+    "op8_license_scan": op8_license_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Where SQL can express the result.
+ORACLE_SQL: dict[str, str] = {
+    "op1_line_dedup": line_dedup.oracle_sql(),
+    "op4_decontaminate": decontaminate.oracle_sql(),
+    "op5_jaccard_join": jaccard_join.oracle_sql(),
+    "op8_license_scan": licenses.oracle_sql(),
+}

@@ -1,13 +1,16 @@
 """DuckDB SQL oracles for the registered queries.
 
 The fixture CTEs restate :mod:`chronoframe.plans.fixtures` in SQL. Feature
-oracles are written in long form (grid ⋈ hourly rows by range, then a dynamic
-PIVOT), a formulation independent of the Spark window / explode routes.
+oracles are written in long form (grid ⋈ hourly rows by range, then one filtered
+aggregate per column), a formulation independent of the Spark window / explode
+routes. An oracle carries only the CTEs it uses and spells its columns out.
 Doubles are rounded to 6 places on both sides (summation order differs).
 """
 
 from __future__ import annotations
 
+import re
+
 from chronoframe.plans.fixtures import INSURANCE_VALUES, MARITAL_VALUES, RELIGION_VALUES
 
 US_PER_HOUR = "3.6e9"
@@ -151,21 +154,33 @@ def domain_ctes(p: str, source: str, point: bool = True, threshold: float = 0.05
 {p}_base_long AS (SELECT ID, t, variable_name AS f, round(variable_value, 6) AS v FROM {p}_hourly)"""
 
 
-def domain_pivots(p: str, long_ctes: str) -> str:
-    """Wide tables of one domain. DuckDB resolves a dynamic PIVOT's column
-    list in a separate pre-query that cannot see outer CTEs, so each PIVOT
-    source is a self-contained subquery carrying its own WITH clause."""
+def _columns(names: list[str], value: str = "v") -> str:
+    return ", ".join(f'max({value}) FILTER (WHERE f = \'{n}\') AS "{n}"' for n in names)
+
+
+def window_names(binary: list[str], other: list[str]) -> list[str]:
+    return [f"{v}{tail}" for v in binary for tail in ("_cumcount", "", "_timesince")] + [
+        f"12i_{k}_{v}" for v in other for k in ("mean", "std", "max")
+    ]
+
+
+def domain_wide(p: str, binary: list[str], other: list[str]) -> str:
+    """Wide tables of one domain, with its variables spelled out."""
+    window, base = window_names(binary, other), binary + other
     return f"""
-{p}_feat_wide AS (PIVOT ({long_ctes} SELECT * FROM {p}_feat_long) ON f USING first(v) GROUP BY ID, t),
+{p}_feat_wide AS (SELECT ID, t, {_columns(window)} FROM {p}_feat_long GROUP BY ID, t),
 {p}_window AS (
-  SELECT g.ID, g.t, COLUMNS(w.* EXCLUDE (ID, t))
+  SELECT g.ID, g.t, {", ".join(f'w."{n}"' for n in window)}
   FROM {p}_grid g LEFT JOIN {p}_feat_wide w ON g.ID = w.ID AND g.t = w.t),
-{p}_base_wide AS (PIVOT ({long_ctes} SELECT * FROM {p}_base_long) ON f USING first(v) GROUP BY ID, t),
+{p}_base_wide AS (SELECT ID, t, {_columns(base)} FROM {p}_base_long GROUP BY ID, t),
 {p}_base AS (
-  SELECT g.ID, g.t, COLUMNS(w.* EXCLUDE (ID, t))
+  SELECT g.ID, g.t, {", ".join(f'w."{n}"' for n in base)}
   FROM {p}_grid g LEFT JOIN {p}_base_wide w ON g.ID = w.ID AND g.t = w.t)"""
 
 
+#: Prefix, source and kind of each domain.
+DOMAINS = [("lab", "labevents", True), ("outev", "outputevents", True), ("inp", "inputevents", False)]
+
 STATIC_CTES = f"""
 static_wide AS (
   SELECT ID,
@@ -178,48 +193,59 @@ static_wide AS (
     min(variable_value) FILTER (WHERE variable_name = 'LANGUAGE') AS LANGUAGE,
     min(variable_value) FILTER (WHERE variable_name = 'MARITAL_STATUS') AS MARITAL_STATUS,
     min(variable_value) FILTER (WHERE variable_name = 'RELIGION') AS RELIGION
-  FROM time_invariant GROUP BY ID),
-static_dummy_long AS (
-  UNPIVOT (SELECT ID, ADMISSION_LOCATION, ADMISSION_TYPE, ETHNICITY, GENDER, INSURANCE, LANGUAGE,
-                  MARITAL_STATUS, RELIGION FROM static_wide)
-  ON ADMISSION_LOCATION, ADMISSION_TYPE, ETHNICITY, GENDER, INSURANCE, LANGUAGE, MARITAL_STATUS, RELIGION
-  INTO NAME attr VALUE val),
-static_dummy_keys AS (SELECT ID, attr || '_' || val AS k, 1 AS one FROM static_dummy_long WHERE val IS NOT NULL)"""
-
-STATIC_PIVOT_CTES = f"""
-static_dummy AS (PIVOT ({{long_ctes}} SELECT * FROM static_dummy_keys) ON k USING max(one) GROUP BY ID),
-static AS (
-  SELECT s.ID, round({parse_numeric_sql('s.AGE')}, 6) AS AGE, coalesce(COLUMNS(d.* EXCLUDE (ID)), 0)
-  FROM static_wide s LEFT JOIN static_dummy d ON s.ID = d.ID)"""
+  FROM time_invariant GROUP BY ID)"""
+
+#: Variables of the fixture's domains that pass the prevalence threshold.
+VARIABLES = {
+    "lab": ([], ["click", "error", "purchase", "signup", "view"]),
+    "outev": (["flag_purchase", "flag_signup"], ["vol_view"]),
+}
+#: Values of the encoded static attributes in the sf0.01 tables.
+STATIC_VALUES = {
+    "ADMISSION_LOCATION": [f"NATION_{i}" for i in range(25)],
+    "ADMISSION_TYPE": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+    "ETHNICITY": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"],
+    "GENDER": ["F", "M"],
+    "INSURANCE": sorted(INSURANCE_VALUES),
+    "LANGUAGE": ["ENGL", "SPAN"],
+    "MARITAL_STATUS": sorted(MARITAL_VALUES),
+    "RELIGION": sorted(RELIGION_VALUES),
+}
+
+
+def static_table() -> str:
+    dummies = ", ".join(
+        f'CAST(coalesce({attr} = \'{v}\', false) AS INTEGER) AS "{attr}_{v}"' for attr, values in STATIC_VALUES.items() for v in values
+    )
+    return f"""
+static AS (SELECT ID, round({parse_numeric_sql('AGE')}, 6) AS AGE, {dummies} FROM static_wide)"""
 
 
-def with_ctes(*parts: str) -> str:
-    return "WITH " + ",".join(p.strip().rstrip(",") for p in parts) + "\n"
+def _parts(*texts: str) -> dict[str, str]:
+    """CTE name to its text, in order; every CTE starts a line."""
+    found: dict[str, str] = {}
+    for text in texts:
+        cuts = [*re.finditer(r"(?m)^(\w+) AS \(", text)]
+        for m, end in zip(cuts, [*(x.start() for x in cuts[1:]), len(text)], strict=False):
+            found[m[1]] = text[m.start(): end].strip().rstrip(",")
+    return found
 
 
-LONG_CTES = with_ctes(
+CTES = _parts(
     FIXTURE_CTES,
-    domain_ctes("lab", "labevents"),
-    domain_ctes("outev", "outputevents"),
-    domain_ctes("inp", "inputevents", point=False),
+    *[domain_ctes(p, source, point) for p, source, point in DOMAINS],
+    *[domain_wide(p, *variables) for p, variables in VARIABLES.items()],
     STATIC_CTES,
-)
-
-ALL_CTES = (
-    LONG_CTES.rstrip()
-    + ",\n"
-    + ",".join(
-        part.strip()
-        for part in (
-            domain_pivots("lab", LONG_CTES),
-            domain_pivots("outev", LONG_CTES),
-            STATIC_PIVOT_CTES.replace("{long_ctes}", LONG_CTES),
-        )
-    )
-    + "\n"
+    static_table(),
 )
 
 
-def q(body: str) -> str:
-    """A query over every fixture and domain CTE (unused CTEs cost nothing)."""
-    return ALL_CTES + body
+def q(body: str, more: str = "") -> str:
+    """``body`` with the CTEs that it uses, directly or through others."""
+    known = CTES | _parts(more)
+    wanted, todo = set(), [body]
+    while todo:
+        for name in set(re.findall(r"\w+", todo.pop())) & known.keys() - wanted:
+            wanted.add(name)
+            todo.append(known[name])
+    return "WITH " + ",\n".join(text for name, text in known.items() if name in wanted) + "\n" + body

@@ -221,7 +221,7 @@ def _r(expr: str, alias: str) -> str:
     return f"round({expr}, 6) AS {alias}"
 
 
-_SPLIT_CTES = """,
+_SPLIT_CTES = """
 split_ids AS (SELECT DISTINCT ID FROM skeleton),
 split_n AS (SELECT count(*) AS n FROM split_ids),
 split_rank AS (
@@ -248,8 +248,7 @@ labelled AS (
 
 
 def _with_split(body: str) -> str:
-    text = q("")
-    return text.rstrip() + _SPLIT_CTES + body
+    return q(body, _SPLIT_CTES)
 
 
 def _split_rows_sql(which: str) -> str:

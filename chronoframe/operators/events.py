@@ -16,13 +16,6 @@ ID = "ID"
 VAR = "variable_name"
 VAL = "variable_value"
 
-# Up to this many kept variables the membership filter is an in-list
-# predicate (a hash set in generated code); beyond it, a semi join.
-MAX_INLIST_VARIABLES = 20000
-# Variables per domain the driver accepts (each may become an output column).
-MAX_VARIABLES = 100_000
-
-
 def time_column(df: DataFrame) -> str:
     """``t`` for point domains, ``t_start`` for interval domains."""
     if "t" in df.columns:
@@ -54,25 +47,9 @@ def variable_prevalence(df: DataFrame, total: int | None = None, id_col: str = I
     )
 
 
-def prevalent_variables(df: DataFrame, total: int | None, threshold: float = 0.05,
-                        id_col: str = ID) -> list[str]:
-    """Names of the variables with prevalence ≥ ``threshold``, sorted.
-
-    The list is one entry per output column of the pivoted table, so its size
-    is bounded by the schema width the later pivot needs anyway.
-    """
-    prev = variable_prevalence(df, total, id_col).where(F.col("prevalence") >= threshold)
-    return sorted(r[VAR] for r in prev.select(VAR).collect())
-
-
-def keep_variables(df: DataFrame, names: list[str] | DataFrame) -> DataFrame:
-    """Membership filter on the variable name (P5)."""
-    if isinstance(names, DataFrame):
-        return df.join(names.select(VAR), VAR, "left_semi")
-    if len(names) <= MAX_INLIST_VARIABLES:
-        return df.where(F.col(VAR).isin(list(names)))
-    spark = df.sparkSession
-    return df.join(spark.createDataFrame([(n,) for n in names], f"{VAR} string"), VAR, "left_semi")
+def keep_variables(df: DataFrame, names: DataFrame) -> DataFrame:
+    """Membership filter on the variable name (P5): a semi join."""
+    return df.join(names.select(VAR), VAR, "left_semi")
 
 
 def filter_from_origin(df: DataFrame) -> DataFrame:
@@ -80,108 +57,75 @@ def filter_from_origin(df: DataFrame) -> DataFrame:
     return df.where(F.col(time_column(df)) >= 0)
 
 
-def prevalence_stats(domains: dict[str, DataFrame], names: list[str], id_col: str = ID
-                     ) -> tuple[dict[str, int], dict[str, dict[str, int]]]:
-    """Distinct entities per domain and entities per (domain, variable), for
-    many domains in one job.
-
-    The distinct (domain, id, variable) triples are shuffled on the triple, so
-    neither a hot variable nor a hot entity lands in one task; both small
-    aggregates reuse that one exchange. Returns ``(totals, counts)``; the
-    collected rows are one per variable (bounded by the pivot width).
-    """
-    parts = [domains[n].select(F.lit(n).alias("domain"), F.col(id_col).alias("_id"), VAR) for n in names]
-    trip = parts[0]
-    for p in parts[1:]:
-        trip = trip.unionByName(p)
-    trip = trip.distinct()
-    per_var = trip.where(F.col(VAR).isNotNull()).groupBy("domain", VAR).agg(F.count(F.lit(1)).alias("n"))
-    per_dom = trip.groupBy("domain").agg(F.countDistinct("_id").alias("n")).select(
-        "domain", F.lit(None).cast("string").alias(VAR), "n")
-    totals: dict[str, int] = {n: 0 for n in names}
-    counts: dict[str, dict[str, int]] = {n: {} for n in names}
-    limit = len(names) * (MAX_VARIABLES + 1)
-    rows = per_var.withColumn("_lvl", F.lit(1)).unionByName(per_dom.withColumn("_lvl", F.lit(0))).limit(limit).collect()
-    if len(rows) >= limit:
-        raise ValueError(f"more than {MAX_VARIABLES} variables in a domain")
-    for r in rows:
-        if r["_lvl"] == 0:
-            totals[r["domain"]] = r["n"]
-        else:
-            counts[r["domain"]][r[VAR]] = r["n"]
-    return totals, counts
-
-
 def filter_prevalent(domains: dict[str, DataFrame], denominator_domain: str = "LABEVENTS",
                      threshold: float = 0.05, domains_to_filter: list[str] | None = None,
                      id_col: str = ID) -> dict[str, DataFrame]:
     """Stage 2: keep frequent variables, then rows from the origin on.
 
     Prevalence uses the distinct entities of ``denominator_domain`` for every
-    domain and is computed before the time filter (one job for all domains).
+    domain and is computed before the time filter. The kept names never leave
+    Spark: the filter is a semi join with the prevalence table.
     Domains not listed in ``domains_to_filter`` (default: all but
     ``TIME_INVARIANT``) pass through.
     """
     if domains_to_filter is None:
         domains_to_filter = [d for d in domains if d != "TIME_INVARIANT"]
-    names = list(dict.fromkeys(list(domains_to_filter) + [denominator_domain]))
-    totals, counts = prevalence_stats(domains, names, id_col)
-    total = totals[denominator_domain]
+    total = distinct_entities(domains[denominator_domain], id_col)
     out = dict(domains)
     for name in domains_to_filter:
-        keep = sorted(v for v, n in counts[name].items() if total and n / total >= threshold)
-        out[name] = filter_from_origin(keep_variables(domains[name], keep))
+        kept = variable_prevalence(domains[name], total, id_col).where(F.col("prevalence") >= threshold)
+        out[name] = filter_from_origin(keep_variables(domains[name], kept))
     return out
 
 
+def cube_rows(df: DataFrame, name: str, id_col: str = ID) -> DataFrame:
+    """A domain's rows as the cube reads them: hour, whether at or after the
+    origin, and the number that the value holds."""
+    tcol = time_column(df)
+    hour = ceil_hour(tcol) if tcol == "t" else F.col(tcol)
+    return df.select(F.lit(name).alias("domain"), F.col(id_col).alias(ID), VAR, hour.cast("double").alias("t"),
+                     (F.col(tcol) >= 0).alias("ok"), parse_numeric(VAL).alias("v"))
+
+
 def hourly_cube(domains: dict[str, DataFrame], names: list[str], id_col: str = ID) -> DataFrame:
+    """:func:`cube_of` the union of several domains."""
+    parts = [cube_rows(domains[n], n, id_col) for n in names]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return cube_of(u)
+
+
+def cube_of(rows: DataFrame) -> DataFrame:
     """One pass over the raw rows of many domains (A1-A4 fused).
 
     Groups by (domain, id, variable, hour, t ≥ 0) with the sum and count of
     the parseable values. Prevalence (every row, any time, any value) and the
     hourly means (rows from the origin with a number) both come from this
-    small table, so the raw events are scanned and shuffled once; map-side
-    partial aggregation shrinks the shuffle. Hours are stored as double
-    (exact for whole hours) so point and interval domains share a schema.
+    small table; map-side partial aggregation shrinks the shuffle. Hours are
+    stored as double (exact for whole hours) so point and interval domains
+    share a schema.
     """
-    parts = []
-    for n in names:
-        df = domains[n]
-        tcol = time_column(df)
-        hour = ceil_hour(tcol) if tcol == "t" else F.col(tcol)
-        parts.append(df.select(
-            F.lit(n).alias("domain"), F.col(id_col).alias(ID), VAR, hour.cast("double").alias("t"),
-            (F.col(tcol) >= 0).alias("ok"), parse_numeric(VAL).alias("v")))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.groupBy("domain", ID, VAR, "t", "ok").agg(F.sum("v").alias("s"), F.count("v").alias("n"))
-
-
-def cube_prevalence(cube: DataFrame, names: list[str]) -> tuple[dict[str, int], dict[str, dict[str, int]]]:
-    """:func:`prevalence_stats` read off the hourly cube (one small job)."""
-    per_var = (cube.where(F.col(VAR).isNotNull()).select("domain", ID, VAR).distinct()
-               .groupBy("domain", VAR).agg(F.count(F.lit(1)).alias("n")).withColumn("_lvl", F.lit(1)))
-    per_dom = cube.groupBy("domain").agg(F.countDistinct(ID).alias("n")).select(
-        "domain", F.lit(None).cast("string").alias(VAR), "n", F.lit(0).alias("_lvl"))
-    totals: dict[str, int] = {n: 0 for n in names}
-    counts: dict[str, dict[str, int]] = {n: {} for n in names}
-    for r in per_var.unionByName(per_dom).collect():
-        if r["_lvl"] == 0:
-            totals[r["domain"]] = r["n"]
-        else:
-            counts[r["domain"]][r[VAR]] = r["n"]
-    return totals, counts
-
-
-def hourly_from_cube(cube: DataFrame, domain: str, keep: list[str], point: bool = True,
-                     id_col: str = ID) -> DataFrame:
-    """Hourly means of one domain: rows from the origin, kept variables, with
-    a value; mean = sum / count (exactly Spark's ``avg``)."""
-    c = cube.where((F.col("domain") == domain) & F.col("ok") & (F.col("n") > 0) & F.col(ID).isNotNull()
-                   & F.col("t").isNotNull() & F.col(VAR).isin(list(keep)))
+    return rows.groupBy("domain", ID, VAR, "t", "ok").agg(F.sum("v").alias("s"), F.count("v").alias("n"))
+
+
+def usable_cube_row():
+    """A cube row from the origin on with every key and a value."""
+    return (F.col("ok") & (F.col("n") > 0) & F.col(ID).isNotNull() & F.col("t").isNotNull() & F.col(VAR).isNotNull())
+
+
+def hourly_long(cube: DataFrame, kept: DataFrame) -> DataFrame:
+    """Hourly means of every domain in the cube, kept variables only: rows from
+    the origin with a value; mean = sum / count (exactly Spark's ``avg``)."""
+    c = cube.where(usable_cube_row()).join(kept, ["domain", VAR], "left_semi")
+    return c.select("domain", ID, VAR, "t", (F.col("s") / F.col("n")).alias(VAL))
+
+
+def hourly_from_cube(cube: DataFrame, domain: str, kept: DataFrame, point: bool = True, id_col: str = ID) -> DataFrame:
+    """:func:`hourly_long` of one domain, hours whole in a point domain."""
+    c = hourly_long(cube.where(F.col("domain") == domain), kept)
     t = F.col("t").cast("bigint") if point else F.col("t")
-    return c.select(F.col(ID).alias(id_col), VAR, t.alias("t"), (F.col("s") / F.col("n")).alias(VAL))
+    return c.select(F.col(ID).alias(id_col), VAR, t.alias("t"), VAL)
 
 
 def coerce_numeric(df: DataFrame, column: str = VAL) -> DataFrame:

@@ -7,244 +7,127 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoframe.operators.events import ID, VAL, VAR
-
-# The reference grid has one row per (entity, distinct hour). The hour list is
-# collected once to build it; this bound keeps that list (and each entity's
-# slice of the grid) a checked size.
-MAX_GRID_HOURS = 100_000
-# Pivot column ceiling: wider tables are pivoted in groups and joined on keys
-# so generated code stays under the codegen field limits.
-PIVOT_BATCH = 400
-
+from chronoframe.functions import quote
+from chronoframe.operators.events import ID, VAL, VAR, usable_cube_row
 
 @dataclass
 class HourlyStats:
-    """What the driver must know about a domain's hourly means to plan it:
-    variable names (one output column each), their binary / non-binary kind,
-    and the distinct hours (one grid row per entity each)."""
+    """What planning a domain needs on the driver: its variable names (one
+    output column each) and their binary / non-binary kind. The distinct hours
+    stay a table."""
 
     names: list
     binary: list
     other: list
-    hours: list
-    n_ids: int | None = None  # upper bound on the domain's entities (sizes the grid)
+    hours: DataFrame | None = None
+    n_ids: int | None = None  # the domain's entities (sizes the grid)
 
 
-def hourly_stats(hourly: DataFrame, max_hours: int = MAX_GRID_HOURS, max_columns: int = 100_000) -> HourlyStats:
-    """All of :class:`HourlyStats` in one job (two small aggregates, unioned).
+def value_facts(rows: DataFrame, keys: list[str], value) -> DataFrame:
+    """Per key, whether the value is binary: its distinct non-null values are
+    exactly 0 and 1 (P14)."""
+    odd = F.max(F.when(~value.isin(0, 1), 1).otherwise(0))
+    return rows.groupBy(*keys).agg(((F.min(value) == 0) & (F.max(value) == 1) & (odd == 0)).alias("is_binary"))
 
-    Binary = sorted distinct non-null values are exactly [0, 1] (P14), which
-    per variable equals classifying the wide base table's column.
-    """
-    v = F.col(VAL)
-    per_var = hourly.where(v.isNotNull() & F.col(VAR).isNotNull()).groupBy(VAR).agg(
-        F.min(v).alias("mn"), F.max(v).alias("mx"), F.max(F.when(~v.isin(0, 1), 1).otherwise(0)).alias("ot"),
-    ).limit(max_columns + 1).select(F.lit(1).alias("_k"), VAR, "mn", "mx", "ot", F.lit(None).cast("double").alias("t"))
-    per_hour = hourly.select("t").where(F.col("t").isNotNull()).distinct().limit(max_hours + 1).select(
-        F.lit(0).alias("_k"), F.lit(None).cast("string").alias(VAR), F.lit(None).cast("double").alias("mn"),
-        F.lit(None).cast("double").alias("mx"), F.lit(None).cast("int").alias("ot"), F.col("t").cast("double").alias("t"))
-    rows = per_var.unionByName(per_hour).collect()
-    t_type = dict(hourly.dtypes)["t"]
-    cast = int if t_type in ("bigint", "int") else float
-    hours = sorted(cast(r["t"]) for r in rows if r["_k"] == 0)
-    stats = [r for r in rows if r["_k"] == 1]
-    if len(hours) > max_hours:
-        raise ValueError(f"more than {max_hours} distinct hours; grid too large")
-    if len(stats) > max_columns:
-        raise ValueError(f"more than {max_columns} variables; pivot would be too wide")
-    names = sorted(r[VAR] for r in stats)
-    binary = sorted(r[VAR] for r in stats if r["mn"] == 0 and r["mx"] == 1 and r["ot"] == 0)
-    other = [n for n in names if n not in binary]
-    return HourlyStats(names, binary, other, hours)
-
-
-def hourly_stats_many(hourly: dict[str, DataFrame], max_hours: int = MAX_GRID_HOURS,
-                      max_columns: int = 100_000) -> dict[str, HourlyStats]:
-    """:func:`hourly_stats` for several domains in one job."""
-    parts = []
-    v = F.col(VAL)
-    for d, h in hourly.items():
-        per_var = h.where(v.isNotNull() & F.col(VAR).isNotNull()).groupBy(VAR).agg(
-            F.min(v).alias("mn"), F.max(v).alias("mx"), F.max(F.when(~v.isin(0, 1), 1).otherwise(0)).alias("ot"),
-        ).limit(max_columns + 1).select(F.lit(d).alias("_d"), F.lit(1).alias("_k"), VAR, "mn", "mx", "ot",
-                                        F.lit(None).cast("double").alias("t"))
-        per_hour = h.select("t").where(F.col("t").isNotNull()).distinct().limit(max_hours + 1).select(
-            F.lit(d).alias("_d"), F.lit(0).alias("_k"), F.lit(None).cast("string").alias(VAR),
-            F.lit(None).cast("double").alias("mn"), F.lit(None).cast("double").alias("mx"),
-            F.lit(None).cast("int").alias("ot"), F.col("t").cast("double").alias("t"))
-        parts += [per_var, per_hour]
-    if not parts:
-        return {}
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    rows = u.collect()
-    out = {}
-    for d, h in hourly.items():
-        t_type = dict(h.dtypes)["t"]
-        cast = int if t_type in ("bigint", "int") else float
-        hours = sorted(cast(r["t"]) for r in rows if r["_d"] == d and r["_k"] == 0)
-        stats = [r for r in rows if r["_d"] == d and r["_k"] == 1]
-        if len(hours) > max_hours:
-            raise ValueError(f"{d}: more than {max_hours} distinct hours; grid too large")
-        if len(stats) > max_columns:
-            raise ValueError(f"{d}: more than {max_columns} variables; pivot would be too wide")
-        names = sorted(r[VAR] for r in stats)
-        binary = sorted(r[VAR] for r in stats if r["mn"] == 0 and r["mx"] == 1 and r["ot"] == 0)
-        out[d] = HourlyStats(names, binary, [n for n in names if n not in binary], hours)
-    return out
-
-
-def plan_from_cube(cube: DataFrame, names: list[str], denominator: str = "LABEVENTS", threshold: float = 0.05,
-                   max_hours: int = MAX_GRID_HOURS, max_columns: int = 100_000
-                   ) -> tuple[dict[str, list[str]], dict[str, HourlyStats]]:
-    """Prevalence filter and planning facts of every domain in one job.
-
-    From the hourly cube: entities per (domain, variable) over all rows; the
-    value range per (domain, variable) over rows from the origin; distinct
-    entities per domain; and per (domain, hour) the largest entity count of
-    any variable observed in that hour — an hour survives the prevalence
-    filter exactly when that maximum passes the threshold, so the kept hours
-    are known without collecting (hour, variable) pairs. Collected rows are
-    one per variable and one per hour (both bounded and checked).
+
+def hourly_stats(hourly: DataFrame) -> HourlyStats:
+    """:class:`HourlyStats` of one domain's hourly means, in one aggregate
+    (per variable this equals classifying the wide base table's column)."""
+    seen = hourly.where(F.col(VAL).isNotNull() & F.col(VAR).isNotNull())
+    facts = value_facts(seen, [VAR], F.col(VAL)).collect()
+    names = sorted(r[VAR] for r in facts)
+    binary = sorted(r[VAR] for r in facts if r["is_binary"])
+    return HourlyStats(names, binary, [n for n in names if n not in binary], distinct_hours(hourly))
+
+
+def plan_from_cube(cube: DataFrame, names: list[str], denominator: str = "LABEVENTS", threshold: float = 0.05
+                   ) -> tuple[DataFrame, dict[str, HourlyStats]]:
+    """Prevalence filter and planning facts of the domains in ``names``.
+
+    Returns the kept (domain, variable) pairs as a table (for a semi join) and
+    the facts of each domain. The threshold is applied in Spark; what reaches
+    the driver is one row per domain and one per kept variable with a value
+    from the origin on, each of which becomes a column of the result.
     """
-    from chronoframe.operators.events import ID as _ID
-
-    usable = (F.col("ok") & (F.col("n") > 0) & F.col(_ID).isNotNull() & F.col("t").isNotNull()
-              & F.col(VAR).isNotNull())
-    mean = F.col("s") / F.col("n")
-    var_ids = (cube.where(F.col(VAR).isNotNull()).select("domain", _ID, VAR).distinct()
-               .groupBy("domain", VAR).agg(F.count(F.lit(1)).alias("n_ids")))
-    var_vals = cube.where(usable).groupBy("domain", VAR).agg(
-        F.min(mean).alias("mn"), F.max(mean).alias("mx"),
-        F.max(F.when(~mean.isin(0, 1), 1).otherwise(0)).alias("ot"))
-    per_var = var_ids.join(var_vals, ["domain", VAR], "left").select(
-        F.lit(1).alias("_k"), "domain", VAR, "n_ids", "mn", "mx", "ot", F.lit(None).cast("double").alias("t"))
-    hour_max = (cube.where(usable).select("domain", "t", VAR).distinct().join(var_ids, ["domain", VAR])
-                .groupBy("domain", "t").agg(F.max("n_ids").alias("n_ids"))).select(
-        F.lit(2).alias("_k"), "domain", F.lit(None).cast("string").alias(VAR), "n_ids",
-        F.lit(None).cast("double").alias("mn"), F.lit(None).cast("double").alias("mx"),
-        F.lit(None).cast("int").alias("ot"), "t")
-    totals = cube.groupBy("domain").agg(F.countDistinct(_ID).alias("n_ids")).select(
-        F.lit(0).alias("_k"), "domain", F.lit(None).cast("string").alias(VAR), "n_ids",
-        F.lit(None).cast("double").alias("mn"), F.lit(None).cast("double").alias("mx"),
-        F.lit(None).cast("int").alias("ot"), F.lit(None).cast("double").alias("t"))
-    limit = len(names) * (max_hours + max_columns) + len(names) + 1
-    rows = per_var.unionByName(hour_max).unionByName(totals).limit(limit).collect()
-    total = next((r["n_ids"] for r in rows if r["_k"] == 0 and r["domain"] == denominator), 0)  # ≤ a few rows
-
-    def passes(n):
-        return bool(total) and n / total >= threshold
-
-    by_kind: dict[tuple[int, str], list] = {}
-    for r in rows:
-        by_kind.setdefault((r["_k"], r["domain"]), []).append(r.asDict())
-    keep, stats = {}, {}
+    totals = {r["domain"]: r["n_ids"] for r in cube.groupBy("domain").agg(F.countDistinct(ID).alias("n_ids")).collect()}
+    total = totals.get(denominator, 0)
+    share = F.col("n_ids") / F.lit(float(total)) if total else F.lit(None).cast("double")
+    pairs = cube.where(F.col(VAR).isNotNull()).select("domain", ID, VAR).distinct()
+    kept = pairs.groupBy("domain", VAR).agg(F.count(F.lit(1)).alias("n_ids")).where(share >= threshold).select("domain", VAR)
+    usable = cube.where(usable_cube_row() & F.col("domain").isin(names)).join(kept, ["domain", VAR], "left_semi")
+    facts = value_facts(usable, ["domain", VAR], F.col("s") / F.col("n")).collect()
+    stats = {}
     for d in names:
-        vars_d = by_kind.get((1, d), [])
-        kept = sorted(r[VAR] for r in vars_d if passes(r["n_ids"]))
-        present = [r for r in vars_d if passes(r["n_ids"]) and r["mn"] is not None]
-        hours = sorted(r["t"] for r in by_kind.get((2, d), []) if passes(r["n_ids"]))
-        if len(hours) > max_hours:
-            raise ValueError(f"{d}: more than {max_hours} distinct hours; grid too large")
-        if len(present) > max_columns:
-            raise ValueError(f"{d}: more than {max_columns} variables; pivot would be too wide")
-        names_d = sorted(r[VAR] for r in present)
-        binary = sorted(r[VAR] for r in present if r["mn"] == 0 and r["mx"] == 1 and r["ot"] == 0)
-        keep[d] = kept
-        n_ids = (by_kind.get((0, d)) or [{"n_ids": 0}])[0]["n_ids"]
-        stats[d] = HourlyStats(names_d, binary, [n for n in names_d if n not in binary], hours, n_ids)
-    return keep, stats
-
-
-def variable_names(df: DataFrame, max_columns: int = 100_000) -> list[str]:
-    """Sorted distinct variable names; one per output column (bounded by width)."""
-    names = [r[VAR] for r in df.select(VAR).where(F.col(VAR).isNotNull()).distinct().limit(max_columns + 1).collect()]
-    if len(names) > max_columns:
-        raise ValueError(f"more than {max_columns} variables; pivot would be too wide")
-    return sorted(names)
-
-
-def distinct_hours(df: DataFrame, max_hours: int = MAX_GRID_HOURS) -> list:
-    """Sorted distinct hours of a domain, size-checked."""
-    hours = [r["t"] for r in df.select("t").where(F.col("t").isNotNull()).distinct().limit(max_hours + 1).collect()]
-    if len(hours) > max_hours:
-        raise ValueError(f"more than {max_hours} distinct hours; grid too large")
-    return sorted(hours)
-
-
-def hours_literal(hours: list, t_type: str = "bigint") -> str:
-    """SQL text of a typed array literal of hours: one expression parsed on the
-    JVM instead of one client call per element."""
-    body = ",".join(repr(float(h)) + "D" if t_type == "double" else str(int(h)) for h in hours)
-    return f"CAST(array({body}) AS array<{t_type}>)"
-
-
-def hour_in(col: str, hours: list, t_type: str = "bigint"):
-    """``col`` is one of ``hours`` (an InSet after optimisation)."""
-    if not hours:
-        return F.lit(False)
-    body = ",".join(repr(float(h)) + "D" if t_type == "double" else str(int(h)) for h in hours)
-    return F.expr(f"{col} IN ({body})")
+        mine = [r for r in facts if r["domain"] == d]
+        found = sorted(r[VAR] for r in mine)
+        binary = sorted(r[VAR] for r in mine if r["is_binary"])
+        stats[d] = HourlyStats(found, binary, [n for n in found if n not in binary], n_ids=totals.get(d, 0))
+    return kept, stats
+
+
+def variable_names(df: DataFrame) -> list[str]:
+    """Sorted distinct variable names; each is one output column."""
+    return sorted(r[VAR] for r in df.select(VAR).where(F.col(VAR).isNotNull()).distinct().collect())
+
+
+def distinct_hours(df: DataFrame) -> DataFrame:
+    """The domain's distinct hours, a table with column ``t``."""
+    return df.select("t").where(F.col("t").isNotNull()).distinct()
 
 
 # Target rows per grid partition when the dense grid is generated.
 GRID_ROWS_PER_PARTITION = 1_000_000
 
 
-def reference_grid(hourly: DataFrame, id_col: str = ID, max_hours: int = MAX_GRID_HOURS,
-                   hours: list | None = None, n_ids: int | None = None) -> DataFrame:
+# Buckets over which the grid deals the hours.
+GRID_BUCKETS = 64
+
+
+def reference_grid(hourly: DataFrame, id_col: str = ID, hours: DataFrame | list | None = None,
+                   n_ids: int | None = None) -> DataFrame:
     """Every entity of the domain × every distinct hour of the domain.
 
-    Built by exploding the (size-checked) hour list per entity, so each entity
-    yields exactly |hours| rows and no entity is heavier than another. The
-    entity list is small while the grid is |entities| × |hours| rows, so the
-    entities are first spread over an explicit number of partitions sized
-    from the grid (AQE keeps an explicit count; left alone it would coalesce
-    the tiny entity list into one task that then emits the whole grid).
+    The result is all pairs by definition. Entities are copied to every hour
+    bucket and joined with that bucket's hours, so neither list is held on the
+    driver or in one task and every bucket carries the same load. A short list
+    of hours that the caller already has is exploded per entity instead, over
+    an explicit number of partitions sized from the grid.
     """
-    if hours is None:
-        hours = distinct_hours(hourly, max_hours)
-    if not hours:
-        return hourly.select(id_col, "t").limit(0)
-    spark = hourly.sparkSession
     ids = hourly.select(id_col).distinct()
-    if n_ids is None:
-        n_ids = ids.count()
-    parts = max(spark.sparkContext.defaultParallelism,
-                -(-n_ids * len(hours) // GRID_ROWS_PER_PARTITION))
-    t_type = dict(hourly.dtypes)["t"]
-    arr = F.expr(hours_literal(hours, t_type))
-    # round-robin: a hash repartition on the id would be merged into the
-    # distinct's own exchange and then coalesced
-    return ids.repartition(parts).select(id_col, F.explode(arr).alias("t"))
-
-
-def _pivot(hourly: DataFrame, names: list[str], id_col: str) -> DataFrame:
-    return hourly.groupBy(id_col, "t").pivot(VAR, names).agg(F.first(VAL))
+    if isinstance(hours, list):
+        if not hours:
+            return hourly.select(id_col, "t").limit(0)
+        n_ids = ids.count() if n_ids is None else n_ids
+        parts = max(hourly.sparkSession.sparkContext.defaultParallelism, -(-n_ids * len(hours) // GRID_ROWS_PER_PARTITION))
+        listed = F.array(*[F.lit(h) for h in hours]).cast(f"array<{dict(hourly.dtypes)['t']}>")
+        # round-robin: a hash repartition on the id would be merged into the
+        # distinct's own exchange and then coalesced
+        return ids.repartition(parts).select(id_col, F.explode(listed).alias("t"))
+    hours = distinct_hours(hourly) if hours is None else hours
+    bucket = F.pmod(F.xxhash64("t"), F.lit(GRID_BUCKETS)).cast("int").alias("_bucket")
+    spread = ids.select(id_col, F.explode(F.sequence(F.lit(0), F.lit(GRID_BUCKETS - 1))).alias("_bucket"))
+    return spread.join(hours.select("t", bucket), "_bucket").select(id_col, "t")
+
+
+def by_name(long: DataFrame, keys: list[str], value, name: str = "_m") -> DataFrame:
+    """One row per key with a map from variable name to ``value``: a narrow
+    aggregate, whose partial rows hold only the variables they saw."""
+    return long.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(F.col(VAR), value))).alias(name))
 
 
 def pivot_observed(hourly: DataFrame, names: list[str] | None = None, id_col: str = ID) -> DataFrame:
-    """Wide (id, t) rows where at least one variable is observed.
-
-    Explicit pivot values skip Spark's extra distinct job and its 10,000-value
-    ceiling; very wide tables are pivoted in batches joined on the keys.
-    """
+    """Wide (id, t) rows where at least one variable is observed; hourly rows
+    are unique per (id, variable, t)."""
     if names is None:
         names = variable_names(hourly)
     if not names:
         return hourly.select(id_col, "t").distinct()
-    batches = [names[i:i + PIVOT_BATCH] for i in range(0, len(names), PIVOT_BATCH)]
-    wide = None
-    for batch in batches:
-        part = _pivot(hourly.where(F.col(VAR).isin(batch)), batch, id_col)
-        wide = part if wide is None else wide.join(part, [id_col, "t"], "full")
-    return wide
+    maps = by_name(hourly.where(F.col(VAR).isin(names)), [id_col, "t"], F.col(VAL))
+    return maps.select(id_col, "t", *[F.col("_m")[F.lit(n)].alias(n) for n in names])
 
 
 def pivot_hourly(hourly: DataFrame, names: list[str] | None = None, grid: str | DataFrame = "reference",
-                 id_col: str = ID, hours: list | None = None, n_ids: int | None = None) -> DataFrame:
+                 id_col: str = ID, hours: DataFrame | list | None = None, n_ids: int | None = None) -> DataFrame:
     """Hourly long means → wide table, one double column per variable.
 
     ``grid="reference"`` reproduces the reference's dense entity × distinct
@@ -266,37 +149,37 @@ def pivot_hourly(hourly: DataFrame, names: list[str] | None = None, grid: str |
 
 
 def narrow_types(df: DataFrame, keys: tuple[str, ...] = (ID, "t"), tolerance: float = 1e-6) -> DataFrame:
-    """Optional storage narrowing (P11): all-integral columns → int/bigint,
-    others → float when float rounding stays within ``tolerance``.
+    """Optional storage narrowing (P11): integral columns without a null →
+    int/bigint, others → float when float rounding stays within ``tolerance``.
 
     One aggregate pass computes every column's facts. Changes values within the
     tolerance, so it is never applied inside the pipeline.
     """
-    cols = [c for c in df.columns if c not in keys and dict(df.dtypes)[c] in ("double", "float")]
+    kinds = dict(df.dtypes)
+    cols = [c for c in df.columns if c not in keys and kinds[c] in ("double", "float")]
     if not cols:
         return df
     aggs = []
-    for c in cols:
-        x = F.col(c)
+    for i, c in enumerate(cols):
+        x = F.col(quote(c))
         aggs += [
-            F.min(x).alias(f"{c}__min"),
-            F.max(x).alias(f"{c}__max"),
-            F.bool_and(F.coalesce(x == F.floor(x), F.lit(True))).alias(f"{c}__int"),
-            F.max(F.abs(x - x.cast("float").cast("double"))).alias(f"{c}__err"),
+            F.min(x).alias(f"min{i}"),
+            F.max(x).alias(f"max{i}"),
+            F.bool_and(x.isNotNull() & (x == F.floor(x))).alias(f"int{i}"),
+            F.max(F.abs(x - x.cast("float").cast("double"))).alias(f"err{i}"),
         ]
     facts = df.agg(*aggs).first()
     out = []
     for c in df.columns:
-        if c not in cols:
-            out.append(F.col(c))
-            continue
-        lo, hi, integral, err = (facts[f"{c}__min"], facts[f"{c}__max"], facts[f"{c}__int"], facts[f"{c}__err"])
-        if lo is not None and integral and -2**31 <= lo and hi < 2**31:
-            out.append(F.col(c).cast("int").alias(c))
-        elif lo is not None and integral and -2**63 <= lo and hi < 2**63:
-            out.append(F.col(c).cast("bigint").alias(c))
-        elif err is None or err <= tolerance:
-            out.append(F.col(c).cast("float").alias(c))
-        else:
-            out.append(F.col(c))
+        x = F.col(quote(c))
+        if c in cols:
+            i = cols.index(c)
+            lo, hi, err = facts[f"min{i}"], facts[f"max{i}"], facts[f"err{i}"]
+            if facts[f"int{i}"] and -2**31 <= lo and hi < 2**31:
+                x = x.cast("int")
+            elif facts[f"int{i}"] and -2**63 <= lo and hi < 2**63:
+                x = x.cast("bigint")
+            elif err is None or err <= tolerance:
+                x = x.cast("float")
+        out.append(x.alias(c))
     return df.select(*out)

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from chronoframe.functions import floor_hour, hours_between, quote
 from chronoframe.operators.events import ID, VAL, VAR
-from chronoframe.operators.grid import HourlyStats, hour_in, hourly_stats, pivot_observed
-from chronoframe.operators.windows import rolling_features_explode
+from chronoframe.operators.grid import HourlyStats, by_name, hourly_stats
+from chronoframe.operators.windows import ROLLING_STATS, rolling_maps, rolling_name
+from chronoframe.sources.dataset import assert_unique_key
 
 
 def build_outcome(cohort: DataFrame) -> DataFrame:
@@ -23,9 +24,11 @@ def build_outcome(cohort: DataFrame) -> DataFrame:
 def build_skeleton(outcome: DataFrame, id_col: str = "ICUSTAY_ID", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per stay and hour t = 1..cutoff (G1, W5); cutoff < 1 → no rows.
 
-    A narrow explode: each stay yields at most its length of stay in hours.
+    A stay that occurs twice raises: its hours would fan out in every later
+    join. A narrow explode: each stay yields at most its length of stay in hours.
     ``sequence(1, 0)`` would count down, hence the filter first.
     """
+    assert_unique_key(outcome, [id_col])
     cutoff = F.col("cutoff_time")
     return outcome.where(cutoff >= 1).select(
         F.col(id_col).alias(ID),
@@ -35,93 +38,70 @@ def build_skeleton(outcome: DataFrame, id_col: str = "ICUSTAY_ID", keep: tuple[s
     )
 
 
-def binary_features_at(hourly: DataFrame, keys: DataFrame, names: list[str], id_col: str = ID) -> DataFrame:
-    """Raw value, running count and time-since of binary variables at ``keys``.
+def matrix_features(keys: DataFrame, hourly: DataFrame, stats: dict[str, HourlyStats], period: int = 12) -> DataFrame:
+    """The window features of several domains at the (ID, t) rows of ``keys``.
 
-    The window runs over the observed rows plus the key rows (so hours before
-    and between keys feed later frames), then only key rows are kept. Range
-    frames make ties at one hour see each other whatever their order.
+    ``hourly`` is long (domain, ID, variable_name, t, variable_value). Rolling
+    statistics of all domains become one map per (ID, t); binary variables one
+    map per observed hour. Key rows, rolling rows and binary rows are unioned
+    and split by ID once; a single window pass then brings the rolling map to
+    its hour and runs counts and times over the binary values (range frames,
+    so rows at one hour see each other in any order). A domain has features at
+    (ID, t) only where ID is one of its entities and t one of its hours, as in
+    the reference's grid; elsewhere its columns are null. The dense grid is
+    never built. Other columns of ``keys`` come along.
     """
-    obs = pivot_observed(hourly.where(F.col(VAR).isin(list(names))), names, id_col)
-    obs = obs.select(id_col, F.col("t").cast("bigint").alias("t"), *[F.col(quote(n)) for n in names],
-                     F.lit(0).alias("_key"))
-    key_rows = keys.select(id_col, F.col("t").cast("bigint").alias("t"),
-                           *[F.lit(None).cast("double").alias(n) for n in names], F.lit(1).alias("_key"))
-    u = obs.unionByName(key_rows)
-    w = Window.partitionBy(id_col).orderBy("t")
-    upto = w.rangeBetween(Window.unboundedPreceding, 0)
-    same = w.rangeBetween(0, 0)
-    cols = []
-    for n in names:
-        x = F.col(quote(n))
-        cols.append(F.sum(x).over(upto).alias(f"{n}_cumcount"))
-    for n in names:
-        cols.append(F.max(F.col(quote(n))).over(same).alias(n))
-    for n in names:
-        x = F.col(quote(n))
-        cols.append((F.col("t") - F.max(F.when(x.isNotNull(), F.col("t"))).over(upto)).cast("double")
-                    .alias(f"{n}_timesince"))
-    return u.select(id_col, "t", "_key", *cols).where(F.col("_key") == 1).drop("_key")
-
-
-def classify_variables(hourly: DataFrame) -> tuple[list[str], list[str]]:
-    """Binary / non-binary split of a domain's variables from its hourly means,
-    per variable in one aggregate (equal to classifying the wide base table)."""
-    v = F.col(VAL)
-    stats = hourly.where(v.isNotNull()).groupBy(VAR).agg(
-        F.min(v).alias("mn"), F.max(v).alias("mx"),
-        F.max(F.when(~v.isin(0, 1), 1).otherwise(0)).alias("ot"),
-    ).collect()
-    binary = sorted(r[VAR] for r in stats if r["mn"] == 0 and r["mx"] == 1 and r["ot"] == 0)
-    other = sorted(r[VAR] for r in stats if r[VAR] not in binary)
-    return binary, other
+    names = [n for st in stats.values() for n in st.names]
+    clash = sorted({n for n in names if names.count(n) > 1})
+    if clash:
+        raise ValueError(f"variables in more than one domain: {clash}")
+    binary = [n for st in stats.values() for n in st.binary]
+    rows = hourly.where(F.col("domain").isin(list(stats))).withColumn("t", F.col("t").cast("bigint"))
+    hours = rows.groupBy("t").agg(F.collect_set("domain").alias("_hours"))
+    entities = rows.groupBy(ID).agg(F.collect_set("domain").alias("_entities"))
+    payload = [c for c in keys.columns if c not in (ID, "t")]
+    at = keys.withColumn("t", F.col("t").cast("bigint")).join(hours, "t", "left")
+    at = at.select(ID, "t", F.struct(F.lit(1).alias("_one"), *[F.col(quote(c)) for c in payload], "_hours").alias("_key"))
+    rolled = rolling_maps(rows.where(~F.col(VAR).isin(binary)), period)
+    seen = by_name(rows.where(F.col(VAR).isin(binary)), [ID, "t"], F.col(VAL), "_bin")
+    u = at.unionByName(rolled, allowMissingColumns=True).unionByName(seen, allowMissingColumns=True)
+    w = Window.partitionBy(ID).orderBy("t")
+    upto, same = w.rangeBetween(Window.unboundedPreceding, 0), w.rangeBetween(0, 0)
+    cols = [F.first("_roll", ignorenulls=True).over(same).alias("_roll")]
+    for i, n in enumerate(binary):
+        x = F.col("_bin")[F.lit(n)]
+        cols += [
+            F.sum(x).over(upto).alias(f"_c{i}"), F.max(x).over(same).alias(f"_x{i}"),
+            (F.col("t") - F.max(F.when(x.isNotNull(), F.col("t"))).over(upto)).cast("double").alias(f"_s{i}"),
+        ]
+    # one split by ID: the entity join below reads it as it stands
+    wide = u.select(ID, "t", "_key", *cols).where(F.col("_key").isNotNull()).join(entities, ID, "left")
+    out = [F.col(ID), F.col("t"), *[F.col("_key")[c].alias(c) for c in payload]]
+    for d, st in stats.items():
+        here = F.array_contains("_entities", d) & F.array_contains("_key._hours", d)
+        at_binary = [(n, binary.index(n)) for n in st.binary]
+        out += [F.when(here, F.col(f"_c{i}")).alias(f"{n}_cumcount") for n, i in at_binary]
+        out += [F.when(here, F.col(f"_x{i}")).alias(n) for n, i in at_binary]
+        out += [F.when(here, F.col(f"_s{i}")).alias(f"{n}_timesince") for n, i in at_binary]
+        out += [F.when(here, F.col("_roll")[F.lit(n)][k]).alias(rolling_name(k, n, period)) for k in ROLLING_STATS for n in st.other]
+    return wide.select(*out)
 
 
 def domain_features_at(hourly: DataFrame, keys: DataFrame, period: int = 12, id_col: str = ID,
                        stats: HourlyStats | None = None) -> DataFrame:
-    """A domain's window features at the given (id, t) keys, never building
-    the dense grid (rewrite of J4 over the reference grid).
-
-    A domain has a row at (id, t) only when id is one of its entities and t
-    one of its distinct hours; elsewhere every column is null. Rolling
-    statistics come from the explode route; binary features from one window
-    pass over observed ∪ key rows. The hour list (size-checked) is an in-list
-    filter; the entity restriction is a semi join, which AQE broadcasts only
-    when the runtime size of the entity list allows.
-    """
+    """:func:`matrix_features` of one domain at the given (id, t) keys that lie
+    on its grid."""
     stats = hourly_stats(hourly) if stats is None else stats
-    ids = hourly.select(id_col).distinct()
-    k = keys.select(id_col, F.col("t").cast("bigint").alias("t")).where(hour_in("t", [int(h) for h in stats.hours]))
-    k = k.join(ids, id_col, "left_semi")
-    if stats.binary:
-        feats = binary_features_at(hourly, k, stats.binary, id_col)
-    else:
-        feats = k
-    if stats.other:
-        roll = rolling_features_explode(hourly, stats.other, period, id_col)
-        feats = feats.join(roll, [id_col, "t"], "left")
-    return feats
-
-
-def model_matrix(skeleton: DataFrame, static: DataFrame | None, domains: dict[str, DataFrame],
-                 id_col: str = ID) -> DataFrame:
-    """Skeleton ⟕ static on id ⟕ each domain's features on (id, t).
-
-    Each right side is unique on its keys, so the row count is the skeleton's.
-    A column name shared by two domains raises instead of pandas' suffixes.
-    """
-    out = skeleton.drop("cutoff_time")
-    seen = set(out.columns)
-    if static is not None:
-        clash = (set(static.columns) - {id_col}) & seen
-        if clash:
-            raise ValueError(f"static columns collide: {sorted(clash)}")
-        out = out.join(static, id_col, "left")
-        seen |= set(static.columns)
-    for name, feats in domains.items():
-        clash = (set(feats.columns) - {id_col, "t"}) & seen
-        if clash:
-            raise ValueError(f"{name} columns collide: {sorted(clash)}")
-        out = out.join(feats, [id_col, "t"], "left")
-        seen |= set(feats.columns)
-    return out
+    long = hourly.select(F.lit("domain").alias("domain"), F.col(id_col).alias(ID), VAR, "t", VAL)
+    on_grid = keys.select(id_col, F.col("t").cast("bigint").alias("t")).join(hourly.select(id_col).distinct(), id_col, "left_semi")
+    on_grid = on_grid.join(hourly.select(F.col("t").cast("bigint").alias("t")).distinct(), "t", "left_semi")
+    return matrix_features(on_grid.select(F.col(id_col).alias(ID), "t"), long, {"domain": stats}, period).withColumnRenamed(ID, id_col)
+
+
+def add_static(rows: DataFrame, static: DataFrame, id_col: str = ID) -> DataFrame:
+    """Rows ⟕ static on id (J3); the static side is unique on its key. A shared
+    column name raises instead of pandas' suffixes."""
+    clash = (set(static.columns) - {id_col}) & set(rows.columns)
+    if clash:
+        raise ValueError(f"static columns collide: {sorted(clash)}")
+    return rows.join(static, id_col, "left")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from chronoframe.functions import quote
 from chronoframe.operators.events import ID, VAL, VAR
+from chronoframe.operators.grid import by_name
 
 ROLLING_STATS = ("mean", "std", "max")
 
@@ -57,13 +58,6 @@ def classify_columns(df: DataFrame, keys: tuple[str, ...] = (ID, "t")) -> tuple[
     return binary, [c for c in cols if c not in binary]
 
 
-def classify_columns_table(df: DataFrame, keys: tuple[str, ...] = (ID, "t")) -> DataFrame:
-    """(column, is_binary) as a DataFrame, from the same single aggregate."""
-    binary, other = classify_columns(df, keys)
-    rows = [(c, 1) for c in binary] + [(c, 0) for c in other]
-    return df.sparkSession.createDataFrame(rows, "column_name string, is_binary int")
-
-
 def forward_fill(df: DataFrame, cols: list[str] | None = None, id_col: str = ID) -> DataFrame:
     """Last non-null value so far within each entity, ordered by hour."""
     cols = feature_columns(df, (id_col, "t")) if cols is None else cols
@@ -128,31 +122,26 @@ def rolling_features(df: DataFrame, cols: list[str], period: int = 12, id_col: s
     return df.select(id_col, "t", *[e.alias(n) for n, e in exprs.items()])
 
 
+def rolling_maps(hourly: DataFrame, period: int = 12, id_col: str = ID) -> DataFrame:
+    """Per (id, t) a map ``_roll`` from variable to its (mean, std, max) over
+    the hours t-period+1..t; only integer hours are meaningful here."""
+    t = F.col("t").cast("bigint")
+    shifted = hourly.select(id_col, VAR, VAL, F.explode(F.sequence(t, t + (period - 1))).alias("t"))
+    stats = shifted.groupBy(id_col, "t", VAR).agg(
+        F.avg(VAL).alias("mean"), F.stddev_samp(VAL).alias("std"), F.max(VAL).alias("max")
+    )
+    return by_name(stats, [id_col, "t"], F.struct(*ROLLING_STATS), "_roll")
+
+
 def rolling_features_explode(hourly: DataFrame, names: list[str], period: int = 12,
                              id_col: str = ID) -> DataFrame:
-    """Explode route from hourly long rows (id, variable, t, value).
-
-    Only integer hours are meaningful here (the window is over whole hours).
-    """
+    """Explode route from hourly long rows (id, variable, t, value)."""
     if not names:
         return hourly.select(id_col, F.col("t").cast("bigint").alias("t")).limit(0)
-    src = hourly.where(F.col(VAR).isin(list(names)))
-    shifted = src.select(
-        id_col,
-        VAR,
-        VAL,
-        F.explode(F.sequence(F.col("t").cast("bigint"), F.col("t").cast("bigint") + (period - 1))).alias("t"),
-    )
-    wide = (
-        shifted.groupBy(id_col, "t")
-        .pivot(VAR, list(names))
-        .agg(F.avg(VAL).alias("mean"), F.stddev_samp(VAL).alias("std"), F.max(VAL).alias("max"))
-    )
-    cols = [F.col(id_col), F.col("t")]
-    for stat in ROLLING_STATS:
-        for c in names:
-            cols.append(F.col(quote(f"{c}_{stat}")).alias(rolling_name(stat, c, period)))
-    return wide.select(*cols)
+    maps = rolling_maps(hourly.where(F.col(VAR).isin(list(names))), period, id_col)
+    return maps.select(id_col, "t", *[
+        F.col("_roll")[F.lit(n)][stat].alias(rolling_name(stat, n, period)) for stat in ROLLING_STATS for n in names
+    ])
 
 
 def window_features(base: DataFrame, binary: list[str] | None = None, non_binary: list[str] | None = None,

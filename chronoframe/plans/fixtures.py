@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronoframe.functions import parse_numeric
 from chronoframe.session import read_table
 
 # Fixed values of the fixture mapping (labels for the static attributes).
@@ -83,26 +84,6 @@ def labevents(spark: SparkSession, sf_dir: str, stays_df: DataFrame | None = Non
     )
 
 
-def outputevents(spark: SparkSession, sf_dir: str, lab: DataFrame | None = None) -> DataFrame:
-    """Two binary flags (parity of the hour) and one continuous volume."""
-    lab = lab if lab is not None else labevents(spark, sf_dir)
-    return lab.where(F.col("variable_name").isin("purchase", "signup", "view")).selectExpr(
-        "ID",
-        "t",
-        "CASE WHEN variable_name IN ('purchase', 'signup') THEN concat('flag_', variable_name) "
-        "ELSE 'vol_view' END AS variable_name",
-        "CASE WHEN variable_name IN ('purchase', 'signup') THEN CAST(CAST(ceil(t) AS BIGINT) % 2 AS STRING) "
-        "ELSE variable_value END AS variable_value",
-    )
-
-
-def inputevents(spark: SparkSession, sf_dir: str, lab: DataFrame | None = None) -> DataFrame:
-    """Interval-form domain: t_start, t_end instead of t."""
-    lab = lab if lab is not None else labevents(spark, sf_dir)
-    return lab.where(F.col("variable_name") == "error").selectExpr(
-        "ID", "t AS t_start", "t + 0.5D AS t_end", "'drug_error' AS variable_name", "variable_value")
-
-
 def time_invariant(spark: SparkSession, sf_dir: str, stays_df: DataFrame | None = None) -> DataFrame:
     """Long static attributes for every stay's subject (nine names)."""
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -128,20 +109,56 @@ def time_invariant(spark: SparkSession, sf_dir: str, stays_df: DataFrame | None
         )
     )
     long = wide.unpivot("ID", STATIC_ATTRIBUTES, "variable_name", "variable_value")
+    # some stays carry a second, larger value of an attribute, which the pivot drops
+    again = wide.where("ID % 11 = 0").selectExpr("ID", "'GENDER' AS variable_name", "'UNKNOWN' AS variable_value")
+    long = long.unionByName(again)
     return long.where(F.col("variable_value").isNotNull()).selectExpr(
         "ID", "CAST(NULL AS DOUBLE) AS t", "variable_name", "variable_value")
 
 
+#: Domains made from the measurements: name → (rows taken, variable, value).
+#: The interval domains carry t_start and t_end instead of t.
+_HOUR = "CAST(ceil(t) AS BIGINT)"
+FROM_EVENTS = {
+    "LABEVENTS": ("true", "variable_name", "variable_value"),
+    "OUTPUTEVENTS": (
+        "variable_name IN ('purchase', 'signup', 'view')",
+        "CASE WHEN variable_name IN ('purchase', 'signup') THEN concat('flag_', variable_name) ELSE 'vol_view' END",
+        f"CASE WHEN variable_name IN ('purchase', 'signup') THEN CAST({_HOUR} % 2 AS STRING) ELSE variable_value END",
+    ),
+    "CHARTEVENTS": ("variable_name IN ('click', 'view')", "concat('hr_', variable_name)", "variable_value"),
+    "DATETIMEEVENTS": ("variable_name = 'signup'", "'dt_line_change'", f"CAST(CAST({_HOUR} % 3 = 0 AS INT) AS STRING)"),
+    "MICROBIOLOGYEVENTS": ("variable_name = 'purchase'", "'culture'", f"CAST(CAST({_HOUR} % 5 = 0 AS INT) AS STRING)"),
+    "INPUTEVENTS_MV": ("variable_name = 'error'", "'drug_error'", "variable_value"),
+    "PROCEDUREEVENTS_MV": ("variable_name = 'signup'", "'proc_signup'", "variable_value"),
+}
+INTERVAL_DOMAINS = ("INPUTEVENTS_MV", "PROCEDUREEVENTS_MV")
+
+
+def event_domain(lab: DataFrame, name: str) -> DataFrame:
+    """One domain of the measurements, in point or interval form."""
+    rows, variable, value = FROM_EVENTS[name]
+    times = ["t AS t_start", "t + 0.5D AS t_end"] if name in INTERVAL_DOMAINS else ["t"]
+    return lab.where(rows).selectExpr("ID", *times, f"{variable} AS variable_name", f"{value} AS variable_value")
+
+
+def cube_input(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFrame:
+    """The hourly cube's input for several domains from one scan of the
+    events: every measurement is exploded to the domains it belongs to."""
+    rows = [
+        f"CASE WHEN {rows} THEN struct('{n}' AS domain, {variable} AS variable_name, {value} AS variable_value, "
+        f"{'t' if n in INTERVAL_DOMAINS else f'CAST({_HOUR} AS DOUBLE)'} AS t) END"
+        for n, (rows, variable, value) in FROM_EVENTS.items() if n in names
+    ]
+    each = labevents(spark, sf_dir).selectExpr("ID", "t >= 0 AS ok", f"inline(filter(array({', '.join(rows)}), x -> x IS NOT NULL))")
+    return each.select("domain", "ID", "variable_name", "t", "ok", parse_numeric("variable_value").alias("v"))
+
+
 def domains(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The event-domain dict the pipeline consumes (lazy DataFrames)."""
     st = stays(spark, sf_dir)
     lab = labevents(spark, sf_dir, st)
-    return {
-        "LABEVENTS": lab,
-        "OUTPUTEVENTS": outputevents(spark, sf_dir, lab),
-        "INPUTEVENTS_MV": inputevents(spark, sf_dir, lab),
-        "TIME_INVARIANT": time_invariant(spark, sf_dir, st),
-    }
+    return {n: event_domain(lab, n) for n in FROM_EVENTS} | {"TIME_INVARIANT": time_invariant(spark, sf_dir, st)}
 
 
 def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,6 +63,14 @@ outputevents AS (
     CASE WHEN variable_name IN ('purchase', 'signup') THEN CAST(CAST(ceil(t) AS BIGINT) % 2 AS VARCHAR)
          ELSE variable_value END AS variable_value
   FROM labevents WHERE variable_name IN ('purchase', 'signup', 'view')),
+chartevents AS (
+  SELECT ID, t, 'hr_' || variable_name AS variable_name, variable_value FROM labevents WHERE variable_name IN ('click', 'view')),
+datetimeevents AS (
+  SELECT ID, t, 'dt_line_change' AS variable_name, CASE WHEN CAST(ceil(t) AS BIGINT) % 3 = 0 THEN '1' ELSE '0' END AS variable_value
+  FROM labevents WHERE variable_name = 'signup'),
+microbiologyevents AS (
+  SELECT ID, t, 'culture' AS variable_name, CASE WHEN CAST(ceil(t) AS BIGINT) % 5 = 0 THEN '1' ELSE '0' END AS variable_value
+  FROM labevents WHERE variable_name = 'purchase'),
 inputevents AS (
   SELECT ID, t AS t_start, t + 0.5 AS t_end, 'drug_error' AS variable_name, variable_value
   FROM labevents WHERE variable_name = 'error'),
@@ -83,7 +91,8 @@ time_invariant AS (
   SELECT ID, CAST(NULL AS DOUBLE) AS t, variable_name, variable_value FROM (
     UNPIVOT ti_wide ON ADMISSION_LOCATION, ADMISSION_TYPE, AGE, ETHNICITY, GENDER, INSURANCE,
       LANGUAGE, MARITAL_STATUS, RELIGION INTO NAME variable_name VALUE variable_value)
-  WHERE variable_value IS NOT NULL),
+  WHERE variable_value IS NOT NULL
+  UNION ALL SELECT ID, NULL, 'GENDER', 'UNKNOWN' FROM ti_wide WHERE ID % 11 = 0),
 cohort_full AS (
   SELECT s.*, p.DOB, p.DOD, a.DEATHTIME, a.HOSPITAL_EXPIRE_FLAG,
     (epoch_us(s.INTIME) - epoch_us(p.DOB)) / {US_PER_YEAR} AS AGE,
@@ -179,7 +188,10 @@ def domain_wide(p: str, binary: list[str], other: list[str]) -> str:
 
 
 #: Prefix, source and kind of each domain.
-DOMAINS = [("lab", "labevents", True), ("outev", "outputevents", True), ("inp", "inputevents", False)]
+DOMAINS = [
+    ("lab", "labevents", True), ("outev", "outputevents", True), ("chart", "chartevents", True),
+    ("dt", "datetimeevents", True), ("micro", "microbiologyevents", True), ("inp", "inputevents", False),
+]
 
 STATIC_CTES = f"""
 static_wide AS (
@@ -199,6 +211,9 @@ static_wide AS (
 VARIABLES = {
     "lab": ([], ["click", "error", "purchase", "signup", "view"]),
     "outev": (["flag_purchase", "flag_signup"], ["vol_view"]),
+    "chart": ([], ["hr_click", "hr_view"]),
+    "dt": (["dt_line_change"], []),
+    "micro": (["culture"], []),
 }
 #: Values of the encoded static attributes in the sf0.01 tables.
 STATIC_VALUES = {

@@ -233,10 +233,14 @@ splits AS (
                   ELSE 'test' END AS split
   FROM split_rank, split_n),
 matrix AS (
-  SELECT COLUMNS(k.* EXCLUDE (cutoff_time)), COLUMNS(st.* EXCLUDE (ID)), COLUMNS(lw.* EXCLUDE (ID, t)),
+  SELECT COLUMNS(k.* EXCLUDE (cutoff_time)), COLUMNS(st.* EXCLUDE (ID)), COLUMNS(cw.* EXCLUDE (ID, t)),
+         COLUMNS(dw.* EXCLUDE (ID, t)), COLUMNS(lw.* EXCLUDE (ID, t)), COLUMNS(mw.* EXCLUDE (ID, t)),
          COLUMNS(ow.* EXCLUDE (ID, t))
   FROM skeleton k
   LEFT JOIN static st ON k.ID = st.ID
+  LEFT JOIN chart_window cw ON k.ID = cw.ID AND k.t = cw.t
+  LEFT JOIN dt_window dw ON k.ID = dw.ID AND k.t = dw.t
+  LEFT JOIN micro_window mw ON k.ID = mw.ID AND k.t = mw.t
   LEFT JOIN lab_window lw ON k.ID = lw.ID AND k.t = lw.t
   LEFT JOIN outev_window ow ON k.ID = ow.ID AND k.t = ow.t),
 labelled AS (
@@ -259,6 +263,11 @@ def _split_rows_sql(which: str) -> str:
     return _with_split(f"SELECT * EXCLUDE (HOUR_OF_DEATH) FROM labelled WHERE {cond}")
 
 
+_FILTERED = (
+    "SELECT 'LABEVENTS' AS domain, ID, round(t, 6) AS t, variable_name, variable_value FROM lab_f "
+    "UNION ALL SELECT 'OUTPUTEVENTS', ID, round(t, 6), variable_name, variable_value FROM outev_f"
+)
+
 ORACLE_SQL: dict[str, str] = {
     "cohort_deathtime": q(
         "SELECT SUBJECT_ID, HADM_ID, ICUSTAY_ID, INTIME, OUTTIME, \"partition\", DOB, DOD, DEATHTIME, "
@@ -283,10 +292,7 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT DISTINCT 'INPUTEVENTS_MV', ID, variable_name, (SELECT count(DISTINCT ID) FROM inputevents) "
         "FROM inputevents WHERE variable_name IS NOT NULL) GROUP BY d, variable_name"
     ),
-    "filter_prevalent_from_origin": q(
-        "SELECT 'LABEVENTS' AS domain, ID, round(t, 6) AS t, variable_name, variable_value FROM lab_f "
-        "UNION ALL SELECT 'OUTPUTEVENTS', ID, round(t, 6), variable_name, variable_value FROM outev_f"
-    ),
+    "filter_prevalent_from_origin": q(_FILTERED),
     "interval_to_point": q(
         "SELECT ID, variable_name, variable_value, round(t_start, 6) AS t FROM inp_f"
     ),
@@ -524,7 +530,10 @@ _LI = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, round(l_quantity, 6) AS
 
 ORACLE_SQL.update({
     "csv_round_trip": ORACLE_SQL["exclude_unrecorded_deaths"],
-    "domain_round_trip": ORACLE_SQL["filter_prevalent_from_origin"],
+    "domain_round_trip": q(_FILTERED + (
+        " UNION ALL SELECT 'DATETIMEEVENTS', ID, round(t, 6), variable_name, variable_value FROM dt_f "
+        "UNION ALL SELECT 'MICROBIOLOGYEVENTS', ID, round(t, 6), variable_name, variable_value FROM micro_f"
+    )),
     "feature_round_trip": ORACLE_SQL["pivot_hourly_grid"],
     "write_partitioned": f"SELECT {_LI} FROM lineitem UNION ALL SELECT {_LI} FROM lineitem",
     "scan_projected_filtered": (

@@ -38,7 +38,7 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, int]:
 
     # 3. static, base and forward-filled features; 4. window features
     write_features(stages.static_table(spark, sf_dir), f"{out}/features/static_features")
-    plan = stages.hourly_with_stats(spark, sf_dir, stages.MATRIX_DOMAINS)
+    plan = stages.hourly_with_stats(spark, sf_dir, stages.dynamic_domains())
     for name, (hourly, st) in plan.items():
         base = stages.base_from(hourly, st)
         write_features(base, f"{out}/features/{name}_base")

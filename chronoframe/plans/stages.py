@@ -10,21 +10,20 @@ one window pass per domain).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from chronoframe.operators.cohort import attach_patient_admission, add_age_and_death_hour, build_cohort
-from chronoframe.operators.events import filter_prevalent, hourly_cube, hourly_from_cube, time_column
+from chronoframe.operators.events import cube_of, filter_prevalent, hourly_from_cube, hourly_long
 from chronoframe.operators.grid import HourlyStats, pivot_hourly, plan_from_cube
-from chronoframe.session import materialize
 from chronoframe.operators.labels import add_lookahead_label
-from chronoframe.operators.skeleton import build_outcome, build_skeleton, domain_features_at, model_matrix
+from chronoframe.operators.skeleton import add_static, build_outcome, build_skeleton, matrix_features
 from chronoframe.operators.static import static_features
 from chronoframe.operators.windows import window_features
 from chronoframe.plans import fixtures
+from chronoframe.session import materialize
 
-# Domains skipped by the dynamic-feature stage (fixed list of the reference).
+# Domains skipped by the dynamic-feature stage.
 DYNAMIC_EXCLUDED = ["TIME_INVARIANT", "INPUTEVENTS_MV", "PROCEDUREEVENTS_MV", "CHARTEVENTS"]
-# Domains joined into the model matrix, in order (those present are used).
+# Domains joined into the model matrix, in order; all are needed.
 MATRIX_DOMAINS = ["CHARTEVENTS", "DATETIMEEVENTS", "LABEVENTS", "MICROBIOLOGYEVENTS", "OUTPUTEVENTS"]
 
 
@@ -44,40 +43,38 @@ def filtered_domains(spark: SparkSession, sf_dir: str, threshold: float = 0.05)
     return filter_prevalent(fixtures.domains(spark, sf_dir), "LABEVENTS", threshold)
 
 
-def _hourly_plan(spark: SparkSession, sf_dir: str, excluded, threshold: float, denominator: str):
-    """Stage 2 + the hourly means of stage 3 for every dynamic domain.
+def _hourly_plan(spark: SparkSession, sf_dir: str, names: list[str], threshold: float, denominator: str
+                 ) -> tuple[DataFrame, DataFrame, dict[str, HourlyStats]]:
+    """Stage 2 + the hourly means of stage 3 for the named domains.
 
     The raw rows are read once into the hourly cube (written to the shared
-    checkpoint folder); prevalence, kept hours and variable kinds are read off
-    the cube in one job, and the filter is applied to the cube, which equals
-    filtering rows first and averaging after.
+    checkpoint folder); prevalence and variable kinds are read off the cube,
+    and the filter is applied to the cube, which equals filtering rows first
+    and averaging after. Returns the cube, the kept variables and the facts.
     """
-    doms = fixtures.domains(spark, sf_dir)
-    filtered = [d for d in doms if d != "TIME_INVARIANT"]
-    cube = materialize(hourly_cube(doms, filtered), "hourly-cube")
-    keep, stats = plan_from_cube(cube, filtered, denominator, threshold)
-    out = {}
-    for d in filtered:
-        if d in excluded:
-            continue
-        point = time_column(doms[d]) == "t"
-        if point:
-            stats[d].hours = [int(h) for h in stats[d].hours]
-        out[d] = (hourly_from_cube(cube, d, keep[d], point=point), stats[d])
-    return out
+    wanted = list(dict.fromkeys([*names, denominator]))
+    cube = materialize(cube_of(fixtures.cube_input(spark, sf_dir, wanted)), "hourly-cube")
+    kept, stats = plan_from_cube(cube, names, denominator, threshold)
+    return cube, kept, stats
 
 
-def hourly_domains(spark: SparkSession, sf_dir: str, excluded=DYNAMIC_EXCLUDED, threshold: float = 0.05,
-                   denominator: str = "LABEVENTS") -> dict[str, DataFrame]:
-    return {d: h for d, (h, _) in _hourly_plan(spark, sf_dir, excluded, threshold, denominator).items()}
+def dynamic_domains(excluded=DYNAMIC_EXCLUDED) -> list[str]:
+    return [d for d in fixtures.FROM_EVENTS if d not in excluded]
 
 
-def hourly_with_stats(spark: SparkSession, sf_dir: str, domains: list[str], excluded=DYNAMIC_EXCLUDED,
-                      threshold: float = 0.05, denominator: str = "LABEVENTS"
-                      ) -> dict[str, tuple[DataFrame, HourlyStats]]:
-    """Hourly means and their planning facts (one planning job for all domains)."""
-    plan = _hourly_plan(spark, sf_dir, excluded, threshold, denominator)
-    return {d: plan[d] for d in domains if d in plan}
+def hourly_with_stats(spark: SparkSession, sf_dir: str, domains: list[str], threshold: float = 0.05,
+                      denominator: str = "LABEVENTS") -> dict[str, tuple[DataFrame, HourlyStats]]:
+    """Hourly means and their planning facts, from one cube for all domains."""
+    cube, kept, stats = _hourly_plan(spark, sf_dir, domains, threshold, denominator)
+    return {
+        d: (hourly_from_cube(cube, d, kept, point=d not in fixtures.INTERVAL_DOMAINS), stats[d]) for d in domains
+    }
+
+
+def hourly_domains(spark: SparkSession, sf_dir: str, excluded=DYNAMIC_EXCLUDED, threshold: float = 0.05,
+                   denominator: str = "LABEVENTS") -> dict[str, DataFrame]:
+    plan = hourly_with_stats(spark, sf_dir, dynamic_domains(excluded), threshold, denominator)
+    return {d: h for d, (h, _) in plan.items()}
 
 
 def base_from(hourly: DataFrame, stats: HourlyStats) -> DataFrame:
@@ -109,12 +106,18 @@ def skeleton(spark: SparkSession, sf_dir: str, keep=()) -> DataFrame:
 
 
 def matrix(spark: SparkSession, sf_dir: str, with_hod: bool = False) -> DataFrame:
-    """Skeleton + static + every present matrix domain's window features."""
-    sk = skeleton(spark, sf_dir, keep=("HOUR_OF_DEATH",) if with_hod else ())
-    keys = sk.select("ID", "t")
-    hs = hourly_with_stats(spark, sf_dir, MATRIX_DOMAINS)
-    feats = {d: domain_features_at(h, keys, stats=st) for d, (h, st) in hs.items()}
-    return model_matrix(sk, static_table(spark, sf_dir), feats)
+    """Skeleton + the window features of the five matrix domains + static (J3,
+    J4); a domain that the data lacks raises."""
+    missing = [d for d in MATRIX_DOMAINS if d not in fixtures.FROM_EVENTS]
+    if missing:
+        raise KeyError(f"domains the model matrix needs are missing: {missing}")
+    keys = skeleton(spark, sf_dir, keep=("HOUR_OF_DEATH",) if with_hod else ()).drop("cutoff_time")
+    cube, kept, stats = _hourly_plan(spark, sf_dir, MATRIX_DOMAINS, 0.05, "LABEVENTS")
+    empty = [d for d in MATRIX_DOMAINS if not stats[d].n_ids]
+    if empty:
+        raise ValueError(f"domains the model matrix needs have no rows: {empty}")
+    rows = matrix_features(keys, hourly_long(cube, kept), stats)
+    return add_static(rows, static_table(spark, sf_dir))
 
 
 def labelled_matrix(spark: SparkSession, sf_dir: str, via_join: bool = False) -> DataFrame:
@@ -128,20 +131,3 @@ def labelled_matrix(spark: SparkSession, sf_dir: str, via_join: bool = False) ->
     if via_join:
         return add_lookahead_label(matrix(spark, sf_dir), outcome(spark, sf_dir))
     return add_lookahead_label(matrix(spark, sf_dir, with_hod=True))
-
-
-def key_columns(df: DataFrame) -> list[str]:
-    return [c for c in ("ID", "t") if c in df.columns]
-
-
-def sort_for_sink(df: DataFrame, id_col: str = "ID") -> DataFrame:
-    """Sink order (O2): cluster by entity, sorted within partitions — no
-    global sort and no single ordered partition."""
-    return df.repartition(id_col).sortWithinPartitions(*key_columns(df))
-
-
-__all__ = [
-    "cohort", "cohort_joined", "filtered_domains", "hourly_domains", "base_features",
-    "domain_window_table", "static_table", "outcome", "skeleton", "matrix", "labelled_matrix",
-    "sort_for_sink", "F",
-]

@@ -1,4 +1,9 @@
+import duckdb
+
 import __spark_entry__ as entry
+from chronoframe.plans.queries import ORACLE_SQL, SPARK_QUERIES
+
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
 
 def test_entry_smoke(spark):
@@ -11,7 +16,16 @@ def test_entry_smoke(spark):
 def test_every_oracle_has_a_query():
     q, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(q)
-    assert set(q) - set(sql) == {"train_and_score", "search_params"}
+    assert set(SPARK_QUERIES) <= set(q) and set(ORACLE_SQL) <= set(sql)
+    assert set(SPARK_QUERIES) - set(ORACLE_SQL) == {"train_and_score", "search_params"}
+
+
+def test_every_oracle_is_one_statement_that_a_view_can_hold():
+    con = duckdb.connect()
+    for t in TABLES.split():
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")
+    for name, sql in entry.oracle_sql().items():
+        con.sql(sql).create_view(f"v_{name}")
 
 
 def test_small_queries_run_at_smoke_scale(spark):

@@ -1,14 +1,12 @@
-"""Whole-text encoding through a per-worker cache of white-space chunks.
+"""Whole-text encoding through a per-worker cache of words.
 
 The tokenizer drops white space and never joins characters across it, so the
 ids of a text are the ids of its chunks in order. A batch is cut into chunks
-and deduplicated by Arrow; each worker encodes a distinct chunk once and
-flattens whole batches with numpy.
+and deduplicated by Arrow; each worker encodes a distinct word once.
 """
 
 from __future__ import annotations
 
-import re
 from itertools import chain
 from pathlib import Path
 
@@ -17,13 +15,21 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-#: Chunks kept by a worker before it starts afresh (bounds its memory).
-CACHE_CHUNKS = 1_000_000
+#: Words kept by a worker before it drops the rarer half (bounds its memory).
+CACHE_WORDS = 500_000
 #: Text characters flattened at a time.
-BLOCK_CHARS = 8 << 20
+BLOCK_CHARS = 6 << 20
 #: A word of letters that lower-case alike everywhere, then common marks: the
 #: tokenizer always cuts between the two, so that one word serves every ending.
-_WORD_AND_MARKS = re.compile(r"([A-Za-zß-öø-ÿÀ-ÖØ-Þ]+)([.,!?;:|#*%&$]*)")
+_LETTERS = "".join(chr(c) for c in [*range(65, 91), *range(97, 123), *range(0xC0, 0x100)] if c not in (0xD7, 0xF7))
+_MARKS = ".,!?;:|#*%&$"
+_WORD_AND_MARKS = f"^[{_LETTERS}]+[{_MARKS}]*$"
+
+
+def _take(starts: np.ndarray, flat: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The given rows of a list of lists: flat values, and starts."""
+    taken = pa.LargeListArray.from_arrays(pa.array(starts), pa.array(flat)).take(pa.array(rows))
+    return taken.flatten().to_numpy(), np.concatenate([[0], np.cumsum(taken.value_lengths().to_numpy())]).astype(np.int64)
 
 
 class WordEncoder:
@@ -31,31 +37,32 @@ class WordEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-        self._reset()
-
-    def _reset(self) -> None:
+        kind = np.uint32 if self.tokenizer.get_vocab_size() > 1 << 16 else np.uint16
         self.known: dict[str, int] = {}
-        self.parts: dict[str, bytes] = {}
-        self.flat = np.empty(0, np.uint32 if self.wide else np.uint16)
-        self.starts = np.zeros(1, np.int64)
-
-    def _encode_parts(self, parts: list[str]) -> None:
-        kind = self.flat.dtype
-        for part, found in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
-            self.parts[part] = np.array(found.ids, kind).tobytes()
-
-    def _learn(self, chunks: list[str]) -> None:
-        cut = []
-        for chunk in chunks:
-            m = _WORD_AND_MARKS.fullmatch(chunk)
-            cut.append((m[1].lower(), m[2]) if m else (chunk, ""))
-        self._encode_parts([p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in self.parts])
-        rows = [self.parts[a] + self.parts[b] for a, b in cut]
-        sizes = np.fromiter(map(len, rows), np.int64, len(rows)) // self.flat.itemsize
-        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks)), strict=True))
-        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(rows), self.flat.dtype)])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        self.flat, self.starts, self.used = np.empty(0, kind), np.zeros(1, np.int64), np.empty(0, np.int64)
+
+    def _keep_frequent(self) -> None:
+        """Keep the half of the cache that was looked up most."""
+        kept = np.sort(np.argsort(-self.used, kind="stable")[: CACHE_WORDS // 2])
+        self.flat, self.starts = _take(self.starts, self.flat, kept)
+        words = list(self.known)
+        self.known = {words[i]: n for n, i in enumerate(kept.tolist())}
+        self.used = self.used[kept] // 2
+
+    def _rows(self, words: pa.Array) -> np.ndarray:
+        """The cache's row of every word of an array, learning new ones."""
+        coded = words.dictionary_encode()
+        distinct, indices = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        if new := [w for w in distinct if w not in self.known]:
+            found = [x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+            ids = np.fromiter(chain.from_iterable(found), self.flat.dtype, int(sizes.sum()))
+            self.flat, self.starts = np.concatenate([self.flat, ids]), np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+            self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
+        rows = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        self.used[rows] += np.bincount(indices, minlength=len(distinct))
+        return rows[indices]
 
     def encode(self, texts: list[str] | pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids (16 bits wide where the vocabulary allows), one text after the
@@ -63,18 +70,18 @@ class WordEncoder:
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         if not len(texts):
             return np.empty(0, self.flat.dtype), np.empty(0, np.int64)
-        if len(self.known) > CACHE_CHUNKS:
-            self._reset()
+        if len(self.known) > CACHE_WORDS:
+            self._keep_frequent()
         cut = pc.ascii_split_whitespace(texts)
         coded = cut.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        self._learn([c for c in distinct if c not in self.known])
-        to_row = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
-        rows = to_row[coded.indices.to_numpy()]
-        first = np.concatenate([[0], np.cumsum(cut.value_lengths().to_numpy())])
-        ends = np.concatenate([[0], np.cumsum(np.diff(self.starts)[rows])])
-        lists = pa.LargeListArray.from_arrays(pa.array(self.starts), pa.array(self.flat))
-        ids, upto = lists.take(pa.array(rows)).flatten().to_numpy(), ends[first[1:]]
+        chunks = coded.dictionary
+        plain = pc.match_substring_regex(chunks, _WORD_AND_MARKS)
+        word = pc.if_else(plain, pc.utf8_lower(pc.utf8_rtrim(chunks, _MARKS)), chunks)
+        mark = pc.if_else(plain, pc.utf8_ltrim(chunks, _LETTERS), "")
+        both = np.stack([self._rows(word), self._rows(mark)], 1).reshape(-1)
+        ids, ends = _take(self.starts, self.flat, both)
+        ids, ends = _take(ends[::2], ids, coded.indices.to_numpy())
+        upto = ends[np.cumsum(cut.value_lengths().to_numpy())]
         lengths = np.diff(upto, prepend=0)
         if end is not None:
             ids, lengths = np.insert(ids, upto, end), lengths + 1

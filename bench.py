@@ -17,7 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from chronoframe.plans.queries import SPARK_QUERIES  # noqa: E402
-from chronoframe.session import get_spark  # noqa: E402
+from chronoframe.session import drop_scratch, get_spark  # noqa: E402
 
 HEADLINE = [
     "exclude_unrecorded_deaths",
@@ -50,6 +50,7 @@ def main() -> None:
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "feature_pipeline_total", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": sf}))
+    drop_scratch(spark)
     spark.stop()
 
 

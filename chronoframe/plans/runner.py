@@ -72,9 +72,11 @@ def main() -> None:
     ap.add_argument("sf_dir")
     ap.add_argument("out_dir")
     args = ap.parse_args()
-    from chronoframe.session import get_spark
+    from chronoframe.session import drop_scratch, get_spark
 
-    print(run_all(get_spark(), args.sf_dir, args.out_dir))
+    spark = get_spark()
+    print(run_all(spark, args.sf_dir, args.out_dir))
+    drop_scratch(spark)
 
 
 if __name__ == "__main__":

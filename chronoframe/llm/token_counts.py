@@ -16,8 +16,8 @@ equal rows give equal rows; no rows give no rows; other columns are not read.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
-from functools import reduce
 from pathlib import Path
 
 import numpy as np
@@ -31,7 +31,9 @@ from chronoframe.llm.encoding import blocks
 
 FREQUENT_SHARE, TABLE_CHUNKS = 16_384, 32_768
 #: Misses a worker keeps before it starts afresh.
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 500_000
+#: Letters, then marks without an apostrophe: always two pre-tokens.
+_WORD_AND_MARKS = re.compile(r"([A-Za-zß-öø-ÿÀ-ÖØ-Þ]+)([.,!?;:|#*%&$]*)")
 #: The count of a chunk that needs its whole text.
 _WHOLE = -1
 
@@ -45,9 +47,10 @@ def _cut(block: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
 
 
 class TokenCounter:
-    """A worker's counter: ``known`` chunks come from the broadcast table."""
+    """A worker's counter. ``known`` holds the broadcast table (tier one) and
+    what the worker has counted itself (tier two); keys have no leading space."""
 
-    def __init__(self, path: str, known: dict[str, int] | None = None):
+    def __init__(self, path: str):
         if path.endswith(".model"):
             from sentencepiece import SentencePieceProcessor
 
@@ -63,26 +66,47 @@ class TokenCounter:
             # chunks are safe for the byte-level pre-tokenizer alone
             self.chunked = '"pre_tokenizer":{"type":"ByteLevel","add_prefix_space":false' in library.to_str()
             self.special = [t.content for t in library.get_added_tokens_decoder().values()]
-            self.library = lambda whole: [len(x.ids) for x in library.encode_batch_fast(whole, add_special_tokens=False)]
-        self.table, self.cache = known or {}, {}
+            self.library = lambda whole: [len(x) for x in library.encode_batch_fast(whole, add_special_tokens=False)]
+        self.table: dict[str, int] = {}
+        self.known: dict[str, int] = {}
+        self.marks: dict[str, int] = {}
+
+    def use(self, table: dict[str, int]) -> None:
+        if table is not self.table:
+            self.table, self.known = table, dict(table)
 
     def _whole(self, chunk: str) -> bool:
         return not chunk or chunk[0].isspace() or any(s in chunk for s in self.special)
 
-    def chunk_counts(self, chunks: list[str], lead: str = " ") -> np.ndarray:
-        """Tokens of ``lead`` + chunk for each chunk, or _WHOLE."""
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache = {}
-        table, cache = self.table, self.cache
-        new = [c for c in chunks if lead + c not in table and lead + c not in cache]
-        for i in range(0, len(new), 50_000):
-            part = [lead + c for c in new[i: i + 50_000]]
-            cache.update(zip(part, self.library(part), strict=True))
-        for c in new:
-            if self._whole(c):
-                cache[lead + c] = _WHOLE
-        found = (table[lead + c] if lead + c in table else cache[lead + c] for c in chunks)
-        return np.fromiter(found, np.int64, len(chunks))
+    def _learn(self, chunks: list[str]) -> None:
+        if len(self.known) + len(chunks) > CACHE_CHUNKS:
+            self.known = dict(self.table)
+        known, marks, cut = self.known, self.marks, {}
+        for chunk in chunks:
+            if (m := _WORD_AND_MARKS.fullmatch(chunk)) and m[2]:
+                cut[chunk] = m[1], m[2]
+        words = dict.fromkeys(w for w, _ in cut.values() if w not in known)
+        words.update(dict.fromkeys(c for c in chunks if c not in cut))
+        new = [" " + w for w in words]
+        for i in range(0, len(new), 20_000):
+            known.update(zip((w[1:] for w in new[i: i + 20_000]), self.library(new[i: i + 20_000]), strict=True))
+        ends = [e for e in {e for _, e in cut.values()} if e not in marks]
+        marks.update(zip(ends, self.library(ends), strict=True))
+        for chunk, (word, end) in cut.items():
+            known[chunk] = known[word] + marks[end]
+        for chunk in chunks:
+            if chunk not in cut and self._whole(chunk):
+                known[chunk] = _WHOLE
+
+    def chunk_counts(self, chunks: list[str]) -> np.ndarray:
+        """Tokens of a space and the chunk for each chunk, or _WHOLE."""
+        self._learn([c for c in chunks if c not in self.known])
+        return np.fromiter(map(self._get, chunks), np.int64, len(chunks))
+
+    def _get(self, chunk: str) -> int:
+        if chunk not in self.known:  # the cache was emptied between
+            self._learn([chunk])
+        return self.known[chunk]
 
     def count(self, block: pa.Array) -> np.ndarray:
         if not self.chunked:
@@ -90,16 +114,15 @@ class TokenCounter:
         sizes, rows, distinct = _cut(block)
         starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
         each = self.chunk_counts(distinct)[rows]
-        head = rows[starts]
-        heads, back = np.unique(head, return_inverse=True)
-        first = self.chunk_counts([distinct[i] for i in heads], "")[back]
-        whole = np.minimum.reduceat(np.concatenate([each, [0]]), starts) < 0 if rows.size else np.zeros(0, bool)
-        # a one-chunk empty text has no tokens; it needs no whole count
-        empty = (sizes == 1) & (pc.binary_length(block).to_numpy(zero_copy_only=False) == 0)
-        each[starts] = first
+        # a text's first chunk has no space before it
+        heads, back = np.unique(rows[starts], return_inverse=True)
+        at_head = [distinct[i] for i in heads]
+        first = np.array(self.library(at_head), np.int64).reshape(-1)
+        first[[self._whole(c) and c != "" for c in at_head]] = _WHOLE
+        each[starts] = first[back]
+        whole = np.minimum.reduceat(each, starts) < 0
         total = np.add.reduceat(each, starts)
-        total[empty] = 0
-        again = np.flatnonzero((whole | (first < 0)) & ~empty)
+        again = np.flatnonzero(whole)
         if again.size:
             total[again] = self.library(block.take(pa.array(again)).to_pylist())
         return total
@@ -131,6 +154,12 @@ def frequent_chunks(docs: DataFrame) -> list[str]:
 _COUNTERS: dict[str, TokenCounter] = {}
 
 
+def _counter(path: str) -> TokenCounter:
+    if path not in _COUNTERS:
+        _COUNTERS[path] = TokenCounter(path)
+    return _COUNTERS[path]
+
+
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every whole text."""
     rows, spark = texts(docs), docs.sparkSession
@@ -140,19 +169,17 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512) -> DataFrame
     table: dict[str, int] = {}
     if counter.chunked:
         chunks = frequent_chunks(rows)
-        table = dict(zip((" " + c for c in chunks), counter.chunk_counts(chunks).tolist(), strict=True))
+        table = dict(zip(chunks, counter.chunk_counts(chunks).tolist(), strict=True))
     shared = spark.sparkContext.broadcast(table)
 
     def run(batches):
-        if (mine := _COUNTERS.get(tokenizer)) is None:
-            mine = _COUNTERS[tokenizer] = TokenCounter(tokenizer)
-        mine.table = shared.value
+        mine = _counter(tokenizer)
+        mine.use(shared.value)
         for batch in batches:
             text = batch.column("text")
-            counts = [mine.count(block) for _, block in blocks(text)]
-            n = reduce(lambda a, b: np.concatenate([a, b]), counts, np.empty(0, np.int64))
+            counts = [np.empty(0, np.int64), *(mine.count(block) for _, block in blocks(text))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pc.cast(pc.binary_length(text), pa.int64()), pa.array(n, pa.int64())],
+                [batch.column("doc_id"), pc.cast(pc.binary_length(text), pa.int64()), pa.array(np.concatenate(counts), pa.int64())],
                 ["doc_id", "n_bytes", "n_tokens"],
             )
 

@@ -38,8 +38,15 @@ ROUNDS, RULES, LEAST = 3, 4096, 8
 _HASH_BITS = 18
 
 
+def _pairs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Both symbols in one number; symbols of 16 bits make one of 32."""
+    wide = np.uint32 if left.dtype == np.uint16 else np.uint64
+    return (left.astype(wide) << wide(8 * left.itemsize)) | right
+
+
 def _slot(keys: np.ndarray) -> np.ndarray:
-    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _HASH_BITS)).astype(np.int64)
+    bits = 8 * keys.itemsize
+    return (keys * keys.dtype.type(0x9E3779B97F4A7C15 >> (64 - bits) | 1)) >> keys.dtype.type(bits - _HASH_BITS)
 
 
 def _frequent(keys: np.ndarray, most: int) -> np.ndarray:
@@ -58,7 +65,8 @@ def repair(ids: np.ndarray, lengths: np.ndarray, first_symbol: int) -> tuple[np.
     Every round replaces, at each place, the pair that is more frequent than
     both pairs overlapping it; the leftmost of equals.
     """
-    seq = ids.astype(np.uint32)
+    seq = ids.astype(np.uint16 if first_symbol < 1 << 16 else np.uint32)
+    half = 8 * seq.itemsize
     last = np.zeros(seq.size, bool)
     last[np.cumsum(lengths)[lengths > 0] - 1] = True
     rules: list[np.ndarray] = []
@@ -67,19 +75,20 @@ def repair(ids: np.ndarray, lengths: np.ndarray, first_symbol: int) -> tuple[np.
         room = min(RULES, (1 << 16) - first_symbol - known if first_symbol < 1 << 16 else RULES)
         if seq.size < 2 or room <= 0:
             break
-        keys = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
+        keys = _pairs(seq[:-1], seq[1:])
         chosen = _frequent(keys[~last[:-1]], room)
         if not chosen.size:
             break
         rank_at = np.full(1 << _HASH_BITS, chosen.size, np.int32)
         rank_at[_slot(chosen)[::-1]] = np.arange(chosen.size, dtype=np.int32)[::-1]
         rank = rank_at[_slot(keys)]
-        rank[last[:-1] | (np.append(chosen, np.uint64(0))[rank] != keys)] = chosen.size
+        rank[last[:-1] | (np.append(chosen, chosen[:1])[rank] != keys)] = chosen.size
         left = np.concatenate([[chosen.size], rank[:-1]])
         right = np.concatenate([rank[1:], [chosen.size]])
         at = np.flatnonzero((rank < chosen.size) & (rank < left) & (rank <= right))
-        rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        seq[at] = (first_symbol + known + rank[at]).astype(np.uint32)
+        low = chosen.dtype.type((1 << half) - 1)
+        rules.append(np.stack([chosen >> chosen.dtype.type(half), chosen & low], 1).astype(np.uint32))
+        seq[at] = (first_symbol + known + rank[at]).astype(seq.dtype)
         last[at] = last[at + 1]
         keep = np.ones(seq.size, bool)
         keep[at + 1] = False
@@ -139,16 +148,14 @@ def _shards(path: str, end_id: int | None, batches: Iterator[pa.RecordBatch]) ->
             ids, lengths = encoder.encode(block, end=end_id)
             doc = batch.column("doc_id").slice(at, len(block))
             seq, rules, symbols = repair(ids, lengths, first_symbol)
-            size = np.concatenate([np.ones(first_symbol, np.uint32), np.zeros(len(rules), np.uint32)])
-            for k, (a, b) in enumerate(rules.tolist()):
-                size[first_symbol + k] = size[a] + size[b]
+            starts, _ = expansions(rules, first_symbol)
             row = {
                 "part": part, "shard": shard, "first_token": token, "n_tokens": ids.size, "first_symbol": first_symbol,
                 "doc_ids": doc.fill_null(0).to_numpy().tobytes(),
                 "doc_null": np.packbits(doc.is_null().to_numpy(zero_copy_only=False)).tobytes(),
                 "doc_tokens": lengths.astype(np.uint32).tobytes(), "doc_symbols": symbols.astype(np.uint32).tobytes(),
-                "rules": rules.tobytes(), "expansion": size[first_symbol:].tobytes(),
-                "symbols": seq.astype(np.uint16 if first_symbol < 1 << 16 else np.uint32).tobytes(),
+                "rules": rules.tobytes(), "expansion": np.diff(starts)[first_symbol:].astype(np.uint32).tobytes(),
+                "symbols": seq.tobytes(),
             }
             yield pa.RecordBatch.from_pylist([row], _ARROW)
             shard, token = shard + 1, token + int(ids.size)
@@ -165,11 +172,11 @@ def write_tokens(docs: DataFrame, tokenizer: str, out: str, end_id: int | None =
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """Shard rows with ``start``: the number of ids in all earlier parts."""
     shards = spark.read.schema(SHARD_SCHEMA).parquet(path)
-    # one row a part here, so the ordered window holds few rows at any size
+    # one row a part here: small enough for one window and for a broadcast
     parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).withColumn(
         "start", F.sum("n").over(Window.orderBy("part")) - F.col("n")
     )
-    return shards.join(parts.select("part", "start"), "part")
+    return shards.join(F.broadcast(parts.select("part", "start")), "part")
 
 
 def decoded(spark: SparkSession, path: str) -> DataFrame:

@@ -3,7 +3,6 @@ from chronoframe.functions.expressions import (
     ceil_hour,
     floor_hour,
     hours_between,
-    nan_to_null,
     not_true,
     parse_numeric,
     plus_hours,
@@ -11,7 +10,7 @@ from chronoframe.functions.expressions import (
 from chronoframe.functions.names import quote, sanitize_columns, sanitize_name
 
 __all__ = [
-    "age_years", "ceil_hour", "floor_hour", "hours_between", "nan_to_null",
+    "age_years", "ceil_hour", "floor_hour", "hours_between",
     "not_true", "parse_numeric", "plus_hours", "quote", "sanitize_columns",
     "sanitize_name",
 ]

@@ -31,17 +31,9 @@ def plus_hours(ts, hours: int) -> Column:
     return _col(ts) + F.make_dt_interval(F.lit(0), F.lit(hours))
 
 
-def nan_to_null(c) -> Column:
-    """NaN is a value in Spark but "missing" in the data model: map it to null."""
-    c = _col(c)
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
-
-
 # Fixed grammar of numeric text (values that must parse like the reference's
 # coercion): optional sign, digits with an optional fraction or a leading-dot
 # fraction, optional exponent; or an infinity word. Everything else is null.
-NUMERIC_TEXT_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-INFINITY_TEXT_PATTERN = r"^[+-]?([iI][nN][fF]|[iI][nN][fF][iI][nN][iI][tT][yY])$"
 NUMBER_PATTERN = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$"
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 
 
 def sanitize_name(name: str) -> str:
-    """Each character that is not alphanumeric (Unicode-aware) becomes ``_``."""
-    return "".join(ch if ch.isalnum() else "_" for ch in str(name))
+    """Every character other than a letter or digit becomes ``_``."""
+    return re.sub(r"\W", "_", str(name))
 
 
 def sanitize_columns(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chronoframe.functions import age_years, hours_between, not_true, plus_hours
 
+# The columns of the cohort table.
 COHORT_COLUMNS = [
     "SUBJECT_ID", "HADM_ID", "ICUSTAY_ID", "INTIME", "OUTTIME", "partition",
     "DOB", "DEATHTIME", "HOSPITAL_EXPIRE_FLAG", "AGE", "HOUR_OF_DEATH",
@@ -17,7 +18,7 @@ def attach_patient_admission(stays: DataFrame, patients: DataFrame, admissions:
     """Stays ⟕ patients on SUBJECT_ID ⟕ admissions on (SUBJECT_ID, HADM_ID).
 
     Plain left equi-joins: a duplicated right key multiplies rows, as in the
-    reference (see :func:`chronoframe.operators.joins.assert_unique_key`).
+    reference (see :func:`chronoframe.sources.assert_unique_key`).
     Sides are left to the planner: AQE turns a join into a broadcast only when
     the runtime size of a side is under the threshold.
     """

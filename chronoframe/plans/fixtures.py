@@ -93,8 +93,9 @@ def time_invariant(spark: SparkSession, sf_dir: str, stays_df: DataFrame | None
     k = "c_custkey"
     wide = (
         cust.join(users, "c_custkey", "left_semi")
-        .join(nation, cust.c_nationkey == nation.n_nationkey, "left")
-        .join(region, nation.n_regionkey == region.r_regionkey, "left")
+        # 25 nations and 5 regions at every scale
+        .join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey, "left")
+        .join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "left")
         .selectExpr(
             f"{k} + {STAY_OFFSET} AS ID",
             "n_name AS ADMISSION_LOCATION",
@@ -108,10 +109,10 @@ def time_invariant(spark: SparkSession, sf_dir: str, stays_df: DataFrame | None
             f"{_pick(k, RELIGION_VALUES, 5)} AS RELIGION",
         )
     )
-    long = wide.unpivot("ID", STATIC_ATTRIBUTES, "variable_name", "variable_value")
     # some stays carry a second, larger value of an attribute, which the pivot drops
-    again = wide.where("ID % 11 = 0").selectExpr("ID", "'GENDER' AS variable_name", "'UNKNOWN' AS variable_value")
-    long = long.unionByName(again)
+    pairs = [f"struct('{a}' AS variable_name, {a} AS variable_value)" for a in STATIC_ATTRIBUTES]
+    pairs.append("struct('GENDER' AS variable_name, CASE WHEN ID % 11 = 0 THEN 'UNKNOWN' END AS variable_value)")
+    long = wide.selectExpr("ID", f"inline(array({', '.join(pairs)}))")
     return long.where(F.col("variable_value").isNotNull()).selectExpr(
         "ID", "CAST(NULL AS DOUBLE) AS t", "variable_name", "variable_value")
 

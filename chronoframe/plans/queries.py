@@ -479,21 +479,47 @@ def _split_tables(spark, sf):
     return [split_rows(m, splits, w) for w in ("train", "val", "test")]
 
 
+#: Trials inside the reference's ranges (50 iterations and more).
+_TRIALS = [
+    {"num_iteration": 50, "max_depth": 2, "learning_rate": 0.1, "min_data_in_leaf": 10, "feature_fraction": 1.0},
+    {"num_iteration": 60, "max_depth": 4, "learning_rate": 0.05, "min_data_in_leaf": 50, "feature_fraction": 0.5},
+]
+
+
 def q_train_and_score(spark, sf):
     from chronoframe.operators.model import score, train_classifier
 
     train, val, test = _split_tables(spark, sf)
-    model = train_classifier(train, val, LABEL, {"num_iteration": 10, "max_depth": 4, "learning_rate": 0.1,
-                                                 "min_data_in_leaf": 10, "feature_fraction": 1.0})
-    return score(model, test, LABEL)
+    return score(train_classifier(train, val, LABEL, _TRIALS[0]), test, LABEL)
 
 
 def q_search_params(spark, sf):
-    from chronoframe.operators.model import sample_params, search_params
+    from chronoframe.operators.model import search_params
+
+    train, val, test = _split_tables(spark, sf)
+    return search_params(train, val, test, _TRIALS, LABEL)
+
+
+_PREPARED = ["12i_mean_click", "12i_std_view", "flag_purchase_cumcount", "culture_timesince", "AGE"]
+
+
+def q_prepared_features(spark, sf):
+    from chronoframe.operators.model import prepared_features
 
     train, val, test = _split_tables(spark, sf)
-    trials = sample_params(1, seed=1234, depths=(2, 4))
-    return search_params(train, val, test, trials, LABEL, max_iter=5)
+    rows = train.unionByName(val).unionByName(test)
+    out = prepared_features(train, rows, LABEL, _PREPARED)
+    return round_doubles(out.select("ID", "t", *[f"{c}__{k}" for c in _PREPARED for k in ("missing", "imp")]))
+
+
+def q_best_trial(spark, sf):
+    """Choice of the best trial from a trial table: a trial is a customer, its
+    loss the customer's mean order price."""
+    from chronoframe.operators.model import best_trials
+
+    o = read_table(spark, sf, "orders")
+    table = o.groupBy(F.col("o_custkey").alias("trial")).agg(F.avg("o_totalprice").alias("valid_logloss"))
+    return round_doubles(best_trials(table).limit(1))
 
 
 SPARK_QUERIES.update({
@@ -514,6 +540,8 @@ SPARK_QUERIES.update({
     "binary_error_logloss": q_binary_error_logloss,
     "train_and_score": q_train_and_score,
     "search_params": q_search_params,
+    "prepared_features": q_prepared_features,
+    "best_trial": q_best_trial,
 })
 
 _SCORED = (
@@ -528,7 +556,24 @@ _LI = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, round(l_quantity, 6) AS
        "round(l_extendedprice, 6) AS l_extendedprice, round(l_discount, 6) AS l_discount, "
        "round(l_tax, 6) AS l_tax, l_returnflag, l_linestatus, l_shipdate")
 
+def _prepared_sql() -> str:
+    flags = ", ".join(
+        f"CASE WHEN l.\"{c}\" IS NULL THEN 1.0 ELSE 0.0 END::DOUBLE AS \"{c}__missing\", "
+        f"round(coalesce(l.\"{c}\", m.\"{c}\")::DOUBLE, 6) AS \"{c}__imp\"" for c in _PREPARED
+    )
+    medians = ", ".join(f"coalesce(quantile_disc(\"{c}\"::DOUBLE, 0.5), 0) AS \"{c}\"" for c in _PREPARED)
+    return _with_split(
+        f"SELECT l.ID, l.t, {flags} FROM labelled l, (SELECT {medians} FROM labelled WHERE ID IN "
+        "(SELECT ID FROM splits WHERE split = 'train')) m"
+    )
+
+
 ORACLE_SQL.update({
+    "prepared_features": _prepared_sql(),
+    "best_trial": (
+        "SELECT o_custkey AS trial, round(avg(o_totalprice), 6) AS valid_logloss FROM orders GROUP BY o_custkey "
+        "ORDER BY avg(o_totalprice), o_custkey LIMIT 1"
+    ),
     "csv_round_trip": ORACLE_SQL["exclude_unrecorded_deaths"],
     "domain_round_trip": q(_FILTERED + (
         " UNION ALL SELECT 'DATETIMEEVENTS', ID, round(t, 6), variable_name, variable_value FROM dt_f "

@@ -1,4 +1,4 @@
-"""Run every stage and write its outputs (the six stage scripts, in order).
+"""Run every stage and write its outputs (the stage scripts, in order, then training and scoring).
 
 Each output goes to ``out_dir`` (a shared path on a cluster). Sink order:
 the cohort is clustered and sorted by stay (O1) and the model matrix and its
@@ -13,6 +13,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from chronoframe.operators.labels import add_lookahead_label
+from chronoframe.operators.model import score, search_models
 from chronoframe.operators.split import split_entities, split_rows
 from chronoframe.operators.windows import forward_fill, window_features
 from chronoframe.plans import stages
@@ -23,8 +24,9 @@ def _sorted_by(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(keys[0]).sortWithinPartitions(*keys)
 
 
-def run_all(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, int]:
-    """Write every stage's tables under ``out_dir``; return row counts."""
+def run_all(spark: SparkSession, sf_dir: str, out_dir: str, trials: list[dict] | None = None) -> dict[str, int]:
+    """Write every stage's tables under ``out_dir``; return row counts. ``trials``
+    are the parameter sets to choose from (``sample_params`` draws them)."""
     out = out_dir.rstrip("/")
     counts: dict[str, int] = {}
 
@@ -63,6 +65,14 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, int]:
         part = split_rows(labelled, splits, which)
         write_features(_sorted_by(part, "ID", "t"), f"{out}/modeling/{which}_df")
         counts[which] = spark.read.parquet(f"{out}/modeling/{which}_df").select("ID").distinct().count()
+
+    # 7. train, choose, score: the best trial's model is saved with its features
+    train, val, test = (spark.read.parquet(f"{out}/modeling/{w}_df") for w in ("train", "val", "test"))
+    trials, model = search_models(train, val, test, trials or [{"num_iteration": 50, "max_depth": 4, "learning_rate": 0.1}])
+    write_csv_table(trials, f"{out}/modeling/trials.csv")
+    model.write().overwrite().save(f"{out}/modeling/best_model")
+    write_csv_table(score(model, test), f"{out}/modeling/predictions.csv")
+    counts["predictions"] = test.count()
     counts["label_1"] = labelled.where("`24hour_mortality` = 1").count()
     return counts
 

@@ -116,7 +116,9 @@ def matrix(spark: SparkSession, sf_dir: str, with_hod: bool = False) -> DataFram
     empty = [d for d in MATRIX_DOMAINS if not stats[d].n_ids]
     if empty:
         raise ValueError(f"domains the model matrix needs have no rows: {empty}")
-    rows = matrix_features(keys, hourly_long(cube, kept), stats)
+    # read several times below: filtered once
+    hourly = materialize(hourly_long(cube, kept), "hourly")
+    rows = matrix_features(keys, hourly, stats)
     return add_static(rows, static_table(spark, sf_dir))
 
 

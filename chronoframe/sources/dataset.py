@@ -77,30 +77,41 @@ def append_local(spark: SparkSession, pdf, path: str, schema: StructType | str |
 
 
 def repack(spark: SparkSession, src: str, dst: str, partition: list[str] | None = None,
-           files_per_partition: int = 1, sort_by: list[str] | None = None) -> DataFrame:
+           files_per_partition: int | None = None, sort_by: list[str] | None = None,
+           file_bytes: int = 256 << 20) -> DataFrame:
     """Compact a dataset: each partition value rewritten as a few larger files.
 
     Writes to a new path with dynamic partition overwrite, so only the
-    partitions present are replaced and no row is lost. Rows of one partition
-    value are spread over ``files_per_partition`` tasks by a hash salt, so a
-    partition value holding a third of the data is not one task.
+    partitions present are replaced and no row is lost. The rows of a partition
+    value are spread over ``files_per_partition`` files or, by default, over as
+    many as its share of the dataset's bytes asks for at ``file_bytes`` each;
+    without partition columns the same holds for the whole dataset.
     """
     partition = list(partition or [])
     df = spark.read.option("basePath", src).parquet(src)
-    if partition:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-        df = df.repartition(*[F.col(p) for p in partition], salt)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # the files' bytes
+    if not partition:
+        df = df.repartition(files_per_partition or max(1, -(-size // file_bytes)))
+    else:
+        rows = df.groupBy(*partition).agg(F.count(F.lit(1)).alias("_rows"))
+        if files_per_partition:
+            files = F.lit(files_per_partition)
+        else:
+            total = max(1, df.count())
+            files = F.ceil(F.col("_rows") * F.lit(size / total / file_bytes))
+        rows = rows.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(partition)], F.greatest(files, F.lit(1)).alias("_files"))
+        same = [F.col(p).eqNullSafe(F.col(f"_p{i}")) for i, p in enumerate(partition)]
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_files"))
+        # a number of its own: left open, small partitions would be put together
+        parts = int(rows.agg(F.sum("_files")).first()[0] or 1)
+        columns, df = df.columns, df.join(rows, same)
+        df = df.repartition(parts, *[F.col(p) for p in partition], salt).select(*columns)
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        w = df.write.mode("overwrite")
-        if partition:
-            w = w.partitionBy(*partition)
-        w.parquet(dst)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if partition:
+        w = w.partitionBy(*partition)
+    w.parquet(dst)
     return spark.read.option("basePath", dst).parquet(dst)
 
 
@@ -117,7 +128,7 @@ def merge_datasets(left: DataFrame, right: DataFrame, how: str = "inner", on: li
     ``on`` (or equal ``left_on``/``right_on`` names) keeps one key column; else
     both keys are kept. Other shared names get ``suffixes``. ``how`` is one of
     inner, left, right, outer, cross; cross is refused here (it emits all
-    pairs) — use an equi-key.
+    pairs) — use an equi-key. Null keys match each other, as in pandas.
     """
     how = {"outer": "full"}.get(how, how)
     if how == "cross":
@@ -134,12 +145,17 @@ def merge_datasets(left: DataFrame, right: DataFrame, how: str = "inner", on: li
     rsel = [F.col(c).alias(c + suffixes[1]) if c in shared else F.col(c) for c in right.columns]
     l2, r2 = left.select(*lsel), right.select(*rsel)
     if same_keys:
-        return l2.join(r2, lk, how)
+        # keys under names of their own on the right; null keys match, as in pandas
+        r2 = r2.withColumnsRenamed({k: f"__right_{k}" for k in lk})
+        joined = l2.join(r2, [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in lk], how)
+        pick = {"right": lambda k: F.col(f"__right_{k}"), "full": lambda k: F.coalesce(F.col(k), F.col(f"__right_{k}"))}.get(how, F.col)
+        rest = [c for c in r2.columns if not c.startswith("__right_")]
+        return joined.select(*[pick(c).alias(c) if c in lk else F.col(c) for c in l2.columns], *[F.col(c) for c in rest])
     lk2 = [k + suffixes[0] if k in shared else k for k in lk]
     rk2 = [k + suffixes[1] if k in shared else k for k in rk]
     cond = None
     for a, b in zip(lk2, rk2):
-        c = l2[a] == r2[b]
+        c = l2[a].eqNullSafe(r2[b])
         cond = c if cond is None else cond & c
     return l2.join(r2, cond, how)
 

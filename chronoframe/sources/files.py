@@ -14,10 +14,11 @@ HELPER_COLUMNS = ("chunk",)
 
 def read_csv_table(spark: SparkSession, path: str, schema: StructType | str,
                    columns: list[str] | None = None) -> DataFrame:
-    """Header CSV with an explicit schema (no inference pass), optional subset."""
+    """Header CSV with an explicit schema (no inference pass), whose names the
+    header must match; optional subset (S1, E7)."""
     df = (spark.read.schema(schema).option("header", True)
           .option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT)
-          .option("mode", "FAILFAST").csv(path))
+          .option("mode", "FAILFAST").option("enforceSchema", False).csv(path))
     return df.select(*columns) if columns else df
 
 

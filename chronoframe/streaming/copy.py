@@ -10,9 +10,14 @@ off and the file sink stays exactly-once.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from chronoframe.session import scratch_path
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
 def stream_copy(spark: SparkSession, src: str, dst: str, columns: list[str] | None = None,
@@ -28,8 +33,12 @@ def stream_copy(spark: SparkSession, src: str, dst: str, columns: list[str] | No
     partition = list(partition or [])
     if columns:
         stream = stream.select(*(list(columns) + [p for p in partition if p not in columns]))
+    if checkpoint is None:
+        checkpoint = f"{dst.rstrip('/')}/_copy_checkpoint/{hashlib.md5(src.rstrip('/').encode()).hexdigest()}"
+        if _exists(spark, f"{dst}/_spark_metadata") and not _exists(spark, checkpoint):
+            raise ValueError(f"{dst} already holds a copy of another source")
     writer = (stream.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-copy-ckpt"))
+              .option("checkpointLocation", checkpoint)
               .option("path", dst).trigger(availableNow=True))
     if partition:
         writer = writer.partitionBy(*partition)

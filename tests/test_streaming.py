@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from chronoframe.sources import write_partitioned
@@ -18,3 +19,15 @@ def test_stream_copy_filters_projects_and_resumes(spark, tmp_out):
     write_partitioned(spark.range(300, 310).select("id", (F.col("id") % 3).alias("p"), (F.col("id") * 0.5).alias("x")),
                       src, ["p"])
     assert stream_copy(spark, src, dst, ["id"], F.col("x") >= 10, ["p"], checkpoint=ckpt).count() == 290
+
+
+def test_a_second_source_is_refused_instead_of_losing_its_rows(spark, tmp_out):
+    a, b, dst = tmp_out + "/a", tmp_out + "/b", tmp_out + "/dst"
+    write_partitioned(spark.range(0, 100).toDF("id"), a)
+    write_partitioned(spark.range(100, 200).toDF("id"), b)
+    assert stream_copy(spark, a, dst).count() == 100
+    with pytest.raises(ValueError, match="another source"):
+        stream_copy(spark, b, dst)
+    # the same source again goes on where it ended
+    write_partitioned(spark.range(200, 210).toDF("id"), a)
+    assert stream_copy(spark, a, dst).count() == 110

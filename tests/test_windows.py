@@ -119,3 +119,15 @@ def test_reference_grid_is_spread_over_sized_partitions(spark, monkeypatch):
     want = max(spark.sparkContext.defaultParallelism, 40 * 5 // 10)  # 20: sized by the grid
     assert f"RoundRobinPartitioning({want})" in buf.getvalue()
     assert g.count() == 200
+
+
+def test_narrow_types_keeps_columns_with_nulls_floating(spark):
+    from chronoframe.operators.grid import narrow_types
+
+    df = spark.createDataFrame(
+        [(1, 0, 1.0, None, 2.0**40, 0.5, 0.1), (1, 1, 2.0, 3.0, 5.0, 1.25, 0.3)],
+        "ID long, t bigint, whole double, gap double, `big.one` double, half double, fine double",
+    )
+    assert dict(narrow_types(df, tolerance=1e-12).dtypes) == {
+        "ID": "bigint", "t": "bigint", "whole": "int", "gap": "float", "big.one": "bigint", "half": "float", "fine": "double",
+    }

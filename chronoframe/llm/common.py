@@ -42,10 +42,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def partitions(df: DataFrame, bytes_each: int = 32 << 20) -> int:
     """Number of partitions for whole rows of ``df``, from the optimizer's size
-    estimate: grows with the input, never under the session's setting."""
+    estimate: grows with the input, never under the session's setting. Data
+    without an estimate (not from files) takes the session's setting."""
     spark = df.sparkSession
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // bytes_each)
+    set_number = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    unknown = int(spark.conf.get("spark.sql.defaultSizeInBytes", str((1 << 63) - 1)))
+    # a projection of unknown rows is estimated at a part of it
+    return set_number if size >= unknown // 1000 else max(set_number, size // bytes_each)
 
 
 #: A-Z to a-z and nothing else, as the contracts ask.

@@ -50,12 +50,14 @@ def _slot(keys: np.ndarray) -> np.ndarray:
 
 
 def _frequent(keys: np.ndarray, most: int) -> np.ndarray:
-    """The pairs seen at least LEAST times, most frequent first."""
+    """The pairs seen at least LEAST times, most frequent first; equals in the
+    order of their hash, so that a run of equally frequent pairs is cut at many
+    places."""
     ordered = np.sort(keys)
     starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     counts = np.diff(starts, append=ordered.size)
     often = np.flatnonzero(counts >= LEAST)
-    often = often[np.lexsort((ordered[starts[often]], -counts[often]))][:most]
+    often = often[np.lexsort((ordered[starts[often]], _slot(ordered[starts[often]]), -counts[often]))][:most]
     return ordered[starts[often]]
 
 

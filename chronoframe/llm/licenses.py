@@ -73,7 +73,7 @@ RULES = {
     "ISC": [["isc-grant"]],
     "MIT": [["mit-notice"], ["mit-grant", "mit-condition"]],
 }
-_END, _KEPT = r"([.!?:;])[ \t\r]+", "[^a-z0-9]+"
+_END, _BREAK, _KEPT = r"([.!?:;])[ \t\r]+", r"[ \t\r]*\n[ \t\r\n]*", "[^a-z0-9]+"
 
 
 def normalise(sentence: Column) -> Column:
@@ -81,8 +81,9 @@ def normalise(sentence: Column) -> Column:
 
 
 def sentences(text: Column) -> Column:
-    """Sentences end at a line feed or at a mark before white space."""
-    return F.split(F.regexp_replace(text, _END, "$1\n"), "\n")
+    """Sentences end at a line feed or at a mark before white space; blank
+    lines are none."""
+    return F.split(F.regexp_replace(text, _END, "$1\n"), _BREAK)
 
 
 def recognise(docs: DataFrame) -> DataFrame:
@@ -144,7 +145,7 @@ def oracle_sql() -> str:
     )
     return f"""
 WITH known AS (SELECT id, {norm.format('raw')} AS sentence FROM (VALUES {known}) AS v(id, raw)),
-cut AS (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '{_END}', '\\1' || chr(10), 'g'), chr(10)) AS parts FROM documents),
+cut AS (SELECT doc_id, string_split_regex(regexp_replace(coalesce(text, ''), '{_END}', '\\1' || chr(10), 'g'), '{_BREAK}') AS parts FROM documents),
 rows AS (SELECT doc_id, unnest(parts) AS raw, generate_subscripts(parts, 1) AS nr FROM cut),
 hit AS (SELECT r.doc_id, r.nr, k.id FROM rows r JOIN known k ON {norm.format('r.raw')} = k.sentence),
 seq AS (SELECT doc_id, list(id ORDER BY nr) AS ids, list(nr ORDER BY nr) AS ats FROM hit GROUP BY doc_id),

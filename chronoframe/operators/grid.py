@@ -23,18 +23,17 @@ class HourlyStats:
     n_ids: int | None = None  # the domain's entities (sizes the grid)
 
 
-def value_facts(rows: DataFrame, keys: list[str], value) -> DataFrame:
-    """Per key, whether the value is binary: its distinct non-null values are
-    exactly 0 and 1 (P14)."""
-    odd = F.max(F.when(~value.isin(0, 1), 1).otherwise(0))
-    return rows.groupBy(*keys).agg(((F.min(value) == 0) & (F.max(value) == 1) & (odd == 0)).alias("is_binary"))
+def is_binary(value):
+    """Aggregate: the distinct non-null values are exactly 0 and 1."""
+    odd = F.max(F.when(value.isNotNull() & ~value.isin(0, 1), 1).otherwise(0))
+    return F.coalesce((F.min(value) == 0) & (F.max(value) == 1) & (odd == 0), F.lit(False))
 
 
 def hourly_stats(hourly: DataFrame) -> HourlyStats:
     """:class:`HourlyStats` of one domain's hourly means, in one aggregate
     (per variable this equals classifying the wide base table's column)."""
     seen = hourly.where(F.col(VAL).isNotNull() & F.col(VAR).isNotNull())
-    facts = value_facts(seen, [VAR], F.col(VAL)).collect()
+    facts = seen.groupBy(VAR).agg(is_binary(F.col(VAL)).alias("is_binary")).collect()
     names = sorted(r[VAR] for r in facts)
     binary = sorted(r[VAR] for r in facts if r["is_binary"])
     return HourlyStats(names, binary, [n for n in names if n not in binary], distinct_hours(hourly))
@@ -55,7 +54,7 @@ def plan_from_cube(cube: DataFrame, names: list[str], denominator: str = "LABEVE
     pairs = cube.where(F.col(VAR).isNotNull()).select("domain", ID, VAR).distinct()
     kept = pairs.groupBy("domain", VAR).agg(F.count(F.lit(1)).alias("n_ids")).where(share >= threshold).select("domain", VAR)
     usable = cube.where(usable_cube_row() & F.col("domain").isin(names)).join(kept, ["domain", VAR], "left_semi")
-    facts = value_facts(usable, ["domain", VAR], F.col("s") / F.col("n")).collect()
+    facts = usable.groupBy("domain", VAR).agg(is_binary(F.col("s") / F.col("n")).alias("is_binary")).collect()
     stats = {}
     for d in names:
         mine = [r for r in facts if r["domain"] == d]

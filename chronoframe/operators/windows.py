@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from chronoframe.functions import quote
 from chronoframe.operators.events import ID, VAL, VAR
-from chronoframe.operators.grid import by_name
+from chronoframe.operators.grid import by_name, is_binary
 
 ROLLING_STATS = ("mean", "std", "max")
 
@@ -45,16 +45,8 @@ def classify_columns(df: DataFrame, keys: tuple[str, ...] = (ID, "t")) -> tuple[
     cols = feature_columns(df, keys)
     if not cols:
         return [], []
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(quote(c))
-        aggs += [
-            F.min(x).alias(f"mn{i}"),
-            F.max(x).alias(f"mx{i}"),
-            F.max(F.when(x.isNotNull() & ~x.isin(0, 1), 1).otherwise(0)).alias(f"ot{i}"),
-        ]
-    r = df.agg(*aggs).first()
-    binary = [c for i, c in enumerate(cols) if r[f"mn{i}"] == 0 and r[f"mx{i}"] == 1 and r[f"ot{i}"] == 0]
+    r = df.agg(*[is_binary(F.col(quote(c))).alias(f"b{i}") for i, c in enumerate(cols)]).first()
+    binary = [c for i, c in enumerate(cols) if r[f"b{i}"]]
     return binary, [c for c in cols if c not in binary]
 
 

@@ -25,6 +25,8 @@ SHINGLE, BINS, BITS = 5, 256, 8
 #: Bins asked one by one before all are looked through.
 PROBES = 12
 _BIN_BITS = BINS.bit_length() - 1
+#: Bins are kept as signed bytes.
+_SIGN = 1 << (BITS - 1)
 
 
 #: All low bits of a bin: the mark of a bin without a hash.
@@ -53,7 +55,7 @@ def _marks() -> Column:
 
 def fingerprints(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Adds to ``df``, for each text column named by a key, the array of its
-    bins' low bits under the value's name. Every step is a projection."""
+    bins' low bits (less ``_SIGN``, a byte each) under the value's name. Every step is a projection."""
     names, out = list(columns), df
     # steps are kept apart, so that no array is worked out once per use
     out = out.withColumns({f"__{c}": F.filter(F.split(c, r"\s+"), lambda w: w != "") for c in names})
@@ -82,7 +84,7 @@ def fingerprints(df: DataFrame, columns: dict[str, str]) -> DataFrame:
         def fill(x: Column, i: Column) -> Column:
             return F.coalesce(x, *[F.get(F.col(c), _probe(i, t)) for t in range(PROBES)], nearest(i))
 
-        return F.transform(c, lambda x, i: fill(x, i).bitwiseAND(F.lit((1 << BITS) - 1)).cast("short"))
+        return F.transform(c, lambda x, i: (fill(x, i).bitwiseAND(F.lit((1 << BITS) - 1)) - _SIGN).cast("byte"))
 
     out = out.withColumns({name: densified(f"__{c}") for c, name in columns.items()})
     return out.drop(*[f"__{c}" for c in names], *[f"__{c}_full" for c in names])
@@ -91,7 +93,7 @@ def fingerprints(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 def packed(bins: Column) -> Column:
     """The bins' bits as lower-case hexadecimal digits, a byte each."""
     digits = F.array(*[F.lit(f"{v:02x}") for v in range(1 << BITS)])
-    return F.array_join(F.transform(bins, lambda v: F.get(digits, v.cast("int"))), "")
+    return F.array_join(F.transform(bins, lambda v: F.get(digits, v.cast("int") + _SIGN)), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -102,7 +104,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def numbered(rows: DataFrame) -> DataFrame:
-    """``a, b, n_chars, g``: each document's number in ascending order."""
+    """``doc_id, a, b, n_chars, g``: each document's number in ascending order."""
     meta = rows.groupBy("doc_id", "a", "b").agg(F.max(F.length("text")).alias("n_chars"))
     ordered = meta.repartitionByRange("doc_id", "a", "b").sortWithinPartitions("doc_id", "a", "b")
     placed = written(ordered.withColumn("id", F.monotonically_increasing_id()), "order")
@@ -111,7 +113,9 @@ def numbered(rows: DataFrame) -> DataFrame:
     counts = placed.groupBy(part).agg(F.count("*").alias("n")).withColumn(
         "before", F.sum("n").over(Window.orderBy("part")) - F.col("n")
     )
-    return placed.withColumn("part", part).join(counts, "part").select("a", "b", "n_chars", (F.col("before") + place).alias("g"))
+    return placed.withColumn("part", part).join(counts, "part").select(
+        "doc_id", "a", "b", "n_chars", (F.col("before") + place).alias("g")
+    )
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
@@ -123,26 +127,25 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     index = written(numbered(rows), "numbers")
     total = F.lit(index.count())
     before = index.select(
-        F.col("a").alias("to_a"), F.col("b").alias("to_b"), F.col("g").alias("to_g"),
+        F.col("doc_id").alias("to_id"), F.col("a").alias("to_a"), F.col("b").alias("to_b"),
         F.floor(F.col("n_chars") / 4).cast("int").alias("k"), F.pmod(F.col("g") + 1, total).alias("g"),
     )
-    # the texts are dealt out once; both joins below use that exchange
-    dealt = rows.repartition(partitions(rows), "a", "b")
-    heads = (
-        dealt.join(index.join(before, "g").select("a", "b", "to_a", "to_b", "to_g", "k"), ["a", "b"])
-        .select(F.col("to_a").alias("a"), F.col("to_b").alias("b"), F.col("to_g").alias("g"), F.substring("text", F.lit(1), F.col("k")).alias("head"))
-        .groupBy("a", "b", "g").agg(F.max("head").alias("head"))
+    # the texts are dealt out once: both joins below read the same columns and
+    # so share the exchange (ids travel with the index). A document sends the
+    # one before it its beginning and its fingerprint
+    dealt = rows.select("a", "b", "text").repartition(partitions(rows), "a", "b")
+    sent = dealt.join(index.join(before, "g").select("a", "b", "to_id", "to_a", "to_b", "k"), ["a", "b"])
+    sent = fingerprints(sent, {"text": "following"}).select(
+        F.col("to_id").alias("doc_id"), F.col("to_a").alias("a"), F.col("to_b").alias("b"), F.substring("text", F.lit(1), F.col("k")).alias("head"), "following"
     )
+    # equal rows send the same; one is enough
+    heads = sent.groupBy("a", "b").agg(F.max("doc_id").alias("doc_id"), F.max("head").alias("head"), F.max("following").alias("following"))
     n = F.length("text")
     edited = F.concat(F.substring("text", F.lit(1), (n - F.floor(n / 4)).cast("int")), F.col("head"))
-    both = dealt.join(heads, ["a", "b"]).select("doc_id", "g", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
-    marked = fingerprints(both, {"text": "own", "edited": "changed"}).select(
-        "doc_id", "g", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own", "changed"
-    )
-    marked = written(marked, "marked")
-    # equal rows share a number and a fingerprint
-    following = marked.select(F.pmod(F.col("g") - 1, total).alias("g"), F.col("own").alias("following")).dropDuplicates(["g"])
-    return marked.join(following, "g").select(
-        "doc_id", "n_chars", "edited_sha256", packed(F.col("own")).alias("fingerprint"), packed(F.col("changed")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("changed")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"),
+    both = dealt.join(heads, ["a", "b"]).select("doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"), "following")
+    own, changed = F.col("own"), F.col("changed")
+    return fingerprints(both, {"text": "own", "edited": "changed"}).select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), packed(own).alias("fingerprint"),
+        packed(changed).alias("edited_fingerprint"), likeness(own, changed).alias("near_edited"),
+        likeness(own, F.col("following")).alias("near_next"),
     )

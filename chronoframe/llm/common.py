@@ -36,7 +36,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and read back: computed once, and a
     lost executor costs no recomputation."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -8,8 +8,9 @@ blocks of columns:
 1. Every class orders its n-grams by (corpus frequency, hash) and puts the
    first few, as many as its size requires, into the first block: a pair that
    links shares one of them. Columns with one class give no product and leave.
-   The product's pairs are dropped by size and by position: n-grams that can
-   still be shared, against the overlap that the two sizes ask for.
+   The product adds up the shared n-grams of a pair; pairs are dropped by size,
+   by the position of what they share, and by what is left of the overlap that
+   the two sizes ask for after the n-grams known not to be shared.
 2. Over the remaining block the overlap of the pairs left is added up exactly,
    from both sets, and compared with the bound.
 
@@ -29,6 +30,7 @@ no rows give no rows; other columns are not read.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -44,6 +46,10 @@ SIZE = 4
 DENSE = 64
 #: Pivots of a dense column in the first round.
 PIVOTS = 8
+#: Bytes of n-gram sets, and ids, that may be broadcast.
+SMALL_BYTES, SMALL_IDS = 32 << 20, 1_000_000
+#: Bits of the field that picks documents (16 MB at any size), and of a chunk.
+MEMBER_BITS, CHUNK_BITS = 1 << 27, 1 << 15
 #: Only n-grams with at least this share of all occurrences are told apart by
 #: frequency; there can be no more than this many of them.
 FREQUENT = 1 << 20
@@ -91,25 +97,25 @@ def _class(grams: np.ndarray) -> int:
 
 
 def _sets(batches):
+    """Rows of the input with their n-gram sets, a block at a time."""
     for batch in batches:
         for at, block in blocks(batch.column("text")):
-            yield batch.column("doc_id").slice(at, len(block)), shingle_sets(block)
+            yield batch.slice(at, len(block)), shingle_sets(block)
 
 
 def _classes_and_frequent(batches):
-    """Rows (kind, id, n, digest): a document's class, size and full digest, or
-    an n-gram that is frequent in a chunk with its count there."""
+    """Rows (kind, doc_id, h, id, n): a document's class and size, or an n-gram
+    that is frequent in a chunk with its count there."""
     kept, held = [], 0
 
     def frequent():
         grams, counts = np.unique(np.concatenate(kept), return_counts=True)
         often = counts >= max(2, -(-held // FREQUENT))
-        return _batch(1, grams[often].view(np.int64), counts[often], None, None)
+        none = pa.nulls(int(often.sum()), pa.int64())
+        return _batch(1, none, none, grams[often].view(np.int64), counts[often])
 
-    for doc, found in _sets(batches):
-        ids = np.array([_class(x) for x in found], np.int64)
-        digests = [xxhash.xxh3_128_digest(x.tobytes()) for x in found]
-        yield _batch(0, ids, [x.size for x in found], digests, doc)
+    for rows, found in _sets(batches):
+        yield _batch(0, rows.column("doc_id"), rows.column("h"), [_class(x) for x in found], [x.size for x in found])
         for x in found:
             kept.append(x)
             held += x.size
@@ -120,19 +126,15 @@ def _classes_and_frequent(batches):
         yield frequent()
 
 
-def _batch(kind, ids, n, digests, doc):
-    size = len(ids)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([kind] * size, pa.int32()), doc if doc is not None else pa.nulls(size, pa.int64()),
-            pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(digests or [None] * size, pa.binary()),
-        ],
-        ["kind", "doc_id", "id", "n", "digest"],
-    )
+def _batch(kind, doc, h, ids, n):
+    columns = [pa.array([kind] * len(doc), pa.int32()), doc, h, pa.array(ids, pa.int64()), pa.array(n, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["kind", "doc_id", "h", "id", "n"])
 
 
 def _first_block(shared):
-    """Rows (gram, c, n, pos): the n-grams of a class that a partner must share."""
+    """Rows (gram, c, n, pos, often): the n-grams of a class that a partner must
+    share, ``often`` being their corpus frequency (0: not frequent). The last of
+    a class comes once more, at position -1."""
 
     def run(batches):
         frequent, counts = shared.value
@@ -143,59 +145,143 @@ def _first_block(shared):
                 if frequent.size:
                     at = np.minimum(np.searchsorted(frequent, x), frequent.size - 1)
                     order = np.where(frequent[at] == x, counts[at], 0)
-                need = -(-85 * x.size // 100)
-                out.append((x[np.lexsort((x, order))[: x.size - need + 1]], _class(x), x.size))
+                first = np.lexsort((x, order))[: x.size - -(-85 * x.size // 100) + 1]
+                first = np.append(first, first[-1])
+                pos = np.arange(first.size, dtype=np.int32)
+                pos[-1] = -1
+                out.append((x[first], np.full(first.size, _class(x)), np.full(first.size, x.size, np.int32), pos, order[first]))
             if out:
-                sizes = [g.size for g, _, _ in out]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([g for g, _, _ in out]).view(np.int64)),
-                        pa.array(np.repeat([c for _, c, _ in out], sizes)), pa.array(np.repeat([n for _, _, n in out], sizes).astype(np.int32)),
-                        pa.array(np.concatenate([np.arange(s, dtype=np.int32) for s in sizes])),
-                    ],
-                    ["gram", "c", "n", "pos"],
-                )
+                gram, *others = (np.concatenate(z) for z in zip(*out, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (gram.view(np.int64), *others)], ["gram", "c", "n", "pos", "often"])
 
     return run
 
 
+def _needed(n, m):
+    """The overlap that links sets of these sizes (rounded up)."""
+    return -(-85 * (n + m) // 185)
+
+
+def _multiply(batches):
+    """Products of the columns, read in order of (gram, c) with ``np`` holding
+    size and position: rows (a, b, hits, fits) of class pairs, and (gram, a,
+    hits) of rows in dense columns, ``hits`` being the set's size there.
+
+    ``hits`` counts shared n-grams; ``fits`` says whether one of them stands
+    early enough to be the first that a linked pair shares.
+    """
+
+    def pairs(gram, c, place):
+        n, pos, found = place >> 32, place & 0xFFFFFFFF, []
+        for step in range(1, DENSE):
+            i = np.flatnonzero(gram[:-step] == gram[step:])
+            if not i.size:
+                break
+            j = i + step
+            keep = 85 * np.maximum(n[i], n[j]) <= 100 * np.minimum(n[i], n[j])
+            i, j = i[keep], j[keep]
+            small = np.minimum(n[i], n[j])
+            # the smaller set's n-gram lies in its prefix for larger partners
+            own = np.where(n[i] == n[j], np.minimum(pos[i], pos[j]), np.where(n[i] < n[j], pos[i], pos[j]))
+            left = np.minimum(n[i] - pos[i], n[j] - pos[j])
+            fits = (own <= small - -(-170 * small // 185)) & (left >= _needed(n[i], n[j]))
+            found.append(np.stack([c[i], c[j], fits], 1))
+        if not found:
+            return None
+        rows, hits = np.unique(np.concatenate(found), axis=0, return_counts=True)
+        size = len(rows)
+        return _product(pa.nulls(size, pa.int64()), rows[:, 0], pa.array(rows[:, 1]), hits, rows[:, 2])
+
+    def dense(gram, c, place):
+        return _product(pa.array(gram), c, pa.nulls(gram.size, pa.int64()), place >> 32, np.zeros(gram.size))
+
+    held, full = [np.empty(0, np.int64)] * 3, None
+    for batch in batches:
+        rows = [np.concatenate([h, batch.column(k).to_numpy()]) for h, k in zip(held, ("gram", "c", "np"), strict=True)]
+        if not rows[0].size:
+            continue
+        new = np.concatenate([[True], (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])])
+        gram, c, place = (r[new] for r in rows)
+        starts = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+        size = np.diff(starts, append=gram.size)
+        many = size > DENSE
+        many[0] |= full is not None and gram[0] == full
+        # the last column may go on: keep it back unless it is dense already
+        hold = 0 if many[-1] else int(size[-1])
+        full = gram[-1] if many[-1] else None
+        wide = np.repeat(many, size)
+        cut = gram.size - hold
+        if (out := np.flatnonzero(wide[:cut])).size:
+            yield dense(gram[out], c[out], place[out])
+        thin = np.flatnonzero(~wide[:cut] & np.repeat(size > 1, size)[:cut])
+        if thin.size and (done := pairs(gram[thin], c[thin], place[thin])) is not None:
+            yield done
+        held = [gram[cut:], c[cut:], place[cut:]]
+    if held[0].size > 1 and (done := pairs(*held)) is not None:
+        yield done
+
+
+def _product(gram, a, b, hits, fits):
+    columns = [gram, pa.array(a), b, pa.array(hits.astype(np.int32)), pa.array(fits.astype(np.int32))]
+    return pa.RecordBatch.from_arrays(columns, ["gram", "a", "b", "hits", "fits"])
+
+
+def candidates(products: DataFrame, meta: DataFrame, dense: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose overlap may still reach the bound: of the class whose
+    first block ends first, every n-gram there that is not shared is lost."""
+    added = products.filter("b is not null").groupBy("a", "b").agg(F.sum("hits").alias("hits"), F.max("fits").alias("fits"))
+    # n-grams in dense columns are not counted among the hits
+    more = dense.groupBy("c").agg(F.count("*").alias("unseen"))
+    ends = meta.join(more, "c", "left").select("c", "n", "last", F.coalesce("unseen", F.lit(0)).alias("unseen"))
+    both = (
+        added.filter("fits > 0").join(ends.toDF("a", "na", "la", "ua"), "a").join(ends.toDF("b", "nb", "lb", "ub"), "b")
+        .withColumn("own", F.when(F.col("la") <= F.col("lb"), F.col("na")).otherwise(F.col("nb")))
+    )
+    block = F.col("own") - F.ceil(F.col("own") * 85 / 100) + 1
+    lost = F.greatest(F.lit(0), block - F.col("hits") - F.least("ua", "ub"))
+    return both.filter(F.col("own") - lost >= F.ceil((F.col("na") + F.col("nb")) * 85 / 185)).select("a", "b")
+
+
 def _sizes_fit(n: Column, m: Column) -> Column:
-    return (F.greatest(n, m) * 85 <= F.least(n, m) * 100)
+    return F.greatest(n, m) * 85 <= F.least(n, m) * 100
 
 
-def _needed(n: Column, m: Column) -> Column:
-    return F.ceil((n + m) * 85 / 185)
+def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose exact overlap reaches the bound.
 
+    The sets on the left are broadcast if, measured, they are small (few pivots
+    meet many others), so that no set is sent once per pair; otherwise both
+    sides are joined by shuffles.
+    """
 
-def direct_pairs(block: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of the columns with few classes."""
-    x = block.select("gram", F.col("c").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
-    y = block.select("gram", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
-    # the smaller one's n-gram lies in its (shorter) prefix for larger partners
-    small, place = F.least("na", "nb"), F.when(F.col("na") <= F.col("nb"), F.col("pa")).otherwise(F.col("pb"))
-    after = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    either = F.when(F.col("na") == F.col("nb"), F.least("pa", "pb")).otherwise(place)
-    fits = _sizes_fit(F.col("na"), F.col("nb")) & (either <= small - F.ceil(small * 170 / 185)) & (
-        after >= _needed(F.col("na"), F.col("nb"))
-    )
-    return x.join(y, (x.gram == y.gram) & (F.col("a") < F.col("b"))).filter(fits).select("a", "b").distinct()
+    left = _only(sets, pairs, "a").select(F.col("c").alias("a"), F.col("grams").alias("sa"))
+    right = _only(sets, pairs, "b").select(F.col("c").alias("b"), F.col("grams").alias("sb"))
+    if 8 * (left.agg(F.sum(F.size("sa"))).first()[0] or 0) <= SMALL_BYTES:
+        left = F.broadcast(left)
+    both = F.size(F.array_intersect("sa", "sb"))
+    return pairs.join(right, "b").join(left, "a").filter(both * 185 >= (F.size("sa") + F.size("sb")) * 85).select("a", "b")
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose exact overlap reaches the bound."""
+def _only(sets: DataFrame, pairs: DataFrame, side: str) -> DataFrame:
+    """The sets of the classes on one side; few enough ids are broadcast, so
+    that the sets are not shuffled to be picked."""
+    ids = pairs.select(F.col(side).alias("c")).distinct()
+    return sets.join(F.broadcast(ids) if ids.count() <= SMALL_IDS else ids, "c", "left_semi")
 
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                both = np.intersect1d(x, y, assume_unique=True).size
-                keep.append(185 * both >= 85 * (x.size + y.size))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("c").alias("a"), F.col("grams").alias("sa"))
-    right = sets.select(F.col("c").alias("b"), F.col("grams").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+def member_bits(ids: DataFrame) -> np.ndarray:
+    """A bit field of fixed size with the bit of every ``bit`` number set."""
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        chunk = np.zeros(CHUNK_BITS, np.uint8)
+        chunk[pdf["bit"].to_numpy() % CHUNK_BITS] = 1
+        return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "bits": [np.packbits(chunk, bitorder="little").tobytes()]})
+
+    rows = ids.distinct().withColumn("chunk", F.shiftright("bit", CHUNK_BITS.bit_length() - 1))
+    field = np.zeros(MEMBER_BITS // 8, np.uint8)
+    for r in rows.groupBy("chunk").applyInPandas(pack, "chunk long, bits binary").collect():
+        field[r.chunk * CHUNK_BITS // 8: (r.chunk + 1) * CHUNK_BITS // 8] = np.frombuffer(r.bits, np.uint8)
+    return field
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -245,16 +331,18 @@ def _dense_round(rows: DataFrame, labels: DataFrame, pivots: int) -> tuple[DataF
     pairs = open_rows.join(p, F.col("gram") == F.col("pg")).filter(
         (F.col("top") != F.col("ta")) & _sizes_fit(F.col("n"), F.col("na"))
     )
-    pairs = pairs.select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b")).distinct()
+    pairs = written(pairs.select("a", F.col("c").alias("b")).distinct(), "dense-pairs")
     stay = open_rows.select("gram", "c", "n").join(picked.select("gram", "c"), ["gram", "c"], "left_anti")
     return pairs, written(stay, "dense")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row."""
+    """``doc_id, h`` (the text's hash), ``n_shingles, component_id`` and
+    ``top``, the component's class, for every row."""
     rows, spark = texts(docs), docs.sparkSession
-    first = written(rows.mapInArrow(_classes_and_frequent, "kind int, doc_id long, id long, n long, digest binary"), "classes")
-    classes = first.filter("kind = 0").select("doc_id", F.col("id").alias("c"), "n", "digest")
+    hashed = rows.withColumn("h", F.xxhash64("text"))
+    first = written(hashed.mapInArrow(_classes_and_frequent, "kind int, doc_id long, h long, id long, n long"), "classes")
+    classes = first.filter("kind = 0").select("doc_id", "h", F.col("id").alias("c"), "n")
     total = classes.agg(F.sum("n")).first()[0] or 0
     often = first.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(2, -(-total // FREQUENT)))
     # at most FREQUENT rows by the threshold
@@ -263,32 +351,50 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     order = np.argsort(grams)
     shared = spark.sparkContext.broadcast((grams[order], often["n"].to_numpy(np.int64)[order]))
 
-    block = written(rows.mapInArrow(_first_block(shared), "gram long, c long, n int, pos int"), "block")
-    several = block.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("gram")
-    block = written(block.join(several, "gram").dropDuplicates(["gram", "c"]), "columns")
-    sizes = block.groupBy("gram").agg(F.count("*").alias("m"))
-    thin = block.join(sizes.filter(F.col("m") <= DENSE), "gram")
-    dense = written(block.join(sizes.filter(F.col("m") > DENSE), "gram").select("gram", "c", "n"), "dense")
-    pairs = written(direct_pairs(thin), "pairs")
+    block = written(rows.mapInArrow(_first_block(shared), "gram long, c long, n int, pos int, often long"), "block")
+    # (frequency, unsigned hash) as an ordered value
+    last = F.struct("often", F.col("gram").bitwiseXOR(F.lit(-(1 << 63)))).alias("last")
+    meta = block.filter("pos = -1").select("c", F.col("n").cast("long").alias("n"), last).dropDuplicates(["c"])
+    block = block.filter("pos >= 0")
+    # a column that only the frequent n-grams could make very long stays out of
+    # the sorted pass; it is dense as it stands
+    crowded = block.filter("often > 0").groupBy("gram").agg(F.count("*").alias("m")).filter(F.col("m") > DENSE).select("gram")
+    crowded = written(crowded, "crowded")
+    rest = block.filter("often = 0").unionByName(block.filter("often > 0").join(crowded, "gram", "left_anti"))
+    place = (F.shiftleft(F.col("n").cast("long"), 32) + F.col("pos")).alias("np")
+    ordered = rest.select("gram", "c", place).repartition("gram").sortWithinPartitions("gram", "c")
+    products = written(ordered.mapInArrow(_multiply, "gram long, a long, b long, hits int, fits int"), "products")
+    dense = products.filter("b is null").select("gram", F.col("a").alias("c"), F.col("hits").cast("long").alias("n")).unionByName(
+        block.filter("often > 0").join(crowded, "gram").select("gram", "c", F.col("n").cast("long").alias("n"))
+    )
+    dense = written(dense.dropDuplicates(["gram", "c"]), "dense")
+    pairs = written(candidates(products, meta, dense), "pairs")
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).union(dense.select("c")).distinct()
-    one = classes.groupBy("c").agg(F.min("doc_id").alias("rep")).join(wanted, "c").select("c", "rep")
-    reps = one.select("rep").distinct()
-    chosen = rows.join(reps, rows.doc_id.eqNullSafe(reps.rep), "left_semi")
+    # the n-grams of the wanted classes, each from one of its documents: a bit
+    # field picks the documents in the scan, so no text is shuffled; what it lets
+    # through besides is not asked for below
+    one = written(classes.groupBy("c").agg(F.min("doc_id").alias("doc_id")).join(wanted, "c"), "wanted")
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(MEMBER_BITS)).alias("bit")
+    members = spark.sparkContext.broadcast(member_bits(one.select(bit)))
 
     def grams_of(batches):
-        for _, found in _sets(batches):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_class(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())], ["c", "grams"]
-            )
+        field = members.value
+        for batch in batches:
+            at = batch.column("bit").to_numpy()
+            mine = batch.filter(pa.array((field[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
+            for _, found in _sets([mine] if len(mine) else []):
+                ends = np.cumsum([0, *(x.size for x in found)], dtype=np.int32)
+                grams = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array([_class(x) for x in found], pa.int64()), grams], ["c", "grams"])
 
-    sets = chosen.mapInArrow(grams_of, "c long, grams binary").join(one.select("c"), "c")
-    sets = written(sets.groupBy("c").agg(F.max("grams").alias("grams")), "sets")
+    sets = written(rows.withColumn("bit", bit).mapInArrow(grams_of, "c long, grams array<long>"), "sets")
 
     labels = one.select("c", F.col("c").alias("top"))
     links = linked(pairs, sets)
     labels = _merge(written(labels, "labels"), written(links, "links"))
     pivots = PIVOTS
+    sets = written(_only(sets, dense, "c"), "dense-sets")
     while dense.limit(1).count():
         pairs, dense = _dense_round(dense, labels, pivots)
         labels = _merge(labels, written(linked(pairs, sets), "links"))
@@ -297,11 +403,30 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     joined = classes.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("low")).join(labels, "c", "left")
     joined = joined.select("c", "low", F.coalesce("top", "c").alias("top"))
     lowest = joined.groupBy("top").agg(F.min("low").alias("component_id"))
-    own = joined.join(lowest, "top").select("c", "component_id")
+    own = joined.join(lowest, "top").select("c", "top", "component_id")
     return classes.join(own, "c", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "doc_id", "h", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "top",
+    )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents, whole rows, with one of each component: the one with the
+    smallest id (null last), then hash. All documents with empty sets stay."""
+    found = written(jaccard_components(docs).filter("n_shingles > 0"), "components")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    kept = found.groupBy("top").agg(F.min(place).alias("x")).select("top", "x.*")
+    other = found.join(kept.select("top", F.col("doc_id").alias("id"), F.col("h").alias("kept_h")), "top").filter(
+        ~F.col("doc_id").eqNullSafe(F.col("id")) | (F.col("h") != F.col("kept_h"))
     )
+    gone = other.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).distinct()
+    ours = docs.withColumn("__text_h", F.xxhash64(F.coalesce("text", F.lit(""))))
+    left = ours.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text_h") == F.col("__h")), "left_anti")
+    if found.groupBy("doc_id", "h").count().filter("count > 1").limit(1).count():
+        # rows equal in id and text: one of them stays, but all of those without words
+        worded = F.col("text").isNotNull() & F.col("text").rlike("[^\\x20\\x09-\\x0D]")
+        left = left.filter(worded).dropDuplicates(["doc_id", "__text_h"]).unionByName(left.filter(~worded | F.col("text").isNull()))
+    return left.drop("__text_h")
 
 
 def oracle_sql() -> str:

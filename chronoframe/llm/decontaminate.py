@@ -124,6 +124,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
     )
 
 
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
+    """The documents, whole rows, without an occurrence of a window."""
+    found = hits(docs, written(windows(benchmark, width), "windows")).filter("n_hit > 0")
+    gone = found.select("doc_id", "h").distinct().toDF("__id", "__h")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__h"))
+    return docs.join(gone, same, "left_anti")
+
+
 def oracle_sql(width: int = 10) -> str:
     """The same in DuckDB, from every window of the documents."""
     words = "regexp_extract_all(translate(coalesce(text, ''), '{}', '{}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')".format(UPPER, LOWER)

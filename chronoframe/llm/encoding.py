@@ -7,7 +7,7 @@ and deduplicated by Arrow; each worker encodes a distinct word once.
 
 from __future__ import annotations
 
-from itertools import chain
+from itertools import chain, repeat
 from pathlib import Path
 
 import numpy as np
@@ -53,14 +53,16 @@ class WordEncoder:
         """The cache's row of every word of an array, learning new ones."""
         coded = words.dictionary_encode()
         distinct, indices = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        if new := [w for w in distinct if w not in self.known]:
+        rows = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        if (missing := np.flatnonzero(rows < 0)).size:
+            new = [distinct[i] for i in missing.tolist()]
             found = [x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+            rows[missing] = np.arange(len(self.known), len(self.known) + len(new))
+            self.known.update(zip(new, rows[missing].tolist(), strict=True))
             ids = np.fromiter(chain.from_iterable(found), self.flat.dtype, int(sizes.sum()))
             self.flat, self.starts = np.concatenate([self.flat, ids]), np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
             self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
-        rows = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
         self.used[rows] += np.bincount(indices, minlength=len(distinct))
         return rows[indices]
 

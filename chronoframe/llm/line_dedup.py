@@ -133,9 +133,9 @@ def copies(docs: DataFrame, min_words: int = 50) -> DataFrame:
     return at.groupBy(*KEY).agg(F.array_sort(F.collect_set("pos")).alias("positions"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = 50, into: str = "deleted_lines") -> DataFrame:
     """The documents without the copies: ``text`` cleaned, all other columns
-    as they were, and ``deleted_lines`` (sorted line numbers, null if none)."""
+    as they were, and ``into`` (sorted line numbers, null if none)."""
     found = copies(docs, min_words).toDF("__doc_id", "__h", "__positions")
     ours = docs.withColumn("__text_h", F.xxhash64(F.coalesce("text", F.lit(""))))
     kept = F.array_join(
@@ -146,10 +146,16 @@ def dedup_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
     )
     cleaned = F.when(F.col("__positions").isNull(), F.col("text")).otherwise(kept).alias("text")
     return joined.select(
-        *[cleaned if c == "text" else F.col(f"`{c}`") for c in docs.columns], F.col("__positions").alias("deleted_lines")
+        *[cleaned if c == "text" else F.col(f"`{c}`") for c in docs.columns], F.col("__positions").alias(into)
     )
 
 
+def without_copies(docs: DataFrame, min_words: int = 50) -> DataFrame:
+    """The cleaned documents, whole rows; one that was nothing but copies goes."""
+    cleaned = dedup_lines(docs, min_words, "__deleted")
+    return cleaned.filter(F.col("__deleted").isNull() | F.col("text").rlike(r"\S")).drop("__deleted")
+
+
 def oracle_sql(min_words: int = 50) -> str:
     """The rule in DuckDB, from every run of lines."""
     return f"""

@@ -132,8 +132,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     return (total / max(1, sum(m.rows for m in models))).astype(np.float32)
 
 
-def score(docs: DataFrame, model: np.ndarray) -> DataFrame:
-    """The documents' own columns with ``score`` (0 to 1) and ``predicted``."""
+def score(docs: DataFrame, model: np.ndarray, into: str = "score") -> DataFrame:
+    """The documents' own columns and the score (0 to 1) as column ``into``."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     features = Features()
@@ -152,10 +152,17 @@ def score(docs: DataFrame, model: np.ndarray) -> DataFrame:
     def run(text: pd.Series) -> pd.Series:
         return pd.Series(values(text))
 
-    return docs.withColumn("score", run("text")).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    return docs.withColumn(into, run("text"))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document."""
     scored = score(texts(docs), fit(docs, labels))
-    return scored.select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+    return scored.select(
+        "doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+    )
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents, whole rows, that the classifier does not reject."""
+    return score(docs, fit(docs, labels), "__score").filter(F.col("__score") >= THRESHOLD).drop("__score")

@@ -47,7 +47,7 @@ DENSE = 64
 #: Pivots of a dense column in the first round.
 PIVOTS = 8
 #: Bytes of n-gram sets, and ids, that may be broadcast.
-SMALL_BYTES, SMALL_IDS = 32 << 20, 1_000_000
+SMALL_BYTES, SMALL_IDS = 64 << 20, 1_000_000
 #: Bits of the field that picks documents (16 MB at any size), and of a chunk.
 MEMBER_BITS, CHUNK_BITS = 1 << 27, 1 << 15
 #: Only n-grams with at least this share of all occurrences are told apart by

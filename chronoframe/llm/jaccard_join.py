@@ -165,7 +165,7 @@ def _needed(n, m):
 def _multiply(batches):
     """Products of the columns, read in order of (gram, c) with ``np`` holding
     size and position: rows (a, b, hits, fits) of class pairs, and (gram, a,
-    hits) of rows in dense columns, ``hits`` being the set's size there.
+    hits, fits) of rows in dense columns, with size and position as the latter.
 
     ``hits`` counts shared n-grams; ``fits`` says whether one of them stands
     early enough to be the first that a linked pair shares.
@@ -193,7 +193,7 @@ def _multiply(batches):
         return _product(pa.nulls(size, pa.int64()), rows[:, 0], pa.array(rows[:, 1]), hits, rows[:, 2])
 
     def dense(gram, c, place):
-        return _product(pa.array(gram), c, pa.nulls(gram.size, pa.int64()), place >> 32, np.zeros(gram.size))
+        return _product(pa.array(gram), c, pa.nulls(gram.size, pa.int64()), place >> 32, place & 0xFFFFFFFF)
 
     held, full = [np.empty(0, np.int64)] * 3, None
     for batch in batches:
@@ -242,8 +242,17 @@ def candidates(products: DataFrame, meta: DataFrame, dense: DataFrame) -> DataFr
     return both.filter(F.col("own") - lost >= F.ceil((F.col("na") + F.col("nb")) * 85 / 185)).select("a", "b")
 
 
-def _sizes_fit(n: Column, m: Column) -> Column:
-    return F.greatest(n, m) * 85 <= F.least(n, m) * 100
+def _may_start(n: str, pos: str, m: str, at: str) -> Column:
+    """Whether an n-gram at these positions of two sets of these sizes can be
+    the first that they share if they link (as ``fits`` in the product): any
+    other column may leave the pair to the one where it is."""
+    n, pos, m, at = F.col(n), F.col(pos), F.col(m), F.col(at)
+    small = F.least(n, m)
+    own = F.when(n == m, F.least(pos, at)).when(n < m, pos).otherwise(at)
+    return (
+        (F.greatest(n, m) * 85 <= small * 100) & (own <= small - F.ceil(small * 170 / 185))
+        & (F.least(n - pos, m - at) >= F.ceil((n + m) * 85 / 185))
+    )
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -319,20 +328,18 @@ def _dense_round(rows: DataFrame, labels: DataFrame, pivots: int) -> tuple[DataF
     few = (F.col("total") - F.col("x.n_top") <= pivots).alias("few")
     open_rows = written(own.join(grams.select("gram", F.col("x.top").alias("main"), few), "gram"), "open")
     outside = F.col("top") != F.col("main")
-    last = open_rows.filter(F.col("few") & outside).select("gram", "c", "n", "top")
+    last = open_rows.filter(F.col("few") & outside).select("gram", "c", "n", "pos", "top")
     # one pivot a bucket: the bucket's first in a fixed random order
     chosen = (
         open_rows.filter(~F.col("few") & ~outside)
         .groupBy("gram", F.pmod(F.xxhash64("c"), F.lit(pivots)).alias("bucket"))
-        .agg(F.min_by(F.struct("c", "n", "top"), F.xxhash64("c", F.lit(7))).alias("p")).select("gram", "p.*")
+        .agg(F.min_by(F.struct("c", "n", "pos", "top"), F.xxhash64("c", F.lit(7))).alias("p")).select("gram", "p.*")
     )
     picked = written(last.unionByName(chosen), "pivots")
-    p = picked.select(F.col("gram").alias("pg"), F.col("c").alias("a"), F.col("n").alias("na"), F.col("top").alias("ta"))
-    pairs = open_rows.join(p, F.col("gram") == F.col("pg")).filter(
-        (F.col("top") != F.col("ta")) & _sizes_fit(F.col("n"), F.col("na"))
-    )
+    p = picked.select(F.col("gram").alias("pg"), F.col("c").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("top").alias("ta"))
+    pairs = open_rows.join(p, F.col("gram") == F.col("pg")).filter((F.col("top") != F.col("ta")) & _may_start("n", "pos", "na", "pa"))
     pairs = written(pairs.select("a", F.col("c").alias("b")).distinct(), "dense-pairs")
-    stay = open_rows.select("gram", "c", "n").join(picked.select("gram", "c"), ["gram", "c"], "left_anti")
+    stay = open_rows.select("gram", "c", "n", "pos").join(picked.select("gram", "c"), ["gram", "c"], "left_anti")
     return pairs, written(stay, "dense")
 
 
@@ -364,8 +371,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     place = (F.shiftleft(F.col("n").cast("long"), 32) + F.col("pos")).alias("np")
     ordered = rest.select("gram", "c", place).repartition("gram").sortWithinPartitions("gram", "c")
     products = written(ordered.mapInArrow(_multiply, "gram long, a long, b long, hits int, fits int"), "products")
-    dense = products.filter("b is null").select("gram", F.col("a").alias("c"), F.col("hits").cast("long").alias("n")).unionByName(
-        block.filter("often > 0").join(crowded, "gram").select("gram", "c", F.col("n").cast("long").alias("n"))
+    dense = products.filter("b is null").select("gram", F.col("a").alias("c"), F.col("hits").alias("n"), F.col("fits").alias("pos")).unionByName(
+        block.filter("often > 0").join(crowded, "gram").select("gram", "c", "n", "pos")
     )
     dense = written(dense.dropDuplicates(["gram", "c"]), "dense")
     pairs = written(candidates(products, meta, dense), "pairs")

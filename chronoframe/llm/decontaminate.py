@@ -126,7 +126,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
 
 def uncontaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
     """The documents, whole rows, without an occurrence of a window."""
-    found = hits(docs, written(windows(benchmark, width), "windows")).filter("n_hit > 0")
+    # written before it is filtered: a pushed filter would work the words of a
+    # text out anew for every candidate
+    found = written(hits(docs, written(windows(benchmark, width), "windows")).select("doc_id", "h", "n_hit"), "hits").filter("n_hit > 0")
     gone = found.select("doc_id", "h").distinct().toDF("__id", "__h")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__h"))
     return docs.join(gone, same, "left_anti")

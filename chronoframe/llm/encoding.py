@@ -102,13 +102,20 @@ def blocks(texts: pa.Array):
         at = upto
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_HELD: dict = {}
+
+
+def held(key, make):
+    """The one cache that this worker keeps: a worker is used by operator after
+    operator, and what the one before held is let go."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
 
 
 def word_encoder(path: str) -> WordEncoder:
     """This worker's encoder for a vocabulary file."""
-    if path not in _ENCODERS:
-        if not Path(path).is_file():
-            raise FileNotFoundError(f"tokenizer file {path}")
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    if not Path(path).is_file():
+        raise FileNotFoundError(f"tokenizer file {path}")
+    return held(("words", path), lambda: WordEncoder(path))

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoframe.llm.common import LOWER, UPPER, texts, written
-from chronoframe.llm.encoding import blocks
+from chronoframe.llm.encoding import blocks, held
 
 #: Words of an n-gram.
 SIZE = 4
@@ -98,6 +98,7 @@ def _class(grams: np.ndarray) -> int:
 
 def _sets(batches):
     """Rows of the input with their n-gram sets, a block at a time."""
+    held("sets", dict)  # nothing is kept here; another operator's cache goes
     for batch in batches:
         for at, block in blocks(batch.column("text")):
             yield batch.slice(at, len(block)), shingle_sets(block)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoframe.llm.common import crc_mod, ship, texts
-from chronoframe.llm.encoding import blocks
+from chronoframe.llm.encoding import blocks, held
 
 BITS = 18
 #: Rows a shard aims at, and updates that each shard's model gets at least.
@@ -121,7 +121,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "text"]).sample(frac=1.0, random_state=0)
-        places, sizes = Features()(pa.array(pdf["text"], pa.string()))
+        places, sizes = held("quality", Features)(pa.array(pdf["text"], pa.string()))
         w = train(np.split(places, np.cumsum(sizes)[:-1]), pdf["y"].to_numpy())
         return pd.DataFrame({"rows": [len(pdf)], "w": [w.astype(np.float32).tobytes()]})
 
@@ -136,10 +136,9 @@ def score(docs: DataFrame, model: np.ndarray, into: str = "score") -> DataFrame:
     """The documents' own columns and the score (0 to 1) as column ``into``."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    features = Features()
 
     def values(texts_: pd.Series) -> np.ndarray:
-        w, out = shared.value, []
+        w, out, features = shared.value, [], held("quality", Features)
         for _, block in blocks(pa.array(texts_.fillna(""), pa.string())):
             places, sizes = features(block)
             total, some = np.zeros(sizes.size), sizes > 0

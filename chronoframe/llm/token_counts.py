@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoframe.llm.common import texts
-from chronoframe.llm.encoding import blocks
+from chronoframe.llm.encoding import blocks, held
 
 FREQUENT_SHARE, TABLE_CHUNKS = 16_384, 32_768
 #: Misses a worker keeps before it starts afresh.
@@ -151,15 +151,6 @@ def frequent_chunks(docs: DataFrame) -> list[str]:
     return [r.chunk for r in top.select("chunk").collect()]
 
 
-_COUNTERS: dict[str, TokenCounter] = {}
-
-
-def _counter(path: str) -> TokenCounter:
-    if path not in _COUNTERS:
-        _COUNTERS[path] = TokenCounter(path)
-    return _COUNTERS[path]
-
-
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every whole text."""
     rows, spark = texts(docs), docs.sparkSession
@@ -173,7 +164,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512) -> DataFrame
     shared = spark.sparkContext.broadcast(table)
 
     def run(batches):
-        mine = _counter(tokenizer)
+        mine = held(("counts", tokenizer), lambda: TokenCounter(tokenizer))
         mine.use(shared.value)
         for batch in batches:
             text = batch.column("text")

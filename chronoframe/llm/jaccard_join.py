@@ -29,6 +29,8 @@ no rows give no rows; other columns are not read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -46,8 +48,8 @@ SIZE = 4
 DENSE = 64
 #: Pivots of a dense column in the first round.
 PIVOTS = 8
-#: Bytes of n-gram sets, and ids, that may be broadcast.
-SMALL_BYTES, SMALL_IDS = 64 << 20, 1_000_000
+#: Bytes of n-gram sets in a broadcast block, blocks, and ids that may be broadcast.
+SMALL_BYTES, SMALL_BLOCKS, SMALL_IDS = 40 << 20, 6, 1_000_000
 #: Bits of the field that picks documents (16 MB at any size), and of a chunk.
 MEMBER_BITS, CHUNK_BITS = 1 << 27, 1 << 15
 #: Only n-grams with at least this share of all occurrences are told apart by
@@ -259,17 +261,27 @@ def _may_start(n: str, pos: str, m: str, at: str) -> Column:
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose exact overlap reaches the bound.
 
-    The sets on the left are broadcast if, measured, they are small (few pivots
-    meet many others), so that no set is sent once per pair; otherwise both
-    sides are joined by shuffles.
+    The sets on the left are broadcast, in a few blocks at most, if they are
+    small as measured (few pivots meet many others), so that no set is sent once
+    per pair; otherwise both sides are joined by shuffles.
     """
 
     left = _only(sets, pairs, "a").select(F.col("c").alias("a"), F.col("grams").alias("sa"))
     right = _only(sets, pairs, "b").select(F.col("c").alias("b"), F.col("grams").alias("sb"))
-    if 8 * (left.agg(F.sum(F.size("sa"))).first()[0] or 0) <= SMALL_BYTES:
-        left = F.broadcast(left)
-    both = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(right, "b").join(left, "a").filter(both * 185 >= (F.size("sa") + F.size("sb")) * 85).select("a", "b")
+    number = -(-8 * (left.agg(F.sum(F.size("sa"))).first()[0] or 0) // SMALL_BYTES)
+
+    def compared(some: DataFrame) -> DataFrame:
+        both = F.size(F.array_intersect("sa", "sb"))
+        met = pairs.join(right, "b").join(some, "a")
+        return met.filter(both * 185 >= (F.size("sa") + F.size("sb")) * 85).select("a", "b")
+
+    if number <= 1:
+        return compared(F.broadcast(left))
+    if number > SMALL_BLOCKS:
+        return compared(left)
+    place = F.pmod(F.xxhash64("a"), F.lit(number))
+    parts = [written(compared(F.broadcast(left.filter(place == i))), "block-links") for i in range(number)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _only(sets: DataFrame, pairs: DataFrame, side: str) -> DataFrame:

@@ -1,11 +1,14 @@
 """Licence scans by sentence rules.
 
-A text is cut into sentences; a sentence is normalised (A-Z lowered, all but
-a-z and 0-9 made one space) and looked up among the known licence sentences.
-The identifiers found, in text order, form the document's identifier sequence;
-unknown sentences between them are passed over up to ``MAX_GAP`` of them. A
-licence rule is an ordered list of identifiers and matches where the sequence
-holds it without another identifier between.
+A text is cut into sentences, at marks before white space and at blank lines;
+a sentence is normalised (A-Z lowered, all but a-z and 0-9 made one space) and
+looked up among the known licence sentences, and so is every run of whole lines
+of it: a heading or copyright line hides no wrapped sentence below it. Of known
+sentences that start alike, the longest is taken. The identifiers found, in
+text order, form the document's identifier sequence; unknown sentences between
+them are passed over up to ``MAX_GAP`` of them. A licence rule is an ordered
+list of identifiers and matches where the sequence holds it without another
+identifier between.
 
 Cases: null and empty texts have no sentence and no licence; rows equal in id
 and text are one document and all get its result; a null id is kept; repeated
@@ -15,10 +18,12 @@ are not read.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoframe.llm.common import LOWER, UPPER, ascii_lower, texts
+from chronoframe.llm.common import LOWER, UPPER, ship
 
 #: Unknown sentences allowed between two sentences of one rule.
 MAX_GAP = 1
@@ -76,60 +81,89 @@ RULES = {
 _END, _BREAK, _KEPT = r"([.!?:;])[ \t\r]+", r"[ \t\r]*\n[ \t\r\n]*", "[^a-z0-9]+"
 
 
-def normalise(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(ascii_lower(sentence), _KEPT, " "))
+#: Every known sentence holds a word with one of these; texts without them are
+#: not looked into.
+STEMS = ("licen", "permission", "redistribut", "warrant")
+
+
+def normalise(sentence: str) -> str:
+    return re.sub(_KEPT, " ", sentence.translate(str.maketrans(UPPER, LOWER))).strip()
 
 
-def sentences(text: Column) -> Column:
-    """Sentences end at a line feed or at a mark before white space; blank
-    lines are none."""
-    return F.split(F.regexp_replace(text, _END, "$1\n"), _BREAK)
+def _pattern(sentence: str) -> str:
+    """The sentence in a text of :func:`marked`, wrapped anywhere."""
+    return normalise(sentence).replace(" ", "[ \n]")
+
+
+def marked(lowered: Column) -> Column:
+    """The normalised text with ``|`` between sentences and a line feed between
+    lines of one, and either at both ends; known sentences stand in ``<>``."""
+    text = F.concat(F.lit("|"), F.translate(lowered, "|", ","), F.lit("|"))
+    # a line in other letters is an unknown sentence, one without any is blank
+    other = r"(?<=[|\n])[^a-z0-9|\n\p{L}]*+\p{L}[^a-z0-9|\n]*+(?=[|\n])"
+    for found, put in (
+        (r"[.!?:;][ \t\r\n]+", "|"), (other, "x"), (r"[^a-z0-9|\n]+", " "), (r"\n[ \n]*\n", "|"), (r"[ \n]*\|[ |\n]*", "|"),
+        (r" ?\n ?", "\n"),
+    ):
+        text = F.regexp_replace(text, found, put)
+    known = "|".join(_pattern(s) for s in sorted(SENTENCES.values(), key=len, reverse=True))
+    return F.regexp_replace(text, rf"[|\n]({known})(?=[|\n])", "|<$1>")
 
 
 def recognise(docs: DataFrame) -> DataFrame:
-    """``doc_id, h, ids``: identifiers with their sentence number, in order."""
-    known = docs.sparkSession.createDataFrame(list(SENTENCES.items()), "id string, sentence string")
-    known = known.select("id", normalise(F.col("sentence")).alias("sentence"))
-    rows = texts(docs).select("doc_id", F.xxhash64("text").alias("h"), F.posexplode(sentences(F.col("text"))).alias("at", "raw"))
-    # a sentence that can match is at least as long as the shortest known one
-    least = min(len(s) for s in SENTENCES.values()) - 12
-    found = rows.filter(F.length("raw") >= least).withColumn("sentence", normalise(F.col("raw"))).join(F.broadcast(known), "sentence")
-    return found.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set(F.struct("at", "id"))).alias("ids"))
+    """``doc_id, ids``: identifiers with the number of unknown sentences before
+    each, in order."""
+    ship(docs.sparkSession)
+    lowered = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lowered.alias("lowered"))
+    hints = [F.contains("lowered", F.lit(s)) for s in STEMS]
+    any_hint = hints[0]
+    for hint in hints[1:]:
+        any_hint = any_hint | hint
+    # unknown and known parts take turns, unknown ones first and last
+    rows = rows.select("doc_id", F.when(any_hint, F.split(marked(F.col("lowered")), "[<>]")).otherwise(F.array(F.lit(""))).alias("parts"))
+    names = F.create_map(*[F.lit(x) for i, s in SENTENCES.items() for x in (normalise(s), i)])
+
+    def found(part: Column, at: Column) -> Column:
+        before = F.split(F.get("parts", at - 1), r"\|")
+        return F.struct(
+            names[F.translate(part, "|\n", "  ")].alias("id"),
+            F.size(F.filter(before, lambda x: F.trim(F.translate(x, "\n", " ")) != "")).alias("gap"), (at % 2).alias("known"),
+        )
+
+    return rows.select("doc_id", F.filter(F.transform("parts", found), lambda x: x["known"] == 1).alias("ids"))
 
 
 def _matches(ids: Column, rule: list[str]) -> Column:
     """Whether the identifier sequence holds the rule."""
     def here(x: Column, i: Column) -> Column:
-        ok = x.id == rule[0]
+        ok = x["id"] == rule[0]
         for k, name in enumerate(rule[1:], 1):
-            later, before = F.get(ids, i + k), F.get(ids, i + k - 1)
-            ok = ok & F.coalesce((later.id == name) & (later["at"] - before["at"] <= MAX_GAP + 1), F.lit(False))
+            later = F.get(ids, i + k)
+            ok = ok & F.coalesce((later["id"] == name) & (later["gap"] <= MAX_GAP), F.lit(False))
         return ok
 
-    return F.size(F.filter(ids, here)) > 0
+    return F.exists(F.transform(ids, here), lambda x: x)
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """Per document: ``doc_id, n_known`` (licence sentences found),
     ``identifiers`` and ``licences`` (comma-joined, the latter sorted)."""
-    found = recognise(docs)
     ids = F.col("ids")
-    named = [
-        F.when(sum((_matches(ids, r).cast("int") for r in rules), F.lit(0)) > 0, F.lit(name)) for name, rules in sorted(RULES.items())
-    ]
-    ruled = found.select(
-        F.col("doc_id").alias("d"), F.col("h").alias("dh"), F.size(ids).cast("long").alias("n"),
-        F.array_join(F.transform(ids, lambda x: x.id), ",").alias("names"), F.array_join(F.array(*named), ",").alias("licences"),
-    )
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
-    return rows.join(ruled, rows.doc_id.eqNullSafe(F.col("d")) & (rows.h == F.col("dh")), "left").select(
-        "doc_id", F.coalesce("n", F.lit(0)).alias("n_known"), F.coalesce("names", F.lit("")).alias("identifiers"),
-        F.coalesce("licences", F.lit("")).alias("licences"),
+    named = []
+    for name, rules in sorted(RULES.items()):
+        any_rule = _matches(ids, rules[0])
+        for rule in rules[1:]:
+            any_rule = any_rule | _matches(ids, rule)
+        named.append(F.when(any_rule, F.lit(name)))
+    return recognise(docs).select(
+        "doc_id", F.size(ids).cast("long").alias("n_known"), F.array_join(F.transform(ids, lambda x: x["id"]), ",").alias("identifiers"),
+        F.when(F.size(ids) > 0, F.array_join(F.array(*named), ",")).otherwise("").alias("licences"),
     )
 
 
 def oracle_sql() -> str:
-    """The same scan in DuckDB, straight from the rules."""
+    """The scan of sentences on one line in DuckDB, straight from the rules."""
     known = ", ".join("('{}', '{}')".format(i, s.replace("'", "''")) for i, s in SENTENCES.items())
     lower = f"translate({{}}, '{UPPER}', '{LOWER}')"
     norm = "trim(regexp_replace(" + lower + f", '{_KEPT}', ' ', 'g'))"

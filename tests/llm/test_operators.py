@@ -251,6 +251,39 @@ def test_license_scan(spark, odd, odd_docs, empty):
     assert licenses.scan(odd).count() == len(odd_docs) and licenses.scan(empty).count() == 0
 
 
+def licences_of(spark, texts):
+    found = licenses.scan(spark.createDataFrame(rows(list(enumerate(texts))), SCHEMA)).collect()
+    return [(r.n_known, r.identifiers, r.licences) for r in sorted(found, key=lambda r: r.doc_id)]
+
+
+def test_license_scan_of_wrapped_texts(spark):
+    """Licence texts as they are given: wrapped, below headings, in comments."""
+    import textwrap
+
+    said = {
+        i: "\n".join(textwrap.wrap(s, 20 if len(s) < 80 else 76, break_on_hyphens=False)) for i, s in licenses.SENTENCES.items()
+    }
+    assert all("\n" in s for s in said.values())
+    one = [i for i in said if not i.startswith("gpl-grant") and not i.startswith("gpl-warranty")]
+    assert [x[1] for x in licences_of(spark, [said[i] for i in one])] == one
+    assert [x[1] for x in licences_of(spark, ["Title\r\n" + said[i].replace("\n", "\r\n") + "\r\nend" for i in one])] == one
+    mit, bsd = said["mit-grant"] + "\n\n" + said["mit-condition"], said["bsd-grant"] + "\n\n1. " + said["bsd-source"]
+    comment = "\n".join(" * " + x for x in ("MIT\nCopyright (c) 2020 A B\n\n" + mit).split("\n"))
+    cyrillic = said["mit-grant"] + "\n\n\u041e\u0434\u0438\u043d.\n\u0414\u0432\u0430.\n\n" + said["mit-condition"]
+    got = licences_of(spark, [
+        "MIT License\n\nCopyright (c) 2020 A B\n" + mit, bsd, said["isc-grant"], "/*\n" + comment + "\n */", cyrillic,
+        said["mit-grant"] + "\nA sentence that is\nwrapped twice\nbetween.\n" + said["mit-condition"],
+        "Not " + said["mit-notice"], said["mit-notice"][:-1] + "\n(or not)", said["isc-grant"].replace("\n", "\n\n", 1),
+        "Licensed under the Apache License,\nVersion 2.0 (the \"License\");\nyou may not use this file except\nin compliance with the License.",
+    ])
+    assert [x[2] for x in got] == ["MIT", "BSD", "ISC", "MIT", "", "MIT", "", "MIT", "", "Apache-2.0"]
+    assert got[9][1] == "apache-2.0-header,apache-2.0-compliance"
+
+
+def test_license_stems_cover_the_sentences():
+    assert all(any(x in w for x in licenses.STEMS for w in licenses.normalise(s).split()) for s in licenses.SENTENCES.values())
+
+
 def test_packing(odd, odd_docs, empty):
     ids = brute.encoded(odd_docs, Tokenizer.from_file(WORD_BPE))
     got = packing.pack(odd, WORD_BPE, capacity=512).collect()

@@ -8,7 +8,8 @@ sentences that start alike, the longest is taken. The identifiers found, in
 text order, form the document's identifier sequence; unknown sentences between
 them are passed over up to ``MAX_GAP`` of them. A licence rule is an ordered
 list of identifiers and matches where the sequence holds it without another
-identifier between.
+identifier between. Known sentences may hold such marks themselves; they are
+found as a whole, whether or not the text is cut there.
 
 Cases: null and empty texts have no sentence and no licence; rows equal in id
 and text are one document and all get its result; a null id is kept; repeated
@@ -81,6 +82,8 @@ RULES = {
 _END, _BREAK, _KEPT = r"([.!?:;])[ \t\r]+", r"[ \t\r]*\n[ \t\r\n]*", "[^a-z0-9]+"
 
 
+#: A mark before white space ends a sentence.
+_MARK = r"[.!?:;][ \t\r\n]+"
 #: Every known sentence holds a word with one of these; texts without them are
 #: not looked into.
 STEMS = ("licen", "permission", "redistribut", "warrant")
@@ -91,8 +94,10 @@ def normalise(sentence: str) -> str:
 
 
 def _pattern(sentence: str) -> str:
-    """The sentence in a text of :func:`marked`, wrapped anywhere."""
-    return normalise(sentence).replace(" ", "[ \n]")
+    """The sentence in a text of :func:`marked`, wrapped anywhere. Its own marks
+    (``free software: you``) may have cut it there as they cut a text."""
+    parts = (normalise(x).replace(" ", "[ \n]") for x in re.split(_MARK, sentence))
+    return r"[ |\n]".join(filter(None, parts))
 
 
 def marked(lowered: Column) -> Column:
@@ -102,7 +107,7 @@ def marked(lowered: Column) -> Column:
     # a line in other letters is an unknown sentence, one without any is blank
     other = r"(?<=[|\n])[^a-z0-9|\n\p{L}]*+\p{L}[^a-z0-9|\n]*+(?=[|\n])"
     for found, put in (
-        (r"[.!?:;][ \t\r\n]+", "|"), (other, "x"), (r"[^a-z0-9|\n]+", " "), (r"\n[ \n]*\n", "|"), (r"[ \n]*\|[ |\n]*", "|"),
+        (_MARK, "|"), (other, "x"), (r"[^a-z0-9|\n]+", " "), (r"\n[ \n]*\n", "|"), (r"[ \n]*\|[ |\n]*", "|"),
         (r" ?\n ?", "\n"),
     ):
         text = F.regexp_replace(text, found, put)

@@ -280,6 +280,23 @@ def test_license_scan_of_wrapped_texts(spark):
     assert got[9][1] == "apache-2.0-header,apache-2.0-compliance"
 
 
+def test_every_license_rule_matches_its_own_text(spark):
+    cases = [(name, rule) for name, rules in licenses.RULES.items() for rule in rules]
+    for gap in ("\n", "\n\n"):
+        got = licences_of(spark, ["Title.\n" + gap.join(licenses.SENTENCES[i] for i in rule) + "\nend" for _, rule in cases])
+        for (name, rule), (n, ids, found) in zip(cases, got, strict=True):
+            assert (n, ids) == (len(rule), ",".join(rule)) and name in found.split(",")
+    header = (
+        "    This program is free software: you can redistribute it and/or modify\n    it under the terms of the GNU General Public "
+        "License as published by\n    the Free Software Foundation, either version 3 of the License, or\n    (at your option) any later "
+        "version.\n\n    This program is distributed in the hope that it will be useful,\n    but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of\n    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\n    GNU General Public License for more details.\n"
+    )
+    assert licences_of(spark, [header, header.replace("free software: you", "free software. No: you")]) == [
+        (2, "gpl-grant,gpl-warranty", "GPL-3.0"), (1, "gpl-warranty", "")
+    ]
+
+
 def test_license_stems_cover_the_sentences():
     assert all(any(x in w for x in licenses.STEMS for w in licenses.normalise(s).split()) for s in licenses.SENTENCES.values())
 

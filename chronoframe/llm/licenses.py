@@ -19,6 +19,7 @@ are not read.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -79,6 +80,136 @@ RULES = {
     "ISC": [["isc-grant"]],
     "MIT": [["mit-notice"], ["mit-grant", "mit-condition"]],
 }
+#: Further known sentences and rules. The SQL knows the tables
+#: above alone.
+MORE_SENTENCES = {
+    "gpl-2.0-grant": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+        "later version."
+    ),
+    "gpl-2.0-only-grant": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License version 2 as published by the Free Software Foundation."
+    ),
+    "lgpl-2.1-grant": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+        "any later version."
+    ),
+    "lgpl-3.0-grant": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version."
+    ),
+    "lgpl-3.0-library-grant": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version."
+    ),
+    "agpl-3.0-grant": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version."
+    ),
+    "mpl-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "epl-2.0-header": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+        "which is available at"
+    ),
+    "unlicense-grant": "This is free and unencumbered software released into the public domain.",
+    "bsl-1.0-header": "Distributed under the Boost Software License, Version 1.0.",
+    "isc-grant-and": (
+        "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "zlib-grant": (
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
+        "alter it and redistribute it freely, subject to the following restrictions:"
+    ),
+    "bsd-style-notice": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+}
+MORE_RULES = {
+    "AGPL-3.0": [["agpl-3.0-grant"]],
+    "BSD": [["bsd-style-notice"]],
+    "BSL-1.0": [["bsl-1.0-header"]],
+    "EPL-2.0": [["epl-2.0-header"]],
+    "GPL-2.0": [["gpl-2.0-grant"], ["gpl-2.0-only-grant"]],
+    "ISC": [["isc-grant-and"]],
+    "LGPL-2.1": [["lgpl-2.1-grant"]],
+    "LGPL-3.0": [["lgpl-3.0-grant"], ["lgpl-3.0-library-grant"]],
+    "MPL-2.0": [["mpl-2.0-header"]],
+    "Unlicense": [["unlicense-grant"]],
+    "Zlib": [["zlib-grant"]],
+}
+
+
+def _gnu(kind: str, version: str) -> list[str]:
+    letters = "".join(w[0] for w in f"{kind} General Public License".split())
+    return [
+        f"GNU {kind} General Public License{mid} {version}".replace("  ", " ") for mid in (", version", " version", " v.", "")
+    ] + [f"GNU {kind} General Public License v{version}".replace("  ", " ")] + [
+        f"{g}{letters}{form}{version}" for g in ("", "GNU ") for form in ("v", " v", "-", " ", " version ")
+    ]
+
+
+def _cc(code: str, words: str, version: str) -> list[str]:
+    return [f"{cc} {code} {version}" for cc in ("CC", "Creative Commons")] + [
+        f"Creative Commons {words} {version}{scope}" for scope in ("", " International", " Unported")
+    ]
+
+
+#: Names of a licence as a notice has them, after "Released under
+#: the" and the like, "License" behind them or not.
+NAMES = {
+    "AGPL-3.0": [n for v in ("3.0", "3") for n in _gnu("Affero", v)],
+    "Apache-2.0": [
+        "Apache License, Version 2.0", "Apache License 2.0", "Apache License v2.0", "Apache License, Version 2", "Apache 2.0", "Apache 2",
+        "Apache v2", "Apache Version 2.0", "Apache License v2", "Apache Software License, Version 2.0", "Apache Software License 2.0",
+    ],
+    "BSD": [f"{n}{w}" for n in ("", "New ", "Modified ", "Simplified ", "2-Clause ", "3-Clause ") for w in ("BSD", "BSD-style")]
+    + ["BSD 2-Clause", "BSD 3-Clause", "BSD 2-Clause Simplified", "BSD 3-Clause New", "two-clause BSD", "three-clause BSD"],
+    "BSL-1.0": ["Boost Software License, Version 1.0", "Boost Software License 1.0", "Boost Software"],
+    "CC0-1.0": ["CC0", "CC0 1.0", "CC0 1.0 Universal", "Creative Commons Zero", "Creative Commons Zero v1.0 Universal", "Creative Commons CC0"],
+    "EPL-2.0": ["Eclipse Public License 2.0", "Eclipse Public License v2.0", "Eclipse Public License, Version 2.0", "EPL-2.0", "EPL v2.0"],
+    "GPL-2.0": [n for v in ("2.0", "2") for n in _gnu("", v)],
+    "GPL-3.0": [n for v in ("3.0", "3") for n in _gnu("", v)],
+    "ISC": ["ISC"],
+    "LGPL-2.1": _gnu("Lesser", "2.1"),
+    "LGPL-3.0": [n for v in ("3.0", "3") for n in _gnu("Lesser", v)],
+    "MIT": ["MIT", "MIT/X11", "Expat", "MIT (Expat)"],
+    "MPL-2.0": [
+        "Mozilla Public License 2.0", "Mozilla Public License, Version 2.0", "Mozilla Public License v2.0",
+        "Mozilla Public License, v. 2.0", "MPL 2.0", "MPL v2.0", "MPLv2",
+    ],
+    "Unlicense": ["Unlicense"],
+    "Zlib": ["zlib"],
+} | {
+    f"CC-{code}-{version}": _cc(code, words, version)
+    for version in ("4.0", "3.0", "2.5", "2.0")
+    for code, words in (
+        ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+        ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+        ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+    )
+}
+#: Identifiers of SPDX lines, beside the keys of ``NAMES``.
+SPDX = {
+    "BSD": ["BSD-2-Clause", "BSD-3-Clause", "0BSD"],
+    "GPL-2.0": ["GPL-2.0-only", "GPL-2.0-or-later", "GPL-2.0+"], "GPL-3.0": ["GPL-3.0-only", "GPL-3.0-or-later", "GPL-3.0+"],
+    "LGPL-2.1": ["LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-2.1+"], "LGPL-3.0": ["LGPL-3.0-only", "LGPL-3.0-or-later", "LGPL-3.0+"],
+    "AGPL-3.0": ["AGPL-3.0-only", "AGPL-3.0-or-later", "AGPL-3.0+"],
+}
+#: How a notice starts (normalised), and an SPDX line.
+_SUBJECT = (
+    "(?:(?:this|the|our|all) (?:(?:source )?code|work|project|software|program|library|package|file|document|text|content|contents|article|"
+    "page|site|data|dataset|repository|material|module|book|image|tool) (?:is|are) |it is )?(?:free software )?"
+)
+_UNDER = (
+    "(?:dual )?(?:licensed|licenced|released|distributed|published|provided|available|made available|shared|covered|offered|open sourced) "
+    "under (?:the )?(?:terms of )?(?:(?:the|a|an) )?"
+)
+_NOTICE, _SPDX = _SUBJECT + _UNDER, "spdx license identifier "
 _END, _BREAK, _KEPT = r"([.!?:;])[ \t\r]+", r"[ \t\r]*\n[ \t\r\n]*", "[^a-z0-9]+"
 
 
@@ -86,7 +217,7 @@ _END, _BREAK, _KEPT = r"([.!?:;])[ \t\r]+", r"[ \t\r]*\n[ \t\r\n]*", "[^a-z0-9]+
 _MARK = r"[.!?:;][ \t\r\n]+"
 #: Every known sentence holds a word with one of these; texts without them are
 #: not looked into.
-STEMS = ("licen", "permission", "redistribut", "warrant")
+STEMS = ("licen", "permission", "redistribut", "warrant", "unencumbered", "under")
 
 
 def normalise(sentence: str) -> str:
@@ -100,6 +231,31 @@ def _pattern(sentence: str) -> str:
     return r"[ |\n]".join(filter(None, parts))
 
 
+def _names() -> dict[str, str]:
+    """Normalised name in a notice → licence."""
+    found = {}
+    for licence, names in NAMES.items():
+        for n in (licence, *names):
+            n = re.sub(" licen[cs]e$", "", normalise(n))
+            found |= {n + end: licence for end in ("", " license", " licence", " or later", " or any later version", " license or later")}
+    return found
+
+
+def _spdx() -> dict[str, str]:
+    return {normalise(n): licence for licence in NAMES for n in (licence, *SPDX.get(licence, []))}
+
+
+def identifiers() -> tuple[dict[str, str], dict[str, list[list[str]]]]:
+    """Identifier of every sentence in ``<>``, by the sentence or, for notices
+    and SPDX lines, by the name in it; and all rules."""
+    known = {f"notice {n}": f"{x.lower()}-notice" for n, x in _names().items()} | {f"spdx {n}": f"{x.lower()}-spdx" for n, x in _spdx().items()}
+    known |= {normalise(s): i for i, s in (MORE_SENTENCES | SENTENCES).items()}
+    rules = {x: [*RULES.get(x, []), *MORE_RULES.get(x, [])] for x in {**RULES, **MORE_RULES, **NAMES}}
+    for x in NAMES:
+        rules[x] += [[i] for i in (f"{x.lower()}-notice", f"{x.lower()}-spdx") if [i] not in rules[x]]
+    return known, rules
+
+
 def marked(lowered: Column) -> Column:
     """The normalised text with ``|`` between sentences and a line feed between
     lines of one, and either at both ends; known sentences stand in ``<>``."""
@@ -111,7 +267,14 @@ def marked(lowered: Column) -> Column:
         (r" ?\n ?", "\n"),
     ):
         text = F.regexp_replace(text, found, put)
-    known = "|".join(_pattern(s) for s in sorted(SENTENCES.values(), key=len, reverse=True))
+    def wrapped(names) -> str:
+        # the mark of "v. 2.0" may have cut the text
+        patterns = (re.sub(" v (?=[0-9])", " v@", n).replace(" ", "[ \n]").replace("@", r"[ |\n]") for n in names)
+        return "|".join(sorted(patterns, key=len, reverse=True))
+
+    known = "|".join(_pattern(s) for s in sorted((SENTENCES | MORE_SENTENCES).values(), key=len, reverse=True))
+    known += "|" + _NOTICE.replace(" ", "[ \n]") + "(?:" + wrapped(_names()) + ")"
+    known += "|" + _SPDX[:-1].replace(" ", "[ \n]") + r"[ |\n](?:" + wrapped(_spdx()) + ")"
     return F.regexp_replace(text, rf"[|\n]({known})(?=[|\n])", "|<$1>")
 
 
@@ -127,12 +290,14 @@ def recognise(docs: DataFrame) -> DataFrame:
         any_hint = any_hint | hint
     # unknown and known parts take turns, unknown ones first and last
     rows = rows.select("doc_id", F.when(any_hint, F.split(marked(F.col("lowered")), "[<>]")).otherwise(F.array(F.lit(""))).alias("parts"))
-    names = F.create_map(*[F.lit(x) for i, s in SENTENCES.items() for x in (normalise(s), i)])
+    names = F.from_json(F.lit(json.dumps(identifiers()[0])), "map<string,string>")
 
     def found(part: Column, at: Column) -> Column:
+        said = F.translate(part, "|\n", "  ")
+        name = F.regexp_replace(F.regexp_replace(said, f"^{_SPDX}", "spdx "), f"^{_NOTICE}", "notice ")
         before = F.split(F.get("parts", at - 1), r"\|")
         return F.struct(
-            names[F.translate(part, "|\n", "  ")].alias("id"),
+            F.when(at % 2 == 1, F.coalesce(names[said], names[name])).alias("id"),
             F.size(F.filter(before, lambda x: F.trim(F.translate(x, "\n", " ")) != "")).alias("gap"), (at % 2).alias("known"),
         )
 
@@ -156,9 +321,10 @@ def scan(docs: DataFrame) -> DataFrame:
     ``identifiers`` and ``licences`` (comma-joined, the latter sorted)."""
     ids = F.col("ids")
     named = []
-    for name, rules in sorted(RULES.items()):
-        any_rule = _matches(ids, rules[0])
-        for rule in rules[1:]:
+    for name, rules in sorted(identifiers()[1].items()):
+        alone, ordered = [r[0] for r in rules if len(r) == 1], [r for r in rules if len(r) > 1]
+        any_rule = F.arrays_overlap(F.transform(ids, lambda x: x["id"]), F.array(*map(F.lit, alone))) if alone else F.lit(False)
+        for rule in ordered:
             any_rule = any_rule | _matches(ids, rule)
         named.append(F.when(any_rule, F.lit(name)))
     return recognise(docs).select(

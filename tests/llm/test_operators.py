@@ -297,8 +297,28 @@ def test_every_license_rule_matches_its_own_text(spark):
     ]
 
 
+def test_license_scan_knows_the_common_licences(spark):
+    """Every further sentence, wrapped, and every name in a notice and an SPDX line."""
+    import textwrap
+
+    said = [(x, i) for x, rules in licenses.MORE_RULES.items() for (i,) in rules]
+    texts = ["Title\n" + "\n".join(textwrap.wrap(licenses.MORE_SENTENCES[i], 60, break_on_hyphens=False)) + "\nend" for _, i in said]
+    assert sorted(i for _, i in said) == sorted(licenses.MORE_SENTENCES)
+    for x, names in licenses.NAMES.items():
+        for n in names:
+            said.append((x, f"{x.lower()}-notice"))
+            texts.append(f"Intro.\nThis project is licensed under the terms of\nthe {n}.")
+        for n in (x, *licenses.SPDX.get(x, [])):
+            said.append((x, f"{x.lower()}-spdx"))
+            texts.append(f"# SPDX-License-Identifier: {n}\nimport os")
+    assert licences_of(spark, texts) == [(1, i, x) for x, i in said]
+    assert licences_of(spark, ["Released under MIT", "He was released under the bridge.", "Available under the CC BY-SA 4.0 licence.\n"]) == [
+        (1, "mit-notice", "MIT"), (0, "", ""), (1, "cc-by-sa-4.0-notice", "CC-BY-SA-4.0")
+    ]
+
+
 def test_license_stems_cover_the_sentences():
-    assert all(any(x in w for x in licenses.STEMS for w in licenses.normalise(s).split()) for s in licenses.SENTENCES.values())
+    assert all(any(x in w for x in licenses.STEMS for w in licenses.normalise(s).split()) for s in (licenses.SENTENCES | licenses.MORE_SENTENCES).values())
 
 
 def test_packing(odd, odd_docs, empty):

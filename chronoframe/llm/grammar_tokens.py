@@ -2,10 +2,11 @@
 
 ``write_tokens`` encodes whole texts in ascending ``doc_id`` order and writes
 Parquet rows, each a shard of consecutive documents with a grammar of its own:
-frequent id pairs are replaced by nonterminals round after round, no pair
-reaching over a document's end. A shard stores its rules, the expansion length
+frequent id pairs are replaced by nonterminals round after round until no pair
+is frequent or all symbols are used, no pair reaching over a document's end. A shard stores its rules, the expansion length
 of every rule, and where each document starts in the reduced sequence, so that
-one document is decoded without the others (``decode_document``).
+one document, or a part of it, is decoded without the others and with its own
+rules alone (``decode_document``, ``decode_range``).
 
 Cases: a null or empty text holds the end id alone; null ids come first; rows
 of equal id stand next to each other in any order; an empty table gives no
@@ -33,8 +34,12 @@ _ARROW = pa.schema(
     [("part", pa.int32()), ("shard", pa.int32()), ("first_token", pa.int64()), ("n_tokens", pa.int64()), ("first_symbol", pa.int32())]
     + [(n, pa.binary()) for n in ("doc_ids", "doc_null", "doc_tokens", "doc_symbols", "rules", "expansion", "symbols")]
 )
-#: Rounds of replacement, rules a round at most, and the least count of a pair.
-ROUNDS, RULES, LEAST = 3, 4096, 8
+#: Rules a round at most, and the least count of a pair (a rule takes 12 bytes,
+#: a replaced pair of 16-bit symbols gives back 2).
+RULES, LEAST = 4096, 8
+#: A round takes the pairs at least 1 / NEAR as frequent as the first, so that
+#: symbols go to the pairs of later rounds where those are more frequent.
+NEAR = 64
 _HASH_BITS = 18
 
 
@@ -50,13 +55,13 @@ def _slot(keys: np.ndarray) -> np.ndarray:
 
 
 def _frequent(keys: np.ndarray, most: int) -> np.ndarray:
-    """The pairs seen at least LEAST times, most frequent first; equals in the
-    order of their hash, so that a run of equally frequent pairs is cut at many
-    places."""
+    """The pairs seen at least LEAST times and 1 / NEAR as often as the first,
+    most frequent first; equals in the order of their hash, so that a run of
+    equally frequent pairs is cut at many places."""
     ordered = np.sort(keys)
     starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     counts = np.diff(starts, append=ordered.size)
-    often = np.flatnonzero(counts >= LEAST)
+    often = np.flatnonzero(counts >= max(LEAST, counts.max(initial=0) // NEAR))
     often = often[np.lexsort((ordered[starts[often]], _slot(ordered[starts[often]]), -counts[often]))][:most]
     return ordered[starts[often]]
 
@@ -65,7 +70,8 @@ def repair(ids: np.ndarray, lengths: np.ndarray, first_symbol: int) -> tuple[np.
     """Reduced sequence, rules (left, right) and symbols of each document.
 
     Every round replaces, at each place, the pair that is more frequent than
-    both pairs overlapping it; the leftmost of equals.
+    both pairs overlapping it; the leftmost of equals. Rules are those with a
+    place.
     """
     seq = ids.astype(np.uint16 if first_symbol < 1 << 16 else np.uint32)
     half = 8 * seq.itemsize
@@ -73,7 +79,7 @@ def repair(ids: np.ndarray, lengths: np.ndarray, first_symbol: int) -> tuple[np.
     last[np.cumsum(lengths)[lengths > 0] - 1] = True
     rules: list[np.ndarray] = []
     known = 0
-    for _ in range(ROUNDS):
+    while True:
         room = min(RULES, (1 << 16) - first_symbol - known if first_symbol < 1 << 16 else RULES)
         if seq.size < 2 or room <= 0:
             break
@@ -84,13 +90,25 @@ def repair(ids: np.ndarray, lengths: np.ndarray, first_symbol: int) -> tuple[np.
         rank_at = np.full(1 << _HASH_BITS, chosen.size, np.int32)
         rank_at[_slot(chosen)[::-1]] = np.arange(chosen.size, dtype=np.int32)[::-1]
         rank = rank_at[_slot(keys)]
-        rank[last[:-1] | (np.append(chosen, chosen[:1])[rank] != keys)] = chosen.size
+        other = np.append(chosen, chosen[:1])[rank] != keys
+        # pairs whose slot a more frequent one has
+        lost = np.flatnonzero(rank_at[_slot(chosen)] != np.arange(chosen.size))
+        clash = np.flatnonzero(other & (rank < chosen.size)) if lost.size else lost
+        rank[other] = chosen.size
+        if clash.size:
+            lost = lost[np.argsort(chosen[lost])]
+            place = np.minimum(np.searchsorted(chosen[lost], keys[clash]), lost.size - 1)
+            rank[clash] = np.where(chosen[lost[place]] == keys[clash], lost[place], chosen.size)
+        rank[last[:-1]] = chosen.size
         left = np.concatenate([[chosen.size], rank[:-1]])
         right = np.concatenate([rank[1:], [chosen.size]])
         at = np.flatnonzero((rank < chosen.size) & (rank < left) & (rank <= right))
+        used = np.bincount(rank[at], minlength=chosen.size) > 0
+        number = np.cumsum(used) - 1
+        seq[at] = (first_symbol + known + number[rank[at]]).astype(seq.dtype)
+        chosen = chosen[used]
         low = chosen.dtype.type((1 << half) - 1)
         rules.append(np.stack([chosen >> chosen.dtype.type(half), chosen & low], 1).astype(np.uint32))
-        seq[at] = (first_symbol + known + rank[at]).astype(seq.dtype)
         last[at] = last[at + 1]
         keep = np.ones(seq.size, bool)
         keep[at + 1] = False
@@ -101,6 +119,14 @@ def repair(ids: np.ndarray, lengths: np.ndarray, first_symbol: int) -> tuple[np.
     return seq, np.concatenate(rules) if rules else np.empty((0, 2), np.uint32), symbols
 
 
+def expansion_lengths(rules: np.ndarray, first_symbol: int) -> np.ndarray:
+    """Number of ids that every rule stands for."""
+    sizes: list[int] = []
+    for a, b in rules.tolist():
+        sizes.append(sum(sizes[x - first_symbol] if x >= first_symbol else 1 for x in (a, b)))
+    return np.array(sizes, np.uint32)
+
+
 def expansions(rules: np.ndarray, first_symbol: int) -> tuple[np.ndarray, np.ndarray]:
     """Start and flat ids of what every symbol below ``first_symbol`` (itself)
     and every rule stands for; a rule only uses symbols made before it."""
@@ -135,11 +161,35 @@ def decode_shard(row: dict) -> np.ndarray:
     return _expand(_symbols(row), _rules(row), row["first_symbol"])
 
 
-def decode_document(row: dict, i: int) -> np.ndarray:
-    """The ids of the shard's i-th document, reading its symbols alone."""
+def decode_range(row: dict, i: int, start: int, stop: int) -> np.ndarray:
+    """The ids from ``start`` to ``stop`` of the shard's i-th document: the
+    stored lengths say which symbols hold them, and only those are expanded."""
+    first, rules = row["first_symbol"], _rules(row)
+    lengths = np.frombuffer(row["expansion"], np.uint32)
     ends = np.cumsum(np.frombuffer(row["doc_symbols"], np.uint32).astype(np.int64))
-    mine = _symbols(row)[(ends[i - 1] if i else 0): ends[i]]
-    return _expand(mine, _rules(row), row["first_symbol"])
+    seq = _symbols(row)[(ends[i - 1] if i else 0): ends[i]].astype(np.int64)
+    place = np.int64(0)
+    while True:
+        sizes = np.ones(seq.size, np.int64)
+        made = seq >= first
+        sizes[made] = lengths[seq[made] - first]
+        after = place + np.cumsum(sizes)
+        inside = (after > start) & (after - sizes < stop)
+        if not inside.any():
+            return np.empty(0, np.uint32)
+        place, seq, made = (after - sizes)[inside][0], seq[inside], made[inside]
+        if not made.any():
+            return seq.astype(np.uint32)
+        at = np.cumsum(1 + made) - 1 - made
+        wider = np.empty(seq.size + int(made.sum()), np.int64)
+        wider[at] = seq
+        wider[at[made]], wider[at[made] + 1] = rules[seq[made] - first].T
+        seq = wider
+
+
+def decode_document(row: dict, i: int) -> np.ndarray:
+    """The ids of the shard's i-th document, by its own symbols and rules."""
+    return decode_range(row, i, 0, int(np.frombuffer(row["doc_tokens"], np.uint32)[i]))
 
 
 def _shards(path: str, end_id: int | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,13 +200,12 @@ def _shards(path: str, end_id: int | None, batches: Iterator[pa.RecordBatch]) ->
             ids, lengths = encoder.encode(block, end=end_id)
             doc = batch.column("doc_id").slice(at, len(block))
             seq, rules, symbols = repair(ids, lengths, first_symbol)
-            starts, _ = expansions(rules, first_symbol)
             row = {
                 "part": part, "shard": shard, "first_token": token, "n_tokens": ids.size, "first_symbol": first_symbol,
                 "doc_ids": doc.fill_null(0).to_numpy().tobytes(),
                 "doc_null": np.packbits(doc.is_null().to_numpy(zero_copy_only=False)).tobytes(),
                 "doc_tokens": lengths.astype(np.uint32).tobytes(), "doc_symbols": symbols.astype(np.uint32).tobytes(),
-                "rules": rules.tobytes(), "expansion": np.diff(starts)[first_symbol:].astype(np.uint32).tobytes(),
+                "rules": rules.tobytes(), "expansion": expansion_lengths(rules, first_symbol).tobytes(),
                 "symbols": seq.tobytes(),
             }
             yield pa.RecordBatch.from_pylist([row], _ARROW)

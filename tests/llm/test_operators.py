@@ -103,6 +103,27 @@ def test_grammar_reduces_repeats():
     assert seq.size < 0.6 * ids.size and len(rules) and symbols.tolist() == [seq.size]
 
 
+def test_grammar_goes_on_until_no_pair_is_frequent(monkeypatch):
+    """A passage in many copies becomes a few symbols, with clashing slots too,
+    and a part of a document is read by the stored lengths."""
+    rng = np.random.default_rng(3)
+    passage = rng.integers(0, 40_000, 1000)
+    docs = [np.concatenate([rng.integers(0, 40_000, 5), passage, [1]]) for _ in range(40)]
+    lengths, ids = np.array([d.size for d in docs]), np.concatenate(docs).astype(np.uint16)
+    for bits in (grammar_tokens._HASH_BITS, 3):
+        monkeypatch.setattr(grammar_tokens, "_HASH_BITS", bits)
+        seq, rules, symbols = grammar_tokens.repair(ids, lengths, 49408)
+        assert seq.size < 40 * 12 and symbols.sum() == seq.size
+        assert np.array_equal(grammar_tokens._expand(seq, rules, 49408), ids)
+        row = {
+            "first_symbol": 49408, "rules": rules.tobytes(), "symbols": seq.tobytes(), "doc_symbols": symbols.astype(np.uint32).tobytes(),
+            "expansion": grammar_tokens.expansion_lengths(rules, 49408).tobytes(), "doc_tokens": lengths.astype(np.uint32).tobytes(),
+        }
+        for i, start, stop in ((0, 0, 3), (7, 4, 900), (39, 1000, 1006), (39, 500, 501), (3, 9, 9), (5, 0, 1006)):
+            assert grammar_tokens.decode_range(row, i, start, stop).tolist() == docs[i][start:stop].tolist()
+        assert grammar_tokens.decode_document(row, 12).tolist() == docs[12].tolist()
+
+
 def test_fingerprints(odd_docs, spark, empty):
     docs = list({d: (d, t) for d, t in odd_docs if d is not None}.values())
     df = spark.createDataFrame(rows(docs), SCHEMA)

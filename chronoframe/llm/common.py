@@ -32,11 +32,11 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write to the shared scratch folder and read back: computed once, and a
     lost executor costs no recomputation."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*partition_by or []).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoframe.llm import (
+    byte_bpe,
+    collocations,
     decontaminate,
     fingerprints,
     grammar_tokens,
+    hard_negatives,
     jaccard_join,
     licenses,
     line_dedup,
@@ -23,6 +26,7 @@ from chronoframe.session import scratch_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+MULTI_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +84,18 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), MULTI_BPE, public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_grammar_tokens": op2_grammar_tokens,
@@ -91,6 +107,9 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_collocations": op11_collocations,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 #: Where SQL can express the result.
@@ -99,4 +118,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_decontaminate": decontaminate.oracle_sql(),
     "op5_jaccard_join": jaccard_join.oracle_sql(),
     "op8_license_scan": licenses.oracle_sql(),
+    "op11_collocations": collocations.oracle_sql(),
+    "op12_hard_negatives": hard_negatives.oracle_sql(),
 }

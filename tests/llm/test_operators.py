@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import defaultdict
 
 import brute
@@ -226,6 +227,53 @@ def test_quality(spark, odd, odd_docs, empty):
     assert quality.classify(empty, table).count() == 0
 
 
+def test_quality_training_against_plain_ftrl():
+    rng = np.random.default_rng(3)
+    rows_, labels = [], []
+    for i in range(40):
+        at = np.sort(rng.choice(300, 12, replace=False)).astype(np.int32)
+        x = rng.random(12).astype(np.float32)
+        rows_.append((np.append(at, np.int32(1 << quality.BITS)), np.append(x, np.float32(1))))
+        labels.append(int(x[at < 100].sum() > 2))
+    got = quality.train(rows_, np.array(labels))
+    passes = max(quality.EPOCHS, -(-quality.UPDATES // len(rows_)))
+    plain = [dict(zip(at.tolist(), x.tolist(), strict=True)) for at, x in rows_]
+    want = brute.ftrl(plain, labels, passes, quality.ALPHA, quality.BETA, quality.L1, quality.L2)
+    assert np.flatnonzero(got).tolist() == sorted(i for i, w in want.items() if w)
+    assert all(abs(got[i] - w) < 1e-6 for i, w in want.items()) and 0 < len(want) <= 301
+
+
+def test_quality_features_and_scores_against_plain_counts(spark, odd, odd_docs):
+    """Equal n-grams share a place; a text's score is the mean weight of its
+    n-grams, very long texts and words included."""
+    import pyarrow as pa
+
+    docs = [t or "" for _, t in odd_docs] + ["x" * 5000 + "1 " + "x" * 5000 + "2", "Word-Form-Longer-Than-12a Word-Form-Longer-Than-12!"]
+    places, sizes = quality.Features()(pa.array(docs))
+    found: dict = {}
+    for text, own in zip(docs, np.split(places, np.cumsum(sizes)[:-1]), strict=True):
+        grams = brute.quality_grams(text)
+        assert len(grams) == len(own)
+        for gram, place in zip(grams, own.tolist(), strict=True):
+            assert found.setdefault(gram, place) == place
+    assert len(set(found.values())) > 0.9 * len(found)  # few share a place by chance
+    model = np.random.default_rng(0).normal(0, 1, (1 << quality.BITS) + 1).astype(np.float32)
+    got = {(r.doc_id, r.text): r.s for r in quality.score(odd, model, "s").collect()}
+    for (doc_id, text), own in zip(odd_docs, np.split(places, np.cumsum(sizes)[:-1]), strict=False):
+        mean = model[own].astype(float).mean() if own.size else 0.0
+        assert abs(got[doc_id, text] - 1 / (1 + math.exp(-mean - model[-1]))) < 1e-9
+
+
+def test_quality_cache_is_bounded_in_bytes(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(quality, "CACHE_BYTES", 50_000)
+    features = quality.Features()
+    for i in range(30):
+        features(pa.array([" ".join(f"{i}w{j}" for j in range(100)), "y" * 20_000 + str(i)]))
+        assert features.held < 100_000 and max(map(len, features.forms)) <= 256
+
+
 @pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
 def test_token_counts(odd, odd_docs, empty, path):
     library = Tokenizer.from_file(path)

@@ -1,7 +1,7 @@
 """Phrase collocations by dynamic itemset counting over cyclic shard scans.
 
-The documents are dealt into ``SHARDS`` shards, and every step of the loop scans
-one shard, in turn. Words are counted from the first step. A longer phrase is
+The texts are cut into words once and dealt, in blocks of one language, into
+``SHARDS`` shards; every step of the loop scans one shard, in turn. Words are counted from the first step. A longer phrase is
 activated once its first words and its last words (all but one) have both
 reached the threshold, whatever their length, so words, pairs, triples and
 fours are counted side by side in one scan. A phrase is counted for exactly one
@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +35,7 @@ from chronoframe.llm.common import ship, written
 from chronoframe.llm.encoding import blocks
 
 #: Shards of a cycle; bytes of the table of reached phrases; words of a phrase.
-SHARDS, SLOTS, LONGEST = 4, 1 << 24, 4
+SHARDS, SLOTS, LONGEST = 3, 1 << 24, 4
 _NEVER = 255
 #: Bytes of words, of white space, and of what ends a piece.
 _BLANK, _END = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
@@ -44,6 +44,9 @@ _KIND[list(_BLANK)], _KIND[list(_END)] = 1, 2
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _COUNTED = "key string, start int, n long"
+#: A block: its distinct words, joined by spaces; each word's number; whether
+#: the next word is in the same piece.
+_BLOCKS = "lang string, shard int, words string, code binary, joined binary"
 
 
 def _words(text: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
@@ -107,13 +110,28 @@ def _tally(columns: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray
     return row, n
 
 
-def _count(text: pa.Array, lang: str, table: np.ndarray, step: int, shards: int):
-    """``key, start, n`` of the phrases that this step counts in one language."""
-    coded, joined = _words(text)
-    words, code = coded.dictionary, coded.indices.to_numpy()
+def _cut(batches, shards: int):
+    """Blocks of words, in turn for each shard."""
+    number = TaskContext.get().partitionId()
+    for batch in batches:
+        langs = batch.column("lang")
+        for lang in pc.unique(langs).to_pylist():
+            for _, block in blocks(batch.column("text").filter(pc.equal(langs, lang))):
+                coded, joined = _words(block)
+                if len(coded):
+                    words = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), " ")
+                    values = [[lang], [number % shards], words, [coded.indices.to_numpy().tobytes()], [np.packbits(joined).tobytes()]]
+                    types = (pa.string(), pa.int32(), pa.string(), pa.binary(), pa.binary())
+                    arrays = [v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(values, types, strict=True)]
+                    yield pa.RecordBatch.from_arrays(arrays, ["lang", "shard", "words", "code", "joined"])
+                    number += 1
+
+
+def _count(words: pa.Array, code: np.ndarray, joined: np.ndarray, lang: str, table: np.ndarray, step: int, shards: int):
+    """``phrases, start, n`` that this step counts in a block. The empty phrase
+    counts all words; None has the last step that a phrase here is known to
+    start with."""
     size = len(words)
-    if not size:
-        return
     if step < shards:
         yield words, np.zeros(size, np.int32), np.bincount(code, minlength=size)
         yield pa.array([""]), np.zeros(1, np.int32), np.array([len(code)])
@@ -121,26 +139,29 @@ def _count(text: pa.Array, lang: str, table: np.ndarray, step: int, shards: int)
         return
     hashes = _hashes(words.to_pylist(), lang)
     one = hashes[code]
-    reached = _reached(table, hashes)[code]
-    at, run = np.flatnonzero(joined), one
+    reached = _reached(table, hashes).astype(np.int16)[code]
+    at, run, latest = np.flatnonzero(joined), one, 0
     for length in range(2, LONGEST + 1):
-        # a phrase at ``at``: ``reached`` has the steps of the phrases one word shorter
-        start = np.maximum(reached[at], reached[at + 1]).astype(np.int32) + 1
-        at, start = at[start <= step], start[start <= step]
-        now = start > step - shards
+        # ``reached`` has the step at which the phrase of one word less, from each place, did so
+        start = np.maximum(reached[at], reached[at + 1]) + np.int16(1)
+        at, start = at[start <= _NEVER], start[start <= _NEVER]
+        latest = max(latest, int(start.max(initial=0)))
+        now = (start <= step) & (start > step - shards)
         places = at[now]
         if places.size:
             row, n = _tally([code[places + i] for i in range(length)], size)
             parts = [words.take(pa.array(code[places[row] + i])) for i in range(length)]
-            yield pc.binary_join_element_wise(*parts, " "), start[now][row], n
+            yield pc.binary_join_element_wise(*parts, " "), start[now][row].astype(np.int32), n
         if length < LONGEST and at.size:
             hashes = _longer(run[at], one[at + length - 1])
-            run, reached = np.zeros(len(code), np.uint64), np.full(len(code), _NEVER, np.uint8)
+            run, reached = np.zeros(len(code), np.uint64), np.full(len(code), _NEVER, np.int16)
             # at the end of the first step that counts it at the earliest
-            run[at], reached[at] = hashes, np.maximum(_reached(table, hashes), start)
+            found = _reached(table, hashes).astype(np.int16)
+            run[at], reached[at] = hashes, np.where(found < _NEVER, np.maximum(found, start), _NEVER)
             at = at[joined[at + length - 1]]
         elif not at.size:
-            return
+            break
+    yield None, np.array([latest], np.int32), np.zeros(1, np.int64)
 
 
 def _scan(shard: DataFrame, shared: Broadcast, step: int, shards: int) -> DataFrame:
@@ -149,14 +170,15 @@ def _scan(shard: DataFrame, shared: Broadcast, step: int, shards: int) -> DataFr
     def run(batches):
         table = np.frombuffer(zlib.decompress(shared.value), np.uint8)
         for batch in batches:
-            langs = batch.column("lang")
-            for lang in pc.unique(langs).to_pylist():
-                of_lang = batch.column("text").filter(pc.equal(langs, lang))
-                for _, block in blocks(of_lang):
-                    for phrases, start, n in _count(block, lang, table, step, shards):
-                        keys = pc.binary_join_element_wise(phrases.cast(pa.string()), lang, "\t")
-                        columns = [keys, pa.array(start, pa.int32()), pa.array(n, pa.int64())]
-                        yield pa.RecordBatch.from_arrays(columns, ["key", "start", "n"])
+            for i in range(batch.num_rows):
+                lang, words, code, joined = (batch.column(c)[i] for c in ("lang", "words", "code", "joined"))
+                code = np.frombuffer(code.as_buffer(), np.int32)
+                joined = np.unpackbits(np.frombuffer(joined.as_buffer(), np.uint8), count=len(code)).astype(bool)
+                words = pc.split_pattern(pa.array([words.as_py()]), " ").flatten()
+                for phrases, start, n in _count(words, code, joined, lang.as_py(), table, step, shards):
+                    keys = pa.array([""]) if phrases is None else pc.binary_join_element_wise(phrases.cast(pa.string()), lang.as_py(), "\t")
+                    columns = [keys, pa.array(start, pa.int32()), pa.array(n, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, ["key", "start", "n"])
 
     return shard.mapInArrow(run, _COUNTED)
 
@@ -199,31 +221,30 @@ def frequent_phrases(docs: DataFrame, threshold: int = 30, shards: int = SHARDS,
     ``slots`` is the table's size, a power of two."""
     spark = docs.sparkSession
     ship(spark)
-    rows = docs.select(
-        F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"),
-        (F.monotonically_increasing_id() % shards).cast("int").alias("shard"),
-    )
-    rows = written(rows, "shards", partition_by=["shard"])
+    rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = written(rows.mapInArrow(lambda b: _cut(b, shards), _BLOCKS), "shards", partition_by=["shard"])
     table = np.full(slots, _NEVER, np.uint8)
     open_counts = spark.createDataFrame([], _COUNTED)
-    counted, changed, step = [], 0, 0
-    # activated by the last change: pairs one step after it, then triples, then fours
-    while step < shards or step <= changed + shards + LONGEST - 2:
+    counted, changed, latest, step = [], 0, 0, 0
+    # a phrase is done a cycle after its first step; a cycle after the last change all first steps are known
+    while step < shards or step <= max(changed + shards, latest + shards - 1):
         shared = spark.sparkContext.broadcast(zlib.compress(table, 1))
-        found = _scan(rows.filter(F.col("shard") == step % shards).select("lang", "text"), shared, step, shards)
+        found = _scan(rows.filter(F.col("shard") == step % shards).drop("shard"), shared, step, shards)
         both = found.withColumn("before", F.lit(0)).unionByName(open_counts.withColumn("before", F.col("n")))
         total = both.groupBy("key", "start").agg(F.sum("n").alias("n"), F.sum("before").alias("before"))
         # counted for a full cycle and still rare: it stays rare
-        of_all = F.col("key").startswith("\t")
-        kept = total.filter((F.col("n") >= threshold) | (F.col("start") > step - shards + 1) | of_all)
+        no_phrase = F.col("key").startswith("\t") | (F.col("key") == "")
+        kept = total.filter((F.col("n") >= threshold) | (F.col("start") > step - shards + 1) | no_phrase)
         done = written(kept, f"step-{step}")
         shared.destroy()
         size = F.size(F.split(F.split_part("key", F.lit("\t"), F.lit(1)), " "))
-        reached = done.filter((F.col("n") >= threshold) & (F.col("before") < threshold) & ~of_all & (size < LONGEST))
+        reached = done.filter((F.col("n") >= threshold) & (F.col("before") < threshold) & ~no_phrase & (size < LONGEST))
         if _take_places(table, reached, step):
             changed = step
-        open_counts = done.filter(F.col("start") > step - shards + 1).select("key", "start", "n")
-        counted.append(done.filter((F.col("start") <= step - shards + 1)))
+        latest = max(latest, done.filter("key = ''").agg(F.max("start")).first()[0] or 0)
+        done = done.filter("key <> ''").select("key", "start", "n")
+        open_counts = done.filter(F.col("start") > step - shards + 1)
+        counted.append(done.filter(F.col("start") <= step - shards + 1))
         step += 1
     every = counted[0]
     for more in counted[1:]:

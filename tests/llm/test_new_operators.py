@@ -71,22 +71,29 @@ def test_phrases_that_pass_the_table_by_chance_change_nothing(spark, phrase_docs
 
 
 def test_longer_phrases_wait_for_their_parts():
-    text = pa.array(["a b c d. a b"])
+    coded, joined = collocations._words(pa.array(["a b c d. a b"]))
+    words, code = coded.dictionary, coded.indices.to_numpy()
     table = np.full(1 << 10, 255, np.uint8)
 
     def counted(step):
-        return sorted((p, int(n)) for phrases, _, ns in collocations._count(text, "en", table, step, 4) for p, n in zip(phrases.to_pylist(), ns, strict=True))
+        found = list(collocations._count(words, code, joined, "en", table, step, 4))
+        return sorted((p, int(n)) for phrases, _, ns in found if phrases is not None for p, n in zip(phrases.to_pylist(), ns, strict=True))
 
-    words = [("", 6), ("a", 2), ("b", 2), ("c", 1), ("d", 1)]
-    assert counted(0) == counted(1) == words
+    def latest(step):
+        return next(int(start[0]) for phrases, start, _ in collocations._count(words, code, joined, "en", table, step, 4) if phrases is None)
+
+    every = [("", 6), ("a", 2), ("b", 2), ("c", 1), ("d", 1)]
+    assert counted(0) == counted(1) == every and latest(1) == 0
     for place in collocations._places(collocations._hashes(["a", "b", "c"], "en"), len(table)):
         table[place] = 1  # three words reached in step 1: their pairs are counted for one cycle from step 2
-    assert counted(1) == words and counted(2) == sorted([*words, ("a b", 2), ("b c", 1)])
-    assert counted(5) == [("a b", 2), ("b c", 1)] and counted(6) == []
-    pair = collocations._longer(*(collocations._hashes([w], "en") for w in "ab"))
-    for place in collocations._places(pair, len(table)):
-        table[place] = 3
-    assert counted(4) == [("a b", 2), ("b c", 1)]  # "b c" is not there yet, so "a b c" waits
+    assert counted(1) == every and counted(2) == sorted([*every, ("a b", 2), ("b c", 1)])
+    assert counted(5) == [("a b", 2), ("b c", 1)] and counted(6) == [] and latest(1) == latest(6) == 2
+    for pair, step in ((("a", "b"), 3), (("b", "c"), 1)):
+        for place in collocations._places(collocations._longer(*(collocations._hashes([w], "en") for w in pair)), len(table)):
+            table[place] = step
+    # "b c" passes before it is counted itself, as by chance: no sooner than after its first step
+    assert latest(3) == 4 and counted(4) == [("a b", 2), ("a b c", 1), ("b c", 1)]
+    assert counted(7) == [("a b c", 1)] and counted(8) == []
 
 
 # -- hard negatives ----------------------------------------------------------------

@@ -17,8 +17,8 @@ blocks of columns:
 A column of over ``DENSE`` classes is never squared: some of its rows (pivots)
 are compared with all rows of other components, what links is merged, pivots
 leave, and so on until one component is left in the column. Each round takes
-twice the pivots, from the largest component while many others are left, from
-the others at the end; every pair of two components is compared before the
+twice the pivots: from all components while none has half of the column, then
+from the largest, and from the others at the end; every pair of two components is compared before the
 column is done, so no link between components is lost.
 
 Cases: documents without words (null, empty) have an empty set and are their
@@ -29,8 +29,6 @@ no rows give no rows; other columns are not read.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -48,8 +46,10 @@ SIZE = 4
 DENSE = 64
 #: Pivots of a dense column in the first round.
 PIVOTS = 8
-#: Bytes of n-gram sets in a broadcast block, blocks, and ids that may be broadcast.
-SMALL_BYTES, SMALL_BLOCKS, SMALL_IDS = 40 << 20, 6, 1_000_000
+#: Bytes of n-gram sets on either side of a group of pairs, and of text whose sets are made at a time.
+GROUP_BYTES, BLOCK_BYTES = 8 << 20, 2 << 20
+#: Ids that may be broadcast (2 MB), so that sets are picked without a shuffle.
+SMALL_IDS = 250_000
 #: Bits of the field that picks documents (16 MB at any size), and of a chunk.
 MEMBER_BITS, CHUNK_BITS = 1 << 27, 1 << 15
 #: Only n-grams with at least this share of all occurrences are told apart by
@@ -102,7 +102,7 @@ def _sets(batches):
     """Rows of the input with their n-gram sets, a block at a time."""
     held("sets", dict)  # nothing is kept here; another operator's cache goes
     for batch in batches:
-        for at, block in blocks(batch.column("text")):
+        for at, block in blocks(batch.column("text"), BLOCK_BYTES):
             yield batch.slice(at, len(block)), shingle_sets(block)
 
 
@@ -261,27 +261,41 @@ def _may_start(n: str, pos: str, m: str, at: str) -> Column:
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose exact overlap reaches the bound.
 
-    The sets on the left are broadcast, in a few blocks at most, if they are
-    small as measured (few pivots meet many others), so that no set is sent once
-    per pair; otherwise both sides are joined by shuffles.
+    Left classes are dealt into buckets of ``GROUP_BYTES`` of sets, a right
+    class goes once to every bucket that holds a partner of it, and the rows of
+    a bucket are dealt into as many parts as their bytes need: a set is sent once
+    a bucket, not once a pair, and nothing goes through the driver.
     """
+    left = _only(sets, pairs, "a")
+    buckets = 1 + 8 * (left.agg(F.sum(F.size("grams"))).first()[0] or 0) // GROUP_BYTES
+    bucket = F.pmod(F.xxhash64("a"), F.lit(buckets)).cast("int").alias("bucket")
+    partners = pairs.groupBy("b", bucket).agg(F.collect_list("a").alias("partners"))
+    right = partners.join(_only(sets, pairs, "b").withColumnRenamed("c", "b"), "b")
+    right = written(right, "partners")
+    parts = 1 + 8 * (right.agg(F.sum(F.size("grams") + F.size("partners"))).first()[0] or 0) // (buckets * GROUP_BYTES)
+    right = right.withColumn("part", F.pmod(F.xxhash64("b", F.lit(11)), F.lit(parts)).cast("int"))
+    left = left.select(
+        F.pmod(F.xxhash64("c"), F.lit(buckets)).cast("int").alias("bucket"), "c", "grams", F.explode(F.sequence(F.lit(0), F.lit(int(parts) - 1))).alias("part")
+    )
 
-    left = _only(sets, pairs, "a").select(F.col("c").alias("a"), F.col("grams").alias("sa"))
-    right = _only(sets, pairs, "b").select(F.col("c").alias("b"), F.col("grams").alias("sb"))
-    number = -(-8 * (left.agg(F.sum(F.size("sa"))).first()[0] or 0) // SMALL_BYTES)
-
-    def compared(some: DataFrame) -> DataFrame:
-        both = F.size(F.array_intersect("sa", "sb"))
-        met = pairs.join(right, "b").join(some, "a")
-        return met.filter(both * 185 >= (F.size("sa") + F.size("sb")) * 85).select("a", "b")
-
-    if number <= 1:
-        return compared(F.broadcast(left))
-    if number > SMALL_BLOCKS:
-        return compared(left)
-    place = F.pmod(F.xxhash64("a"), F.lit(number))
-    parts = [written(compared(F.broadcast(left.filter(place == i))), "block-links") for i in range(number)]
-    return reduce(DataFrame.unionByName, parts)
+    def compared(own: pa.Table, others: pa.Table) -> pa.Table:
+        found = own.column("grams").combine_chunks()
+        known = {c: found[i].values.to_numpy().view(np.uint64) for i, c in enumerate(own.column("c").to_pylist())}
+        a, b = [], []
+        names, partners_of, grams = (others.column(c).combine_chunks() for c in ("b", "partners", "grams"))
+        for i, name in enumerate(names.to_pylist()):
+            mine = grams[i].values.to_numpy().view(np.uint64)
+            for other in partners_of[i].as_py():
+                size, theirs = len(mine), known[other]
+                # both are distinct and in unsigned order
+                place = np.searchsorted(theirs, mine)
+                both = int((theirs[np.minimum(place, len(theirs) - 1)] == mine).sum())
+                if 185 * both >= 85 * (size + len(theirs)):
+                    a.append(other)
+                    b.append(name)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return left.groupBy("bucket", "part").cogroup(right.groupBy("bucket", "part")).applyInArrow(compared, "a long, b long")
 
 
 def _only(sets: DataFrame, pairs: DataFrame, side: str) -> DataFrame:
@@ -339,12 +353,13 @@ def _dense_round(rows: DataFrame, labels: DataFrame, pivots: int) -> tuple[DataF
         F.max(F.struct("n_top", "top")).alias("x"), F.sum("n_top").alias("total"), F.count("*").alias("tops")
     ).filter("tops > 1")
     few = (F.col("total") - F.col("x.n_top") <= pivots).alias("few")
-    open_rows = written(own.join(grams.select("gram", F.col("x.top").alias("main"), few), "gram"), "open")
+    split = (F.col("x.n_top") * 2 < F.col("total")).alias("split")
+    open_rows = written(own.join(grams.select("gram", F.col("x.top").alias("main"), few, split), "gram"), "open")
     outside = F.col("top") != F.col("main")
     last = open_rows.filter(F.col("few") & outside).select("gram", "c", "n", "pos", "top")
     # one pivot a bucket: the bucket's first in a fixed random order
     chosen = (
-        open_rows.filter(~F.col("few") & ~outside)
+        open_rows.filter(~F.col("few") & (F.col("split") | ~outside))
         .groupBy("gram", F.pmod(F.xxhash64("c"), F.lit(pivots)).alias("bucket"))
         .agg(F.min_by(F.struct("c", "n", "pos", "top"), F.xxhash64("c", F.lit(7))).alias("p")).select("gram", "p.*")
     )
@@ -366,10 +381,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     total = classes.agg(F.sum("n")).first()[0] or 0
     often = first.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(2, -(-total // FREQUENT)))
     # at most FREQUENT rows by the threshold
-    often = often.toPandas()
-    grams = often["id"].to_numpy(np.int64).view(np.uint64)
+    often = often.toArrow()
+    grams, counts = often.column("id").to_numpy().view(np.uint64), often.column("n").to_numpy()
     order = np.argsort(grams)
-    shared = spark.sparkContext.broadcast((grams[order], often["n"].to_numpy(np.int64)[order]))
+    shared = spark.sparkContext.broadcast((grams[order], counts[order]))
+    del often, grams, counts, order
 
     block = written(rows.mapInArrow(_first_block(shared), "gram long, c long, n int, pos int, often long"), "block")
     # (frequency, unsigned hash) as an ordered value
@@ -396,6 +412,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     # through besides is not asked for below
     one = written(classes.groupBy("c").agg(F.min("doc_id").alias("doc_id")).join(wanted, "c"), "wanted")
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(MEMBER_BITS)).alias("bit")
+    shared.destroy()  # the block is written
     members = spark.sparkContext.broadcast(member_bits(one.select(bit)))
 
     def grams_of(batches):
@@ -410,6 +427,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     sets = written(rows.withColumn("bit", bit).mapInArrow(grams_of, "c long, grams array<long>"), "sets")
 
+    members.destroy()
     labels = one.select("c", F.col("c").alias("top"))
     links = linked(pairs, sets)
     labels = _merge(written(labels, "labels"), written(links, "links"))

@@ -479,25 +479,84 @@ def _split_tables(spark, sf):
     return [split_rows(m, splits, w) for w in ("train", "val", "test")]
 
 
-#: Trials inside the reference's ranges (50 iterations and more).
-_TRIALS = [
-    {"num_iteration": 50, "max_depth": 2, "learning_rate": 0.1, "min_data_in_leaf": 10, "feature_fraction": 1.0},
-    {"num_iteration": 60, "max_depth": 4, "learning_rate": 0.05, "min_data_in_leaf": 50, "feature_fraction": 0.5},
-]
+_PARAMS = {"num_iteration": 50, "max_depth": 2, "learning_rate": 0.1, "min_data_in_leaf": 10, "feature_fraction": 1.0}
+#: One draw for each of the 16 grid points; iterations bound the time of a check.
+_ITERATIONS = (4, 12)
+#: Features with whole values, so that both engines cut the same bins.
+_SPLIT_FEATURES = ["AGE", "t", "flag_purchase_cumcount", "culture_timesince", "flag_signup_timesince"]
+_SPLIT_PARAMS = {"num_iteration": 1, "num_leaves": 4, "min_data_in_leaf": 20, "learning_rate": 0.1}
+_SPLIT_BINS = 16
 
 
 def q_train_and_score(spark, sf):
     from chronoframe.operators.model import score, train_classifier
 
-    train, val, test = _split_tables(spark, sf)
-    return score(train_classifier(train, val, LABEL, _TRIALS[0]), test, LABEL)
+    train, _, test = _split_tables(spark, sf)
+    return score(train_classifier(train, LABEL, _PARAMS), test, LABEL)
 
 
 def q_search_params(spark, sf):
-    from chronoframe.operators.model import search_params
+    from chronoframe.operators.model import sample_params, search_params
 
     train, val, test = _split_tables(spark, sf)
-    return search_params(train, val, test, _TRIALS, LABEL)
+    return search_params(train, val, test, sample_params(1, iterations=_ITERATIONS), LABEL)
+
+
+def q_first_tree_splits(spark, sf):
+    """The splits of a first tree of four leaves, missing values routed."""
+    from chronoframe.operators.boosting import fit_trials
+
+    train, _, _ = _split_tables(spark, sf)
+    booster = fit_trials(train, [_SPLIT_PARAMS], LABEL, _SPLIT_FEATURES, bins=_SPLIT_BINS)[0]
+    return round_doubles(booster.splits(spark))
+
+
+def _first_tree_sql() -> str:
+    """The same by a split search over all rows of each node, in SQL."""
+    unit = 1 << 30
+    values = " UNION ALL ".join(
+        f"SELECT rid, g, h, {j} AS j, CAST(\"{c}\" AS DOUBLE) AS v FROM rows_g" for j, c in enumerate(_SPLIT_FEATURES)
+    )
+    shares = ", ".join(str(i / _SPLIT_BINS) for i in range(1, _SPLIT_BINS))
+    names = " ".join(f"WHEN {j} THEN '{c}'" for j, c in enumerate(_SPLIT_FEATURES))
+
+    def best(i: int) -> str:
+        return (
+            f"h{i} AS (SELECT node, j, bin, sum(g) AS g, sum(h) AS h, count(*) AS n FROM r{i} JOIN binned USING (rid) GROUP BY ALL), "
+            f"a{i} AS (SELECT node, j, bin, sum(g) OVER f AS g, sum(h) OVER f AS h, sum(n) OVER f AS n, "
+            "sum(g) OVER u AS ug, sum(h) OVER u AS uh, sum(n) OVER u AS un, "
+            "sum(CASE WHEN bin = 0 THEN g ELSE 0 END) OVER f AS mg, sum(CASE WHEN bin = 0 THEN h ELSE 0 END) OVER f AS mh, "
+            f"sum(CASE WHEN bin = 0 THEN n ELSE 0 END) OVER f AS mn FROM h{i} "
+            "WINDOW f AS (PARTITION BY node, j), u AS (PARTITION BY node, j ORDER BY bin)), "
+            f"c{i} AS (SELECT node, j, bin, g, h, n, TRUE AS ml, ug AS lg, uh AS lh, un AS ln FROM a{i} WHERE bin > 0 "
+            f"UNION ALL SELECT node, j, bin, g, h, n, FALSE, ug - mg, uh - mh, un - mn FROM a{i} WHERE bin > 0), "
+            f"s{i} AS (SELECT node, j, bin, ml, n, (lg::DOUBLE * lg::DOUBLE / lh::DOUBLE + (g - lg)::DOUBLE * (g - lg)::DOUBLE / (h - lh)::DOUBLE "
+            f"- g::DOUBLE * g::DOUBLE / h::DOUBLE) / {unit} AS gain FROM c{i} "
+            f"WHERE least(ln, n - ln) >= 20 AND least(lh, h - lh) >= {-(-unit // 1000)} AND lh > 0 AND h - lh > 0 "
+            "QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, j, bin, ml DESC) = 1)"
+        )
+
+    def children(i: int, of: str, number: int) -> str:
+        return (
+            f"r{i} AS (SELECT {number} + CASE WHEN CASE WHEN b.bin = 0 THEN s.ml ELSE b.bin <= s.bin END THEN 0 ELSE 1 END AS node, b.rid "
+            f"FROM {of} s JOIN r{i - 1} r ON r.node = s.node JOIN binned b ON b.rid = r.rid AND b.j = s.j)"
+        )
+
+    return _with_split(
+        "SELECT feature, threshold, missing_left, n, gain FROM (WITH rows_y AS (SELECT row_number() OVER () AS rid, "
+        "(\"24hour_mortality\" = 1)::INT AS y, * FROM labelled WHERE ID IN (SELECT ID FROM splits WHERE split = 'train')), "
+        "share AS (SELECT 1 / (1 + exp(-ln(avg(y) / (1 - avg(y))))) AS p FROM rows_y), "
+        f"rows_g AS (SELECT rows_y.*, round((p - y) * {unit})::HUGEINT AS g, round(p * (1 - p) * {unit})::HUGEINT AS h FROM rows_y, share), "
+        f"vals AS ({values}), "
+        f"edges AS (SELECT j, list_sort(list_distinct(quantile_disc(v, [{shares}]))) AS e FROM vals GROUP BY j), "
+        "binned AS (SELECT rid, j, g, h, CASE WHEN v IS NULL THEN 0 ELSE 1 + len(list_filter(e, lambda x: x < v)) END AS bin FROM vals JOIN edges USING (j)), "
+        f"r0 AS (SELECT 0 AS node, rid FROM rows_g), {best(0)}, top AS (SELECT * FROM s0 WHERE gain > 0), "
+        f"{children(1, 'top', 1)}, {best(1)}, second AS (SELECT * FROM s1 WHERE gain > 0 ORDER BY gain DESC, node LIMIT 1), "
+        f"{children(2, 'second', 3)}, {best(2)}, third AS (SELECT * FROM (SELECT * FROM s1 WHERE node NOT IN (SELECT node FROM second) "
+        "UNION ALL SELECT * FROM s2) AS x WHERE gain > 0 ORDER BY gain DESC, node LIMIT 1) "
+        f"SELECT CASE t.j {names} END AS feature, round(e[bin], 6) AS threshold, ml AS missing_left, n::BIGINT AS n, round(gain, 6) AS gain "
+        "FROM (SELECT * FROM top UNION ALL SELECT * FROM second UNION ALL SELECT * FROM third) AS t JOIN edges ON edges.j = t.j) AS z"
+    )
 
 
 _PREPARED = ["12i_mean_click", "12i_std_view", "flag_purchase_cumcount", "culture_timesince", "AGE"]
@@ -540,6 +599,7 @@ SPARK_QUERIES.update({
     "binary_error_logloss": q_binary_error_logloss,
     "train_and_score": q_train_and_score,
     "search_params": q_search_params,
+    "first_tree_splits": q_first_tree_splits,
     "prepared_features": q_prepared_features,
     "best_trial": q_best_trial,
 })
@@ -570,6 +630,7 @@ def _prepared_sql() -> str:
 
 ORACLE_SQL.update({
     "prepared_features": _prepared_sql(),
+    "first_tree_splits": _first_tree_sql(),
     "best_trial": (
         "SELECT o_custkey AS trial, round(avg(o_totalprice), 6) AS valid_logloss FROM orders GROUP BY o_custkey "
         "ORDER BY avg(o_totalprice), o_custkey LIMIT 1"

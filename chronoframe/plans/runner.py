@@ -13,7 +13,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from chronoframe.operators.labels import add_lookahead_label
-from chronoframe.operators.model import score, search_models
+from chronoframe.operators.model import sample_params, score, search_models
 from chronoframe.operators.split import split_entities, split_rows
 from chronoframe.operators.windows import forward_fill, window_features
 from chronoframe.plans import stages
@@ -26,7 +26,8 @@ def _sorted_by(df: DataFrame, *keys: str) -> DataFrame:
 
 def run_all(spark: SparkSession, sf_dir: str, out_dir: str, trials: list[dict] | None = None) -> dict[str, int]:
     """Write every stage's tables under ``out_dir``; return row counts. ``trials``
-    are the parameter sets to choose from (``sample_params`` draws them)."""
+    are the parameter sets to choose from; without them one is drawn for each
+    grid point, of the reference's space."""
     out = out_dir.rstrip("/")
     counts: dict[str, int] = {}
 
@@ -68,9 +69,9 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str, trials: list[dict] |
 
     # 7. train, choose, score: the best trial's model is saved with its features
     train, val, test = (spark.read.parquet(f"{out}/modeling/{w}_df") for w in ("train", "val", "test"))
-    trials, model = search_models(train, val, test, trials or [{"num_iteration": 50, "max_depth": 4, "learning_rate": 0.1}])
+    trials, model = search_models(train, val, test, trials or sample_params(1))
     write_csv_table(trials, f"{out}/modeling/trials.csv")
-    model.write().overwrite().save(f"{out}/modeling/best_model")
+    model.save(spark, f"{out}/modeling/best_model")
     write_csv_table(score(model, test), f"{out}/modeling/predictions.csv")
     counts["predictions"] = test.count()
     counts["label_1"] = labelled.where("`24hour_mortality` = 1").count()

@@ -75,6 +75,15 @@ def get_spark(master: str | None = None, app: str = "chronoframe", **conf: str)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from the path the driver uses."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for scratch tables: the session's checkpoint directory.
 

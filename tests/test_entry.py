@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import duckdb
 
 import __spark_entry__ as entry
@@ -32,3 +36,14 @@ def test_small_queries_run_at_smoke_scale(spark):
     q = entry.queries()
     for name in ("hourly_skeleton", "split_sizes", "auroc", "static_one_hot", "variable_prevalence"):
         assert q[name](spark, entry.SMOKE_DIR).count() >= 1
+
+
+def test_core_queries_survive_a_missing_library_of_the_subpackage():
+    code = """
+import sys
+sys.modules["xxhash"] = None
+import __spark_entry__ as e
+from chronoframe.plans.queries import ORACLE_SQL, SPARK_QUERIES
+assert e.queries() == SPARK_QUERIES and e.oracle_sql() == ORACLE_SQL
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.abspath(entry.__file__)))

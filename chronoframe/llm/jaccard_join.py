@@ -47,8 +47,8 @@ DENSE = 64
 #: Pivots of a dense column in the first round.
 PIVOTS = 8
 #: Bytes of n-gram sets on either side of a group of pairs, and of text whose sets are made at a time.
-GROUP_BYTES, BLOCK_BYTES = 8 << 20, 2 << 20
-#: Ids that may be broadcast (2 MB), so that sets are picked without a shuffle.
+GROUP_BYTES, BLOCK_BYTES = 32 << 20, 2 << 20
+#: Ids, or rows of ids, that may be broadcast (a few MB), so that sets are not shuffled to be picked.
 SMALL_IDS = 250_000
 #: Bits of the field that picks documents (16 MB at any size), and of a chunk.
 MEMBER_BITS, CHUNK_BITS = 1 << 27, 1 << 15
@@ -267,20 +267,23 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     a bucket, not once a pair, and nothing goes through the driver.
     """
     left = _only(sets, pairs, "a")
-    buckets = 1 + 8 * (left.agg(F.sum(F.size("grams"))).first()[0] or 0) // GROUP_BYTES
+    rows, total = left.agg(F.count("*"), F.sum(F.size("grams"))).first()
+    buckets = 1 + 8 * (total or 0) // GROUP_BYTES
     bucket = F.pmod(F.xxhash64("a"), F.lit(buckets)).cast("int").alias("bucket")
     partners = pairs.groupBy("b", bucket).agg(F.collect_list("a").alias("partners"))
-    right = partners.join(_only(sets, pairs, "b").withColumnRenamed("c", "b"), "b")
-    right = written(right, "partners")
-    parts = 1 + 8 * (right.agg(F.sum(F.size("grams") + F.size("partners"))).first()[0] or 0) // (buckets * GROUP_BYTES)
+    met = partners.count()
+    # sets that link are of like sizes, and a bucket's rows are dealt by hash
+    parts = 1 + met * 8 * (total or 0) // (max(rows, 1) * buckets * GROUP_BYTES)
+    own = _only(sets, pairs, "b").withColumnRenamed("c", "b")
+    right = own.join(F.broadcast(partners) if met <= SMALL_IDS else partners, "b")
     right = right.withColumn("part", F.pmod(F.xxhash64("b", F.lit(11)), F.lit(parts)).cast("int"))
     left = left.select(
-        F.pmod(F.xxhash64("c"), F.lit(buckets)).cast("int").alias("bucket"), "c", "grams", F.explode(F.sequence(F.lit(0), F.lit(int(parts) - 1))).alias("part")
+        F.pmod(F.xxhash64("c"), F.lit(buckets)).cast("int").alias("bucket"), F.col("c").alias("a"), F.col("grams").alias("own"), F.explode(F.sequence(F.lit(0), F.lit(int(parts) - 1))).alias("part")
     )
 
     def compared(own: pa.Table, others: pa.Table) -> pa.Table:
-        found = own.column("grams").combine_chunks()
-        known = {c: found[i].values.to_numpy().view(np.uint64) for i, c in enumerate(own.column("c").to_pylist())}
+        found = own.column("own").combine_chunks()
+        known = {c: found[i].values.to_numpy().view(np.uint64) for i, c in enumerate(own.column("a").to_pylist())}
         a, b = [], []
         names, partners_of, grams = (others.column(c).combine_chunks() for c in ("b", "partners", "grams"))
         for i, name in enumerate(names.to_pylist()):

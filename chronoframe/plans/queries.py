@@ -18,6 +18,7 @@ from chronoframe.operators.grid import reference_grid
 from chronoframe.operators.labels import LABEL
 from chronoframe.operators.split import split_entities, split_rows
 from chronoframe.operators.static import pivot_static
+from chronoframe.operators.segments import rolling_features_blocks, segmented_count, segmented_fill, segmented_since
 from chronoframe.operators.windows import (
     classify_columns, cumulative_count, forward_fill, rolling_features, rolling_features_explode, time_since,
 )
@@ -143,6 +144,26 @@ def q_rolling_12h_explode(spark, sf):
     return round_doubles(grid.join(roll, ["ID", "t"], "left"))
 
 
+def q_rolling_12h_blocks(spark, sf):
+    hourly, stats = stages.hourly_with_stats(spark, sf, ["LABEVENTS"])["LABEVENTS"]
+    grid = reference_grid(hourly, hours=stats.hours, n_ids=stats.n_ids)
+    return round_doubles(grid.join(rolling_features_blocks(hourly, stats.other), ["ID", "t"], "left"))
+
+
+def q_segmented_fill(spark, sf):
+    return round_doubles(segmented_fill(stages.base_features(spark, sf, "LABEVENTS"), hours=100))
+
+
+def q_segmented_count(spark, sf):
+    base, binary = _out_binary(spark, sf)
+    return round_doubles(segmented_count(base, binary, hours=100))
+
+
+def q_segmented_since(spark, sf):
+    base, binary = _out_binary(spark, sf)
+    return round_doubles(segmented_since(base, binary, hours=100))
+
+
 def q_domain_window_features(spark, sf):
     return round_doubles(stages.domain_window_table(spark, sf, "OUTPUTEVENTS"))
 
@@ -201,6 +222,10 @@ SPARK_QUERIES: dict[str, Query] = {
     "time_since": q_time_since,
     "rolling_12h_window": q_rolling_12h_window,
     "rolling_12h_explode": q_rolling_12h_explode,
+    "rolling_12h_blocks": q_rolling_12h_blocks,
+    "segmented_fill": q_segmented_fill,
+    "segmented_count": q_segmented_count,
+    "segmented_since": q_segmented_since,
     "domain_window_features": q_domain_window_features,
     "static_pivot": q_static_pivot,
     "static_one_hot": q_static_one_hot,
@@ -353,7 +378,7 @@ from chronoframe.operators.metrics import auroc, average_precision, binary_error
 from chronoframe.functions import sanitize_columns  # noqa: E402
 from chronoframe.session import materialize, read_table, scratch_path  # noqa: E402
 from chronoframe.sources import (  # noqa: E402
-    copy_dataset, merge_datasets, read_csv_table, read_domains, read_features, read_split_ids, repack, scan,
+    compact, copy_dataset, merge_datasets, read_csv_table, read_domains, read_features, read_split_ids, repack, scan,
     select_domains, unique_values, write_csv_table, write_domains, write_features, write_partitioned,
     write_split_ids,
 )
@@ -432,6 +457,12 @@ def q_repack_partitions(spark, sf):
                                 sort_by=["l_orderkey", "l_linenumber"]))
 
 
+def q_compact_partitions(spark, sf):
+    path = _lineitem_dataset(spark, sf, files_per_task=16)
+    compact(spark, path, ["l_returnflag"])
+    return round_doubles(scan(spark, path))
+
+
 def q_unique_values(spark, sf):
     return unique_values(read_table(spark, sf, "lineitem"), "l_partkey")
 
@@ -589,6 +620,7 @@ SPARK_QUERIES.update({
     "scan_projected_filtered": q_scan_projected_filtered,
     "copy_dataset": q_copy_dataset,
     "repack_partitions": q_repack_partitions,
+    "compact_partitions": q_compact_partitions,
     "unique_values": q_unique_values,
     "merge_datasets": q_merge_datasets,
     "split_ids_round_trip": q_split_ids_round_trip,
@@ -652,6 +684,11 @@ ORACLE_SQL.update({
         "FROM lineitem WHERE l_shipdate >= TIMESTAMP '1995-01-01 00:00:00'"
     ),
     "repack_partitions": f"SELECT {_LI} FROM lineitem",
+    "compact_partitions": f"SELECT {_LI} FROM lineitem",
+    "rolling_12h_blocks": ORACLE_SQL["rolling_12h_explode"],
+    "segmented_fill": ORACLE_SQL["forward_fill"],
+    "segmented_count": ORACLE_SQL["cumulative_count"],
+    "segmented_since": ORACLE_SQL["time_since"],
     "unique_values": "SELECT DISTINCT l_partkey FROM lineitem",
     "merge_datasets": (
         f"SELECT {_LI}, o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice, "

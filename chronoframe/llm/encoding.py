@@ -15,8 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-#: Words kept by a worker before it drops the rarer half (bounds its memory).
-CACHE_WORDS = 500_000
+#: Bytes of words and ids that a worker keeps before it drops the rarer half, and the longest word it keeps.
+CACHE_BYTES, CACHE_WORD = 128 << 20, 256
 #: Text characters flattened at a time.
 BLOCK_CHARS = 6 << 20
 #: A word of letters that lower-case alike everywhere, then common marks: the
@@ -38,28 +38,39 @@ class WordEncoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         kind = np.uint32 if self.tokenizer.get_vocab_size() > 1 << 16 else np.uint16
+        #: Row of each kept word; rows beyond those are a call's long words.
         self.known: dict[str, int] = {}
+        self.held = 0
         self.flat, self.starts, self.used = np.empty(0, kind), np.zeros(1, np.int64), np.empty(0, np.int64)
 
+    def _bytes(self, words: list[str], ids: int) -> int:
+        return 180 * len(words) + sum(map(len, words)) + ids * self.flat.itemsize
+
     def _keep_frequent(self) -> None:
         """Keep the half of the cache that was looked up most."""
-        kept = np.sort(np.argsort(-self.used, kind="stable")[: CACHE_WORDS // 2])
+        kept = np.sort(np.argsort(-self.used, kind="stable")[: len(self.known) // 2])
         self.flat, self.starts = _take(self.starts, self.flat, kept)
         words = list(self.known)
         self.known = {words[i]: n for n, i in enumerate(kept.tolist())}
         self.used = self.used[kept] // 2
+        self.held = self._bytes(list(self.known), len(self.flat))
 
     def _rows(self, words: pa.Array) -> np.ndarray:
-        """The cache's row of every word of an array, learning new ones."""
+        """The cache's row of every word of an array, learning new ones; long
+        ones come last and are not kept."""
         coded = words.dictionary_encode()
         distinct, indices = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         rows = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
         if (missing := np.flatnonzero(rows < 0)).size:
+            long = np.fromiter((len(distinct[i]) > CACHE_WORD for i in missing.tolist()), bool, missing.size)
+            missing = np.concatenate([missing[~long], missing[long]])
             new = [distinct[i] for i in missing.tolist()]
             found = [x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             rows[missing] = np.arange(len(self.known), len(self.known) + len(new))
-            self.known.update(zip(new, rows[missing].tolist(), strict=True))
+            kept = len(new) - int(long.sum())
+            self.known.update(zip(new[:kept], rows[missing[:kept]].tolist(), strict=True))
+            self.held += self._bytes(new[:kept], int(sizes[:kept].sum()))
             ids = np.fromiter(chain.from_iterable(found), self.flat.dtype, int(sizes.sum()))
             self.flat, self.starts = np.concatenate([self.flat, ids]), np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
             self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
@@ -72,16 +83,19 @@ class WordEncoder:
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         if not len(texts):
             return np.empty(0, self.flat.dtype), np.empty(0, np.int64)
-        if len(self.known) > CACHE_WORDS:
+        if self.held > CACHE_BYTES:
             self._keep_frequent()
         cut = pc.ascii_split_whitespace(texts)
         coded = cut.flatten().dictionary_encode()
         chunks = coded.dictionary
-        plain = pc.match_substring_regex(chunks, _WORD_AND_MARKS)
+        plain = pc.and_(pc.match_substring_regex(chunks, _WORD_AND_MARKS), pc.less_equal(pc.binary_length(chunks), CACHE_WORD))
         word = pc.if_else(plain, pc.utf8_lower(pc.utf8_rtrim(chunks, _MARKS)), chunks)
         mark = pc.if_else(plain, pc.utf8_ltrim(chunks, _LETTERS), "")
-        both = np.stack([self._rows(word), self._rows(mark)], 1).reshape(-1)
+        marks = self._rows(mark)  # never long
+        both = np.stack([self._rows(word), marks], 1).reshape(-1)
         ids, ends = _take(self.starts, self.flat, both)
+        if len(self.used) > (n := len(self.known)):
+            self.flat, self.starts, self.used = self.flat[: self.starts[n]].copy(), self.starts[: n + 1].copy(), self.used[:n].copy()
         ids, ends = _take(ends[::2], ids, coded.indices.to_numpy())
         upto = ends[np.cumsum(cut.value_lengths().to_numpy())]
         lengths = np.diff(upto, prepend=0)

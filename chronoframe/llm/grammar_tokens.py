@@ -39,7 +39,7 @@ _ARROW = pa.schema(
 RULES, LEAST = 4096, 8
 #: A round takes the pairs at least 1 / NEAR as frequent as the first, so that
 #: symbols go to the pairs of later rounds where those are more frequent.
-NEAR = 64
+NEAR = 128
 _HASH_BITS = 18
 
 

@@ -30,8 +30,8 @@ from chronoframe.llm.common import texts
 from chronoframe.llm.encoding import blocks, held
 
 FREQUENT_SHARE, TABLE_CHUNKS = 16_384, 32_768
-#: Misses a worker keeps before it starts afresh.
-CACHE_CHUNKS = 500_000
+#: Bytes of misses that a worker keeps before it starts afresh, and the longest chunk it keeps.
+CACHE_BYTES, CACHE_CHUNK = 96 << 20, 256
 #: Letters, then marks without an apostrophe: always two pre-tokens.
 _WORD_AND_MARKS = re.compile(r"([A-Za-zß-öø-ÿÀ-ÖØ-Þ]+)([.,!?;:|#*%&$]*)")
 #: The count of a chunk that needs its whole text.
@@ -70,18 +70,23 @@ class TokenCounter:
         self.table: dict[str, int] = {}
         self.known: dict[str, int] = {}
         self.marks: dict[str, int] = {}
+        self.held = 0
 
     def use(self, table: dict[str, int]) -> None:
         if table is not self.table:
-            self.table, self.known = table, dict(table)
+            self.table, self.known, self.held = table, dict(table), 0
 
     def _whole(self, chunk: str) -> bool:
         return not chunk or chunk[0].isspace() or any(s in chunk for s in self.special)
 
     def _learn(self, chunks: list[str]) -> None:
-        if len(self.known) + len(chunks) > CACHE_CHUNKS:
-            self.known = dict(self.table)
+        """Count new chunks, none of them long."""
+        if self.held > CACHE_BYTES:
+            self.known, self.held = dict(self.table), 0
+        if len(self.marks) > 10_000:
+            self.marks = {}
         known, marks, cut = self.known, self.marks, {}
+        self.held += sum(map(len, chunks)) + 150 * len(chunks)
         for chunk in chunks:
             if (m := _WORD_AND_MARKS.fullmatch(chunk)) and m[2]:
                 cut[chunk] = m[1], m[2]
@@ -100,13 +105,17 @@ class TokenCounter:
 
     def chunk_counts(self, chunks: list[str]) -> np.ndarray:
         """Tokens of a space and the chunk for each chunk, or _WHOLE."""
-        self._learn([c for c in chunks if c not in self.known])
-        return np.fromiter(map(self._get, chunks), np.int64, len(chunks))
-
-    def _get(self, chunk: str) -> int:
-        if chunk not in self.known:  # the cache was emptied between
-            self._learn([chunk])
-        return self.known[chunk]
+        new = [c for c in chunks if c not in self.known]
+        long = [c for c in new if len(c) > CACHE_CHUNK]
+        once = dict(zip(long, self.library([" " + c for c in long]), strict=True)) if long else {}
+        once.update((c, _WHOLE) for c in long if self._whole(c))
+        if len(new) > len(long):
+            self._learn([c for c in new if c not in once])
+            again = [c for c in chunks if c not in self.known and c not in once]
+            if again:  # the cache was emptied between
+                self._learn(again)
+        known = self.known
+        return np.fromiter((once[c] if c in once else known[c] for c in chunks) if once else map(known.__getitem__, chunks), np.int64, len(chunks))
 
     def count(self, block: pa.Array) -> np.ndarray:
         if not self.chunked:

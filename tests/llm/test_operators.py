@@ -297,7 +297,7 @@ def test_token_counts_of_sentencepiece(odd, odd_docs):
 def test_token_counter_forgets_and_learns_again(odd_docs, monkeypatch):
     import pyarrow as pa
 
-    monkeypatch.setattr(token_counts, "CACHE_CHUNKS", 50)
+    monkeypatch.setattr(token_counts, "CACHE_BYTES", 5_000)
     texts = pa.array([t or "" for _, t in odd_docs])
     library = Tokenizer.from_file(BYTE_BPE)
     counter = token_counts.TokenCounter(BYTE_BPE)
@@ -305,6 +305,27 @@ def test_token_counter_forgets_and_learns_again(odd_docs, monkeypatch):
     assert counter.count(texts).tolist() == want and counter.count(texts).tolist() == want
 
 
+def test_caches_are_bounded_in_bytes(monkeypatch):
+    """Texts without spaces are counted and encoded, and not kept."""
+    import pyarrow as pa
+
+    from chronoframe.llm import encoding
+
+    monkeypatch.setattr(token_counts, "CACHE_BYTES", 30_000)
+    monkeypatch.setattr(encoding, "CACHE_BYTES", 30_000)
+    counter, encoder = token_counts.TokenCounter(BYTE_BPE), encoding.WordEncoder(WORD_BPE)
+    bytewise, wordwise = Tokenizer.from_file(BYTE_BPE), Tokenizer.from_file(WORD_BPE)
+    for i in range(25):
+        texts = [f"{'ab1' * 7000}{i} end", "".join(f"w{i}x{j}! " for j in range(60)) + "?" * 900, ("x" * 400 + ". ") * 3]
+        block = pa.array(texts)
+        assert counter.count(block).tolist() == [len(x.ids) for x in bytewise.encode_batch(texts, add_special_tokens=False)]
+        ids, lengths = encoder.encode(block)
+        want = [x.ids for x in wordwise.encode_batch(texts, add_special_tokens=False)]
+        assert ids.tolist() == [t for x in want for t in x] and lengths.tolist() == list(map(len, want))
+        assert max(map(len, counter.known)) <= 256 and max(map(len, encoder.known)) <= 256
+        assert counter.held < 60_000 and encoder.held < 60_000 and len(encoder.used) == len(encoder.known)
+
+
 def test_license_scan(spark, odd, odd_docs, empty):
     grant, condition = licenses.SENTENCES["mit-grant"], licenses.SENTENCES["mit-condition"]
     docs = [

@@ -184,6 +184,7 @@ NAMES = {
     ],
     "Unlicense": ["Unlicense"],
     "Zlib": ["zlib"],
+    "0BSD": ["Zero-Clause BSD", "BSD Zero Clause"],
 } | {
     f"CC-{code}-{version}": _cc(code, words, version)
     for version in ("4.0", "3.0", "2.5", "2.0")
@@ -195,7 +196,7 @@ NAMES = {
 }
 #: Identifiers of SPDX lines, beside the keys of ``NAMES``.
 SPDX = {
-    "BSD": ["BSD-2-Clause", "BSD-3-Clause", "0BSD"],
+    "BSD": ["BSD-2-Clause", "BSD-3-Clause"],
     "GPL-2.0": ["GPL-2.0-only", "GPL-2.0-or-later", "GPL-2.0+"], "GPL-3.0": ["GPL-3.0-only", "GPL-3.0-or-later", "GPL-3.0+"],
     "LGPL-2.1": ["LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-2.1+"], "LGPL-3.0": ["LGPL-3.0-only", "LGPL-3.0-or-later", "LGPL-3.0+"],
     "AGPL-3.0": ["AGPL-3.0-only", "AGPL-3.0-or-later", "AGPL-3.0+"],

@@ -133,13 +133,26 @@ def copies(docs: DataFrame, min_words: int = 50) -> DataFrame:
     return at.groupBy(*KEY).agg(F.array_sort(F.collect_set("pos")).alias("positions"))
 
 
+def _flags(positions: str) -> Column:
+    """True at every position of an ascending array, false between them."""
+    place = F.col(positions)
+
+    def upto(j: Column) -> Column:
+        gap = F.get(place, j) - F.coalesce(F.get(place, j - 1), F.lit(-1)) - 1
+        return F.concat(F.array_repeat(F.lit(False), gap.cast("int")), F.array(F.lit(True)))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(place) - 1), upto))
+
+
 def dedup_lines(docs: DataFrame, min_words: int = 50, into: str = "deleted_lines") -> DataFrame:
     """The documents without the copies: ``text`` cleaned, all other columns
     as they were, and ``into`` (sorted line numbers, null if none)."""
     found = copies(docs, min_words).toDF("__doc_id", "__h", "__positions")
+    # a flag a line up to the last that goes: looked up at once, however many they are
+    found = found.withColumn("__gone", _flags("__positions"))
     ours = docs.withColumn("__text_h", F.xxhash64(F.coalesce("text", F.lit(""))))
     kept = F.array_join(
-        F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("__positions", i)), "\n"
+        F.filter(F.split("text", "\n"), lambda line, i: ~F.coalesce(F.get("__gone", i), F.lit(False))), "\n"
     )
     joined = ours.join(
         found, F.col("doc_id").cast("long").eqNullSafe(F.col("__doc_id")) & (F.col("__text_h") == F.col("__h")), "left"

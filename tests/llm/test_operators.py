@@ -65,6 +65,25 @@ def test_line_runs_of_several_lines(spark):
     assert got[2] == set(range(1, 7)) and 3 not in got
 
 
+def test_a_document_of_very_many_lines_that_is_a_copy(spark):
+    """Deleting its lines takes time in proportion to them."""
+    import time
+
+    lines = [f"line {i} of a very long text that comes twice" for i in range(40_000)]
+    docs = [(1, "\n".join(lines)), (2, "own start\n\n" + "\n".join(lines) + "\nown end")]
+    df = spark.createDataFrame(rows(docs), SCHEMA)
+    found = line_dedup.written(line_dedup.copies(df).toDF("d", "h", "p"), "copies")
+    began = time.time()
+    gone = found.select(line_dedup._flags("p").alias("f")).first().f
+    assert gone == [False, False] + [True] * 40_000 and time.time() - began < 20
+
+
+def test_flags_of_positions(spark):
+    df = spark.createDataFrame([([0],), ([2, 3, 7],), ([0, 1, 2],)], "p array<int>")
+    got = [r.f for r in df.select(line_dedup._flags("p").alias("f")).collect()]
+    assert got == [[True], [False, False, True, True, False, False, False, True], [True] * 3]
+
+
 def test_grammar_tokens_round_trip(spark, odd, odd_docs, empty):
     ids = brute.encoded(odd_docs, Tokenizer.from_file(WORD_BPE))
     path = scratch_path(spark, "tokens")
@@ -331,13 +350,13 @@ def test_license_scan(spark, odd, odd_docs, empty):
     docs = [
         (1, "Title.\n" + grant + "\n" + condition), (2, condition + " " + grant), (3, grant + "\nNot a rule.\nNor this.\n" + condition),
         (4, grant.upper() + "\n\nOne between.\n" + condition.replace(" ", "  ")), (5, "Released under the MIT License!"),
-        (6, "Licensed under CC BY-NC 4.0. Text goes on. Licensed under the Apache License, Version 2.0."), (7, None), (8, ""),
+        (9, "SPDX-License-Identifier: 0BSD"), (6, "Licensed under CC BY-NC 4.0. Text goes on. Licensed under the Apache License, Version 2.0."), (7, None), (8, ""),
     ]
     got = {r.doc_id: (r.n_known, r.identifiers, r.licences) for r in licenses.scan(spark.createDataFrame(rows(docs), SCHEMA)).collect()}
     assert got[1] == (2, "mit-grant,mit-condition", "MIT") and got[2][2] == "" and got[2][0] == 2
     assert got[3][2] == "" and got[4][2] == "MIT" and got[5][2] == "MIT"
     assert got[6] == (2, "cc-by-nc-4.0-notice,apache-2.0-notice", "Apache-2.0,CC-BY-NC-4.0")
-    assert got[7] == got[8] == (0, "", "")
+    assert got[7] == got[8] == (0, "", "") and got[9][2] == "0BSD"
     assert licenses.scan(odd).count() == len(odd_docs) and licenses.scan(empty).count() == 0
 
 

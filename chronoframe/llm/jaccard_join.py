@@ -17,7 +17,7 @@ blocks of columns:
 A column of over ``DENSE`` classes is never squared: some of its rows (pivots)
 are compared with all rows of other components, what links is merged, pivots
 leave, and so on until one component is left in the column. Each round takes
-twice the pivots: from all components while none has half of the column, then
+more pivots: from all components while none has half of the column, then
 from the largest, and from the others at the end; every pair of two components is compared before the
 column is done, so no link between components is lost.
 
@@ -43,9 +43,9 @@ from chronoframe.llm.encoding import blocks, held
 #: Words of an n-gram.
 SIZE = 4
 #: Classes of a column that are still paired directly.
-DENSE = 64
-#: Pivots of a dense column in the first round.
-PIVOTS = 8
+DENSE = 24
+#: Pivots of a dense column in the first round, and how many times as many the next has.
+PIVOTS, GROWTH = 8, 4
 #: Bytes of n-gram sets on either side of a group of pairs, and of text whose sets are made at a time.
 GROUP_BYTES, BLOCK_BYTES = 32 << 20, 2 << 20
 #: Ids, or rows of ids, that may be broadcast (a few MB), so that sets are not shuffled to be picked.
@@ -242,7 +242,7 @@ def candidates(products: DataFrame, meta: DataFrame, dense: DataFrame) -> DataFr
     )
     block = F.col("own") - F.ceil(F.col("own") * 85 / 100) + 1
     lost = F.greatest(F.lit(0), block - F.col("hits") - F.least("ua", "ub"))
-    return both.filter(F.col("own") - lost >= F.ceil((F.col("na") + F.col("nb")) * 85 / 185)).select("a", "b")
+    return both.filter(F.col("own") - lost >= F.ceil((F.col("na") + F.col("nb")) * 85 / 185)).select("a", "b", "hits")
 
 
 def _may_start(n: str, pos: str, m: str, at: str) -> Column:
@@ -348,6 +348,18 @@ def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written(labels.join(tops, "top", "left").select("c", F.coalesce("up", "top").alias("top")), "labels")
 
 
+def _compared(labels: DataFrame, pairs: DataFrame, first: DataFrame, sets: DataFrame) -> DataFrame:
+    """Labels after the pairs. A few of them (``first``) are compared before the
+    others, so that of the many pairs within a group of near copies only those
+    are left whose classes these have not brought together."""
+    labels = _merge(labels, written(linked(first.select("a", "b"), sets), "links"))
+    apart = pairs.select("a", "b").join(labels.toDF("a", "ta"), "a").join(labels.toDF("b", "tb"), "b").filter("ta != tb")
+    apart = written(apart.select("a", "b"), "apart")
+    if not apart.limit(1).count():
+        return labels
+    return _merge(labels, written(linked(apart, sets), "links"))
+
+
 def _dense_round(rows: DataFrame, labels: DataFrame, pivots: int) -> tuple[DataFrame, DataFrame]:
     """Pairs to compare now, and the dense rows that stay after them."""
     own = rows.join(labels, "c")
@@ -432,14 +444,19 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     members.destroy()
     labels = one.select("c", F.col("c").alias("top"))
-    links = linked(pairs, sets)
-    labels = _merge(written(labels, "labels"), written(links, "links"))
+    # each class with the one that it shares most with
+    nearest = pairs.groupBy("a").agg(F.max_by("b", F.struct("hits", "b")).alias("b")).unionByName(
+        pairs.groupBy("b").agg(F.max_by("a", F.struct("hits", "a")).alias("a"))
+    ).distinct()
+    labels = _compared(written(labels, "labels"), pairs, nearest, sets)
     pivots = PIVOTS
     sets = written(_only(sets, dense, "c"), "dense-sets")
     while dense.limit(1).count():
         pairs, dense = _dense_round(dense, labels, pivots)
-        labels = _merge(labels, written(linked(pairs, sets), "links"))
-        pivots *= 2
+        # each row with one pivot, the same for most rows of a column
+        nearest = pairs.groupBy("b").agg(F.min_by("a", F.xxhash64("a", F.lit(7))).alias("a"))
+        labels = _compared(labels, pairs, nearest, sets)
+        pivots *= GROWTH
 
     joined = classes.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("low")).join(labels, "c", "left")
     joined = joined.select("c", "low", F.coalesce("top", "c").alias("top"))

@@ -37,7 +37,15 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     lost executor costs no recomputation."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.option("compression", "zstd").partitionBy(*partition_by or []).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table of :func:`written` that nothing reads any more."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._scratch)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(df: DataFrame, bytes_each: int = 32 << 20) -> int:

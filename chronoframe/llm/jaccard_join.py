@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoframe.llm.common import LOWER, UPPER, texts, written
+from chronoframe.llm.common import LOWER, UPPER, discard, texts, written
 from chronoframe.llm.encoding import blocks, held
 
 #: Words of an n-gram.
@@ -47,7 +47,7 @@ DENSE = 24
 #: Pivots of a dense column in the first round, and how many times as many the next has.
 PIVOTS, GROWTH = 8, 4
 #: Bytes of n-gram sets on either side of a group of pairs, and of text whose sets are made at a time.
-GROUP_BYTES, BLOCK_BYTES = 32 << 20, 2 << 20
+GROUP_BYTES, BLOCK_BYTES = 12 << 20, 2 << 20
 #: Ids, or rows of ids, that may be broadcast (a few MB), so that sets are not shuffled to be picked.
 SMALL_IDS = 250_000
 #: Bits of the field that picks documents (16 MB at any size), and of a chunk.
@@ -402,7 +402,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast((grams[order], counts[order]))
     del often, grams, counts, order
 
-    block = written(rows.mapInArrow(_first_block(shared), "gram long, c long, n int, pos int, often long"), "block")
+    block = whole = written(rows.mapInArrow(_first_block(shared), "gram long, c long, n int, pos int, often long"), "block")
     # (frequency, unsigned hash) as an ordered value
     last = F.struct("often", F.col("gram").bitwiseXOR(F.lit(-(1 << 63)))).alias("last")
     meta = block.filter("pos = -1").select("c", F.col("n").cast("long").alias("n"), last).dropDuplicates(["c"])
@@ -420,6 +420,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     )
     dense = written(dense.dropDuplicates(["gram", "c"]), "dense")
     pairs = written(candidates(products, meta, dense), "pairs")
+    discard(whole)
+    discard(products)
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).union(dense.select("c")).distinct()
     # the n-grams of the wanted classes, each from one of its documents: a bit
@@ -450,7 +452,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     ).distinct()
     labels = _compared(written(labels, "labels"), pairs, nearest, sets)
     pivots = PIVOTS
-    sets = written(_only(sets, dense, "c"), "dense-sets")
+    every, sets = sets, written(_only(sets, dense, "c"), "dense-sets")
+    discard(every)
     while dense.limit(1).count():
         pairs, dense = _dense_round(dense, labels, pivots)
         # each row with one pivot, the same for most rows of a column

@@ -78,17 +78,19 @@ def distinct_hours(df: DataFrame) -> DataFrame:
 GRID_ROWS_PER_PARTITION = 1_000_000
 
 
-# Buckets over which the grid deals the hours.
-GRID_BUCKETS = 64
+# Buckets over which the grid deals the hours, and entities of one part.
+GRID_BUCKETS, GRID_ENTITIES = 64, 4096
 
 
 def reference_grid(hourly: DataFrame, id_col: str = ID, hours: DataFrame | list | None = None,
                    n_ids: int | None = None) -> DataFrame:
     """Every entity of the domain × every distinct hour of the domain.
 
-    The result is all pairs by definition. Entities are copied to every hour
-    bucket and joined with that bucket's hours, so neither list is held on the
-    driver or in one task and every bucket carries the same load. A short list
+    The result is all pairs by definition. Entities are dealt into parts of about
+    ``GRID_ENTITIES`` (by their number ``n_ids`` if known), hours into buckets;
+    both are copied to the (part, bucket) keys that they belong to and joined
+    there, so neither list is held on the driver or in one task, and a key's rows
+    stay the same however many entities there are. A short list
     of hours that the caller already has is exploded per entity instead, over
     an explicit number of partitions sized from the grid.
     """
@@ -104,8 +106,11 @@ def reference_grid(hourly: DataFrame, id_col: str = ID, hours: DataFrame | list
         return ids.repartition(parts).select(id_col, F.explode(listed).alias("t"))
     hours = distinct_hours(hourly) if hours is None else hours
     bucket = F.pmod(F.xxhash64("t"), F.lit(GRID_BUCKETS)).cast("int").alias("_bucket")
-    spread = ids.select(id_col, F.explode(F.sequence(F.lit(0), F.lit(GRID_BUCKETS - 1))).alias("_bucket"))
-    return spread.join(hours.select("t", bucket), "_bucket").select(id_col, "t")
+    parts = 64 if n_ids is None else max(1, -(-n_ids // GRID_ENTITIES))
+    part = F.pmod(F.xxhash64(id_col), F.lit(parts)).cast("int").alias("_part")
+    spread = ids.select(id_col, part, F.explode(F.sequence(F.lit(0), F.lit(GRID_BUCKETS - 1))).alias("_bucket"))
+    dealt = hours.select("t", bucket, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part"))
+    return spread.join(dealt, ["_part", "_bucket"]).select(id_col, "t")
 
 
 def by_name(long: DataFrame, keys: list[str], value, name: str = "_m") -> DataFrame:

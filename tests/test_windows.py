@@ -24,6 +24,16 @@ def test_reference_grid(spark):
                     (2, 0, None, None), (2, 3, 3.0, None), (2, 5, None, None)]
 
 
+def test_reference_grid_in_parts(spark):
+    """All pairs, however the entities are dealt into parts."""
+    hourly = spark.createDataFrame([(i, "a", (i * 7) % 23, 1.0) for i in range(60)] + [(None, "a", 3, 1.0)],
+                                   "ID long, variable_name string, t bigint, variable_value double")
+    hours = {(i * 7) % 23 for i in range(60)}
+    want = sorted((repr(i), t) for i in [*range(60), None] for t in hours)
+    for n in (None, 10, 4096 * 5):
+        assert sorted((repr(r[0]), r[1]) for r in reference_grid(hourly, n_ids=n).collect()) == want
+
+
 CASE = [(1, 0, None), (1, 1, 1.0), (1, 2, None), (1, 3, 0.0), (1, 4, 1.0), (1, 20, None)]
 
 

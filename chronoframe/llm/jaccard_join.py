@@ -48,6 +48,8 @@ DENSE = 24
 PIVOTS, GROWTH = 8, 4
 #: Bytes of n-gram sets on either side of a group of pairs, and of text whose sets are made at a time.
 GROUP_BYTES, BLOCK_BYTES = 12 << 20, 2 << 20
+#: Parts of the hashes in which a set's n-grams are numbered.
+MARKS = 128
 #: Ids, or rows of ids, that may be broadcast (a few MB), so that sets are not shuffled to be picked.
 SMALL_IDS = 250_000
 #: Bits of the field that picks documents (16 MB at any size), and of a chunk.
@@ -258,42 +260,39 @@ def _may_start(n: str, pos: str, m: str, at: str) -> Column:
     )
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose exact overlap reaches the bound.
+def _in_groups(pairs: DataFrame, values: DataFrame, size: Column, keep) -> DataFrame:
+    """The pairs that ``keep(value of a, value of b)`` holds for; ``values`` has
+    a value ``v`` of about ``size`` bytes for each class ``c``.
 
-    Left classes are dealt into buckets of ``GROUP_BYTES`` of sets, a right
+    Left classes are dealt into buckets of ``GROUP_BYTES`` of values, a right
     class goes once to every bucket that holds a partner of it, and the rows of
-    a bucket are dealt into as many parts as their bytes need: a set is sent once
-    a bucket, not once a pair, and nothing goes through the driver.
+    a bucket are dealt into as many parts as their bytes need: a value is sent
+    once a bucket, not once a pair, and nothing goes through the driver.
     """
-    left = _only(sets, pairs, "a")
-    rows, total = left.agg(F.count("*"), F.sum(F.size("grams"))).first()
-    buckets = 1 + 8 * (total or 0) // GROUP_BYTES
+    left = _only(values, pairs, "a")
+    rows, total = left.agg(F.count("*"), F.sum(size)).first()
+    buckets = 1 + int(total or 0) // GROUP_BYTES
     bucket = F.pmod(F.xxhash64("a"), F.lit(buckets)).cast("int").alias("bucket")
     partners = pairs.groupBy("b", bucket).agg(F.collect_list("a").alias("partners"))
     met = partners.count()
-    # sets that link are of like sizes, and a bucket's rows are dealt by hash
-    parts = 1 + met * 8 * (total or 0) // (max(rows, 1) * buckets * GROUP_BYTES)
-    own = _only(sets, pairs, "b").withColumnRenamed("c", "b")
-    right = own.join(F.broadcast(partners) if met <= SMALL_IDS else partners, "b")
+    # values that meet are of like sizes, and a bucket's rows are dealt by hash
+    parts = 1 + met * int(total or 0) // (max(rows, 1) * buckets * GROUP_BYTES)
+    right = _only(values, pairs, "b").select(F.col("c").alias("b"), F.col("v").alias("other"))
+    right = right.join(F.broadcast(partners) if met <= SMALL_IDS else partners, "b")
     right = right.withColumn("part", F.pmod(F.xxhash64("b", F.lit(11)), F.lit(parts)).cast("int"))
     left = left.select(
-        F.pmod(F.xxhash64("c"), F.lit(buckets)).cast("int").alias("bucket"), F.col("c").alias("a"), F.col("grams").alias("own"), F.explode(F.sequence(F.lit(0), F.lit(int(parts) - 1))).alias("part")
+        F.pmod(F.xxhash64("c"), F.lit(buckets)).cast("int").alias("bucket"), F.col("c").alias("a"), F.col("v").alias("own"),
+        F.explode(F.sequence(F.lit(0), F.lit(int(parts) - 1))).alias("part"),
     )
 
     def compared(own: pa.Table, others: pa.Table) -> pa.Table:
         found = own.column("own").combine_chunks()
-        known = {c: found[i].values.to_numpy().view(np.uint64) for i, c in enumerate(own.column("a").to_pylist())}
+        place = {c: i for i, c in enumerate(own.column("a").to_pylist())}
         a, b = [], []
-        names, partners_of, grams = (others.column(c).combine_chunks() for c in ("b", "partners", "grams"))
+        names, partners_of, theirs = (others.column(c).combine_chunks() for c in ("b", "partners", "other"))
         for i, name in enumerate(names.to_pylist()):
-            mine = grams[i].values.to_numpy().view(np.uint64)
             for other in partners_of[i].as_py():
-                size, theirs = len(mine), known[other]
-                # both are distinct and in unsigned order
-                place = np.searchsorted(theirs, mine)
-                both = int((theirs[np.minimum(place, len(theirs) - 1)] == mine).sum())
-                if 185 * both >= 85 * (size + len(theirs)):
+                if keep(found[place[other]], theirs[i]):
                     a.append(other)
                     b.append(name)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -301,6 +300,34 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return left.groupBy("bucket", "part").cogroup(right.groupBy("bucket", "part")).applyInArrow(compared, "a long, b long")
 
 
+def marks(x: np.ndarray) -> bytes:
+    """A set's size and its n-grams' number in each of ``MARKS`` parts of the
+    hashes; two sets share no more than the sum of the smaller numbers."""
+    counts = np.bincount((x >> np.uint64(64 - MARKS.bit_length() + 1)).astype(np.int64), minlength=MARKS)
+    return np.append(counts, x.size).astype(np.uint32 if x.size > 65_535 else np.uint16).tobytes()
+
+
+def _may_link(a, b) -> bool:
+    x, y = (np.frombuffer(v.as_buffer(), np.uint16 if len(v.as_buffer()) == 2 * MARKS + 2 else np.uint32) for v in (a, b))
+    return 185 * int(np.minimum(x[:-1], y[:-1]).sum()) >= 85 * (int(x[-1]) + int(y[-1]))
+
+
+def _link(a, b) -> bool:
+    # both are distinct and in unsigned order
+    x, y = (v.values.to_numpy().view(np.uint64) for v in (a, b))
+    both = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+    return 185 * both >= 85 * (len(x) + len(y))
+
+
+def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose exact overlap reaches the bound. Marks, a tenth of a set's
+    size, first drop those that cannot."""
+    few = sets.select("c", F.col("marks").alias("v"))
+    left = written(_in_groups(pairs, few, F.length("v"), _may_link), "may-link")
+    whole = sets.select("c", F.col("grams").alias("v"))
+    return _in_groups(left, whole, 8 * F.size("v"), _link)
+
+
 def _only(sets: DataFrame, pairs: DataFrame, side: str) -> DataFrame:
     """The sets of the classes on one side; few enough ids are broadcast, so
     that the sets are not shuffled to be picked."""
@@ -440,9 +467,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
             for _, found in _sets([mine] if len(mine) else []):
                 ends = np.cumsum([0, *(x.size for x in found)], dtype=np.int32)
                 grams = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array([_class(x) for x in found], pa.int64()), grams], ["c", "grams"])
+                few = pa.array([marks(x) for x in found], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([_class(x) for x in found], pa.int64()), grams, few], ["c", "grams", "marks"])
 
-    sets = written(rows.withColumn("bit", bit).mapInArrow(grams_of, "c long, grams array<long>"), "sets")
+    sets = written(rows.withColumn("bit", bit).mapInArrow(grams_of, "c long, grams array<long>, marks binary"), "sets")
 
     members.destroy()
     labels = one.select("c", F.col("c").alias("top"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronoframe.functions import quote
@@ -463,6 +463,26 @@ def q_compact_partitions(spark, sf):
     return round_doubles(scan(spark, path))
 
 
+def q_sink_order(spark, sf):
+    """The runner's sinks: the cohort by stay (O1), the matrix by (ID, t) (O2).
+    Rows of each written file in the order they stand there."""
+    from chronoframe.plans.runner import sorted_by
+
+    out = None
+    for name, df, keys in (("deathtime", stages.cohort(spark, sf), ["ICUSTAY_ID"]), ("model_matrix", stages.matrix(spark, sf), ["ID", "t"])):
+        path = scratch_path(spark, name)
+        write_features(sorted_by(df, *keys), path)
+        rows = spark.read.parquet(path).select(
+            F.struct(*keys).alias("k"), F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i")
+        )
+        before = F.lag("k").over(Window.partitionBy("f").orderBy("i"))
+        part = rows.withColumn("late", F.coalesce(before > F.col("k"), F.lit(False))).agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("n_rows"), F.sum(F.col("late").cast("long")).alias("out_of_order")
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_unique_values(spark, sf):
     return unique_values(read_table(spark, sf, "lineitem"), "l_partkey")
 
@@ -621,6 +641,7 @@ SPARK_QUERIES.update({
     "copy_dataset": q_copy_dataset,
     "repack_partitions": q_repack_partitions,
     "compact_partitions": q_compact_partitions,
+    "sink_order": q_sink_order,
     "unique_values": q_unique_values,
     "merge_datasets": q_merge_datasets,
     "split_ids_round_trip": q_split_ids_round_trip,
@@ -685,6 +706,10 @@ ORACLE_SQL.update({
     ),
     "repack_partitions": f"SELECT {_LI} FROM lineitem",
     "compact_partitions": f"SELECT {_LI} FROM lineitem",
+    "sink_order": (
+        f"SELECT 'deathtime' AS table_name, count(*) AS n_rows, 0::BIGINT AS out_of_order FROM ({ORACLE_SQL['exclude_unrecorded_deaths']}) AS c "
+        f"UNION ALL SELECT 'model_matrix', count(*), 0::BIGINT FROM ({ORACLE_SQL['model_matrix']}) AS m"
+    ),
     "rolling_12h_blocks": ORACLE_SQL["rolling_12h_explode"],
     "segmented_fill": ORACLE_SQL["forward_fill"],
     "segmented_count": ORACLE_SQL["cumulative_count"],

@@ -20,7 +20,8 @@ from chronoframe.plans import stages
 from chronoframe.sources import write_csv_table, write_domains, write_features, write_split_ids
 
 
-def _sorted_by(df: DataFrame, *keys: str) -> DataFrame:
+def sorted_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of one first key together, in order within partitions (O1, O2)."""
     return df.repartition(keys[0]).sortWithinPartitions(*keys)
 
 
@@ -33,7 +34,7 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str, trials: list[dict] |
 
     # 1. cohort / death time
     cohort = stages.cohort(spark, sf_dir)
-    write_csv_table(_sorted_by(cohort, "ICUSTAY_ID"), f"{out}/labels/deathtime.csv")
+    write_csv_table(sorted_by(cohort, "ICUSTAY_ID"), f"{out}/labels/deathtime.csv")
     counts["cohort"] = spark.read.option("header", True).csv(f"{out}/labels/deathtime.csv").count()
 
     # 2. prevalence + time filter
@@ -54,7 +55,7 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str, trials: list[dict] |
     outcome = stages.outcome(spark, sf_dir)
     write_csv_table(outcome, f"{out}/modeling/outcome.csv")
     matrix = stages.matrix(spark, sf_dir)
-    write_features(_sorted_by(matrix, "ID", "t"), f"{out}/modeling/model_matrix")
+    write_features(sorted_by(matrix, "ID", "t"), f"{out}/modeling/model_matrix")
     matrix = spark.read.parquet(f"{out}/modeling/model_matrix")
     counts["matrix"] = matrix.count()
 
@@ -64,7 +65,7 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str, trials: list[dict] |
     write_split_ids(splits, f"{out}/modeling/ids")
     for which in ("train", "val", "test"):
         part = split_rows(labelled, splits, which)
-        write_features(_sorted_by(part, "ID", "t"), f"{out}/modeling/{which}_df")
+        write_features(sorted_by(part, "ID", "t"), f"{out}/modeling/{which}_df")
         counts[which] = spark.read.parquet(f"{out}/modeling/{which}_df").select("ID").distinct().count()
 
     # 7. train, choose, score: the best trial's model is saved with its features

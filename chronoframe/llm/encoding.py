@@ -7,6 +7,7 @@ and deduplicated by Arrow; each worker encodes a distinct word once.
 
 from __future__ import annotations
 
+import gc
 from itertools import chain, repeat
 from pathlib import Path
 
@@ -16,7 +17,7 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Bytes of words and ids that a worker keeps before it drops the rarer half, and the longest word it keeps.
-CACHE_BYTES, CACHE_WORD = 128 << 20, 256
+CACHE_BYTES, CACHE_WORD = 88 << 20, 256
 #: Text characters flattened at a time.
 BLOCK_CHARS = 6 << 20
 #: A word of letters that lower-case alike everywhere, then common marks: the
@@ -123,7 +124,10 @@ def held(key, make):
     """The one cache that this worker keeps: a worker is used by operator after
     operator, and what the one before held is let go."""
     if key not in _HELD:
-        _HELD.clear()
+        if _HELD:
+            _HELD.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
         _HELD[key] = make()
     return _HELD[key]
 

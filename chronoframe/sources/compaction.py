@@ -20,6 +20,8 @@ directories meanwhile.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
+from itertools import accumulate
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +71,22 @@ def small_directories(files: DataFrame, small_bytes: int, file_bytes: int) -> Da
     ).filter((F.col("small") > 1) & (F.col("files") < F.col("now"))).select("dir", F.greatest("files", F.lit(1)).alias("files"))
 
 
+@contextmanager
+def _one_writer(spark: SparkSession):
+    """Tasks whose rows are of one directory write them as they come, instead of
+    sorting them by directory first; others still sort."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "1")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def compact(spark: SparkSession, path: str, partition: list[str], small_bytes: int = 64 << 20, file_bytes: int = 256 << 20) -> list[str]:
     """Compact the dataset in place; the directories that were rewritten."""
     if not partition:
@@ -84,12 +102,16 @@ def compact(spark: SparkSession, path: str, partition: list[str], small_bytes: i
     rows = spark.read.option("basePath", path).parquet(*[fs.at(d).toString() for d in folders.values()])
     levels = len(partition) + 1
     folder = F.substring_index(F.substring_index("_metadata.file_path", "/", -levels), "/", levels - 1)
-    number = F.element_at(F.create_map(*[x for d, n in wanted.items() for x in (F.lit(d), F.lit(n))]), folder)
-    # rows of a directory are dealt by their place in the scan, so that equal rows part too
-    part = F.pmod(F.monotonically_increasing_id(), number).cast("int")
-    dealt = rows.withColumn("_part", part).repartition(sum(wanted.values()), *partition, "_part").drop("_part")
+    order = sorted(wanted)
+    first = dict(zip(order, accumulate([0, *(wanted[d] for d in order)])))
+    facts = F.create_map(*[x for d in order for x in (F.lit(d), F.array(F.lit(first[d]), F.lit(wanted[d])))])[folder]
+    # rows of a directory are dealt by their place in the scan, so that equal rows part too;
+    # every file is a task of its own
+    part = facts[0] + F.pmod(F.monotonically_increasing_id(), facts[1]).cast("int")
+    dealt = rows.withColumn("_part", part).repartitionById(sum(wanted.values()), "_part").drop("_part")
     new = fs.at(run, "new").toString()
-    dealt.write.partitionBy(*partition).parquet(new)
+    with _one_writer(spark):
+        dealt.write.partitionBy(*partition).parquet(new)
     if sorted(_directories(fs, fs.at(run, "new"), len(partition))) != sorted(folders.values()):
         fs.delete(fs.at(run))
         raise OSError("the rewritten directories are not those that were planned")

@@ -86,3 +86,17 @@ def test_a_run_that_never_got_to_its_plan_is_undone(spark, tmp_out, monkeypatch)
     recover(spark, path)
     assert files(path) == before and content(spark, path) == rows
     assert [n for n in os.listdir(path) if n.startswith("_compact")] == []
+
+
+def test_every_file_is_a_task_and_is_written_unsorted(spark, tmp_out):
+    """Files of one directory never share a task, and no task sorts by directory."""
+    path, name = tmp_out + "/ds", "spark.sql.maxConcurrentOutputFileWriters"
+    rows = spark.range(40_000).select("id", (F.col("id") % 3).alias("p"))
+    write_partitioned(rows.repartition(20), path, ["p"])
+    size, before = sum(map(os.path.getsize, files(path))), spark.conf.get(name)
+    assert len(compact(spark, path, ["p"], small_bytes=size, file_bytes=size // 30)) == 3
+    numbers = [len(glob.glob(f"{path}/p={p}/*.parquet")) for p in range(3)]
+    assert all(n >= 10 for n in numbers) and scan(spark, path).count() == 40_000
+    assert spark.conf.get(name) == before
+    with compaction._one_writer(spark):
+        assert spark.conf.get(name) == "1"

@@ -141,3 +141,27 @@ def test_narrow_types_keeps_columns_with_nulls_floating(spark):
     assert dict(narrow_types(df, tolerance=1e-12).dtypes) == {
         "ID": "bigint", "t": "bigint", "whole": "int", "gap": "float", "big.one": "bigint", "half": "float", "fine": "double",
     }
+
+
+def test_rolling_maps_send_no_copies_and_follow_the_rows(spark, monkeypatch):
+    """Observations are dealt once, over as many tasks as their rows ask for,
+    and copied to their hours there; windows that cross blocks are whole."""
+    from chronoframe.operators import windows
+
+    rng = random.Random(3)
+    rows = [(e, "ab"[rng.random() < 0.5], t, float(rng.randint(0, 9))) for e in (1, 2, None) for t in rng.sample(range(-300, 800), 300)]
+    hourly = spark.createDataFrame(rows, "ID long, variable_name string, t bigint, variable_value double")
+    monkeypatch.setattr(windows, "DEALT_ROWS", 1000)
+    maps = windows.rolling_maps(hourly)
+    plan = maps._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
+    assert maps.rdd.getNumPartitions() == -(-len(rows) * 12 // 1000)
+    want = {}
+    for e, v, t, x in rows:
+        for at in range(t, t + 12):
+            want.setdefault((e, at), {}).setdefault(v, []).append(x)
+    got = maps.collect()
+    assert len(got) == len(want)
+    for r in got:
+        own = want[r.ID, r.t]
+        assert {k: (m["mean"], m["max"]) for k, m in r._roll.items()} == {k: (pytest.approx(sum(v) / len(v)), max(v)) for k, v in own.items()}

@@ -20,9 +20,17 @@ from chronoframe.plans import stages
 from chronoframe.sources import write_csv_table, write_domains, write_features, write_split_ids
 
 
-def sorted_by(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows of one first key together, in order within partitions (O1, O2)."""
-    return df.repartition(keys[0]).sortWithinPartitions(*keys)
+#: Rows of a wide table that one task sorts.
+SORTED_ROWS = 200_000
+
+
+def sorted_by(df: DataFrame, *keys: str, rows: int | None = None) -> DataFrame:
+    """Rows of one first key together, in order within partitions (O1, O2).
+    ``rows``, where known, sets their number."""
+    if rows is None:
+        return df.repartition(keys[0]).sortWithinPartitions(*keys)
+    few = min(df.sparkSession.sparkContext.defaultParallelism, rows // 5_000)
+    return df.repartition(max(1, -(-rows // SORTED_ROWS), few), keys[0]).sortWithinPartitions(*keys)
 
 
 def run_all(spark: SparkSession, sf_dir: str, out_dir: str, trials: list[dict] | None = None) -> dict[str, int]:
@@ -55,7 +63,7 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str, trials: list[dict] |
     outcome = stages.outcome(spark, sf_dir)
     write_csv_table(outcome, f"{out}/modeling/outcome.csv")
     matrix = stages.matrix(spark, sf_dir)
-    write_features(sorted_by(matrix, "ID", "t"), f"{out}/modeling/model_matrix")
+    write_features(sorted_by(matrix, "ID", "t", rows=stages.skeleton(spark, sf_dir).count()), f"{out}/modeling/model_matrix")
     matrix = spark.read.parquet(f"{out}/modeling/model_matrix")
     counts["matrix"] = matrix.count()
 
@@ -65,7 +73,7 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str, trials: list[dict] |
     write_split_ids(splits, f"{out}/modeling/ids")
     for which in ("train", "val", "test"):
         part = split_rows(labelled, splits, which)
-        write_features(sorted_by(part, "ID", "t"), f"{out}/modeling/{which}_df")
+        write_features(sorted_by(part, "ID", "t", rows=counts["matrix"]), f"{out}/modeling/{which}_df")
         counts[which] = spark.read.parquet(f"{out}/modeling/{which}_df").select("ID").distinct().count()
 
     # 7. train, choose, score: the best trial's model is saved with its features

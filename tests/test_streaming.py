@@ -33,13 +33,13 @@ def test_a_second_source_is_refused_instead_of_losing_its_rows(spark, tmp_out):
     assert stream_copy(spark, a, dst).count() == 110
 
 
-def test_the_tasks_that_write_the_source_follow_the_table(spark, monkeypatch):
+def test_the_tasks_that_write_the_source_follow_the_table(spark, tmp_out, monkeypatch):
     """A fixed number of writers would each sort a growing share of the rows."""
     import glob
 
     from chronoframe.plans import queries
 
+    spark.range(6000).select(F.col("id").alias("l_orderkey"), F.lit("A").alias("l_returnflag")).write.parquet(tmp_out + "/lineitem.parquet")
     monkeypatch.setattr(queries, "_TASK_ROWS", 500)
-    path = queries._lineitem_dataset(spark, "/root/testdata/sf0.001", files_per_task=4)
-    n = queries.read_table(spark, "/root/testdata/sf0.001", "lineitem").count()
-    assert len(glob.glob(path.removeprefix("file:") + "/l_returnflag=A/*.parquet")) >= n // 500
+    path = queries._lineitem_dataset(spark, tmp_out, files_per_task=4)
+    assert len(glob.glob(path.removeprefix("file:") + "/l_returnflag=A/*.parquet")) == 12

@@ -7,6 +7,7 @@ and deduplicated by Arrow; each worker encodes a distinct word once.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from itertools import chain, repeat
 from pathlib import Path
@@ -117,6 +118,26 @@ def blocks(texts: pa.Array, size: int = BLOCK_CHARS):
         at = upto
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker idles beside the
+    executor's other stages, and its allocators would keep what a task took."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc has it
+        trim(0)
+
+
+def released(run):
+    """``run`` (batches to batches) with its memory given back when it ends."""
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return task
+
+
 _HELD: dict = {}
 
 
@@ -127,7 +148,7 @@ def held(key, make):
         if _HELD:
             _HELD.clear()
             gc.collect()
-            pa.default_memory_pool().release_unused()
+            release()
         _HELD[key] = make()
     return _HELD[key]
 

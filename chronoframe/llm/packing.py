@@ -24,8 +24,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoframe.llm.common import texts, written
-from chronoframe.llm.encoding import blocks, word_encoder
+from chronoframe.llm.encoding import blocks, released, word_encoder
 
+#: Bytes of text encoded at a time.
+BLOCK_BYTES = 2 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long"
 
 
@@ -36,7 +38,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
     def run(batches):
         encoder, part, seen = word_encoder(tokenizer), TaskContext.get().partitionId(), Counter()
         for batch in batches:
-            for at, block in blocks(batch.column("text")):
+            for at, block in blocks(batch.column("text"), BLOCK_BYTES):
                 ids, lengths = encoder.encode(block, end=end_id)
                 raw, ends = memoryview(ids.astype("<u4").tobytes()), np.cumsum(lengths)
                 doc, piece, start, length, crc, place = [], [], [], [], [], []
@@ -59,7 +61,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
                     ["doc_id", "piece", "start", "length", "ids_crc32", "part", "place"],
                 )
 
-    return texts(docs).mapInArrow(run, PIECES)
+    return texts(docs).mapInArrow(released(run), PIECES)
 
 
 def fullest(counts: dict[int, int], lengths: list[int], room: int) -> Counter:

@@ -18,9 +18,9 @@ texts have equal scores; other columns are not read.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -28,13 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoframe.llm.common import crc_mod, ship, texts
-from chronoframe.llm.encoding import blocks, held
+from chronoframe.llm.encoding import blocks, held, release, released
 
 BITS = 18
 #: Rows a shard aims at, and updates that each shard's model gets at least.
 TRAIN_ROWS, SHARD_ROWS, EPOCHS, UPDATES = 20_000, 1_500, 3, 5_000
-#: Bytes of text whose n-grams are held at a time, and of word forms that a worker keeps.
-BLOCK_BYTES, CACHE_BYTES = 1 << 20, 64 << 20
+#: Bytes of text whose n-grams are held at a time, and of word forms that a task keeps.
+BLOCK_BYTES, CACHE_BYTES = 1 << 19, 32 << 20
 ALPHA, BETA, L1, L2 = 8.0, 1.0, 1e-4, 1e-4
 THRESHOLD = 0.3
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -53,7 +53,7 @@ def _place(x: np.ndarray) -> np.ndarray:
 
 
 class Features:
-    """Feature places of whole texts, with a worker's cache of word forms."""
+    """Feature places of whole texts, with a cache of word forms."""
 
     def __init__(self):
         self.forms: dict[str, tuple[int, int]] = {}
@@ -128,7 +128,8 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> np.n
 def _models(batches):
     """A model of every shard, whose rows come one after another; a text is let
     go as soon as its places are known."""
-    features, shard, rows, labels = held("quality", Features), None, [], []
+    held("quality", dict)  # nothing is kept here; another operator's cache goes
+    features, shard, rows, labels = Features(), None, [], []
 
     def model():
         w = train(rows, np.array(labels)).astype(np.float32).tobytes()
@@ -161,7 +162,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
 
     # in a fixed random order, so that neither id nor length says when a row trains
     dealt = rows.repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64("doc_id", F.lit(5)), "doc_id", "text")
-    models = dealt.select("shard", "y", "text").mapInArrow(_models, "rows long, w binary").collect()
+    models = dealt.select("shard", "y", "text").mapInArrow(released(_models), "rows long, w binary").collect()
     total = np.zeros((1 << BITS) + 1)
     for m in models:
         total += m.rows * np.frombuffer(m.w, np.float32).astype(float)
@@ -173,19 +174,27 @@ def score(docs: DataFrame, model: np.ndarray, into: str = "score") -> DataFrame:
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def values(texts_: pd.Series) -> np.ndarray:
-        w, out, features = shared.value, [], held("quality", Features)
-        for _, block in blocks(pa.array(texts_.fillna(""), pa.string()), BLOCK_BYTES):
+    def values(texts_: pa.Array, features: Features) -> pa.Array:
+        w, out = shared.value, []
+        for _, block in blocks(texts_.cast(pa.string()).fill_null(""), BLOCK_BYTES):
             places, sizes = features(block)
             total, some = np.zeros(sizes.size), sizes > 0
             if places.size:
                 total[some] = np.add.reduceat(w[places].astype(np.float64), (np.cumsum(sizes) - sizes)[some])
             out.append(total / np.maximum(sizes, 1) + w[-1])
-        return 1 / (1 + np.exp(-np.concatenate(out))) if out else np.empty(0)
-
-    @F.pandas_udf("double")
-    def run(text: pd.Series) -> pd.Series:
-        return pd.Series(values(text))
+        return pa.array(1 / (1 + np.exp(-np.concatenate(out))) if out else np.empty(0))
+
+    # forms are a task's own and go with it: workers idle through the stages that follow
+    @F.arrow_udf("double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        held("quality", dict)  # nothing is kept here; another operator's cache goes
+        features = Features()
+        try:
+            for text in batches:
+                yield values(text, features)
+        finally:
+            del features
+            release()
 
     return docs.withColumn(into, run("text"))
 

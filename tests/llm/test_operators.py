@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
+import subprocess
+import sys
 from collections import defaultdict
 
 import brute
@@ -293,6 +296,43 @@ def test_quality_cache_is_bounded_in_bytes(monkeypatch):
         assert features.held < 100_000 and max(map(len, features.forms)) <= 256
 
 
+def test_scoring_leaves_no_forms_in_idle_workers(spark):
+    import pyarrow as pa
+
+    docs = spark.createDataFrame(rows([(i, prose(i, 60)) for i in range(200)]), SCHEMA).repartition(4)
+    quality.score(docs, np.zeros((1 << quality.BITS) + 1, np.float32)).agg(F.sum("score")).collect()
+
+    def kept(batches):
+        from chronoframe.llm import encoding
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([sum(len(getattr(x, "forms", ())) for x in encoding._HELD.values())], pa.int64())})
+
+    assert not any(r.n for r in spark.range(64, numPartitions=32).mapInArrow(kept, "n long").collect())
+
+
+def test_a_task_gives_its_memory_back():
+    # on its own, so that no other test's allocations are counted
+    code = """
+import re
+import numpy as np
+import pyarrow as pa
+from chronoframe.llm import encoding
+def held():
+    return int(re.search(r"Anonymous: +([0-9]+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+def run(batches):
+    for batch in batches:
+        some = [np.ones(6_000) for _ in range(2_000)]
+        pinned.append(np.ones(6_000))
+        yield batch
+pinned, before = [], held()
+assert list(encoding.released(run)([1, 2])) == [1, 2]
+assert held() - before < 30, held() - before
+"""
+    env = os.environ | {"PYTHONPATH": os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))}
+    subprocess.run([sys.executable, "-c", code], check=True, env=env, timeout=60)
+
+
 @pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
 def test_token_counts(odd, odd_docs, empty, path):
     library = Tokenizer.from_file(path)

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoframe.llm.common import LOWER, UPPER, discard, texts, written
-from chronoframe.llm.encoding import blocks, held
+from chronoframe.llm.encoding import blocks, held, release, released
 
 #: Words of an n-gram.
 SIZE = 4
@@ -418,7 +418,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     ``top``, the component's class, for every row."""
     rows, spark = texts(docs), docs.sparkSession
     hashed = rows.withColumn("h", F.xxhash64("text"))
-    first = written(hashed.mapInArrow(_classes_and_frequent, "kind int, doc_id long, h long, id long, n long"), "classes")
+    first = written(hashed.mapInArrow(released(_classes_and_frequent), "kind int, doc_id long, h long, id long, n long"), "classes")
     classes = first.filter("kind = 0").select("doc_id", "h", F.col("id").alias("c"), "n")
     total = classes.agg(F.sum("n")).first()[0] or 0
     often = first.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(2, -(-total // FREQUENT)))
@@ -429,7 +429,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast((grams[order], counts[order]))
     del often, grams, counts, order
 
-    block = whole = written(rows.mapInArrow(_first_block(shared), "gram long, c long, n int, pos int, often long"), "block")
+    block = whole = written(rows.mapInArrow(released(_first_block(shared)), "gram long, c long, n int, pos int, often long"), "block")
     # (frequency, unsigned hash) as an ordered value
     last = F.struct("often", F.col("gram").bitwiseXOR(F.lit(-(1 << 63)))).alias("last")
     meta = block.filter("pos = -1").select("c", F.col("n").cast("long").alias("n"), last).dropDuplicates(["c"])
@@ -441,7 +441,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     rest = block.filter("often = 0").unionByName(block.filter("often > 0").join(crowded, "gram", "left_anti"))
     place = (F.shiftleft(F.col("n").cast("long"), 32) + F.col("pos")).alias("np")
     ordered = rest.select("gram", "c", place).repartition("gram").sortWithinPartitions("gram", "c")
-    products = written(ordered.mapInArrow(_multiply, "gram long, a long, b long, hits int, fits int"), "products")
+    products = written(ordered.mapInArrow(released(_multiply), "gram long, a long, b long, hits int, fits int"), "products")
     dense = products.filter("b is null").select("gram", F.col("a").alias("c"), F.col("hits").alias("n"), F.col("fits").alias("pos")).unionByName(
         block.filter("often > 0").join(crowded, "gram").select("gram", "c", "n", "pos")
     )
@@ -470,7 +470,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
                 few = pa.array([marks(x) for x in found], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array([_class(x) for x in found], pa.int64()), grams, few], ["c", "grams", "marks"])
 
-    sets = written(rows.withColumn("bit", bit).mapInArrow(grams_of, "c long, grams array<long>, marks binary"), "sets")
+    sets = written(rows.withColumn("bit", bit).mapInArrow(released(grams_of), "c long, grams array<long>, marks binary"), "sets")
 
     members.destroy()
     labels = one.select("c", F.col("c").alias("top"))

@@ -14,7 +14,12 @@ blocks of columns:
 2. Over the remaining block the overlap of the pairs left is added up exactly,
    from both sets, and compared with the bound.
 
-A column of over ``DENSE`` classes is never squared: some of its rows (pivots)
+A linked pair that the first block does not give shares a column of over
+``DENSE`` classes there. The classes in such columns get a first block anew, in
+an order that has those columns' n-grams at its end, as long as this at least
+halves their number: n-grams too rare to be counted beforehand leave that way.
+
+A column that is still dense is never squared: some of its rows (pivots)
 are compared with all rows of other components, what links is merged, pivots
 leave, and so on until one component is left in the column. Each round takes
 more pivots: from all components while none has half of the column, then
@@ -48,14 +53,15 @@ DENSE = 24
 PIVOTS, GROWTH = 8, 4
 #: Bytes of n-gram sets on either side of a group of pairs, and of text whose sets are made at a time.
 GROUP_BYTES, BLOCK_BYTES = 12 << 20, 2 << 20
+#: Stored sets whose first blocks are made at a time.
+STORED = 512
 #: Parts of the hashes in which a set's n-grams are numbered.
 MARKS = 128
 #: Ids, or rows of ids, that may be broadcast (a few MB), so that sets are not shuffled to be picked.
 SMALL_IDS = 250_000
 #: Bits of the field that picks documents (16 MB at any size), and of a chunk.
 MEMBER_BITS, CHUNK_BITS = 1 << 27, 1 << 15
-#: Only n-grams with at least this share of all occurrences are told apart by
-#: frequency; there can be no more than this many of them.
+#: Only the most frequent n-grams, no more than this many, are told apart by frequency.
 FREQUENT = 1 << 20
 #: N-grams looked at together when local frequencies are taken.
 CHUNK = 1 << 21
@@ -136,14 +142,41 @@ def _batch(kind, doc, h, ids, n):
     return pa.RecordBatch.from_arrays(columns, ["kind", "doc_id", "h", "id", "n"])
 
 
-def _first_block(shared):
+def _stored(batches):
+    """As :func:`_sets`, from n-gram sets that were written."""
+    for batch in batches:
+        column = batch.column("grams")
+        at, grams = column.offsets.to_numpy().tolist(), column.values.to_numpy().view(np.uint64)
+        for i in range(0, len(batch), STORED):
+            rows = batch.slice(i, STORED)
+            yield rows, [grams[a:b] for a, b in zip(at[i: i + len(rows)], at[i + 1: i + len(rows) + 1], strict=True)]
+
+
+def most_frequent(counts: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted n-grams ``id`` of the highest counts ``n``, no more than
+    ``FREQUENT``, and their counts. All with over that share of ``total``
+    occurrences are among them."""
+    step = F.floor(F.log2("n") * 8)
+    low, size = float("inf"), 0
+    for r in counts.filter("n > 1").groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        size += r["count"]
+        if size > FREQUENT:
+            break
+        low = r["step"]
+    kept = counts.filter((F.col("n") > 1) & ((step >= F.lit(low)) | (F.col("n") >= -(-total // FREQUENT)))).toArrow()
+    grams, often = kept.column("id").to_numpy().view(np.uint64), kept.column("n").to_numpy()
+    order = np.argsort(grams)
+    return grams[order], often[order]
+
+
+def _first_block(shared, sets=_sets):
     """Rows (gram, c, n, pos, often): the n-grams of a class that a partner must
     share, ``often`` being their corpus frequency (0: not frequent). The last of
     a class comes once more, at position -1."""
 
     def run(batches):
         frequent, counts = shared.value
-        for _, found in _sets(batches):
+        for _, found in sets(batches):
             out = []
             for x in (x for x in found if x.size):
                 order = np.zeros(x.size, np.int64)
@@ -413,23 +446,10 @@ def _dense_round(rows: DataFrame, labels: DataFrame, pivots: int) -> tuple[DataF
     return pairs, written(stay, "dense")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """``doc_id, h`` (the text's hash), ``n_shingles, component_id`` and
-    ``top``, the component's class, for every row."""
-    rows, spark = texts(docs), docs.sparkSession
-    hashed = rows.withColumn("h", F.xxhash64("text"))
-    first = written(hashed.mapInArrow(released(_classes_and_frequent), "kind int, doc_id long, h long, id long, n long"), "classes")
-    classes = first.filter("kind = 0").select("doc_id", "h", F.col("id").alias("c"), "n")
-    total = classes.agg(F.sum("n")).first()[0] or 0
-    often = first.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(2, -(-total // FREQUENT)))
-    # at most FREQUENT rows by the threshold
-    often = often.toArrow()
-    grams, counts = often.column("id").to_numpy().view(np.uint64), often.column("n").to_numpy()
-    order = np.argsort(grams)
-    shared = spark.sparkContext.broadcast((grams[order], counts[order]))
-    del often, grams, counts, order
-
-    block = whole = written(rows.mapInArrow(released(_first_block(shared)), "gram long, c long, n int, pos int, often long"), "block")
+def _columns(block: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Candidates (a, b, hits) and dense rows (gram, c, n, pos) of a first block,
+    which is deleted."""
+    whole = block
     # (frequency, unsigned hash) as an ordered value
     last = F.struct("often", F.col("gram").bitwiseXOR(F.lit(-(1 << 63)))).alias("last")
     meta = block.filter("pos = -1").select("c", F.col("n").cast("long").alias("n"), last).dropDuplicates(["c"])
@@ -449,6 +469,23 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     pairs = written(candidates(products, meta, dense), "pairs")
     discard(whole)
     discard(products)
+    return pairs, dense
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """``doc_id, h`` (the text's hash), ``n_shingles, component_id`` and
+    ``top``, the component's class, for every row."""
+    rows, spark = texts(docs), docs.sparkSession
+    hashed = rows.withColumn("h", F.xxhash64("text"))
+    first = written(hashed.mapInArrow(released(_classes_and_frequent), "kind int, doc_id long, h long, id long, n long"), "classes")
+    classes = first.filter("kind = 0").select("doc_id", "h", F.col("id").alias("c"), "n")
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    counts = written(first.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n")), "counts")
+    often = most_frequent(counts, total)
+    discard(counts)
+    shared = spark.sparkContext.broadcast(often)
+    columns = "gram long, c long, n int, pos int, often long"
+    pairs, dense = _columns(written(rows.mapInArrow(released(_first_block(shared)), columns), "block"))
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).union(dense.select("c")).distinct()
     # the n-grams of the wanted classes, each from one of its documents: a bit
@@ -473,6 +510,22 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     sets = written(rows.withColumn("bit", bit).mapInArrow(released(grams_of), "c long, grams array<long>, marks binary"), "sets")
 
     members.destroy()
+    classes_left = dense.select("c").distinct().count()
+    while classes_left:
+        # dense columns' n-grams go to the end of the order
+        late = most_frequent(dense.groupBy(F.col("gram").alias("id")).agg(F.count("*").alias("n")), dense.count())
+        grams, at = np.unique(np.concatenate([often[0], late[0]]), return_index=True)
+        often = grams, np.concatenate([often[1], late[1]])[at]
+        shared = spark.sparkContext.broadcast(often)
+        again = _only(sets.select("c", "grams"), dense, "c").select("grams").mapInArrow(released(_first_block(shared, _stored)), columns)
+        more, dense = _columns(written(again, "block"))
+        shared.destroy()
+        pairs = pairs.unionByName(more)
+        before, classes_left = classes_left, dense.select("c").distinct().count()
+        if 2 * classes_left > before:
+            break
+    pairs = written(pairs.groupBy("a", "b").agg(F.max("hits").alias("hits")), "all-pairs")
+    del often
     labels = one.select("c", F.col("c").alias("top"))
     # each class with the one that it shares most with
     nearest = pairs.groupBy("a").agg(F.max_by("b", F.struct("hits", "b")).alias("b")).unionByName(
@@ -484,6 +537,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     discard(every)
     while dense.limit(1).count():
         pairs, dense = _dense_round(dense, labels, pivots)
+        if not pairs.limit(1).count():
+            pivots *= GROWTH
+            continue
         # each row with one pivot, the same for most rows of a column
         nearest = pairs.groupBy("b").agg(F.min_by("a", F.xxhash64("a", F.lit(7))).alias("a"))
         labels = _compared(labels, pairs, nearest, sets)

@@ -219,6 +219,36 @@ def test_jaccard_components(odd, odd_docs, spark, monkeypatch, dense, pivots):
     assert collected(got) == expected(brute.jaccard(docs))
 
 
+def test_most_frequent_grams(spark, monkeypatch):
+    """As many as there is room for, however low their counts are."""
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 10)
+    counts = spark.createDataFrame([(-i, 1 + i * i) for i in range(20)], "id long, n long")
+    grams, times = jaccard_join.most_frequent(counts, 5000)
+    assert grams.tolist() == sorted(grams.tolist()) and 7 <= len(grams) <= 10
+    assert sorted(times.tolist()) == [1 + i * i for i in range(20)][-len(grams):]
+    assert len(jaccard_join.most_frequent(counts.filter("n < 3"), 5000)[0]) == 1  # 2, but not 1
+    assert not len(jaccard_join.most_frequent(counts.limit(0), 0)[0])
+
+
+def test_rare_grams_leave_dense_columns(spark, monkeypatch):
+    """Phrases that many texts share, none frequent enough to be told apart
+    beforehand, are not left to rounds of pivots."""
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 20)
+    shared = [prose(900 + i, 4) for i in range(24)]
+    docs = [(i, " ".join(f"{prose(1000 + 30 * i + k, 12)} d{i}x{k} {p}" for k, p in enumerate(shared))) for i in range(30)]
+    docs += [(100 + i, f"{docs[i][1]} more{i}") for i in range(3)]
+    left = []
+
+    def counted(dense, labels, pivots, of=jaccard_join._dense_round):
+        left.append(dense.count())
+        return of(dense, labels, pivots)
+
+    monkeypatch.setattr(jaccard_join, "_dense_round", counted)
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows(docs), SCHEMA)).select("doc_id", "n_shingles", "component_id")
+    assert collected(got) == expected(brute.jaccard(docs))
+    assert sum(left) < 60
+
+
 def test_one_of_each_group_stays(odd, odd_docs, empty):
     kept = jaccard_join.one_of_each(odd)
     assert kept.columns == odd.columns

@@ -357,6 +357,8 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     size, first drop those that cannot."""
     few = sets.select("c", F.col("marks").alias("v"))
     left = written(_in_groups(pairs, few, F.length("v"), _may_link), "may-link")
+    if not left.limit(1).count():
+        return left
     whole = sets.select("c", F.col("grams").alias("v"))
     return _in_groups(left, whole, 8 * F.size("v"), _link)
 
@@ -383,29 +385,42 @@ def member_bits(ids: DataFrame) -> np.ndarray:
     return field
 
 
+def _parts(rows: int) -> int:
+    """Partitions for so many short rows: few rows make few files, not one a
+    shuffle partition, and many rows make as many as they need."""
+    return 1 + rows // SMALL_IDS
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``c, top``: the smallest node reachable from each node of the edges."""
-    ways = written(
-        edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).filter("a != b").toDF("c", "to").distinct(), "ways"
-    )
-    now = written(ways.groupBy("c").agg(F.min("to").alias("to")).select("c", F.least("c", "to").alias("top")), "tops")
+    edges = edges.select("a", "b").filter("a != b")
+    parts = _parts(2 * edges.count())
+    ways = written(edges.union(edges.select("b", "a")).toDF("c", "to").distinct().coalesce(parts), "ways")
+    now = written(ways.groupBy("c").agg(F.min("to").alias("to")).select("c", F.least("c", "to").alias("top")).coalesce(parts), "tops")
+    before = now
     while True:
-        seen = ways.join(now.select(F.col("c").alias("to"), "top"), "to").groupBy("c").agg(F.min("top").alias("near"))
+        seen = ways.join(now.select(F.col("c").alias("to"), "top"), "to").coalesce(parts).groupBy("c").agg(F.min("top").alias("near"))
         best = now.join(seen, "c").select("c", F.col("top").alias("old"), F.least("top", "near").alias("top"))
         # a label's own label: paths halve every round
         label = now.select(F.col("c").alias("top"), F.col("top").alias("up"))
-        after = written(best.join(label, "top", "left").select("c", "old", F.least("top", F.coalesce("up", "top")).alias("top")), "tops")
-        changed, now = after.filter("old != top").limit(1).count(), after.select("c", "top")
+        best = best.join(label, "top", "left").select("c", "old", F.least("top", F.coalesce("up", "top")).alias("top"))
+        after = written(best.coalesce(parts), "tops")
+        discard(before)
+        changed, now, before = after.filter("old != top").limit(1).count(), after.select("c", "top"), after
         if not changed:
+            discard(ways)
             return now
 
 
 def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after new links: links are contracted to components first."""
+    if not links.limit(1).count():
+        return labels
     a = links.join(labels.toDF("a", "ta"), "a")
-    edges = a.join(labels.toDF("b", "tb"), "b").select(F.col("ta").alias("a"), F.col("tb").alias("b"))
-    tops = components(edges).toDF("top", "up")
-    return written(labels.join(tops, "top", "left").select("c", F.coalesce("up", "top").alias("top")), "labels")
+    edges = a.join(labels.toDF("b", "tb"), "b").select(F.col("ta").alias("a"), F.col("tb").alias("b")).distinct()
+    tops = components(written(edges.coalesce(_parts(links.count())), "edges")).toDF("top", "up")
+    merged = labels.join(tops, "top", "left").select("c", F.coalesce("up", "top").alias("top"))
+    return written(merged.coalesce(_parts(labels.count())), "labels")
 
 
 def _compared(labels: DataFrame, pairs: DataFrame, first: DataFrame, sets: DataFrame) -> DataFrame:
@@ -414,7 +429,7 @@ def _compared(labels: DataFrame, pairs: DataFrame, first: DataFrame, sets: DataF
     are left whose classes these have not brought together."""
     labels = _merge(labels, written(linked(first.select("a", "b"), sets), "links"))
     apart = pairs.select("a", "b").join(labels.toDF("a", "ta"), "a").join(labels.toDF("b", "tb"), "b").filter("ta != tb")
-    apart = written(apart.select("a", "b"), "apart")
+    apart = written(apart.select("a", "b").coalesce(_parts(pairs.count())), "apart")
     if not apart.limit(1).count():
         return labels
     return _merge(labels, written(linked(apart, sets), "links"))
@@ -422,14 +437,15 @@ def _compared(labels: DataFrame, pairs: DataFrame, first: DataFrame, sets: DataF
 
 def _dense_round(rows: DataFrame, labels: DataFrame, pivots: int) -> tuple[DataFrame, DataFrame]:
     """Pairs to compare now, and the dense rows that stay after them."""
-    own = rows.join(labels, "c")
-    by_top = own.groupBy("gram", "top").agg(F.count("*").alias("n_top"))
+    parts = _parts(rows.count())
+    own = rows.join(labels, "c").coalesce(parts)
+    by_top = own.groupBy("gram", "top").agg(F.count("*").alias("n_top")).coalesce(parts)
     grams = by_top.groupBy("gram").agg(
         F.max(F.struct("n_top", "top")).alias("x"), F.sum("n_top").alias("total"), F.count("*").alias("tops")
     ).filter("tops > 1")
     few = (F.col("total") - F.col("x.n_top") <= pivots).alias("few")
     split = (F.col("x.n_top") * 2 < F.col("total")).alias("split")
-    open_rows = written(own.join(grams.select("gram", F.col("x.top").alias("main"), few, split), "gram"), "open")
+    open_rows = written(own.join(grams.select("gram", F.col("x.top").alias("main"), few, split), "gram").coalesce(parts), "open")
     outside = F.col("top") != F.col("main")
     last = open_rows.filter(F.col("few") & outside).select("gram", "c", "n", "pos", "top")
     # one pivot a bucket: the bucket's first in a fixed random order
@@ -438,12 +454,15 @@ def _dense_round(rows: DataFrame, labels: DataFrame, pivots: int) -> tuple[DataF
         .groupBy("gram", F.pmod(F.xxhash64("c"), F.lit(pivots)).alias("bucket"))
         .agg(F.min_by(F.struct("c", "n", "pos", "top"), F.xxhash64("c", F.lit(7))).alias("p")).select("gram", "p.*")
     )
-    picked = written(last.unionByName(chosen), "pivots")
+    picked = written(last.unionByName(chosen).coalesce(parts), "pivots")
     p = picked.select(F.col("gram").alias("pg"), F.col("c").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("top").alias("ta"))
     pairs = open_rows.join(p, F.col("gram") == F.col("pg")).filter((F.col("top") != F.col("ta")) & _may_start("n", "pos", "na", "pa"))
-    pairs = written(pairs.select("a", F.col("c").alias("b")).distinct(), "dense-pairs")
+    pairs = written(pairs.select("a", F.col("c").alias("b")).distinct().coalesce(parts), "dense-pairs")
     stay = open_rows.select("gram", "c", "n", "pos").join(picked.select("gram", "c"), ["gram", "c"], "left_anti")
-    return pairs, written(stay, "dense")
+    stay = written(stay.coalesce(parts), "dense")
+    discard(open_rows)
+    discard(picked)
+    return pairs, stay
 
 
 def _columns(block: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -249,6 +249,29 @@ def test_rare_grams_leave_dense_columns(spark, monkeypatch):
     assert sum(left) < 60
 
 
+def test_components_make_few_files(spark, monkeypatch):
+    """Few links make few files and few tasks, whatever the number of shuffle partitions."""
+    files = []
+
+    def recorded(df, name, of=jaccard_join.written):
+        out = of(df, name)
+        files.append((name, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", recorded)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 40)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        edges = spark.createDataFrame([(i, i + 1) for i in range(60) if i % 10 != 9], "a long, b long")
+        got = {r.c: r.top for r in jaccard_join.components(edges).collect()}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert got == {i: i - i % 10 for i in range(60)}
+    assert files and {n for _, n in files} == {1}
+
+
 def test_one_of_each_group_stays(odd, odd_docs, empty):
     kept = jaccard_join.one_of_each(odd)
     assert kept.columns == odd.columns
